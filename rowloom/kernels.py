@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 
 PARTIAL_SCHEMA = "c bigint, part binary"
 ROW_SCHEMA = "i bigint, v array<double>"
+BLOCK_COLUMNS = ["bi", "bj", "i0", "j0", "nr", "nc", "data"]
+BLOCK_SCHEMA = "bi bigint, bj bigint, i0 bigint, j0 bigint, nr int, nc int, data array<double>"
 
 
 def dense(column: pa.Array, n: int) -> np.ndarray:
@@ -179,6 +181,18 @@ def merge_r(n: int):
     return run
 
 
+def transpose_blocks(batches):
+    """Every block turned: row and column fields swapped, ``data`` transposed."""
+    for batch in batches:
+        sizes = zip(batch.column("nr").to_pylist(), batch.column("nc").to_pylist())
+        turned = [
+            data.values.to_numpy(zero_copy_only=False).reshape(nr, nc).T.ravel()
+            for data, (nr, nc) in zip(batch.column("data"), sizes)
+        ]
+        swapped = [batch.column(name) for name in ("bj", "bi", "j0", "i0", "nc", "nr")]
+        yield pa.RecordBatch.from_arrays(swapped + [pa.array(turned, pa.list_(pa.float64()))], BLOCK_COLUMNS)
+
+
 def block_products(batches):
     """Dense product of the two blocks in each row (``data`` is row-major, ``nk`` the inner size)."""
     for batch in batches:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowloom import kernels
 from rowloom.functions.vectors import fill_gaps, zeros
 from rowloom.limits import check_row_width
 from rowloom.operators.catalog import BLOCKS, CELLS, ROWS, dims, form_of, require_unique, row_width
@@ -76,12 +77,12 @@ def _finish_blocks(tiles: DataFrame, block_rows: int, block_cols: int) -> DataFr
 
 def _rows_to_blocks(rows: DataFrame, block_rows: int, block_cols: int, m: int, n: int) -> DataFrame:
     """Cut each row into column segments, then stack the segments of a tile: one shuffle of the data."""
-    cuts = F.sequence(F.lit(0), F.lit((n - 1) // block_cols))
-    segments = F.transform(cuts, lambda b: F.slice("v", b * block_cols + 1, block_cols))
-    cut = rows.select("i", F.posexplode(segments).alias("bj", "seg")).select(
+    cuts = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block_cols)))
+    segment = F.slice("v", F.col("bj") * block_cols + 1, F.lit(block_cols))
+    cut = rows.select("i", "v", cuts.alias("bj")).select(
         _tile("i", block_rows).alias("bi"),
         F.col("bj").cast("bigint").alias("bj"),
-        F.struct((F.col("i") % block_rows).cast("int").alias("r"), "seg").alias("s"),
+        F.struct((F.col("i") % block_rows).cast("int").alias("r"), segment.alias("seg")).alias("s"),
     )
     stacks = cut.groupBy("bi", "bj").agg(F.sort_array(F.collect_list("s")).alias("s"))
     sized = stacks.withColumns(
@@ -163,10 +164,10 @@ def blocks_to_rows(blocks: DataFrame, num_cols: int | None = None, unique: bool
     """
     n = check_row_width(dims(blocks)[1] if num_cols is None else num_cols)
     blocks = blocks if unique else require_unique(blocks, "bi", "bj")
-    nc = F.col("nc")
-    lines = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda r: F.slice("data", r * nc + 1, nc))
-    cut = blocks.select("i0", "j0", F.posexplode(lines).alias("r", "seg"))
-    parts = cut.select((F.col("i0") + F.col("r")).alias("i"), F.struct("j0", "seg").alias("s"))
+    lines = F.explode(F.sequence(F.lit(0), F.col("nr") - 1))
+    segment = F.slice("data", F.col("r") * F.col("nc") + 1, F.col("nc"))
+    cut = blocks.select("i0", "j0", "nc", "data", lines.alias("r"))
+    parts = cut.select((F.col("i0") + F.col("r")).alias("i"), F.struct("j0", segment.alias("seg")).alias("s"))
     grouped = parts.groupBy("i").agg(F.sort_array(F.collect_list("s")).alias("s"))
     none = F.struct(F.lit(0).cast("bigint").alias("j0"), F.array().cast("array<double>").alias("seg"))
     before = F.concat(F.array(none), F.slice("s", 1, F.size("s") - 1))
@@ -187,19 +188,7 @@ def transpose(matrix: DataFrame, num_rows: int | None = None, tile: int = 256) -
     if form == CELLS:
         return matrix.select(F.col("j").alias("i"), F.col("i").alias("j"), "x")
     if form == BLOCKS:
-        nr, nc, data = F.col("nr"), F.col("nc"), F.col("data")
-        turned = F.transform(
-            F.sequence(F.lit(0), nr * nc - 1), lambda t: F.get(data, (t % nr) * nc + F.floor(t / nr).cast("int"))
-        )
-        return matrix.select(
-            F.col("bj").alias("bi"),
-            F.col("bi").alias("bj"),
-            F.col("j0").alias("i0"),
-            F.col("i0").alias("j0"),
-            nc.alias("nr"),
-            nr.alias("nc"),
-            turned.alias("data"),
-        )
+        return matrix.select(*kernels.BLOCK_COLUMNS).mapInArrow(kernels.transpose_blocks, kernels.BLOCK_SCHEMA)
     n = row_width(matrix)
     m = check_row_width(dims(matrix, width=n)[0] if num_rows is None else num_rows)
     return blocks_to_rows(transpose(to_blocks(matrix, tile, tile, m, n)), m, unique=True)

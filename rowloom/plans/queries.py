@@ -135,7 +135,7 @@ def description(spark, sf):
 
 def registered(spark, sf):
     register_matrix(M.suppliers(spark, sf), "supplier_matrix")
-    return spark.sql("SELECT i, CAST(pos AS BIGINT) AS j, col AS x FROM supplier_matrix LATERAL VIEW posexplode(v)")
+    return spark.sql("SELECT i, CAST(j AS BIGINT) AS j, x FROM supplier_matrix LATERAL VIEW posexplode(v) cells AS j, x")
 
 
 def density(spark, sf):
@@ -293,7 +293,7 @@ def chunks_grid(spark, sf):
 def routed(spark, sf):
     """Every owner's pieces sit in its own partitions: owner and partition agree for each record."""
     pieces = route(layout_assign(M.orders(spark, sf), "VC_STAR", GRID), GRID, buckets=4)
-    held = pieces.select("owner", F.expr("spark_partition_id() div 4").alias("home"))
+    held = pieces.select("owner", F.expr("CAST(spark_partition_id() div 4 AS INT)").alias("home"))
     return held.groupBy("owner", "home").agg(F.count("*").alias("records"))
 
 

@@ -125,11 +125,9 @@ def get_matrix(spark: SparkSession, path: str, fill: bool = True) -> DataFrame:
         check_row_width(n)
         gathered = F.sort_array(F.collect_list(F.struct("j0", "v")))
         held = pieces.groupBy("i").agg(gathered.alias("p"))
-        places = F.sequence(F.lit(0), F.lit(n - 1))
-        element = F.transform(
-            places, lambda j: F.get(F.get(F.col("p"), (j % step).cast("int"))["v"], F.floor(j / step).cast("int"))
-        )
-        rows = held.select("i", element.alias("v"))
+        classes = [F.get("p", F.lit(q))["v"].alias(f"c{q}") for q in range(min(step, n))]
+        dealt = F.transform(F.arrays_zip(*classes), lambda s: F.array(*[s[f"c{q}"] for q in range(len(classes))]))
+        rows = held.select("i", F.slice(F.flatten(dealt), 1, n).alias("v"))
     return zero_fill(rows, info["num_rows"], n) if fill else rows
 
 

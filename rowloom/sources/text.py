@@ -32,9 +32,13 @@ def parse_vectors(table: DataFrame, index: str, text: str) -> DataFrame:
         lengths.cast("array<struct<j:bigint,x:double>>")
     )
     unreadable = F.raise_error(F.concat(F.lit("not a vector: "), F.coalesce(body, F.lit("NULL"))))
-    vector = (
-        F.when(body.rlike(dense), _numbers(F.regexp_extract(body, dense, 1), "double"))
-        .when(body.rlike(sparse), fill_gaps(cells, size))
-        .otherwise(unreadable.cast("array<double>"))
+    is_dense, is_sparse = body.rlike(dense), body.rlike(sparse)
+    parsed = table.select(
+        F.col(index).cast("bigint").alias("i"),
+        F.when(is_dense, _numbers(F.regexp_extract(body, dense, 1), "double"))
+        .when(~F.coalesce(is_sparse, F.lit(False)), unreadable.cast("array<double>"))
+        .alias("dense"),
+        F.when(is_sparse, cells).alias("cells"),
+        F.when(is_sparse, size).alias("size"),
     )
-    return table.select(F.col(index).cast("bigint").alias("i"), vector.alias("v"))
+    return parsed.select("i", F.coalesce("dense", fill_gaps("cells", F.col("size"))).alias("v"))
