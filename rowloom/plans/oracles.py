@@ -213,7 +213,11 @@ def all_oracles() -> dict[str, str]:
             s AS (SELECT t * 16 + r.range AS i, c.range AS j FROM t, range(16) r, range(2) c
                   WHERE t * 16 + r.range <= (SELECT max(doc_id) FROM labels))
             SELECT s.i, s.j, coalesce(lb.x, CAST(0 AS DOUBLE)) AS x FROM s LEFT JOIN lb ON s.i = lb.i AND s.j = lb.j""",
-        "cells_to_blocks": f"WITH {LP} SELECT i, j, sum(x) AS x FROM lp GROUP BY i, j HAVING sum(x) <> 0",
+        "cells_to_blocks": f"""WITH {EV}, s AS (SELECT r.range AS i, c.range AS j FROM range(0, (SELECT max(i) + 1 FROM ev)) r,
+            range(0, (SELECT max(j) + 1 FROM ev)) c), t AS (SELECT DISTINCT i // 32 AS bi, j // 3 AS bj FROM ev),
+            f AS (SELECT s.i, s.j, coalesce(ev.x, CAST(0 AS DOUBLE)) AS x FROM s JOIN t ON s.i // 32 = bi AND s.j // 3 = bj
+                  LEFT JOIN ev ON s.i = ev.i AND s.j = ev.j)
+            {tiles('f', 32, 3, '(SELECT max(i) + 1 FROM ev)', '(SELECT max(j) + 1 FROM ev)')}""",
         "blocks_roundtrip": E_ALL,
         "transpose": f"WITH {EV} SELECT j AS i, i AS j, x FROM ev",
         "transpose_blocks": f"WITH {E} SELECT j AS i, i AS j, x FROM e",

@@ -187,7 +187,7 @@ def gap_tiles(spark, sf):
 
 
 def cell_tiles(spark, sf):
-    return blocks_to_cells(cells_to_blocks(M.order_parts(spark, sf), 64, 64)).where("x != 0")
+    return _tiles(cells_to_blocks(M.event_counts(spark, sf), 32, 3))
 
 
 def blocks_roundtrip(spark, sf):

@@ -15,19 +15,23 @@ INCREMENT = 12345
 ROUNDS = 3
 
 
-def uniform(i, j, seed: int):
-    """A value in [0, 1) that depends on (i, j, seed) only, so a lost task recomputes the same matrix."""
-    x = ((i % PRIME) * STRIDE + j + seed) % PRIME
-    for _ in range(ROUNDS):
-        x = ((x * x) % PRIME + (x * MULTIPLIER) % PRIME + INCREMENT) % PRIME
-    return x / F.lit(float(PRIME))
+def _mixed(x):
+    return ((x * x) % PRIME + (x * MULTIPLIER) % PRIME + INCREMENT) % PRIME
 
 
 def random_rows(spine: DataFrame, num_cols: int, seed: int = 1000) -> DataFrame:
-    """A row of uniform values for every index ``i`` of ``spine``. Narrow."""
+    """A row of uniform values in [0, 1) for every index ``i`` of ``spine``. Narrow.
+
+    An element depends on its indices and the seed only, so a lost task recomputes the same matrix. The
+    rounds are separate passes over the row, because a lambda would repeat an operand it uses twice.
+    """
     check_row_width(num_cols)
+    start = (F.col("i") % PRIME) * STRIDE + seed
     columns = F.sequence(F.lit(0).cast("bigint"), F.lit(num_cols - 1).cast("bigint"))
-    return spine.select("i", F.transform(columns, lambda j: uniform(F.col("i"), j, seed)).alias("v"))
+    states = F.transform(columns, lambda j: (start + j) % PRIME)
+    for _ in range(ROUNDS):
+        states = F.transform(states, _mixed)
+    return spine.select("i", F.transform(states, lambda x: x / float(PRIME)).alias("v"))
 
 
 def random_matrix(spark: SparkSession, num_rows: int, num_cols: int, seed: int = 1000) -> DataFrame:
