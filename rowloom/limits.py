@@ -10,7 +10,7 @@ MAX_ROW_WIDTH = 1 << 22
 BROADCAST_BYTES = 256 << 20
 
 # Largest dense working set (bytes) the driver may hold during a factorisation.
-DRIVER_BYTES = 2 << 30
+DRIVER_BYTES = 1 << 30
 
 # Widest matrix whose n x n Gram matrix is formed and decomposed on the driver (128 MiB).
 GRAM_MAX_COLS = 4096
@@ -24,9 +24,6 @@ SQL_GRAM_COLS = 8
 # Bytes of one shuffled piece of a partial sum.
 PIECE_BYTES = 64 << 10
 
-# A partial result above this many bytes per task makes it worth running fewer, longer tasks.
-PARTIAL_BYTES = 1 << 20
-
 # Rows of one rank bucket: the largest group a window function sorts in one task.
 RANK_BUCKET_ROWS = 1 << 20
 
@@ -47,6 +44,9 @@ def check_driver_bytes(size: int, what: str) -> None:
 
 
 def long_tasks(spark) -> int:
-    """Task count for passes whose per-task result is large compared with its input."""
+    """Task count for passes in which every task returns one partial sum: a few waves over the cluster.
+
+    It bounds what the merge of one piece has to read to this many pieces, however many files A has.
+    """
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(4 * spark.sparkContext.defaultParallelism, shuffle)

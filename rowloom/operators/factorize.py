@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom import kernels
-from rowloom.limits import GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes, long_tasks
+from rowloom.limits import DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes, long_tasks
 from rowloom.operators.catalog import row_width
 from rowloom.operators.products import collect_dense, gramian, project_rows, summed, vectors
 
 # Partial R factors merged by one task of the QR tree.
 QR_FAN_IN = 16
 
-# Blocks of basis vectors kept before a Krylov run restarts from its best approximations.
+# Blocks of basis vectors kept before a Krylov run restarts from its best approximations: at most, and the
+# fewest that still converge usefully.
 KRYLOV_BLOCKS = 24
+KRYLOV_BLOCKS_LEAST = 3
 
 
 class SVD(NamedTuple):
@@ -43,7 +45,7 @@ def _from_qr(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > QR_MAX_COLS:
         raise ValueError(f"tall-skinny QR of {n} columns exceeds {QR_MAX_COLS}; use method='krylov'")
     tasks = long_tasks(rows.sparkSession)
-    level = rows.select("v").coalesce(tasks).mapInArrow(kernels.qr_partials(n), kernels.PARTIAL_SCHEMA)
+    level = vectors(rows).mapInArrow(kernels.qr_partials(n), kernels.PARTIAL_SCHEMA)
     while tasks > 1:
         grouped = level.withColumn("c", F.expr(f"c div {QR_FAN_IN}")).groupBy("c")
         level = grouped.applyInArrow(kernels.merge_r(n), kernels.PARTIAL_SCHEMA)
@@ -74,12 +76,14 @@ def _from_krylov(
     takes more than ``max_passes`` passes.
     """
     width = min(n, k + 5)
-    check_driver_bytes(2 * n * width * (KRYLOV_BLOCKS + 1) * 8, "the Krylov basis")
+    pair = 2 * n * width * 8
+    check_driver_bytes(KRYLOV_BLOCKS_LEAST * pair, "the Krylov basis")
+    blocks = min(KRYLOV_BLOCKS, DRIVER_BYTES // pair)
     rng = np.random.default_rng(seed)
     block = np.linalg.qr(rng.standard_normal((n, width)))[0]
     basis, image = np.zeros((n, 0)), np.zeros((n, 0))
     for _ in range(max_passes):
-        partials = vectors(rows, block.nbytes).mapInArrow(
+        partials = vectors(rows).mapInArrow(
             kernels.normal_partials(block, PIECE_BYTES), kernels.PARTIAL_SCHEMA
         )
         found = collect_dense(summed(partials, block.shape[1]), n, block.shape[1], "a Krylov block")
@@ -93,7 +97,7 @@ def _from_krylov(
         worst = np.linalg.norm(residual[:, :k], axis=0).max()
         if basis.shape[1] == n or worst <= tol * max(values[min(k, keep) - 1], 0.0):
             return np.sqrt(np.clip(values[:k], 0.0, None)), ritz[:, :k]
-        if basis.shape[1] + width > KRYLOV_BLOCKS * width:
+        if basis.shape[1] + width > blocks * width:
             basis, image, found = ritz, ritz_image, residual
         block = _orthonormal(found, basis)[:, : n - basis.shape[1]]
         if block.shape[1] == 0:

@@ -19,8 +19,12 @@ def as_rows(table: DataFrame, index, *values) -> DataFrame:
 
 
 def rows_to_coo(rows: DataFrame) -> DataFrame:
-    """One record per stored element. Narrow: no shuffle."""
-    cells = rows.select("i", F.posexplode("v").alias("j", "x"))
+    """One record per stored element. Narrow: no shuffle.
+
+    The outer form of the explode with a filter behind it gives the same records as the inner form, for which
+    Spark first evaluates the vector once more to drop empty ones.
+    """
+    cells = rows.select("i", F.posexplode_outer("v").alias("j", "x")).where("j IS NOT NULL")
     return cells.select("i", F.col("j").cast("bigint").alias("j"), "x")
 
 
@@ -51,7 +55,9 @@ def zero_fill(rows: DataFrame, num_rows: int | None = None, num_cols: int | None
     m = dims(rows, width=n)[0] if num_rows is None else num_rows
     present = rows.select("i").distinct()
     missing = row_spine(rows.sparkSession, m).join(present, "i", "left_anti")
-    return rows.select("i", "v").unionByName(missing.select("i", zeros(n).alias("v")))
+    # The length depends on the row in form only: a constant vector would be spelled out in the plan.
+    length = F.least(F.lit(n), F.col("i") + n)
+    return rows.select("i", "v").unionByName(missing.select("i", zeros(length).alias("v")))
 
 
 def densify(cells: DataFrame, num_rows: int, num_cols: int, unique: bool = False) -> DataFrame:
@@ -151,7 +157,7 @@ def to_blocks(
 
 def blocks_to_cells(blocks: DataFrame) -> DataFrame:
     """One record per element of every tile. Narrow: no shuffle."""
-    flat = blocks.select("i0", "j0", "nc", F.posexplode("data").alias("p", "x"))
+    flat = blocks.select("i0", "j0", "nc", F.posexplode_outer("data").alias("p", "x")).where("p IS NOT NULL")
     return flat.select(
         (F.col("i0") + F.expr("p div nc")).alias("i"), (F.col("j0") + F.col("p") % F.col("nc")).alias("j"), "x"
     )

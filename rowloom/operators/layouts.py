@@ -141,6 +141,13 @@ def _owned(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
     return placed.groupBy("owner", "i").agg(F.count("*").alias("count"))
 
 
+def _message_plan(buffer_bytes: int) -> dict:
+    """Messages that move ``elements`` doubles through a buffer, and how many of ``rows`` each one takes."""
+    messages = F.expr(f"(8 * elements - 1) div {buffer_bytes} + 1")
+    per_message = F.greatest(F.lit(1).cast("bigint"), F.expr("rows div messages"))
+    return {"messages": messages, "rows_per_message": per_message}
+
+
 def layout_volume(
     matrix: DataFrame, layout: str, grid: Grid, buffer_bytes: int = BUFFER_BYTES
 ) -> DataFrame:
@@ -149,13 +156,13 @@ def layout_volume(
     Messages are what it takes to move the elements through a buffer; a message never has fewer than one row.
     """
     _known(layout)
-    owned = _owned(matrix, layout, grid).groupBy("owner")
-    totals = owned.agg(F.count("*").alias("rows"), F.sum(F.col("count").cast("bigint")).alias("elements"))
-    size = 8 * F.col("elements")
-    planned = totals.select(
-        "owner", "rows", "elements", size.alias("bytes"), F.expr(f"(8 * elements - 1) div {buffer_bytes} + 1").alias("messages")
+    totals = _owned(matrix, layout, grid).groupBy("owner").agg(
+        F.count("*").alias("rows"), F.sum(F.col("count").cast("bigint")).alias("elements")
     )
-    return planned.withColumn("rows_per_message", F.greatest(F.lit(1).cast("bigint"), F.expr("rows div messages")))
+    planned = totals.withColumn("bytes", 8 * F.col("elements"))
+    for name, value in _message_plan(buffer_bytes).items():
+        planned = planned.withColumn(name, value)
+    return planned
 
 
 def row_chunks(
@@ -168,21 +175,27 @@ def row_chunks(
     """Number of the message that carries each owned row: (owner, i, chunk), rows in index order.
 
     A row's rank inside its owner is the count of rows in earlier index buckets plus its rank in its own
-    bucket. Only the small table of bucket counts is ranked per owner; rows are sorted one bucket at a time.
+    bucket. Rows are sorted one bucket at a time; only the table of bucket counts, a millionth of the rows,
+    is brought together per owner, and it carries the owner's message plan as well.
     """
     _known(layout)
-    owned = _owned(matrix, layout, grid).select("owner", "i", F.expr(f"i div {bucket_rows}").alias("bucket"))
-    counts = owned.groupBy("owner", "bucket").agg(F.count("*").alias("held"))
-    earlier = W.partitionBy("owner").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    owned = _owned(matrix, layout, grid).withColumn("bucket", F.expr(f"i div {bucket_rows}"))
+    counts = owned.groupBy("owner", "bucket").agg(F.count("*").alias("held"), F.sum("count").alias("size"))
+    whole = W.partitionBy("owner")
+    earlier = whole.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
-        "owner", "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before")
+        "owner",
+        "bucket",
+        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
+        F.sum("held").over(whole).alias("rows"),
+        F.sum("size").over(whole).alias("elements"),
     )
-    plan = layout_volume(matrix, layout, grid, buffer_bytes).select("owner", "rows_per_message")
+    for name, value in _message_plan(buffer_bytes).items():
+        offsets = offsets.withColumn(name, value)
+    offsets = offsets.select("owner", "bucket", "before", "rows_per_message")
     inside = F.row_number().over(W.partitionBy("owner", "bucket").orderBy("i")) - 1
-    ranked = owned.withColumn("inside", inside).join(offsets, ["owner", "bucket"]).join(plan, "owner")
-    return ranked.select(
-        "owner", "i", F.expr("(before + inside) div rows_per_message").alias("chunk")
-    )
+    ranked = owned.select("owner", "i", "bucket").withColumn("inside", inside).join(offsets, ["owner", "bucket"])
+    return ranked.select("owner", "i", F.expr("(before + inside) div rows_per_message").alias("chunk"))
 
 
 def route(pieces: DataFrame, grid: Grid, buckets: int = 1) -> DataFrame:

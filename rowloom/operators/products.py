@@ -10,7 +10,6 @@ from rowloom import kernels
 from rowloom.limits import (
     BROADCAST_BYTES,
     GRAM_MAX_COLS,
-    PARTIAL_BYTES,
     PIECE_BYTES,
     SQL_GRAM_COLS,
     check_driver_bytes,
@@ -23,10 +22,9 @@ from rowloom.operators.forms import blocks_to_rows, to_blocks
 TILE = 512
 
 
-def vectors(rows: DataFrame, partial_bytes: int) -> DataFrame:
-    """The vectors alone, in fewer and longer tasks when every task emits a large partial result."""
-    only = rows.select("v")
-    return only.coalesce(long_tasks(rows.sparkSession)) if partial_bytes > PARTIAL_BYTES else only
+def vectors(rows: DataFrame) -> DataFrame:
+    """The vectors alone, in a bounded number of long tasks because each one emits a partial result."""
+    return rows.select("v").coalesce(long_tasks(rows.sparkSession))
 
 
 def summed(partials: DataFrame, width: int) -> DataFrame:
@@ -68,7 +66,7 @@ def gramian(rows: DataFrame, num_cols: int | None = None) -> DataFrame:
         return _sql_gramian(rows, n)
     if n > GRAM_MAX_COLS:
         raise ValueError(f"a Gram matrix of {n} columns exceeds {GRAM_MAX_COLS}; use matmul on blocks")
-    partials = vectors(rows, n * n * 8).mapInArrow(kernels.gram_partials(n, PIECE_BYTES), kernels.PARTIAL_SCHEMA)
+    partials = vectors(rows).mapInArrow(kernels.gram_partials(n, PIECE_BYTES), kernels.PARTIAL_SCHEMA)
     return summed(partials, n)
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.functions.vectors import dot, norm, sq_norm, sqdist
+from rowloom.functions.vectors import dot, norm, sqdist
 from rowloom.operators.catalog import BLOCKS, CELLS, form_of
 
 
@@ -13,13 +13,15 @@ def row_norms(rows: DataFrame) -> DataFrame:
 
 
 def frobenius_sq(matrix: DataFrame) -> DataFrame:
-    """Sum of squares of all entries, as one record; each task sends one partial sum."""
+    """Sum of squares of all entries, as one record; each task sends one partial sum.
+
+    Exploding inside the generated code is several times faster than folding each vector; an empty vector's
+    NULL adds nothing.
+    """
     form = form_of(matrix)
-    if form == CELLS:
-        square = F.col("x") * F.col("x")
-    else:
-        square = sq_norm("data" if form == BLOCKS else "v")
-    return matrix.agg(F.coalesce(F.sum(square), F.lit(0.0)).alias("frobenius_sq"))
+    if form != CELLS:
+        matrix = matrix.select(F.explode_outer("data" if form == BLOCKS else "v").alias("x"))
+    return matrix.agg(F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0)).alias("frobenius_sq"))
 
 
 def _paired(a: DataFrame, b: DataFrame) -> DataFrame:

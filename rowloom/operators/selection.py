@@ -1,11 +1,15 @@
 """Picking rows, columns and blocks; index sets; partition profile."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions.vectors import strided
 from rowloom.operators.catalog import BLOCKS, CELLS, form_of
 
+# Longest list of indices written into a predicate.
+IDS_IN_PREDICATE = 1000
+
 # Copies that one task emits when a row index is repeated very often.
 COPIES_PER_RECORD = 10_000
 
@@ -23,12 +27,15 @@ def row_indices(matrix: DataFrame) -> DataFrame:
 def select_rows(matrix: DataFrame, ids) -> DataFrame:
     """Rows whose index is in ``ids``, a DataFrame with column ``i`` or a Python collection.
 
-    A collection becomes an IN predicate that reaches the Parquet scan. A DataFrame becomes a semi join on
-    its distinct indices, left to Spark to broadcast or shuffle by its measured size.
+    A short collection becomes an IN predicate that reaches the Parquet scan. A DataFrame or a longer
+    collection becomes a semi join on its distinct indices, which Spark broadcasts or shuffles by its size.
     """
-    if isinstance(ids, DataFrame):
-        return matrix.join(ids.select("i").distinct(), "i", "left_semi").select(*matrix.columns)
-    return matrix.where(F.col("i").isin([int(i) for i in ids]))
+    if not isinstance(ids, DataFrame):
+        ids = [int(i) for i in ids]
+        if len(ids) <= IDS_IN_PREDICATE:
+            return matrix.where(F.col("i").isin(ids))
+        ids = matrix.sparkSession.createDataFrame(pa.table({"i": pa.array(ids, pa.int64())}))
+    return matrix.join(ids.select("i").distinct(), "i", "left_semi").select(*matrix.columns)
 
 
 def _within(column, bounds):
@@ -80,7 +87,9 @@ def common_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     chunks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {COPIES_PER_RECORD}"))
     spread = both.select("i", "copies", F.explode(chunks).alias("chunk"))
     here = F.least(F.lit(COPIES_PER_RECORD), F.col("copies") - F.col("chunk") * COPIES_PER_RECORD)
-    spread = spread.select("i", "chunk", here.cast("int").alias("here")).repartition("i", "chunk")
+    # A fixed number of partitions: sized by bytes, the short chunk records would end up in one task.
+    tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread.select("i", "chunk", here.cast("int").alias("here")).repartition(tasks, "i", "chunk")
     return spread.select(F.explode(F.array_repeat("i", F.col("here"))).alias("i"))
 
 

@@ -175,7 +175,7 @@ def repeated_cells(spark, sf):
 
 
 def _tiles(blocks):
-    return blocks.select("bi", "bj", "i0", "j0", "nr", "nc", F.posexplode("data").alias("p", "x"))
+    return blocks.select("bi", "bj", "i0", "j0", "nr", "nc", F.posexplode_outer("data").alias("p", "x"))
 
 
 def row_tiles(spark, sf):
@@ -191,7 +191,7 @@ def cell_tiles(spark, sf):
 
 
 def blocks_roundtrip(spark, sf):
-    return _cells(blocks_to_rows(to_blocks(M.embeddings(spark, sf), 32, 16)))
+    return _cells(blocks_to_rows(to_blocks(M.embeddings(spark, sf), 32, 16), unique=True))
 
 
 def transpose_cells(spark, sf):

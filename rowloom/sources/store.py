@@ -36,9 +36,10 @@ def _write(
     """Write pieces and then their info record; returns how many rows were written."""
     count, height = _index_facts(rows)
     pieces = layout_assign(rows, layout, grid)
-    if buckets is not None or grid.size > DIRECT_OWNERS:
-        shuffle = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        pieces = route(pieces, grid, buckets or max(1, -(-shuffle // grid.size)))
+    if buckets is not None:
+        pieces = route(pieces, grid, buckets)
+    elif grid.size > DIRECT_OWNERS:
+        pieces = pieces.hint("rebalance", "owner")
     pieces.drop("a", "b").write.mode(mode).partitionBy("owner").parquet(f"{path}/pieces")
     record = [(name, height, n, count, layout, grid.rows, grid.cols)]
     info = rows.sparkSession.createDataFrame(record, INFO_SCHEMA)
@@ -56,9 +57,10 @@ def put_matrix(
 ) -> int:
     """Store a row-form matrix by owner at a new path and return the number of rows written.
 
-    On grids of up to 64 owners each task writes its own rows into the owner folders: no shuffle. Larger
-    grids, or an explicit ``buckets``, first move the pieces so that each owner is written by ``buckets``
-    tasks. Repeated row indices fail before anything is written.
+    On grids of up to 64 owners each task writes its own rows into the owner folders: no shuffle. On larger
+    grids pieces are first brought together by owner, owners with much data split over several tasks by
+    their measured size. ``buckets`` instead sends each owner to exactly that many tasks (``route``).
+    Repeated row indices fail before anything is written.
     """
     return _write(rows, path, name, row_width(rows), layout, grid or Grid(1, 1), buckets, "errorifexists")
 

@@ -162,6 +162,7 @@ def test_select_rows_by_list_and_frame(spark):
     assert sorted(r["i"] for r in R.select_rows(rows, ids).collect()) == [3, 7]
     assert sorted(r["i"] for r in R.select_rows(rows, [7, 3, 99]).collect()) == [3, 7]
     assert R.select_rows(rows, []).count() == 0
+    assert sorted(r["i"] for r in R.select_rows(rows, range(4, 5000)).collect()) == [4, 5, 6, 7, 8, 9]
 
 
 def test_common_rows_is_a_multiset_intersection(spark):
