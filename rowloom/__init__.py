@@ -50,7 +50,7 @@ from rowloom.operators.layouts import (
     route,
     row_chunks,
 )
-from rowloom.operators.products import gramian, matmul, project_rows
+from rowloom.operators.products import collect_dense, gramian, local_rows, matmul, project_rows
 from rowloom.operators.reductions import frobenius_sq, row_dots, row_norms, row_sqdist
 from rowloom.operators.selection import (
     block_slice,

@@ -3,22 +3,29 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.operators.catalog import ROWS, form_of
+from rowloom.operators.catalog import BLOCKS, CELLS, form_of, require_unique
+from rowloom.operators.forms import blocks_to_cells
 
 
 def matrix_diff(a: DataFrame, b: DataFrame, tol: float = 0.0) -> DataFrame:
     """Cells that differ by more than ``tol``: (i, j, xa, xb). An absent row, cell or element counts as 0.0.
 
-    Rows are joined whole on their index and compared element by element in place, so only differing cells
-    are ever exploded. Two NaNs are equal; a NaN and a number differ.
+    Rows, whose indices must be distinct, are joined whole and compared element by element in place, so only
+    differing cells are ever exploded. Repeated cells add up before the comparison. Two NaNs are equal; a NaN
+    and a number differ.
     """
     differs = lambda x, y: ~x.eqNullSafe(y) & ~(F.abs(x - y) <= tol)
-    if form_of(a) != ROWS:
-        left = a.select("i", "j", F.col("x").alias("xa"))
-        right = b.select("i", "j", F.col("x").alias("xb"))
+    if form_of(a) != form_of(b):
+        raise TypeError(f"matrices in different forms: {form_of(a)} and {form_of(b)}")
+    if form_of(a) == BLOCKS:
+        a, b = blocks_to_cells(a), blocks_to_cells(b)
+    if form_of(a) == CELLS:
+        left = a.groupBy("i", "j").agg(F.sum("x").alias("xa"))
+        right = b.groupBy("i", "j").agg(F.sum("x").alias("xb"))
         both = left.join(right, ["i", "j"], "full").fillna(0.0, ["xa", "xb"])
         return both.where(differs(F.col("xa"), F.col("xb")))
-    left, right = a.select("i", F.col("v").alias("va")), b.select("i", F.col("v").alias("vb"))
+    left = require_unique(a).select("i", F.col("v").alias("va"))
+    right = require_unique(b).select("i", F.col("v").alias("vb"))
     none = F.array().cast("array<double>")
     pair = F.zip_with(
         F.coalesce("va", none),

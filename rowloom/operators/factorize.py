@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom import kernels
-from rowloom.limits import DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes, long_tasks
+from rowloom.limits import BROADCAST_BYTES, DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes, long_tasks
 from rowloom.operators.catalog import row_width
-from rowloom.operators.products import collect_dense, gramian, project_rows, summed, vectors
+from rowloom.operators.forms import transpose
+from rowloom.operators.products import collect_dense, gramian, local_rows, project_rows, summed, vectors
+from rowloom.operators.reductions import frobenius_sq, row_sqdist
 
 # Partial R factors merged by one task of the QR tree.
 QR_FAN_IN = 16
@@ -114,11 +116,6 @@ def _signed(basis: np.ndarray) -> np.ndarray:
     return basis * np.where(signs == 0, 1.0, signs)
 
 
-def _small_rows(spark, matrix: np.ndarray) -> DataFrame:
-    table = pa.Table.from_batches([kernels.row_batch(np.arange(len(matrix)), matrix)])
-    return spark.createDataFrame(table, kernels.ROW_SCHEMA)
-
-
 def truncated_svd(
     rows: DataFrame,
     k: int,
@@ -132,9 +129,11 @@ def truncated_svd(
     """The k largest singular values and their vectors.
 
     ``method``: 'gram' (one pass, up to 4,096 columns), 'krylov' (any width, several passes; cache A if it
-    fits), 'tsqr' (one pass, keeps values below 1e-7 of the largest accurate), 'auto' (gram when it fits,
-    else krylov). Values at or below ``rcond`` times the largest are dropped, so fewer than k may return.
-    In every column of V the component of largest magnitude is positive, and U follows.
+    fits), 'tsqr' (one pass, up to 2,048 columns, small values stay accurate), 'auto' (gram when it fits, else
+    krylov). Values at or below ``rcond`` times the largest are dropped, so fewer than k may return. The
+    first two work on A'A, whose rounding hides values below about 1e-8 of the largest; for them ``rcond``
+    is at least sqrt(n * machine epsilon). In every column of V the component of largest magnitude is
+    positive, and U follows.
     """
     n = row_width(rows) if num_cols is None else num_cols
     if not 1 <= k <= n:
@@ -149,32 +148,44 @@ def truncated_svd(
         sigma, v = _from_krylov(rows, n, k, tol, max_passes, seed)
     else:
         raise ValueError(f"unknown method {method!r}; known: auto, gram, krylov, tsqr")
+    if method != "tsqr":
+        rcond = max(rcond, float(np.sqrt(n * np.finfo(np.float64).eps)))
     sigma = sigma[:k]
-    sigma = sigma[(sigma > rcond * sigma[0]) & (sigma > 0.0)] if len(sigma) else sigma
+    sigma = sigma[sigma > rcond * sigma[0]]
     v = np.ascontiguousarray(_signed(v[:, : len(sigma)]))
     spark = rows.sparkSession
     table = pa.table({"k": pa.array(range(len(sigma)), pa.int32()), "sigma": pa.array(sigma, pa.float64())})
-    return SVD(project_rows(rows, v / sigma), spark.createDataFrame(table, "k int, sigma double"), _small_rows(spark, v))
+    return SVD(project_rows(rows, v / sigma), spark.createDataFrame(table, "k int, sigma double"), local_rows(spark, v))
 
 
-def _factor(rows: DataFrame, v) -> np.ndarray:
-    """V as an array with as many rows as A has columns."""
+def _factor(rows: DataFrame, v):
+    """V as an array with as many rows as A has columns, or as the table it is when too large to broadcast."""
     if not isinstance(v, DataFrame):
-        return np.asarray(v, dtype=np.float64)
-    return collect_dense(v, row_width(rows), row_width(v), "the right singular vectors")
+        v = np.asarray(v, dtype=np.float64)
+        return v if v.nbytes <= BROADCAST_BYTES else local_rows(rows.sparkSession, v)
+    n, k = row_width(rows), row_width(v)
+    return v if n * k * 8 > BROADCAST_BYTES else collect_dense(v, n, k, "the right singular vectors")
 
 
 def reconstruct(rows: DataFrame, v) -> DataFrame:
-    """A V V', computed as (A V) V' row by row. Narrow."""
-    return rows.select("i", "v").mapInArrow(kernels.reproject(_factor(rows, v)), kernels.ROW_SCHEMA)
+    """A V V', computed as (A V) V' row by row. Narrow unless V is too large to broadcast."""
+    v = _factor(rows, v)
+    if isinstance(v, DataFrame):
+        return project_rows(project_rows(rows, v), transpose(v))
+    return rows.select("i", "v").mapInArrow(kernels.reproject(v), kernels.ROW_SCHEMA)
 
 
 def relative_error(rows: DataFrame, v) -> DataFrame:
     """Squared error of projecting every row on span(V), the squared norm of A, and their quotient.
 
-    One narrow pass; each task sends one pair of sums.
+    One narrow pass in which each task sends one pair of sums, unless V is too large to broadcast.
     """
-    sums = rows.select("v").mapInArrow(kernels.residual_sums(_factor(rows, v)), "err double, norm double")
+    v = _factor(rows, v)
+    if isinstance(v, DataFrame):
+        apart = row_sqdist(rows, reconstruct(rows, v)).agg(F.sum("sqdist"))
+        sums = frobenius_sq(rows).select(apart.scalar().alias("err"), F.col("frobenius_sq").alias("norm"))
+    else:
+        sums = rows.select("v").mapInArrow(kernels.residual_sums(v), "err double, norm double")
     total = sums.agg(
         F.coalesce(F.sum("err"), F.lit(0.0)).alias("squared_error"),
         F.coalesce(F.sum("norm"), F.lit(0.0)).alias("frobenius_sq"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.vectors import strided
 from rowloom.limits import RANK_BUCKET_ROWS
-from rowloom.operators.catalog import CELLS, ROWS, form_of
+from rowloom.operators.catalog import CELLS, ROWS, form_of, require_unique
 from rowloom.operators.grids import LAYOUTS, Grid, column_step, coordinates, row_step
 
 # Fixed value: bytes per transfer message when none are given.
@@ -179,6 +179,7 @@ def row_chunks(
     is brought together per owner, and it carries the owner's message plan as well.
     """
     _known(layout)
+    matrix = require_unique(matrix) if form_of(matrix) == ROWS else matrix
     owned = _owned(matrix, layout, grid).withColumn("bucket", F.expr(f"i div {bucket_rows}"))
     counts = owned.groupBy("owner", "bucket").agg(F.count("*").alias("held"), F.sum("count").alias("size"))
     whole = W.partitionBy("owner")

@@ -3,10 +3,12 @@
 from itertools import combinations_with_replacement
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom import kernels
+from rowloom.functions.vectors import zeros
 from rowloom.limits import (
     BROADCAST_BYTES,
     GRAM_MAX_COLS,
@@ -80,83 +82,113 @@ def collect_dense(rows: DataFrame, num_rows: int, num_cols: int, what: str) -> n
     return out
 
 
-def project_rows(rows: DataFrame, b) -> DataFrame:
-    """A.B for a small dense B (numpy array or row form): B travels to every task, A does not move.
+def local_rows(spark: SparkSession, matrix: np.ndarray) -> DataFrame:
+    """Row form of an array that is on the driver already."""
+    table = pa.Table.from_batches([kernels.row_batch(np.arange(len(matrix)), matrix)])
+    return spark.createDataFrame(table, kernels.ROW_SCHEMA)
 
-    A right factor in row form beyond the broadcast bound goes to the blocked product instead.
+
+def project_rows(rows: DataFrame, b, num_cols: int | None = None) -> DataFrame:
+    """A.B for a dense B (numpy array or row form), one result row per row of A.
+
+    While B is within the broadcast bound it travels to every task and A does not move. Beyond that the
+    product is formed from tiles.
     """
     if isinstance(b, DataFrame):
-        inner, (k, n) = row_width(rows), dims(b)
-        _check_inner(inner, k)
+        inner, (k, n) = row_width(rows) if num_cols is None else num_cols, dims(b)
+        if k > inner:
+            raise ValueError(f"inner dimensions differ: {inner} columns against {k} rows")
         if inner * n * 8 > BROADCAST_BYTES:
-            return _row_block_product(rows, b, inner, n, TILE)
+            return _row_block_product(rows, b, inner, n)
         b = collect_dense(require_unique(b), inner, n, "the right factor")
     b = np.asarray(b, dtype=np.float64)
     if b.nbytes > BROADCAST_BYTES:
-        raise ValueError(f"right factor of {b.nbytes} bytes is too large to broadcast; pass it as a DataFrame")
+        return _row_block_product(rows, local_rows(rows.sparkSession, b), *b.shape)
     return rows.select("i", "v").mapInArrow(kernels.project(b), kernels.ROW_SCHEMA)
 
 
-def _check_inner(width: int, height: int) -> None:
-    if height > width:
-        raise ValueError(f"inner dimensions differ: {width} columns against {height} rows")
-
-
 def _parallelism(matrix: DataFrame) -> int:
     return int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _join_salted(left: DataFrame, right: DataFrame, spread: str, salts) -> DataFrame:
-    """Join on the inner index ``k``, its left side split over ``salts`` sub-keys by ``spread``."""
-    left = left.withColumn("salt", F.pmod(F.xxhash64(spread), salts).cast("int"))
-    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))))
-    return left.drop("salts").join(right.drop("salts"), ["k", "salt"])
-
+def _shares(side: DataFrame, name: str) -> DataFrame:
+    """Inner indices that hold more than one task's fair share of one side, and how many shares they hold.
 
-def _join_inner(left: DataFrame, right: DataFrame, spread: str) -> DataFrame:
-    """Join on the inner index with hot values split.
-
-    A value holding more than one task's fair share of the left side gets one sub-key per share. The shares
-    sum to one, so the table of such values has fewer entries than there are shuffle partitions and is
-    safe to broadcast; every other value joins as it is.
+    Shares add up to one, so there are fewer such indices than shuffle partitions: safe to broadcast.
     """
-    parts = _parallelism(left)
-    held = left.groupBy("k").agg(F.count("*").alias("held"))
+    parts = _parallelism(side)
+    held = side.groupBy("k").agg(F.count("*").alias("held"))
     share = F.col("held") * parts / held.agg(F.sum("held")).scalar()
     hot = held.withColumn("share", share).where("share > 1")
-    hot = F.broadcast(hot.select("k", F.ceil("share").cast("int").alias("salts")))
-    salts = F.coalesce(F.col("salts"), F.lit(1))
-    return _join_salted(left.join(hot, "k", "left"), right.join(hot, "k", "left"), spread, salts)
+    return F.broadcast(hot.select("k", F.ceil("share").cast("int").alias(name)))
+
+
+def _salted(side: DataFrame, own: str, other: str, spread: str) -> DataFrame:
+    """Spread one side over its own salts and repeat it for the other side's."""
+    every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+    salt = F.pmod(F.xxhash64(spread), F.col(own)).cast("int")
+    return side.withColumn(f"{own}_at", salt).withColumn(f"{other}_at", every).drop(own, other)
+
+
+def _join_inner(left: DataFrame, right: DataFrame, left_spread: str, right_spread: str) -> DataFrame:
+    """Join on the inner index ``k`` with hot values split, whichever side they are hot on.
+
+    A value with s shares of the left and t shares of the right becomes s x t sub-keys; every other value
+    joins as it is.
+    """
+    hot_left, hot_right = _shares(left, "s"), _shares(right, "t")
+
+    def counted(side):
+        return side.join(hot_left, "k", "left").join(hot_right, "k", "left").fillna(1, ["s", "t"])
+
+    salted_left = _salted(counted(left), "s", "t", left_spread)
+    salted_right = _salted(counted(right), "t", "s", right_spread)
+    return salted_left.join(salted_right, ["k", "s_at", "t_at"])
 
 
 def _cell_product(a: DataFrame, b: DataFrame) -> DataFrame:
     """Sparse product: join on the inner index, add up with map-side combine."""
     left = a.select("i", F.col("j").alias("k"), F.col("x").alias("xa"))
     right = b.select(F.col("i").alias("k"), "j", F.col("x").alias("xb"))
-    return _join_inner(left, right, "i").groupBy("i", "j").agg(F.sum(F.col("xa") * F.col("xb")).alias("x"))
+    joined = _join_inner(left, right, "i", "j")
+    return joined.groupBy("i", "j").agg(F.sum(F.col("xa") * F.col("xb")).alias("x"))
 
 
 def _block_product(a: DataFrame, b: DataFrame, salts: int | None = None) -> DataFrame:
-    """Blocked product: tiles are joined on the inner tile index, multiplied, and added up per result tile."""
+    """Blocked product: tiles are joined on the inner tile index, multiplied, and added up per result tile.
+
+    ``salts`` replaces the count of hot indices where every index is known to hold equally many tiles.
+    """
     left = a.select(F.col("bj").alias("k"), "bi", "i0", "nr", F.col("nc").alias("nk"), F.col("data").alias("a_data"))
     right = b.select(F.col("bi").alias("k"), "bj", "j0", "nc", F.col("data").alias("b_data"))
-    joined = _join_inner(left, right, "bi") if salts is None else _join_salted(left, right, "bi", F.lit(salts))
+    if salts is None:
+        joined = _join_inner(left, right, "bi", "bj")
+    else:
+        same = {"s": F.lit(salts), "t": F.lit(1)}
+        joined = _salted(left.withColumns(same), "s", "t", "bi").join(
+            _salted(right.withColumns(same), "t", "s", "bj"), ["k", "s_at", "t_at"]
+        )
     inputs = joined.select("bi", "bj", "i0", "j0", "nr", "nk", "nc", "a_data", "b_data")
     head = "bi bigint, bj bigint, i0 bigint, j0 bigint, nr int, nc int"
     products = inputs.mapInArrow(kernels.block_products, f"{head}, part binary")
     return products.groupBy("bi", "bj").applyInArrow(kernels.sum_blocks, f"{head}, data array<double>")
 
 
-def _row_block_product(a: DataFrame, b: DataFrame, inner: int, n: int, tile: int) -> DataFrame:
-    """Row-form product through tiles. Every inner tile index holds the same number of tiles of A, so all get
-    the same number of salts, enough to occupy every shuffle partition."""
+def _row_block_product(a: DataFrame, b: DataFrame, inner: int, n: int) -> DataFrame:
+    """Row-form product through tiles; a row of A that meets only zeros is a zero row.
+
+    Every inner tile index holds the same number of tiles of A, so all get the same number of salts, enough
+    to occupy every shuffle partition.
+    """
     m = dims(a, width=inner)[0]
-    left, right = to_blocks(a, tile, tile, m, inner), to_blocks(b, tile, tile, inner, n)
-    salts = max(1, -(-_parallelism(a) // -(-inner // tile)))
-    return blocks_to_rows(_block_product(left, right, salts), n, unique=True)
+    left, right = to_blocks(a, TILE, TILE, m, inner), to_blocks(b, TILE, TILE, inner, n)
+    salts = max(1, -(-_parallelism(a) // -(-inner // TILE)))
+    found = blocks_to_rows(_block_product(left, right, salts), n, unique=True)
+    length = F.least(F.lit(n), F.col("i") + n)
+    return a.select("i").join(found, "i", "left").select("i", F.coalesce("v", zeros(length)).alias("v"))
 
 
-def matmul(a: DataFrame, b: DataFrame, tile: int = TILE) -> DataFrame:
+def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
     """A.B in the form of the operands.
 
     Rows: B is broadcast when its size allows it, else both go through tiles. Cells: a join on the inner

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.vectors import dot, norm, sqdist
-from rowloom.operators.catalog import BLOCKS, CELLS, form_of
+from rowloom.operators.catalog import BLOCKS, CELLS, form_of, require_unique
 
 
 def row_norms(rows: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def frobenius_sq(matrix: DataFrame) -> DataFrame:
 
 
 def _paired(a: DataFrame, b: DataFrame) -> DataFrame:
-    left, right = a.select("i", F.col("v").alias("va")), b.select("i", F.col("v").alias("vb"))
+    """Rows of A next to the row of B with the same index, of which there must be one."""
+    left, right = a.select("i", F.col("v").alias("va")), require_unique(b).select("i", F.col("v").alias("vb"))
     return left.join(right, "i")
 
 

@@ -105,6 +105,14 @@ def test_store_and_fetch_small_shapes(spark, tmp_path, grid, shape):
         assert np.array_equal(dense_of(R.get_matrix(spark, path), *shape), a)
 
 
+def test_many_owners_are_written_through_a_shuffle(spark, tmp_path):
+    a = np.random.default_rng(3).random((150, 4))
+    for layout in ("MC_MR", "CIRC_CIRC"):
+        path = str(tmp_path / layout)
+        R.put_matrix(rows_of(spark, a), path, layout, R.Grid(9, 8))
+        assert np.array_equal(dense_of(R.get_matrix(spark, path), 150, 4), a)
+
+
 def test_store_fills_gaps_appends_and_refuses_repeats(spark, tmp_path):
     path = str(tmp_path / "m")
     R.put_matrix(rows_of(spark, [[1, 2], [3, 4]], [0, 3]), path, "MR_MC", R.Grid(2, 2), name="a")
