@@ -38,20 +38,27 @@ def select_rows(matrix: DataFrame, ids) -> DataFrame:
     return matrix.join(ids.select("i").distinct(), "i", "left_semi").select(*matrix.columns)
 
 
+def _bounds(index) -> tuple[int, int, int]:
+    """(start, end, step) of a range given as such or as a single index."""
+    start, end, step = (index, index, 1) if isinstance(index, int) else index
+    if step < 1 or start < 0:
+        raise ValueError(f"a range needs a start of 0 or more and a positive step, not {(start, end, step)}")
+    return start, end, step
+
+
 def _within(column, bounds):
     start, end, step = bounds
-    if step < 1 or start < 0:
-        raise ValueError(f"a range needs a start of 0 or more and a positive step, not {tuple(bounds)}")
-    return column.between(start, end) & ((column - start) % step == 0)
+    inside = column.between(start, end)
+    return inside if step == 1 else inside & ((column - start) % step == 0)
 
 
-def block_slice(matrix: DataFrame, rows: tuple[int, int, int], cols: tuple[int, int, int]) -> DataFrame:
+def block_slice(matrix: DataFrame, rows, cols) -> DataFrame:
     """Sub-matrix of two strided ranges ``(start, end, step)``, both ends inclusive, original indices kept.
 
-    The range on ``i`` (or on the tile origin) is pushed to the scan. Row form returns ``(i, v)`` where
+    Either range may be one index instead: a single row, a single column or one cell. The range on ``i`` (or on the tile origin) is pushed to the scan. Row form returns ``(i, v)`` where
     ``v`` holds the selected columns in order; cells and blocks return cells.
     """
-    form = form_of(matrix)
+    form, rows, cols = form_of(matrix), _bounds(rows), _bounds(cols)
     if form == BLOCKS:
         from rowloom.operators.forms import blocks_to_cells
 
@@ -64,7 +71,6 @@ def block_slice(matrix: DataFrame, rows: tuple[int, int, int], cols: tuple[int,
         matrix, form = blocks_to_cells(matrix.where(touched)), CELLS
     if form == CELLS:
         return matrix.where(_within(F.col("i"), rows) & _within(F.col("j"), cols))
-    _within(F.lit(0), cols)
     return matrix.where(_within(F.col("i"), rows)).select("i", strided("v", *cols).alias("v"))
 
 

@@ -139,6 +139,13 @@ def test_block_slice(spark, form, rows, cols):
     assert found == expected
 
 
+def test_block_slice_by_single_index(spark):
+    matrix = rows_of(spark, FIXED_BLOCK)
+    assert [tuple(r) for r in R.block_slice(R.rows_to_coo(matrix), 2, 1).collect()] == [(2, 1, FIXED_BLOCK[2, 1])]
+    assert R.block_slice(matrix, 3, (0, 2, 1)).first()["v"] == list(FIXED_BLOCK[3])
+    assert [r["v"] for r in R.block_slice(matrix, (0, 3, 1), 2).orderBy("i").collect()] == [[x] for x in FIXED_BLOCK[:, 2]]
+
+
 def test_block_slice_refuses_bad_ranges(spark):
     for bad in ((0, 3, 0), (-1, 3, 1)):
         with pytest.raises(ValueError):
