@@ -1,7 +1,7 @@
 """Column expressions over ``ARRAY<DOUBLE>`` vectors. All of them stay inside the JVM.
 
-Arrays are always arguments of the higher-order functions, never captured by a lambda: Spark may replace a
-captured column by the expression behind it, which would then be evaluated once per element.
+Arrays are arguments of the higher-order functions here, never captured by a lambda: Spark may replace a captured
+column by the expression behind it, which would then be evaluated once per element.
 """
 
 from pyspark.sql import Column

@@ -65,7 +65,8 @@ def gram_partials(n: int, piece_bytes: int):
         for batch in batches:
             for cut in row_slices(batch, n):
                 x = dense(cut.column("v"), n)
-                total = x.T @ x if total is None else total + x.T @ x
+                total = np.zeros((n, n)) if total is None else total
+                total += x.T @ x
         if total is not None:
             yield from pieces(total, piece_bytes)
 
@@ -80,8 +81,8 @@ def normal_partials(q: np.ndarray, piece_bytes: int):
         for batch in batches:
             for cut in row_slices(batch, q.shape[0]):
                 x = dense(cut.column("v"), q.shape[0])
-                part = x.T @ (x @ q)
-                total = part if total is None else total + part
+                total = np.zeros(q.shape) if total is None else total
+                total += x.T @ (x @ q)
         if total is not None:
             yield from pieces(total, piece_bytes)
 
@@ -216,7 +217,10 @@ def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = head or [batch.column(name)[0].as_py() for name in ("bi", "bj", "i0", "j0", "nr", "nc")]
         for raw in batch.column("part"):
             part = np.frombuffer(raw.as_buffer(), dtype=np.float64)
-            total = part.copy() if total is None else total + part
+            if total is None:
+                total = part.copy()
+            else:
+                total += part
     types = [pa.int64()] * 4 + [pa.int32()] * 2
     yield pa.RecordBatch.from_arrays(
         [pa.array([x], t) for x, t in zip(head, types)] + [pa.array([total], pa.list_(pa.float64()))],

@@ -93,6 +93,7 @@ def matrix_info(matrix: DataFrame, name: str = "", layout: str = "VC_STAR", grid
         "nnz",
         F.when(size > 0, F.col("nnz") / size).otherwise(0.0).alias("density"),
         F.lit(layout).alias("layout"),
+        F.lit(LAYOUTS[layout].code).alias("layout_code"),
         F.lit(LAYOUTS[layout].label).alias("layout_label"),
         F.lit(grid.rows).alias("grid_rows"),
         F.lit(grid.cols).alias("grid_cols"),

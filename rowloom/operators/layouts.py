@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowloom.functions.vectors import strided
 from rowloom.limits import RANK_BUCKET_ROWS
-from rowloom.operators.catalog import CELLS, ROWS, form_of, require_unique
+from rowloom.operators.catalog import BLOCKS, CELLS, ROWS, form_of
+from rowloom.operators.forms import blocks_to_cells
 from rowloom.operators.grids import LAYOUTS, Grid, column_step, coordinates, row_step
 
 # Fixed value: bytes per transfer message when none are given.
@@ -48,22 +48,20 @@ def _place(frame: DataFrame, layout: str, grid: Grid, j) -> DataFrame:
 def _pieces(rows: DataFrame, layout: str, grid: Grid, values: bool) -> DataFrame:
     """Each row as the strided pieces its owners hold: (i, j0, jstep, count[, v], a, b, owner).
 
-    A row is cut into at most one piece per column class, never into single cells.
+    A row is cut into at most one piece per column class, never into single cells. The lambda may capture the
+    row here because the explode in front of it has fixed its value; the work stays linear in the row.
     """
     step = column_step(layout, grid)
-    size = F.size("v")
     if step == 1:
-        cut = rows.select("i", F.lit(0).alias("j0"), size.alias("count"), "v")
+        cut = rows.select("i", F.lit(0).alias("j0"), F.size("v").alias("count"), "v")
     else:
-        classes = F.sequence(F.lit(0), F.least(F.lit(step), size) - 1)
-        cut = rows.where(size > 0).select("i", F.explode(classes).alias("j0"), "v")
-        cut = cut.withColumn("count", F.floor((size - 1 - F.col("j0")) / step).cast("int") + 1)
+        classes = F.explode(F.sequence(F.lit(0), F.least(F.lit(step), F.size("v")) - 1))
+        dealt = rows.where(F.size("v") > 0).select("i", classes.alias("j0"), F.col("v").alias("row"))
+        last = F.size("row") - 1
+        held = F.transform(F.sequence(F.col("j0"), last, F.lit(step)), lambda j: F.get("row", j))
+        cut = dealt.select("i", "j0", (F.floor((last - F.col("j0")) / step).cast("int") + 1).alias("count"), held.alias("v"))
     cut = cut.withColumn("jstep", F.lit(step))
-    if not values:
-        cut = cut.drop("v")
-    elif step > 1:
-        cut = cut.withColumn("v", strided("v", F.col("j0"), size - 1, F.lit(step)))
-    return _place(cut, layout, grid, F.col("j0"))
+    return _place(cut if values else cut.drop("v"), layout, grid, F.col("j0"))
 
 
 def layout_assign(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
@@ -73,6 +71,8 @@ def layout_assign(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
     per copy. No shuffle.
     """
     _known(layout)
+    if form_of(matrix) == BLOCKS:
+        matrix = blocks_to_cells(matrix)
     if form_of(matrix) == CELLS:
         return _place(matrix.select("i", "j", "x"), layout, grid, F.col("j"))
     return _pieces(matrix, layout, grid, True).select("i", "j0", "jstep", "v", "a", "b", "owner")
@@ -137,6 +137,8 @@ def _owned(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
     """(owner, i, count) per owned row: how many elements of a row an owner holds; vectors are not carried."""
     if form_of(matrix) == ROWS:
         return _pieces(matrix, layout, grid, False).select("owner", "i", "count")
+    if form_of(matrix) == BLOCKS:
+        matrix = blocks_to_cells(matrix)
     placed = _place(matrix.select("i", "j"), layout, grid, F.col("j"))
     return placed.groupBy("owner", "i").agg(F.count("*").alias("count"))
 
@@ -176,10 +178,10 @@ def row_chunks(
 
     A row's rank inside its owner is the count of rows in earlier index buckets plus its rank in its own
     bucket. Rows are sorted one bucket at a time; only the table of bucket counts, a millionth of the rows,
-    is brought together per owner, and it carries the owner's message plan as well.
+    is brought together per owner, and it carries the owner's message plan as well. A repeated row index
+    fails.
     """
     _known(layout)
-    matrix = require_unique(matrix) if form_of(matrix) == ROWS else matrix
     owned = _owned(matrix, layout, grid).withColumn("bucket", F.expr(f"i div {bucket_rows}"))
     counts = owned.groupBy("owner", "bucket").agg(F.count("*").alias("held"), F.sum("count").alias("size"))
     whole = W.partitionBy("owner")
@@ -194,7 +196,9 @@ def row_chunks(
     for name, value in _message_plan(buffer_bytes).items():
         offsets = offsets.withColumn(name, value)
     offsets = offsets.select("owner", "bucket", "before", "rows_per_message")
-    inside = F.row_number().over(W.partitionBy("owner", "bucket").orderBy("i")) - 1
+    in_order = W.partitionBy("owner", "bucket").orderBy("i")
+    repeated = F.raise_error(F.concat(F.lit("repeated row index "), "i")).cast("int")
+    inside = F.when(F.lag("i").over(in_order) == F.col("i"), repeated).otherwise(F.row_number().over(in_order) - 1)
     ranked = owned.select("owner", "i", "bucket").withColumn("inside", inside).join(offsets, ["owner", "bucket"])
     return ranked.select("owner", "i", F.expr("(before + inside) div rows_per_message").alias("chunk"))
 

@@ -111,16 +111,24 @@ def _parallelism(matrix: DataFrame) -> int:
     return int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _shares(side: DataFrame, name: str) -> DataFrame:
-    """Inner indices that hold more than one task's fair share of one side, and how many shares they hold.
+def _hot_indices(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner indices that hold more than one task's fair share of a side: (k, s shares left, t shares right).
 
-    Shares add up to one, so there are fewer such indices than shuffle partitions: safe to broadcast.
+    The shares of one side add up to the number of shuffle partitions, so the table has at most twice that
+    many entries and is safe to broadcast.
     """
-    parts = _parallelism(side)
-    held = side.groupBy("k").agg(F.count("*").alias("held"))
-    share = F.col("held") * parts / held.agg(F.sum("held")).scalar()
-    hot = held.withColumn("share", share).where("share > 1")
-    return F.broadcast(hot.select("k", F.ceil("share").cast("int").alias(name)))
+    parts = _parallelism(left)
+    tagged = left.select("k", F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
+        right.select("k", F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    held = tagged.groupBy("k").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    total = held.agg(F.struct(F.sum("l").alias("l"), F.sum("r").alias("r")).alias("total")).scalar()
+
+    def shares(side):
+        return F.greatest(F.lit(1), F.ceil(F.try_divide(F.col(side) * parts, F.col("total")[side])).cast("int"))
+
+    counted = held.withColumn("total", total).select("k", shares("l").alias("s"), shares("r").alias("t"))
+    return F.broadcast(counted.where("s > 1 OR t > 1"))
 
 
 def _salted(side: DataFrame, own: str, other: str, spread: str) -> DataFrame:
@@ -136,14 +144,10 @@ def _join_inner(left: DataFrame, right: DataFrame, left_spread: str, right_sprea
     A value with s shares of the left and t shares of the right becomes s x t sub-keys; every other value
     joins as it is.
     """
-    hot_left, hot_right = _shares(left, "s"), _shares(right, "t")
-
-    def counted(side):
-        return side.join(hot_left, "k", "left").join(hot_right, "k", "left").fillna(1, ["s", "t"])
-
-    salted_left = _salted(counted(left), "s", "t", left_spread)
-    salted_right = _salted(counted(right), "t", "s", right_spread)
-    return salted_left.join(salted_right, ["k", "s_at", "t_at"])
+    hot = _hot_indices(left, right)
+    left = left.join(hot, "k", "left").fillna(1, ["s", "t"])
+    right = right.join(hot, "k", "left").fillna(1, ["s", "t"])
+    return _salted(left, "s", "t", left_spread).join(_salted(right, "t", "s", right_spread), ["k", "s_at", "t_at"])
 
 
 def _cell_product(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -183,12 +183,12 @@ def all_oracles() -> dict[str, str]:
             CAST({E_N} AS BIGINT) AS num_cols, (SELECT count(*) FROM embeddings) AS stored_rows,
             CAST(sum(CASE WHEN x <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS nnz,
             CAST(sum(CASE WHEN x <> 0 THEN 1 ELSE 0 END) AS DOUBLE) / ({E_M} * {E_N}) AS density,
-            'VC_STAR' AS layout, 'VC/STAR' AS layout_label, CAST({R} AS INTEGER) AS grid_rows,
+            'VC_STAR' AS layout, CAST(11 AS INTEGER) AS layout_code, 'VC/STAR' AS layout_label, CAST({R} AS INTEGER) AS grid_rows,
             CAST({C} AS INTEGER) AS grid_cols, CAST({P} AS INTEGER) AS num_partitions FROM e""",
         "matrix_info_cells": f"""WITH {LB}, k AS (SELECT * FROM lb WHERE x <> 0),
             d AS (SELECT max(i) + 1 AS m, max(j) + 1 AS n, count(*) AS c FROM k)
             SELECT 'labels' AS name, m AS num_rows, n AS num_cols, c AS nnz, CAST(c AS DOUBLE) / (m * n) AS density,
-            'MC_MR' AS layout, 'MC/MR' AS layout_label, CAST({R} AS INTEGER) AS grid_rows,
+            'MC_MR' AS layout, CAST(0 AS INTEGER) AS layout_code, 'MC/MR' AS layout_label, CAST({R} AS INTEGER) AS grid_rows,
             CAST({C} AS INTEGER) AS grid_cols, CAST({P} AS INTEGER) AS num_partitions FROM d""",
         "describe_matrix": f"""WITH {O} SELECT 'orders' AS name, format('orders: {{}} x {{}}, {{}} nonzero, layout VR/STAR, grid {R} x {C}',
             max(i) + 1, max(j) + 1, count(*) FILTER (WHERE x <> 0)) AS description FROM o""",

@@ -62,7 +62,10 @@ def put_matrix(
     their measured size. ``buckets`` instead sends each owner to exactly that many tasks (``route``).
     Repeated row indices fail before anything is written.
     """
-    return _write(rows, path, name, row_width(rows), layout, grid or Grid(1, 1), buckets, "errorifexists")
+    width = row_width(rows)
+    if width == 0:
+        raise ValueError("an empty matrix cannot be stored")
+    return _write(rows, path, name, width, layout, grid or Grid(1, 1), buckets, "errorifexists")
 
 
 def stored_info(spark: SparkSession, path: str) -> DataFrame:
@@ -114,6 +117,8 @@ def _one_copy(pieces: DataFrame, layout: str, grid: Grid) -> DataFrame:
 def get_matrix(spark: SparkSession, path: str, fill: bool = True) -> DataFrame:
     """Read a stored matrix back in row form; with ``fill`` absent rows return as zeros.
 
+    Stored indices are distinct, so a matrix with as many rows as indices has no gaps and needs no filling.
+
     Layouts that keep rows whole are read without a shuffle. The others gather each row's pieces, at most
     one per column class of the grid.
     """
@@ -130,7 +135,8 @@ def get_matrix(spark: SparkSession, path: str, fill: bool = True) -> DataFrame:
         classes = [F.get("p", F.lit(q))["v"].alias(f"c{q}") for q in range(min(step, n))]
         dealt = F.transform(F.arrays_zip(*classes), lambda s: F.array(*[s[f"c{q}"] for q in range(len(classes))]))
         rows = held.select("i", F.slice(F.flatten(dealt), 1, n).alias("v"))
-    return zero_fill(rows, info["num_rows"], n) if fill else rows
+    gaps = info["stored_rows"] < info["num_rows"]
+    return zero_fill(rows, info["num_rows"], n) if fill and gaps else rows
 
 
 def put_blocks(blocks: DataFrame, path: str) -> None:

@@ -72,6 +72,15 @@ def test_ranges_describe_the_owned_cells(spark, shape):
                 assert listed == owned, (layout, w)
 
 
+def test_blocks_are_dealt_like_cells(spark):
+    rows = rows_of(spark, np.arange(35).reshape(7, 5))
+    cells = R.layout_assign(R.rows_to_coo(rows), "MC_MR", R.Grid(2, 2)).collect()
+    blocks = R.layout_assign(R.to_blocks(rows, 3, 2), "MC_MR", R.Grid(2, 2)).collect()
+    assert sorted(map(tuple, cells)) == sorted(map(tuple, blocks))
+    volumes = [R.layout_volume(m, "MC_MR", R.Grid(2, 2), 100) for m in (rows, R.to_blocks(rows, 3, 2))]
+    assert sorted(map(tuple, volumes[0].collect())) == sorted(map(tuple, volumes[1].collect()))
+
+
 def test_layouts_without_copies_own_each_cell_once(spark):
     rows = rows_of(spark, np.ones((13, 4)))
     for layout in ("MC_MR", "MR_MC", "VC_STAR", "VR_STAR", "MD_STAR", "STAR_VC", "STAR_VR", "STAR_MD", "CIRC_CIRC"):
@@ -175,6 +184,12 @@ def test_volume_and_chunks(spark, layout, buffer):
     assert not chunks
 
 
+def test_chunks_refuse_a_repeated_row(spark):
+    rows = rows_of(spark, np.ones((3, 2)), [1, 4, 4])
+    with pytest.raises(Exception, match="repeated row index 4"):
+        R.row_chunks(rows, "VC_STAR", R.Grid(1, 2)).collect()
+
+
 def test_grid_table(spark):
     found = {(x["worker"], x["a"], x["b"]) for x in R.grid_table(spark, R.Grid(2, 3)).collect()}
     assert found == {(a + b * 2, a, b) for a in range(2) for b in range(3)}

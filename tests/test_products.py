@@ -159,6 +159,20 @@ def check_svd(a, svd, k, tol=1e-8):
     return u, sigma, v
 
 
+def test_hot_indices_are_found_on_both_sides(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "10")
+        left = spark.range(100).selectExpr("IF(id < 40, 7L, id) AS k")
+        right = spark.range(100).selectExpr("IF(id < 25, 3L, id) AS k")
+        found = {tuple(r) for r in products._hot_indices(left, right).collect()}
+        assert found == {(7, 4, 1), (3, 1, 3)}
+        nothing = products._hot_indices(left, right.where("k < 0")).collect()
+        assert [tuple(r) for r in nothing] == [(7, 4, 1)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.mark.parametrize("method", ["gram", "tsqr", "krylov"])
 @pytest.mark.parametrize("shape,k", [((60, 12), 5), ((60, 12), 12), ((5, 9), 3), ((40, 1), 1), ((200, 30), 4)])
 def test_svd_against_numpy(spark, method, shape, k):
