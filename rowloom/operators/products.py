@@ -112,23 +112,26 @@ def _parallelism(matrix: DataFrame) -> int:
 
 
 def _hot_indices(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Inner indices that hold more than one task's fair share of a side: (k, s shares left, t shares right).
+    """Inner indices whose part of the join is more than one task's fair share: (k, s cuts left, t cuts right).
 
-    The shares of one side add up to the number of shuffle partitions, so the table has at most twice that
-    many entries and is safe to broadcast.
+    An index with l records left and r right costs l*r products plus reading both. A share of w tasks is cut
+    into s x t pieces, in the proportion that repeats the fewest records, and never finer than the records
+    allow. Shares add up to the number of shuffle partitions, so the table is smaller than that and safe to
+    broadcast.
     """
     parts = _parallelism(left)
-    tagged = left.select("k", F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
-        right.select("k", F.lit(0).alias("l"), F.lit(1).alias("r"))
+    tagged = left.select("k", F.lit(1.0).alias("l"), F.lit(0.0).alias("r")).unionAll(
+        right.select("k", F.lit(0.0).alias("l"), F.lit(1.0).alias("r"))
     )
     held = tagged.groupBy("k").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    total = held.agg(F.struct(F.sum("l").alias("l"), F.sum("r").alias("r")).alias("total")).scalar()
-
-    def shares(side):
-        return F.greatest(F.lit(1), F.ceil(F.try_divide(F.col(side) * parts, F.col("total")[side])).cast("int"))
-
-    counted = held.withColumn("total", total).select("k", shares("l").alias("s"), shares("r").alias("t"))
-    return F.broadcast(counted.where("s > 1 OR t > 1"))
+    costed = held.withColumn("cost", F.col("l") * F.col("r") + F.col("l") + F.col("r"))
+    share = F.try_divide(F.col("cost") * parts, costed.agg(F.sum("cost")).scalar())
+    hot = costed.withColumn("w", share).where("w > 1")
+    one = F.lit(1.0)
+    most_left, most_right = F.greatest(one, "l"), F.greatest(one, "r")
+    hot = hot.withColumn("t", F.least(most_right, F.greatest(one, F.ceil(F.sqrt(F.col("w") * most_right / most_left)))))
+    hot = hot.withColumn("s", F.least(most_left, F.greatest(one, F.ceil(F.col("w") / F.col("t")))))
+    return F.broadcast(hot.select("k", F.col("s").cast("int"), F.col("t").cast("int")))
 
 
 def _salted(side: DataFrame, own: str, other: str, spread: str) -> DataFrame:
@@ -139,11 +142,7 @@ def _salted(side: DataFrame, own: str, other: str, spread: str) -> DataFrame:
 
 
 def _join_inner(left: DataFrame, right: DataFrame, left_spread: str, right_spread: str) -> DataFrame:
-    """Join on the inner index ``k`` with hot values split, whichever side they are hot on.
-
-    A value with s shares of the left and t shares of the right becomes s x t sub-keys; every other value
-    joins as it is.
-    """
+    """Join on the inner index ``k``, hot values split into s x t sub-keys; every other value joins as it is."""
     hot = _hot_indices(left, right)
     left = left.join(hot, "k", "left").fillna(1, ["s", "t"])
     right = right.join(hot, "k", "left").fillna(1, ["s", "t"])

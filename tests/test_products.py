@@ -165,10 +165,13 @@ def test_hot_indices_are_found_on_both_sides(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "10")
         left = spark.range(100).selectExpr("IF(id < 40, 7L, id) AS k")
         right = spark.range(100).selectExpr("IF(id < 25, 3L, id) AS k")
-        found = {tuple(r) for r in products._hot_indices(left, right).collect()}
-        assert found == {(7, 4, 1), (3, 1, 3)}
-        nothing = products._hot_indices(left, right.where("k < 0")).collect()
-        assert [tuple(r) for r in nothing] == [(7, 4, 1)]
+        # 40 + 25 + 15 * 1 + 60 * 3 = 260 records and products: index 7 costs 1.5 tasks, index 3 just under one
+        assert [tuple(r) for r in products._hot_indices(left, right).collect()] == [(7, 2, 1)]
+        one_each = spark.createDataFrame([(7,), (8,)], "k bigint")
+        many = spark.range(100).selectExpr("7 + id % 2 AS k")
+        assert {tuple(r) for r in products._hot_indices(many, one_each).collect()} == {(7, 5, 1), (8, 5, 1)}
+        assert {tuple(r) for r in products._hot_indices(many, many).collect()} == {(7, 2, 3), (8, 2, 3)}
+        assert products._hot_indices(left.where("k < 0"), right.where("k < 0")).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
