@@ -26,6 +26,12 @@ def row_width(rows: DataFrame) -> int:
     return 0 if first is None else first["n"]
 
 
+def of_width(rows: DataFrame, n: int) -> DataFrame:
+    """The same rows, failing on one that does not have ``n`` elements."""
+    ragged = F.raise_error(F.concat(F.lit("row "), "i", F.lit(f" does not have {n} elements")))
+    return rows.select("i", F.when(F.size("v") == n, F.col("v")).otherwise(ragged.cast("array<double>")).alias("v"))
+
+
 def dims(matrix: DataFrame, width: int | None = None) -> tuple[int, int]:
     """(rows, columns): highest index plus one. Reads index columns only, plus one vector for rows."""
     form = form_of(matrix)

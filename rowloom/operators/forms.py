@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rowloom import kernels
 from rowloom.functions.vectors import fill_gaps, zeros
 from rowloom.limits import check_row_width
-from rowloom.operators.catalog import BLOCKS, CELLS, ROWS, dims, form_of, require_unique, row_width
+from rowloom.operators.catalog import BLOCKS, CELLS, dims, form_of, of_width, require_unique, row_width
 from rowloom.operators.selection import row_spine
 
 
@@ -85,7 +85,7 @@ def _rows_to_blocks(rows: DataFrame, block_rows: int, block_cols: int, m: int, n
     """Cut each row into column segments, then stack the segments of a tile: one shuffle of the data."""
     cuts = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block_cols)))
     segment = F.slice("v", F.col("bj") * block_cols + 1, F.lit(block_cols))
-    cut = rows.select("i", "v", cuts.alias("bj")).select(
+    cut = of_width(rows, n).select("i", "v", cuts.alias("bj")).select(
         _tile("i", block_rows).alias("bi"),
         F.col("bj").cast("bigint").alias("bj"),
         F.struct((F.col("i") % block_rows).cast("int").alias("r"), segment.alias("seg")).alias("s"),
@@ -101,7 +101,9 @@ def _rows_to_blocks(rows: DataFrame, block_rows: int, block_cols: int, m: int, n
     before = F.concat(F.array(none), F.slice("s", 1, F.size("s") - 1))
     nc, last = F.col("nc"), F.element_at("s", -1)["r"]
     stacked = F.zip_with("s", before, lambda s, p: F.concat(zeros((s["r"] - p["r"] - 1) * nc), s["seg"]))
-    data = F.concat(F.flatten(stacked), zeros((F.col("nr") - 1 - last) * nc))
+    outside = F.raise_error(F.concat(F.lit("row index "), F.col("bi") * block_rows + last, F.lit(f" outside {m} rows")))
+    padded = F.concat(F.flatten(stacked), zeros((F.col("nr") - 1 - last) * nc))
+    data = F.when(last < F.col("nr"), padded).otherwise(outside.cast("array<double>"))
     return _finish_blocks(sized.withColumn("data", data), block_rows, block_cols)
 
 
@@ -181,8 +183,10 @@ def blocks_to_rows(blocks: DataFrame, num_cols: int | None = None, unique: bool
         "s", before, lambda s, p: F.concat(zeros(s["j0"] - p["j0"] - F.size(p["seg"])), s["seg"])
     )
     last = F.element_at("s", -1)
-    tail = zeros(n - last["j0"] - F.size(last["seg"]))
-    return grouped.select("i", F.concat(F.flatten(filled), tail).alias("v"))
+    end = last["j0"] + F.size(last["seg"])
+    outside = F.raise_error(F.concat(F.lit("row "), "i", F.lit(" ends at column "), end, F.lit(f" of {n}")))
+    whole = F.concat(F.flatten(filled), zeros(n - end))
+    return grouped.select("i", F.when(end <= n, whole).otherwise(outside.cast("array<double>")).alias("v"))
 
 
 def transpose(matrix: DataFrame, num_rows: int | None = None, tile: int = 256) -> DataFrame:

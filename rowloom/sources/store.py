@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.limits import check_row_width
-from rowloom.operators.catalog import row_width
+from rowloom.operators.catalog import of_width, row_width
 from rowloom.operators.forms import zero_fill
 from rowloom.operators.grids import Grid, column_step, coordinates
 from rowloom.operators.layouts import layout_assign, route
@@ -35,7 +35,7 @@ def _write(
 ) -> int:
     """Write pieces and then their info record; returns how many rows were written."""
     count, height = _index_facts(rows)
-    pieces = layout_assign(rows, layout, grid)
+    pieces = layout_assign(of_width(rows, n), layout, grid)
     if buckets is not None:
         pieces = route(pieces, grid, buckets)
     elif grid.size > DIRECT_OWNERS:

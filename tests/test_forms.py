@@ -92,6 +92,17 @@ def test_repeated_rows_are_refused(spark):
     assert R.require_unique(rows_of(spark, [[1], [2]])).count() == 2
 
 
+def test_blocks_refuse_ragged_rows_and_wrong_dimensions(spark):
+    ragged = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "i bigint, v array<double>")
+    with pytest.raises(Exception, match="does not have 2 elements"):
+        R.to_blocks(ragged, 2, 2, 2, 2).collect()
+    rows = rows_of(spark, np.ones((5, 4)))
+    with pytest.raises(Exception, match="row index 4 outside 3 rows"):
+        R.to_blocks(rows, 8, 2, 3, 4).collect()
+    with pytest.raises(Exception, match="ends at column 4 of 3"):
+        R.blocks_to_rows(R.to_blocks(rows, 2, 2), 3).collect()
+
+
 def test_too_wide_rows_are_refused(spark):
     cells = spark.createDataFrame([(0, 1 << 23, 1.0)], "i bigint, j bigint, x double")
     with pytest.raises(ValueError, match="keep the matrix in cell or block form"):

@@ -136,6 +136,11 @@ def test_store_fills_gaps_appends_and_refuses_repeats(spark, tmp_path):
         R.append_rows(rows_of(spark, [[9]], [9]), path)
     with pytest.raises(ValueError, match="repeated row index"):
         R.put_matrix(rows_of(spark, [[1], [2]], [4, 4]), str(tmp_path / "twice"))
+    ragged = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "i bigint, v array<double>").coalesce(1)
+    with pytest.raises(Exception, match="does not have 2 elements"):
+        R.put_matrix(ragged, str(tmp_path / "ragged"))
+    with pytest.raises(ValueError, match="empty matrix"):
+        R.put_matrix(rows_of(spark, np.zeros((0, 2))), str(tmp_path / "empty"))
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         R.put_matrix(rows_of(spark, [[1]]), path)
 
