@@ -37,6 +37,7 @@ from rowloom.operators.forms import (
     form_of,
     rows_to_coo,
     to_blocks,
+    to_rows,
     transpose,
     zero_fill,
 )

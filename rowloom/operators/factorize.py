@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rowloom import kernels
 from rowloom.limits import BROADCAST_BYTES, DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes, long_tasks
 from rowloom.operators.catalog import row_width
-from rowloom.operators.forms import transpose
+from rowloom.operators.forms import to_rows, transpose
 from rowloom.operators.products import collect_dense, gramian, local_rows, project_rows, summed, vectors
 from rowloom.operators.reductions import frobenius_sq, row_sqdist
 
@@ -133,8 +133,10 @@ def truncated_svd(
     krylov). Values at or below ``rcond`` times the largest are dropped, so fewer than k may return. The
     first two work on A'A, whose rounding hides values below about 1e-8 of the largest; for them ``rcond``
     is at least sqrt(n * machine epsilon). In every column of V the component of largest magnitude is
-    positive, and U follows.
+    positive, and U follows. A matrix in cells or blocks is assembled into rows on every pass; store rows to
+    avoid that.
     """
+    rows = to_rows(rows)
     n = row_width(rows) if num_cols is None else num_cols
     if not 1 <= k <= n:
         raise ValueError(f"k must lie in 1..{n}, not {k}")
@@ -169,6 +171,7 @@ def _factor(rows: DataFrame, v):
 
 def reconstruct(rows: DataFrame, v) -> DataFrame:
     """A V V', computed as (A V) V' row by row. Narrow unless V is too large to broadcast."""
+    rows = to_rows(rows)
     v = _factor(rows, v)
     if isinstance(v, DataFrame):
         return project_rows(project_rows(rows, v), transpose(v))
@@ -180,6 +183,7 @@ def relative_error(rows: DataFrame, v) -> DataFrame:
 
     One narrow pass in which each task sends one pair of sums, unless V is too large to broadcast.
     """
+    rows = to_rows(rows)
     v = _factor(rows, v)
     if isinstance(v, DataFrame):
         apart = row_sqdist(rows, reconstruct(rows, v)).agg(F.sum("sqdist"))

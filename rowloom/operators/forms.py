@@ -202,3 +202,11 @@ def transpose(matrix: DataFrame, num_rows: int | None = None, tile: int = 256) -
     n = row_width(matrix)
     m = check_row_width(dims(matrix, width=n)[0] if num_rows is None else num_rows)
     return blocks_to_rows(transpose(to_blocks(matrix, tile, tile, m, n)), m, unique=True)
+
+
+def to_rows(matrix: DataFrame) -> DataFrame:
+    """Row form of a matrix in any form; rows pass through untouched."""
+    form = form_of(matrix)
+    if form == CELLS:
+        return coo_to_rows(matrix)
+    return blocks_to_rows(matrix) if form == BLOCKS else matrix

@@ -18,7 +18,7 @@ from rowloom.limits import (
     long_tasks,
 )
 from rowloom.operators.catalog import CELLS, ROWS, dims, form_of, require_unique, row_width
-from rowloom.operators.forms import blocks_to_rows, to_blocks
+from rowloom.operators.forms import blocks_to_rows, to_blocks, to_rows
 
 # Edge of the square tiles of a blocked product: 2 MiB each.
 TILE = 512
@@ -63,6 +63,7 @@ def gramian(rows: DataFrame, num_cols: int | None = None) -> DataFrame:
     Partial products are cut into pieces that are added up on the executors, so neither the driver nor any
     task holds more than one partial result.
     """
+    rows = to_rows(rows)
     n = row_width(rows) if num_cols is None else num_cols
     if 0 < n <= SQL_GRAM_COLS:
         return _sql_gramian(rows, n)

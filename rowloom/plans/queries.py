@@ -12,7 +12,6 @@ from rowloom.operators.catalog import describe_matrix, dims, matrix_density, mat
 from rowloom.operators.compare import matrix_diff
 from rowloom.operators.factorize import reconstruct, reconstruction_error, relative_error, truncated_svd
 from rowloom.operators.forms import (
-    as_rows,
     blocks_to_cells,
     blocks_to_rows,
     cells_to_blocks,

@@ -226,6 +226,16 @@ def test_krylov_restarts_on_a_flat_spectrum(spark, monkeypatch):
         R.truncated_svd(rows_of(spark, a), 3, "krylov", tol=1e-14, max_passes=2)
 
 
+def test_any_form_is_decomposed(spark):
+    a = np.random.default_rng(15).standard_normal((30, 10))
+    exact = np.linalg.svd(a, compute_uv=False)[:3]
+    for matrix in (cells_of(spark, a), R.to_blocks(rows_of(spark, a), 8, 4)):
+        svd = R.truncated_svd(matrix, 3)
+        assert np.allclose([r["sigma"] for r in svd.S.orderBy("k").collect()], exact)
+        error = R.reconstruction_error(matrix, svd.V).first()[0]
+        assert np.isclose(error, np.square(a).sum() - np.square(exact).sum())
+
+
 def test_svd_arguments(spark):
     rows = rows_of(spark, np.ones((3, 2)))
     for k in (0, 3):
