@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rowloom.llm.minhash import near_duplicates
 from rowloom.llm.tokenize import round_trip_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,13 +19,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets overlap by three quarters."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded with a byte-level BPE vocabulary, as digests."""
     return round_trip_digests(_table(spark, sf_dir, "documents"), RANKS)
 
 
 def llm_queries() -> dict[str, Query]:
-    return {"op5_byte_bpe": op5_byte_bpe}
+    return {
+        "op1_minhash_dedup": op1_minhash_dedup,
+        "op5_byte_bpe": op5_byte_bpe,
+    }
 
 
 def llm_oracles() -> dict[str, str]:

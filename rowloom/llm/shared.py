@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+_PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; where that is unset, one beside the warehouse's tables."""
@@ -28,3 +35,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Gives executors this package once a context, as Spark's own file distribution does for any user's module."""
+    context = spark.sparkContext
+    if hasattr(context, "_rowloom_archive") or not os.path.isdir(_PACKAGE):
+        return
+    staging = tempfile.TemporaryDirectory(prefix="rowloom-")  # Spark serves the file from here; it goes with the driver
+    name = os.path.basename(_PACKAGE)
+    context.addPyFile(shutil.make_archive(f"{staging.name}/{name}", "zip", os.path.dirname(_PACKAGE), name))
+    context._rowloom_archive = staging
+
+
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """df.mapInArrow, for functions of this package."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(work, schema)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm import bpe
+from rowloom.llm.shared import map_arrow
 
 
 def _typed(df: DataFrame, column: str) -> str:
@@ -54,7 +55,7 @@ def encode_column(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays(columns, names=["key", "ids", "offsets"])
 
     frame = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    out = frame.mapInArrow(work, f"key {_typed(frame, 'key')}, ids array<int>, offsets array<bigint>")
+    out = map_arrow(frame, work, f"key {_typed(frame, 'key')}, ids array<int>, offsets array<bigint>")
     return out.withColumnRenamed("key", key)
 
 
@@ -69,7 +70,7 @@ def decode_column(encoded: DataFrame, path: str, key: str = "doc_id", ids: str =
             yield pa.RecordBatch.from_arrays(columns, names=["key", "data"])
 
     frame = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-    return frame.mapInArrow(work, f"key {_typed(frame, 'key')}, data binary").withColumnRenamed("key", key)
+    return map_arrow(frame, work, f"key {_typed(frame, 'key')}, data binary").withColumnRenamed("key", key)
 
 
 def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,4 +102,4 @@ def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: st
 
     frame = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = f"key {_typed(frame, 'key')}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_pieces bigint"
-    return frame.mapInArrow(work, schema).withColumnRenamed("key", key)
+    return map_arrow(frame, work, schema).withColumnRenamed("key", key)
