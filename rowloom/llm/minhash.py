@@ -19,8 +19,8 @@ from rowloom.llm.text import shingle_sets
 HASHES, BAND = 128, 4
 #: Shingles hashed at once, to bound memory on long texts.
 CHUNK = 2048
-#: Signatures that agree in fewer places are not compared in full: at similarity 0.75 that has probability 1e-10.
-LEAST_AGREEING = 64
+#: Signatures that agree in fewer places are not compared in full: at similarity 0.75 that has probability 1e-6.
+LEAST_AGREEING = 72
 
 _rng = np.random.default_rng(20240502)
 _FACTORS = _rng.integers(1, 2**63, (HASHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.llm.minhash import near_duplicates
+from rowloom.llm.packing import pack_documents
 from rowloom.llm.tokenize import round_trip_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +31,16 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(_table(spark, sf_dir, "documents"), RANKS)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in pieces of 1024-token sequences that lexical neighbours fill."""
+    return pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_packing": op6_packing,
     }
 
 
