@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rowloom.llm.fingerprints import fingerprints
 from rowloom.llm.minhash import near_duplicates
 from rowloom.llm.packing import pack_documents
 from rowloom.llm.tokenize import round_trip_digests
@@ -36,11 +37,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text and of its edited form, and how alike they and the next document's are."""
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_packing": op6_packing,
+        "op9_fingerprints": op9_fingerprints,
     }
 
 

@@ -70,6 +70,15 @@ def blocks(starts: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         row = end
 
 
+def polynomial(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the slices data[first:last], alike for equal slices wherever they stand."""
+    n = len(data)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUE[data] * _POWERS.upto(n), out=sums[1:])
+        return mix((sums[last] - sums[first]) * _INVERSE_POWERS.upto(n + 1)[first] + (last - first).astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of consecutive texts, ASCII letters lower-cased, and each text's first word."""
     n = len(data)
@@ -82,10 +91,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     closed[:-1] = ~inside
     closed[starts] = True
     last = np.flatnonzero(inside & closed[1:]) + 1
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUE[_LOWER[data]] * _POWERS.upto(n), out=sums[1:])
-    hashes = mix((sums[last] - sums[first]) * _INVERSE_POWERS.upto(n + 1)[first] + (last - first).astype(np.uint64))
-    return hashes, np.searchsorted(first, starts)
+    return polynomial(_LOWER[data], first, last), np.searchsorted(first, starts)
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = SHINGLE_WORDS) -> list[np.ndarray]:
