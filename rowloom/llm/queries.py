@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.llm.fingerprints import fingerprints
+from rowloom.llm.licenses import scan_licenses, scan_licenses_sql
 from rowloom.llm.minhash import near_duplicates
 from rowloom.llm.packing import pack_documents
 from rowloom.llm.tokenize import round_trip_digests
@@ -37,6 +38,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases of every text."""
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text and of its edited form, and how alike they and the next document's are."""
     return fingerprints(_table(spark, sf_dir, "documents"))
@@ -47,9 +53,10 @@ def llm_queries() -> dict[str, Query]:
         "op1_minhash_dedup": op1_minhash_dedup,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_packing": op6_packing,
+        "op7_license_scan": op7_license_scan,
         "op9_fingerprints": op9_fingerprints,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op7_license_scan": scan_licenses_sql()}
