@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowloom.llm.fingerprints import fingerprints
 from rowloom.llm.licenses import scan_licenses, scan_licenses_sql
+from rowloom.llm.line_dedup import dedup_lines
 from rowloom.llm.minhash import near_duplicates
 from rowloom.llm.packing import pack_documents
 from rowloom.llm.tokenize import round_trip_digests
@@ -28,6 +30,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat, exactly or nearly, elsewhere."""
+    kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded with a byte-level BPE vocabulary, as digests."""
     return round_trip_digests(_table(spark, sf_dir, "documents"), RANKS)
@@ -51,6 +59,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op4_line_dedup": op4_line_dedup,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_packing": op6_packing,
         "op7_license_scan": op7_license_scan,
