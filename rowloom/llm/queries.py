@@ -13,7 +13,10 @@ from rowloom.llm.licenses import scan_licenses, scan_licenses_sql
 from rowloom.llm.line_dedup import dedup_lines
 from rowloom.llm.minhash import near_duplicates
 from rowloom.llm.packing import pack_documents
+from rowloom.llm.quality import fit_quality, rate_quality
 from rowloom.llm.tokenize import round_trip_digests
+from rowloom.llm.toxicity import fit_toxicity, rate_toxicity
+from rowloom.llm.urls import filter_urls, outcomes_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +33,20 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every text, by a model of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    return rate_toxicity(docs, model).select("doc_id", "expected_severity", "severity", "toxic")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected rating of every text and the chance that it is acceptable, by a model of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"))
+    return rate_quality(docs, model).select("doc_id", "expected_quality", "tail_probability", "keep")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat, exactly or nearly, elsewhere."""
     kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -56,14 +73,23 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules and by its host's reputation."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, outcomes_of(pages, _table(spark, sf_dir, "labels")))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op2_toxicity": op2_toxicity,
+        "op3_quality": op3_quality,
         "op4_line_dedup": op4_line_dedup,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_packing": op6_packing,
         "op7_license_scan": op7_license_scan,
         "op9_fingerprints": op9_fingerprints,
+        "op10_url_filter": op10_url_filter,
     }
 
 
