@@ -12,6 +12,7 @@ from rowloom.llm.fingerprints import fingerprints
 from rowloom.llm.licenses import scan_licenses, scan_licenses_sql
 from rowloom.llm.line_dedup import dedup_lines
 from rowloom.llm.minhash import near_duplicates
+from rowloom.llm.neighbours import nearest_neighbours
 from rowloom.llm.packing import pack_documents
 from rowloom.llm.quality import fit_quality, rate_quality
 from rowloom.llm.tokenize import round_trip_digests
@@ -68,6 +69,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text and of its edited form, and how alike they and the next document's are."""
     return fingerprints(_table(spark, sf_dir, "documents"))
@@ -88,6 +94,7 @@ def llm_queries() -> dict[str, Query]:
         "op5_byte_bpe": op5_byte_bpe,
         "op6_packing": op6_packing,
         "op7_license_scan": op7_license_scan,
+        "op8_nearest": op8_nearest,
         "op9_fingerprints": op9_fingerprints,
         "op10_url_filter": op10_url_filter,
     }
