@@ -3,10 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rowloom.llm.line_dedup import dedup_lines
+from rowloom.llm.minhash import near_duplicates
+from rowloom.llm.packing import pack_documents
+from rowloom.llm.quality import fit_quality, rate_quality
+from rowloom.llm.queries import VOCABULARY
 from rowloom.llm.shared import store
+from rowloom.llm.toxicity import fit_toxicity, rate_toxicity
 
-STAGES: list = []
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose chance of an acceptable rating is high enough. Without words there is nothing to rate: they stay."""
+    rated = rate_quality(docs, fit_quality(docs, _labels(spark, sf_dir)))
+    return rated.where(F.col("keep") | (F.trim(F.coalesce("text", F.lit(""))) == "")).select(*_columns(docs))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    return rate_toxicity(docs, fit_toxicity(docs, _labels(spark, sf_dir))).where(~F.col("toxic")).select(*_columns(docs))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated lines, n_chars counted anew; those that lose all their text go."""
+    cut = dedup_lines(docs)
+    bare = F.trim(F.coalesce("text", F.lit(""))) == ""
+    cut = cut.where(~bare | (F.col("n_removed") == 0))
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", changed).select(*_columns(docs))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest doc_id. Of repeated rows one stays."""
+    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*_columns(docs))
+    return with_id.union(docs.where("doc_id IS NULL").select(*_columns(docs)))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents in pieces of 1024-token sequences."""
+    return pack_documents(docs, VOCABULARY)
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+STAGES = [
+    ("quality", quality),
+    ("toxicity", toxicity),
+    ("line_dedup", lines),
+    ("near_copies", near_copies),
+    ("packing", packing),
+]
 
 #: No stage can be put into SQL: trained models, signatures and retrieval are in it.
 ORACLE_SQL = None
