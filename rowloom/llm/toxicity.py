@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowloom.llm.ordinal import OrdinalModel, fit_on, grade_texts, word_features
 
 #: Expected severity from which on a text is toxic.
-TOXIC_FROM = 0.3
+TOXIC_FROM = 0.5
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, severity: Column | None = None, **named) -> OrdinalModel:
