@@ -7,11 +7,12 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.components import connected_components
-from rowloom.llm.shared import map_arrow, store
+from rowloom.llm.shared import cut_lineage, map_arrow, ship, store
 from rowloom.llm.text import shingle_sets
 
 #: Minima of a signature, and how many of them make a band. A pair at similarity 0.75 shares no band with
@@ -21,6 +22,10 @@ HASHES, BAND = 128, 4
 CHUNK = 2048
 #: Signatures that agree in fewer places are not compared in full: at similarity 0.75 that has probability 1e-6.
 LEAST_AGREEING = 72
+#: Ids that are broadcast to filter documents: 8 bytes each, 16 MB at most.
+BROADCAST_IDS = 2_000_000
+#: Rows and bytes of text of one chunk when a group is compared in blocks; shingles in one slab of the comparison.
+CHUNK_ROWS, CHUNK_BYTES, SLAB = 256, 1 << 20, 1 << 14
 
 _rng = np.random.default_rng(20240502)
 _FACTORS = _rng.integers(1, 2**63, (HASHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -71,6 +76,12 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with these ids. Up to BROADCAST_IDS ids go to the documents, else both sides are shuffled."""
+    named = cut_lineage(ids.distinct())
+    return docs.join(F.broadcast(named) if named.count() <= BROADCAST_IDS else named, "id", "left_semi")
+
+
 def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that agree in signature and then in full: a stored table."""
     left = signed.select(F.col("rep").alias("a"), F.col("signature").alias("left"))
@@ -79,8 +90,7 @@ def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, percent: int
     likely = store(
         pairs.distinct().join(left, "a").join(right, "b").where(agreeing >= LEAST_AGREEING).select("a", "b"), "likely"
     )
-    named = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = store(docs.join(named, "id", "left_semi"), "texts")
+    texts = store(_named(docs, likely.select(F.explode(F.array("a", "b")).alias("id"))), "texts")
     full = (
         likely.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -100,19 +110,88 @@ def _buckets(signed: DataFrame) -> DataFrame:
     return store(every.join(shared, "bucket"), "buckets")
 
 
-def _star(buckets: DataFrame, by: str) -> DataFrame:
-    """Every member of a bucket beside the bucket's member that is first by `by` (then by id)."""
-    leader = buckets.groupBy("bucket").agg(F.max_by("rep", F.struct(by, -F.col("rep"))).alias("a"))
-    return buckets.join(leader, "bucket").select("a", F.col("rep").alias("b")).where("a <> b")
+def _led(buckets: DataFrame) -> DataFrame:
+    """bucket, a, b: every member b of a bucket, with the member a that shares the most buckets with others."""
+    busy = buckets.groupBy("rep").agg(F.sum("members").alias("company"))
+    leader = buckets.join(busy, "rep").groupBy("bucket")
+    leader = leader.agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("a"))
+    return store(buckets.join(leader, "bucket").select("bucket", "a", F.col("rep").alias("b")), "led")
 
 
-def _labelled(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """buckets with the component of each member, without those whose members are of one component already."""
-    found = connected_components(links)
-    named = buckets.drop("component").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.withColumn("component", F.coalesce("component", "rep"))
+def _apart(led: DataFrame, links: DataFrame) -> DataFrame:
+    """a, b, component: members of the buckets that still hold several components, by their leader."""
+    found = connected_components(links).withColumnRenamed("node", "b")
+    named = led.join(found, "b", "left").withColumn("component", F.coalesce("component", "b"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return store(named.join(mixed.where("low < high").select("bucket"), "bucket", "left_semi"), "mixed")
+    mixed = mixed.where("low < high").select("bucket")
+    return store(named.join(mixed, "bucket", "left_semi").select("a", "b", "component").distinct(), "apart")
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of one list with every set of the other, a slab of shingles at a time."""
+    sets = [*left, *right]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, shingle, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = count[shingle] > 1
+    row, shingle = row[common], (np.cumsum(count > 1) - 1)[shingle[common]]
+    order = np.argsort(shingle, kind="stable")
+    row, shingle = row[order], shingle[order]
+    total = np.zeros((len(left), len(right)), dtype=np.int64)
+    for begin in range(0, int(shingle[-1]) + 1 if len(shingle) else 0, SLAB):
+        a, b = np.searchsorted(shingle, [begin, begin + SLAB])
+        held = np.zeros((len(sets), SLAB), dtype=np.float32)
+        held[row[a:b], shingle[a:b] - begin] = 1.0
+        total += (held[: len(left)] @ held[len(left) :].T).astype(np.int64)
+    return total
+
+
+def _bridges(table: pa.Table) -> pa.Table:
+    """Links between components among the members of two chunks of a group: one for each two components at most."""
+    same = table["i"][0].as_py() == table["j"][0].as_py()
+    sides = []
+    for chunk in ("i",) if same else ("i", "j"):
+        part = table.filter(pc.equal(table["chunk"], table[chunk]))
+        ids, component = part["b"].to_numpy(), part["component"].to_numpy()
+        sides.append((ids, component, list(shingle_sets(part["text"]))))
+    (left, of_left, sets), (right, of_right, others) = sides[0], sides[-1]
+    found = {"a": [], "b": []}
+    if len(left) and len(right):
+        both = _overlaps(sets, others)
+        either = np.array([len(s) for s in sets])[:, None] + np.array([len(s) for s in others])[None, :] - both
+        linked = (100 * both >= table["percent"][0].as_py() * either) & (either > 0)
+        x, y = np.nonzero(linked & (of_left[:, None] != of_right[None, :]))
+        between = np.sort(np.stack([of_left[x], of_right[y]]), axis=0)
+        _, first = np.unique(between, axis=1, return_index=True)
+        found = {"a": left[x[first]], "b": right[y[first]]}
+    return pa.table({name: pa.array(ids, pa.int64()) for name, ids in found.items()})
+
+
+def _compared(apart: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among the members that share a leader, found in blocks: a stored table.
+
+    A group is cut into chunks of bounded rows and bytes, and each two chunks meet in one task, which compares their
+    full sets by one product of incidence matrices and returns a link for each two components at most. So a row is
+    copied once for every chunk of its group, and pairs are never rows.
+    """
+    texts = _named(docs, apart.select(F.col("b").alias("id")))
+    rows = store(apart.join(texts.withColumnRenamed("id", "b"), "b"), "members")
+    sizes = rows.groupBy("a").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    chunks = F.ceil(F.greatest(F.col("n") / CHUNK_ROWS, F.col("bytes") / CHUNK_BYTES)).cast("int")
+    dealt = rows.join(sizes.select("a", chunks.alias("chunks")), "a")
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select(
+        "a",
+        F.least("chunk", "k").alias("i"),
+        F.greatest("chunk", "k").alias("j"),
+        "chunk",
+        "b",
+        "component",
+        "text",
+        F.lit(percent).alias("percent"),
+    )
+    ship(docs.sparkSession)
+    return store(dealt.groupBy("a", "i", "j").applyInArrow(_bridges, "a bigint, b bigint"), "bridges")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
@@ -121,9 +200,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     Two documents are linked where 100 * intersection >= percent * union of their five-word shingle sets; component_id
     is the smallest key reachable over links, and kept is true for the document that bears it. Texts with equal sets
     are one class, found by a digest of the set, and only the class's representative is searched and verified; n_links
-    counts a representative's verified links. Candidates share a band; each is linked to its bucket's busiest member
-    first, to its smallest next, and whatever pairs of different components still share a bucket are verified one by
-    one, so that no link between components is lost and a large group costs about one pair a member.
+    counts a representative's verified links. Candidates share a band. Each is compared with its bucket's busiest
+    member first, so that a large group costs about one pair a member. Where a bucket still holds several components,
+    the members that share a leader are compared in blocks; so no link between components is lost.
 
     Null, empty and wordless texts have no shingles and are linked with nothing. A null key takes part in nothing
     (component_id null, kept true). Rows that repeat a key are one document and share its component. Other columns
@@ -138,17 +217,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     members = members.withColumn("rep", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")))
     members = store(members.select("id", "n_shingles", "rep"), "members")
 
-    buckets = _buckets(classes)
-    busy = buckets.groupBy("rep").agg(F.sum("members").alias("company"))
-    buckets = store(buckets.join(busy, "rep"), "company")
-    links = _verified(_star(buckets, "company"), classes, given, percent)
-    mixed = _labelled(buckets, links)
-    links = links.union(_verified(_star(mixed, "component"), classes, given, percent))
-    mixed = _labelled(mixed, links)
-    left = mixed.select("bucket", F.col("rep").alias("a"), F.col("component").alias("of_a"))
-    right = mixed.select("bucket", F.col("rep").alias("b"), F.col("component").alias("of_b"))
-    apart = left.join(right, "bucket").where("of_a < of_b")
-    links = links.union(_verified(apart.select("a", "b"), classes, given, percent)).distinct()
+    led = _led(_buckets(classes))
+    links = _verified(led.where("a <> b").select("a", "b"), classes, given, percent)
+    links = links.union(_compared(_apart(led, links), given, percent))
 
     twice = members.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     repeated = members.join(twice, "id").select(F.col("rep").alias("a"), F.col("low").alias("b"))

@@ -37,7 +37,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Gives executors this package once a context, as Spark's own file distribution does for any user's module."""
     context = spark.sparkContext
     if hasattr(context, "_rowloom_archive") or not os.path.isdir(_PACKAGE):
@@ -50,5 +50,5 @@ def _ship(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """df.mapInArrow, for functions of this package."""
-    _ship(df.sparkSession)
+    ship(df.sparkSession)
     return df.mapInArrow(work, schema)
