@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from rowloom.llm.text import blocks, utf8
+from rowloom.llm.text import BLOCK_BYTES, blocks, utf8
 
 # The code points with Unicode's White_Space property.
 WHITE_SPACE = (
@@ -167,10 +167,10 @@ def _scan(functions: np.ndarray) -> np.ndarray:
     return out
 
 
-def pieces(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+def pieces(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
     """Blocks of rows: their UTF-8 bytes, where pieces begin (and the last one ends), and each row's first piece."""
     data, starts = utf8(texts)
-    for a, b in blocks(starts):
+    for a, b in blocks(starts, limit):
         raw = data[starts[a] : starts[b]].tobytes()
         bounds = starts[a : b + 1] - starts[a]
         lead = (np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,11 +18,16 @@ from pyspark.sql import functions as F
 
 from rowloom.llm import bpe
 from rowloom.llm.shared import map_arrow, store
+from rowloom.llm.text import polynomial
 
 #: Rows of the index of one shard: so many remainders are searched together inside a task.
-SHARD_ROWS = 1024
+SHARD_ROWS = 512
 #: Remainder bytes that one packing task should read.
 TASK_BYTES = 16 << 20
+#: Distinct pieces of text whose ids a task process remembers.
+CORE_PIECES, RECENT_PIECES = 400_000, 200_000
+#: Bytes of text encoded at once; a longer text by itself.
+ENCODE_BYTES = 4 << 20
 #: BM25's saturation and length weights.
 K1, B = 1.2, 0.75
 
@@ -47,44 +54,66 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known, self.older = {}, {}
+        self.core, self.recent = {}, {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
-
-    def _pieces(self, raw: bytes, slices: list[int]) -> list[bytes]:
-        """The ids of each piece. Two generations of pieces are remembered, as in bpe.Cache."""
-        found = list(map(self.known.get, map(raw.__getitem__, map(slice, slices[:-1], slices[1:]))))
+        ids = [array("I", f.ids) for f in found]
+        if sys.byteorder == "big":
+            for each in ids:
+                each.byteswap()
+        return [each.tobytes() for each in ids]
+
+    def _known(self, cut: list[bytes]) -> list[bytes]:
+        """The ids of distinct pieces.
+
+        The first CORE_PIECES of them, among them the frequent ones, are remembered for good, later ones until there
+        are RECENT_PIECES of them.
+        """
+        found = list(map(self.core.get, cut))
         missing = [k for k, ids in enumerate(found) if ids is None]
         if missing:
-            new = {}
-            for k in missing:
-                piece = raw[slices[k] : slices[k + 1]]
-                new[piece] = self.older.get(piece)
-            asked = [piece for piece, ids in new.items() if ids is None]
-            new.update(zip(asked, self._encode([piece.decode() for piece in asked]), strict=True))
+            new = [cut[k] for k in missing if cut[k] not in self.recent]
+            self.recent.update(zip(new, self._encode([piece.decode() for piece in new]), strict=True))
             for k in missing:
-                found[k] = new[raw[slices[k] : slices[k + 1]]]
-            if len(self.known) >= bpe.CACHE_PIECES:
-                self.known, self.older = {}, self.known
-            self.known.update(new)
+                found[k] = self.recent[cut[k]]
+            if len(self.core) < CORE_PIECES:
+                self.core |= self.recent
+                self.recent = {}
+            elif len(self.recent) >= RECENT_PIECES:
+                self.recent = {}
         return found
 
-    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
-        """The ids of each row and an id 0 after them."""
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each row and an id 0 after them.
+
+        Pieces of a block are told apart by a 64-bit hash, so that each distinct one is looked up once.
+        """
         texts = texts.cast(pa.large_string()).fill_null("")
         whole = np.zeros(len(texts), dtype=bool)
         for content in self.special:
             whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         row = 0
-        for raw, cuts, rows in bpe.pieces(texts):
-            found = self._pieces(raw, cuts.tolist())
-            bounds = rows.tolist()
+        for raw, cuts, rows in bpe.pieces(texts, ENCODE_BYTES):
+            hashes = polynomial(np.frombuffer(raw, dtype=np.uint8), cuts[:-1], cuts[1:])
+            _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+            slices = map(slice, cuts[first].tolist(), cuts[first + 1].tolist())
+            found = self._known(list(map(raw.__getitem__, slices)))
+            flat = np.frombuffer(b"".join(found), dtype="<u4")
+            size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+            each = size[kind]
+            end = np.cumsum(each)
+            ids = flat[np.repeat((np.cumsum(size) - size)[kind] - (end - each), each) + np.arange(each.sum())]
+            bounds = np.concatenate([[0], end])[rows].tolist()
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                ids = self._encode([texts[row].as_py()]) if whole[row] else found[a:b]
+                if whole[row]:
+                    yield np.frombuffer(self._encode([texts[row].as_py()])[0] + bytes(4), dtype="<u4")
+                else:
+                    yield np.concatenate([ids[a:b], _END])
                 row += 1
-                yield b"".join(ids) + bytes(4)
+
+
+_END = np.zeros(1, dtype="<u4")
 
 
 @lru_cache(maxsize=2)
@@ -115,9 +144,8 @@ def _cut(docs: DataFrame, path: str, window: int) -> DataFrame:
         documents = 0
         for batch in batches:
             rows = []
-            for key, data in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
-                ids = np.frombuffer(data, dtype="<u4")
-                terms = np.unique(ids)
+            for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+                data, terms = ids.tobytes(), np.unique(ids)
                 if len(holders) <= terms[-1]:
                     holders = np.concatenate([holders, np.zeros(int(terms[-1]) + 1 - len(holders), dtype=np.int64)])
                 holders[terms] += 1
