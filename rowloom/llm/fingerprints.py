@@ -85,7 +85,8 @@ def features(data: np.ndarray, classes: np.ndarray, ranks: np.ndarray) -> np.nda
     """64-bit hashes of the windows chosen from a text's bytes, in their order, each at its first place only.
 
     `ranks` orders entropy classes from the rarest on. Of every NEIGHBOURS consecutive windows the rarest (the first
-    among equals) wins; windows that win LEAST_WINS times are features. A shorter text is one window, an empty one none.
+    among equals) wins; windows that win LEAST_WINS times are
+    features, or else the most frequent winners. A shorter text is one window, an empty one none.
     """
     if len(data) < WINDOW:
         return polynomial(data, *np.array([[0], [len(data)]])) if len(data) else np.zeros(0, dtype=np.uint64)
@@ -100,7 +101,7 @@ def features(data: np.ndarray, classes: np.ndarray, ranks: np.ndarray) -> np.nda
     if reach < span:
         lowest = np.minimum(lowest[: len(lowest) - (span - reach)], lowest[span - reach :])
     winners, wins = np.unique(lowest & ((1 << 40) - 1), return_counts=True)
-    chosen = winners[wins >= min(LEAST_WINS, len(lowest))]
+    chosen = winners[wins >= min(LEAST_WINS, wins.max())]
     hashes = polynomial(data, chosen, chosen + WINDOW)
     _, first = np.unique(hashes, return_index=True)
     return hashes[np.sort(first)]
@@ -126,6 +127,8 @@ def likeness(left: np.ndarray, right: np.ndarray) -> float:
         return float(len(left) == len(right))
     if len(left) > len(right):
         left, right = right, left
+    if np.array_equal(left, right):
+        return 1.0
     a, b = (np.unpackbits(x, axis=1).astype(np.float32) for x in (left, right))
     size_b = b.sum(axis=1)
     best = []
@@ -219,7 +222,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     ranks, size = entropy_ranks(given)
     tasks = max(1, -(-size // TASK_BYTES))
     cuts = given.where("key IS NOT NULL").approxQuantile("key", [k / (2 * tasks) for k in range(1, 2 * tasks)], 0.1 / tasks)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    splits = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="place", outputCol="range", handleInvalid="keep")
     placed = bucketizer.transform(given.withColumn("place", F.coalesce(F.col("key").cast("double"), F.lit(splits[0]))))
     placed = placed.select(F.col("range").cast("int").alias("range"), F.lit(0).alias("lent"), "key", "text")

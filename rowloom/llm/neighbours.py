@@ -49,6 +49,11 @@ def projection(dimensions: int, seed: int = 20240504) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dimensions, PROJECTED))
 
 
+def rounding(point: np.ndarray) -> float:
+    """What rounding may add to the squared distance of equal projections."""
+    return 1e-18 + 1e-12 * float(point @ point)
+
+
 @dataclass(frozen=True)
 class Regions:
     """The leaves of a kd-tree over projected points, as boxes that cover the whole space."""
@@ -117,12 +122,14 @@ class Index:
         """
         best, ids = np.zeros(0), np.zeros(0, dtype=np.int64)
         edge = self.boxes.squared_distance(point)
+        slack = rounding(point)
         for leaf in np.argsort(edge, kind="stable"):
-            if edge[leaf] > far * bound * bound:
+            limit = far * bound * bound + slack
+            if edge[leaf] > limit:
                 break
             rows = self.parts[leaf]
             rows = rows[self.ids[rows] != own]
-            rows = rows[((self.projected[rows] - point) ** 2).sum(axis=1) <= far * bound * bound]
+            rows = rows[((self.projected[rows] - point) ** 2).sum(axis=1) <= limit]
             if not len(rows):
                 continue
             distance = np.sqrt(((self.vectors[rows] - vector) ** 2).sum(axis=1))
@@ -192,7 +199,8 @@ def nearest_neighbours(
             for own, v in zip(ids, _matrix(batch.column(1)), strict=True):
                 distance = np.sqrt(((points[sample_ids != own] - v) ** 2).sum(axis=1))
                 bound = np.partition(distance, count - 1)[count - 1] if len(distance) >= count else np.inf
-                near = np.flatnonzero(regions.squared_distance(v @ directions) <= far * bound * bound)
+                point = v @ directions
+                near = np.flatnonzero(regions.squared_distance(point) <= far * bound * bound + rounding(point))
                 found.append([{"region": int(k), "splits": int(splits[k]), "bound": float(bound)} for k in near])
             kinds = pa.list_(pa.struct([("region", pa.int32()), ("splits", pa.int32()), ("bound", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kinds)], names=["id", "vec", "to"])
