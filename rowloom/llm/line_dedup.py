@@ -13,11 +13,16 @@ from rowloom.llm.shared import store
 #: A SimHash has so many blocks, each of the bits of so many longs. Lines that differ in fewer bits than there are
 #: blocks share a block.
 BLOCKS, LONGS = 4, 5
-#: The votes on seven bits are summed in fields of 8 bits of one long; a part of a line has as many words as one holds.
-FIELDS, FIELD_BITS, PART_WORDS = 7, 8, 255
+#: The votes on seven bits are summed in fields of 9 bits of one long; a part of a line has as many words as eight of
+#: them hold, and the ninth is the carry of a comparison.
+FIELDS, FIELD_BITS, PART_WORDS = 7, 9, 255
 #: Times this number the lowest seven bits of a long lie in seven fields.
 SPREAD = sum(1 << (k * (FIELD_BITS - 1)) for k in range(FIELDS))
 ONES = sum(1 << (k * FIELD_BITS) for k in range(FIELDS))
+#: Ids that are broadcast to filter a table: 16 bytes each, 32 MB at most.
+BROADCAST_IDS = 2_000_000
+#: Lines of one chunk when a block is compared pair by pair.
+CHUNK_ROWS = 64
 #: Lines of fewer words are never removed.
 LEAST_WORDS = 3
 #: Lines are alike whose edit distance is at most this share (percent) of the longer one's code points.
@@ -27,17 +32,19 @@ PIECE_CHARS = 1024
 
 
 def normalised(line: Column) -> Column:
-    """The line's letters and digits in lower case, anything between them as one space, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    """The line in lower case without blanks at its ends."""
+    return F.trim(F.lower(line))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """key, line (its number from 0), id (hash of the normalised line), norm, words of rows (key, text)."""
+    """key, line (its number from 0), id (hash of the normalised line) and norm of rows (key, text).
+
+    Lines of fewer than LEAST_WORDS words (that one blank parts) are left out.
+    """
     cut = docs.where("key IS NOT NULL").select("key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")))
     cut = cut.select("key", F.col("pos").alias("line"), normalised(F.col("col")).alias("norm"))
-    counted = F.length(F.col("norm")) - F.length(F.replace("norm", F.lit(" "))) + 1
-    cut = cut.withColumn("words", counted).where((F.col("norm") != "") & (F.col("words") >= LEAST_WORDS))
-    return cut.select("key", "line", F.xxhash64("norm").alias("id"), "norm", "words")
+    blanks = F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" ")))
+    return cut.where(blanks >= LEAST_WORDS - 1).select("key", "line", F.xxhash64("norm").alias("id"), "norm")
 
 
 def _long(value: int) -> Column:
@@ -51,23 +58,27 @@ def _votes(hashed: Column, n: int) -> Column:
 
 
 def simhashes(lines: DataFrame) -> DataFrame:
-    """id and blocks (array<bigint>) of each part of each line: the majority of its words' hash bits, ties 0.
+    """id and blocks (array<bigint>) of each part of each line: hashes of the majorities of its words' hash bits.
 
-    A line of over PART_WORDS words is hashed in parts. The votes are summed where the line is read, before they are
-    shuffled.
+    Each block has FIELDS * LONGS bits, 1 where more than half of the line's distinct words have one. A line of over
+    PART_WORDS of them is hashed in parts of equal length. The votes are summed where the line is read, before they are shuffled, and compared with half
+    the words in all fields of a long at once.
     """
-    words = lines.select("id", "key", "line", F.posexplode(F.split("norm", " ")).alias("at", "word"))
+    cut = lines.select("id", "key", "line", F.array_distinct(F.split("norm", " ")).alias("cut"))
+    cut = cut.withColumn("parts", F.expr(f"(size(cut) - 1) div {PART_WORDS} + 1"))
+    cut = cut.withColumn("long", F.expr("(size(cut) - 1) div parts + 1"))
+    words = cut.select("id", "key", "line", "long", F.posexplode("cut").alias("at", "word"))
     hashes = [F.xxhash64(F.lit(b), "word").alias(f"h{b}") for b in range(BLOCKS)]
-    hashed = words.select("id", "key", "line", F.floor(F.col("at") / PART_WORDS).alias("part"), *hashes)
+    hashed = words.select("id", "key", "line", F.expr("at div long").alias("part"), *hashes)
     sums = [F.sum(_votes(F.col(f"h{b}"), n)).alias(f"v{b}_{n}") for b in range(BLOCKS) for n in range(LONGS)]
     voted = hashed.groupBy("id", "key", "line", "part").agg(F.count("*").alias("n"), *sums)
+    short = (_long(PART_WORDS) - F.expr("n div 2")) * _long(ONES)
+    voted = voted.withColumn("short", short)
 
-    def bit(block: int, k: int) -> Column:
-        votes = F.shiftrightunsigned(F.col(f"v{block}_{k // FIELDS}"), FIELD_BITS * (k % FIELDS))
-        won = votes.bitwiseAND(_long((1 << FIELD_BITS) - 1)) * 2 > F.col("n")
-        return F.when(won, _long(1 << k)).otherwise(_long(0))
+    def majority(name: str) -> Column:
+        return (F.col(name) + F.col("short")).bitwiseAND(_long(ONES << (FIELD_BITS - 1)))
 
-    blocks = [reduce(Column.bitwiseOR, [bit(b, k) for k in range(FIELDS * LONGS)]) for b in range(BLOCKS)]
+    blocks = [F.xxhash64(F.lit(b), *[majority(f"v{b}_{n}") for n in range(LONGS)]) for b in range(BLOCKS)]
     return voted.select("id", F.array(*blocks).alias("blocks"))
 
 
@@ -90,17 +101,23 @@ def _alike(left: Column, right: Column, percent: int) -> Column:
     return close & F.when(size <= PIECE_CHARS, near).otherwise(distance <= most)
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """The distinct rows, to be broadcast where there are at most BROADCAST_IDS of them."""
+    named = store(ids.distinct(), "few")
+    return F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+
+
 def _led(hashed: DataFrame) -> DataFrame:
     """bucket, a, b: for each block that several lines share, its smallest id a and every id b."""
-    keyed = hashed.select("id", F.posexplode("blocks").alias("at", "bits"))
-    keyed = keyed.select("id", F.xxhash64("at", "bits").alias("bucket"))
+    keyed = hashed.select("id", F.explode("blocks").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z")
-    return store(keyed.join(shared.drop("z"), "bucket").select("bucket", "a", F.col("id").alias("b")).distinct(), "blocks")
+    joined = keyed.join(_few(shared.select("bucket", "a")), "bucket")
+    return store(joined.select("bucket", "a", F.col("id").alias("b")).distinct(), "blocks")
 
 
 def _norms(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """id and norm of the named lines: a stored table."""
-    named = lines.select("id", "norm").join(ids.distinct(), "id", "left_semi")
+    named = lines.select("id", "norm").join(_few(ids), "id", "left_semi")
     return store(named.groupBy("id").agg(F.any_value("norm").alias("norm")), "norms")
 
 
@@ -108,7 +125,9 @@ def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
     """id and component of the lines that are alike with others, over any number of steps.
 
     Two lines are compared where their SimHashes share a block: first each with its block's smallest id, then, where
-    a block still holds several components, every two of different components.
+    a block still holds several components, every two of different components. For that the block is cut into chunks
+    of about CHUNK_ROWS lines, and each two chunks meet on a key of their own, so that one block's work is dealt to
+    many tasks and only alike lines become pairs.
     """
     led = _led(simhashes(lines))
     norms = _norms(lines, led.select(F.explode(F.array("a", "b")).alias("id")))
@@ -121,16 +140,24 @@ def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
     several = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     several = several.where("low < high AND n > 2").select("bucket")
     mixed = store(named.join(several, "bucket", "left_semi").join(right, "b"), "mixed")
-    one = mixed.select("bucket", F.col("b").alias("a"), F.col("component").alias("of_a"), F.col("norm_b").alias("norm_a"))
-    two = mixed.select("bucket", "b", F.col("component").alias("of_b"), "norm_b")
-    apart = one.join(two, on=[one["bucket"] == two["bucket"], F.col("of_a") < F.col("of_b"), alike])
+    held = mixed.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
+    dealt = mixed.join(held, "bucket").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    one = dealt.where("chunk <= k").select(
+        "bucket", F.col("chunk").alias("i"), F.col("k").alias("j"), F.col("b").alias("a"), F.col("component").alias("of_a"), F.col("norm_b").alias("norm_a")
+    )
+    two = dealt.where("k <= chunk").select(
+        F.col("bucket").alias("bucket_b"), F.col("k").alias("i_b"), F.col("chunk").alias("j_b"), "b", F.col("component").alias("of_b"), "norm_b"
+    )
+    met = (F.col("bucket") == F.col("bucket_b")) & (F.col("i") == F.col("i_b")) & (F.col("j") == F.col("j_b"))
+    apart = one.join(two, met & (F.col("of_a") != F.col("of_b")) & alike)
     return connected_components(links.union(apart.select("a", "b")))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = EDITS_PERCENT) -> DataFrame:
     """docs with every repeated line but one removed from its text, and n_lines, n_removed behind its columns.
 
-    Lines are cut at newlines and normalised to letters and digits in lower case. Those of at least LEAST_WORDS words
+    Lines are cut at newlines, put in lower case and trimmed. Those of at least LEAST_WORDS words
     that are equal so, or alike in edit distance over any number of steps, are one group; its occurrence in the
     smallest key's first line stays. Equal lines are collapsed before anything is compared, and the lists of lines
     to remove are joined to the documents once.
@@ -141,9 +168,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     """
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     given = given.select("row", F.col(f"row.`{key}`").alias("key"), F.col(f"row.`{text}`").alias("text"))
-    lines = store(lines_of(given), "lines")
-    groups = line_groups(lines, percent).withColumnRenamed("node", "id")
-    places = lines.select("key", "line", "id").join(groups, "id", "left")
+    groups = line_groups(lines_of(given), percent).withColumnRenamed("node", "id")
+    places = store(lines_of(given).select("key", "line", "id"), "lines").join(groups, "id", "left")
     places = places.select("key", "line", F.coalesce("component", "id").alias("root"))
     first = places.groupBy("root").agg(F.min(F.struct("key", "line")).alias("first"), F.count("*").alias("n"))
     repeated = places.join(first.where("n > 1").select("root", "first"), "root")

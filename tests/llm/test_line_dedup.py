@@ -104,13 +104,16 @@ def test_near_lines_and_chains(spark):
 
 
 def test_simhash_is_the_majority(spark):
-    text = "alpha beta gamma delta epsilon " * 70 + "alpha omega"
+    text = "alpha beta gamma delta epsilon " * 70 + " ".join(f"w{k}" for k in range(300))
     lines = L.lines_of(spark.createDataFrame([(1, text), (2, "one two three")], "key bigint, text string"))
-    words = {r["norm"]: r["norm"].split(" ") for r in lines.collect()}
+    words = {r["norm"]: list(dict.fromkeys(r["norm"].split(" "))) for r in lines.collect()}
     every = sorted({w for ws in words.values() for w in ws})
     table = spark.createDataFrame([(w,) for w in every], "w string")
     hashes = {r["w"]: [r[f"h{b}"] for b in range(L.BLOCKS)] for r in table.select("w", *[F.xxhash64(F.lit(b), "w").alias(f"h{b}") for b in range(L.BLOCKS)]).collect()}
-    parts = [ws[at : at + L.PART_WORDS] for ws in words.values() for at in range(0, len(ws), L.PART_WORDS)]
+    parts = []
+    for ws in words.values():
+        size = -(-len(ws) // -(-len(ws) // L.PART_WORDS))
+        parts += [ws[at : at + size] for at in range(0, len(ws), size)]
 
     def masks(part, b):
         """The majority bits of a block, in the top bits of the fields of its longs."""
