@@ -145,9 +145,13 @@ def _cut(docs: DataFrame, path: str, window: int) -> DataFrame:
         for batch in batches:
             rows = []
             for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
-                data, terms = ids.tobytes(), np.unique(ids)
-                if len(holders) <= terms[-1]:
-                    holders = np.concatenate([holders, np.zeros(int(terms[-1]) + 1 - len(holders), dtype=np.int64)])
+                most = int(ids.max())
+                if len(holders) <= most:
+                    holders = np.concatenate([holders, np.zeros(most + 1 - len(holders), dtype=np.int64)])
+                    present = np.zeros(most + 1, dtype=bool)
+                present[ids] = True
+                data, terms = ids.tobytes(), np.flatnonzero(present)
+                present[terms] = False
                 holders[terms] += 1
                 documents += 1
                 whole = len(ids) // window * window
