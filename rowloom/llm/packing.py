@@ -25,8 +25,8 @@ SHARD_ROWS = 512
 #: Remainder bytes that one packing task should read.
 TASK_BYTES = 16 << 20
 #: Distinct pieces of text whose ids a task process remembers.
-CORE_PIECES, RECENT_PIECES = 400_000, 200_000
-#: Bytes of text encoded at once; a longer text by itself.
+CORE_PIECES, RECENT_PIECES = 300_000, 100_000
+#: Bytes of text whose distinct pieces are found together.
 ENCODE_BYTES = 4 << 20
 #: BM25's saturation and length weights.
 K1, B = 1.2, 0.75
@@ -94,8 +94,7 @@ class _Encoder:
         for content in self.special:
             whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         row = 0
-        for raw, cuts, rows in bpe.pieces(texts, ENCODE_BYTES):
-            hashes = polynomial(np.frombuffer(raw, dtype=np.uint8), cuts[:-1], cuts[1:])
+        for raw, cuts, rows, hashes in _gathered(texts):
             _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
             slices = map(slice, cuts[first].tolist(), cuts[first + 1].tolist())
             found = self._known(list(map(raw.__getitem__, slices)))
@@ -116,6 +115,22 @@ class _Encoder:
 _END = np.zeros(1, dtype="<u4")
 
 
+def _gathered(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """What bpe.pieces gives, with the hash of each piece, for several blocks of text as one."""
+    raws, cuts, rows, hashes, size, count = [], [], [], [], 0, 0
+    for raw, at, first in bpe.pieces(texts):
+        raws.append(raw)
+        cuts.append(at[:-1] + size)
+        rows.append(first[:-1] + count)
+        hashes.append(polynomial(np.frombuffer(raw, dtype=np.uint8), at[:-1], at[1:]))
+        size, count = size + len(raw), count + len(at) - 1
+        if size >= ENCODE_BYTES:
+            yield b"".join(raws), np.concatenate([*cuts, [size]]), np.concatenate([*rows, [count]]), np.concatenate(hashes)
+            raws, cuts, rows, hashes, size, count = [], [], [], [], 0, 0
+    if raws:
+        yield b"".join(raws), np.concatenate([*cuts, [size]]), np.concatenate([*rows, [count]]), np.concatenate(hashes)
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
