@@ -60,7 +60,6 @@ def headline(spark):
         "matmul_blocks",
         "project_rows",
         "matrix_diff",
-        "row_chunks",
         "layout_assign_mc_mr",
         "put_get_orders",
         "put_get_vc_star",

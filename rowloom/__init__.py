@@ -49,14 +49,13 @@ from rowloom.operators.layouts import (
     layout_ranges,
     layout_volume,
     route,
-    row_chunks,
 )
 from rowloom.operators.products import collect_dense, gramian, local_rows, matmul, project_rows
 from rowloom.operators.reductions import frobenius_sq, row_dots, row_norms, row_sqdist
 from rowloom.operators.selection import (
     block_slice,
+    block_slices,
     common_rows,
-    partition_profile,
     row_indices,
     row_spine,
     select_rows,

@@ -28,6 +28,22 @@ def sqdist(a, b) -> Column:
     return sq_norm(F.zip_with(a, b, lambda x, y: x - y))
 
 
+def paired_or_zero(a, b) -> tuple[Column, Column]:
+    """Two vectors of equal length, where one that is absent reads as zeros; other lengths fail."""
+    a, b = (F.col(v) if isinstance(v, str) else v for v in (a, b))
+    unequal = F.raise_error(F.concat(F.lit("rows of "), F.size(a), F.lit(" and "), F.size(b), F.lit(" elements")))
+    b = F.when(b.isNull(), zeros(F.size(a))).otherwise(b)
+    a = F.when(a.isNull(), zeros(F.size(b))).otherwise(a)
+    return F.when(F.size(a) == F.size(b), a).otherwise(unequal.cast("array<double>")), b
+
+
+def index(column) -> Column:
+    """A row or column index as BIGINT; a negative one fails in the projection that reads it."""
+    column = (F.col(column) if isinstance(column, str) else column).cast("bigint")
+    negative = F.raise_error(F.concat(F.lit("negative index "), column)).cast("bigint")
+    return F.when(column < 0, negative).otherwise(column)
+
+
 def zeros(n) -> Column:
     """A vector of ``n`` zeros."""
     n = F.lit(n) if isinstance(n, int) else n
@@ -48,7 +64,8 @@ def strided(v, start, end, step) -> Column:
 def fill_gaps(cells, n) -> Column:
     """Dense vector of length ``n`` from ``cells``, an array of (j, x) structs sorted by distinct ``j``.
 
-    Linear in ``n``: each cell contributes the run of zeros in front of it and its value.
+    Linear in ``n``: each cell contributes the run of zeros in front of it and its value. A negative, repeated or
+    unsorted ``j`` fails, and so does one of ``n`` or more.
     """
     cells = F.col(cells) if isinstance(cells, str) else cells
     n = F.lit(n) if isinstance(n, int) else n
@@ -63,4 +80,6 @@ def fill_gaps(cells, n) -> Column:
     full = F.transform(cells, lambda c: c["x"])
     padded = F.concat(F.flatten(runs), zeros(n - 1 - last))
     outside = F.raise_error(F.concat(F.lit("column index "), last, F.lit(" outside a matrix of width "), n))
-    return F.when(last >= n, outside.cast("array<double>")).when(F.size(cells) == n, full).otherwise(padded)
+    disordered = F.exists(F.zip_with(cells, before, lambda c, p: c["j"] <= p["j"]), lambda bad: bad)
+    repeated = F.raise_error(F.lit("column indices are negative or repeat"))
+    return F.when(disordered, repeated.cast("array<double>")).when(last >= n, outside.cast("array<double>")).when(F.size(cells) == n, full).otherwise(padded)

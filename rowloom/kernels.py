@@ -73,6 +73,22 @@ def gram_partials(n: int, piece_bytes: int):
     return run
 
 
+def whitened_partials(w: np.ndarray, piece_bytes: int):
+    """Partial (XW)'(XW) of one partition of vectors."""
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            for cut in row_slices(batch, w.shape[0]):
+                x = dense(cut.column("v"), w.shape[0]) @ w
+                total = np.zeros((w.shape[1], w.shape[1])) if total is None else total
+                total += x.T @ x
+        if total is not None:
+            yield from pieces(total, piece_bytes)
+
+    return run
+
+
 def normal_partials(q: np.ndarray, piece_bytes: int):
     """Partial X'(XQ) of one partition of vectors."""
 
@@ -89,6 +105,17 @@ def normal_partials(q: np.ndarray, piece_bytes: int):
     return run
 
 
+def add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the pieces of one chunk from one group of tasks, batch by batch."""
+    first, total = 0, None
+    for batch in batches:
+        first = batch.column("c")[0].as_py()
+        for raw in batch.column("part"):
+            part = np.frombuffer(raw.as_buffer(), dtype=np.float64)
+            total = part.copy() if total is None else total + part
+    yield pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["c", "part"])
+
+
 def sum_pieces(width: int):
     """Add the pieces of one chunk, batch by batch, and emit its rows."""
 
@@ -113,7 +140,7 @@ def project(b: np.ndarray):
 
     def run(batches):
         for batch in batches:
-            for cut in row_slices(batch, b.shape[0]):
+            for cut in row_slices(batch, max(b.shape)):
                 yield row_batch(cut.column("i"), dense(cut.column("v"), b.shape[0]) @ b)
 
     return run

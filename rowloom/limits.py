@@ -24,8 +24,8 @@ SQL_GRAM_COLS = 8
 # Bytes of one shuffled piece of a partial sum.
 PIECE_BYTES = 64 << 10
 
-# Rows of one rank bucket: the largest group a window function sorts in one task.
-RANK_BUCKET_ROWS = 1 << 20
+# Partial sums of one piece that a task of the first level adds up.
+PARTIALS_PER_SUM = 64
 
 
 def check_row_width(n: int) -> int:
@@ -41,12 +41,3 @@ def check_driver_bytes(size: int, what: str) -> None:
     """Refuse a driver-side array beyond the agreed working set."""
     if size > DRIVER_BYTES:
         raise ValueError(f"{what} needs {size} bytes on the driver; the limit is {DRIVER_BYTES}")
-
-
-def long_tasks(spark) -> int:
-    """Task count for passes in which every task returns one partial sum: a few waves over the cluster.
-
-    It bounds what the merge of one piece has to read to this many pieces, however many files A has.
-    """
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(4 * spark.sparkContext.defaultParallelism, shuffle)

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom import kernels
-from rowloom.limits import BROADCAST_BYTES, DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes, long_tasks
+from rowloom.limits import BROADCAST_BYTES, DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes
 from rowloom.operators.catalog import row_width
 from rowloom.operators.forms import to_rows, transpose
 from rowloom.operators.products import collect_dense, gramian, local_rows, project_rows, summed, vectors
 from rowloom.operators.reductions import frobenius_sq, row_sqdist
 
-# Partial R factors merged by one task of the QR tree.
-QR_FAN_IN = 16
+# Partial R factors merged by one task on the two lower levels of the QR tree.
+QR_FAN_IN = 64
 
 # Blocks of basis vectors kept before a Krylov run restarts from its best approximations: at most, and the
 # fewest that still converge usefully.
@@ -42,16 +42,34 @@ def _from_gram(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.sqrt(np.clip(values[::-1], 0.0, None)), basis[:, ::-1]
 
 
+def _refined(rows: DataFrame, sigma: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Singular values that rounding hides in A'A, from a second pass over A in the basis that the first one found.
+
+    A W with W = V / sigma has columns of similar size, small ones raised to the noise floor, so its own Gram matrix
+    hides nothing. From that R'R = (A W)'(A W), and A = (A W) W^-1 has the singular values of R W^-1 (n x n).
+    """
+    n = len(sigma)
+    scale = np.maximum(sigma, sigma[0] * _floor(n))
+    partials = vectors(rows).mapInArrow(kernels.whitened_partials(basis / scale, PIECE_BYTES), kernels.PARTIAL_SCHEMA)
+    gram = collect_dense(summed(partials, n), n, n, "the Gram matrix")
+    values, turned = np.linalg.eigh(gram)
+    root = np.sqrt(np.clip(values, 0.0, None))[:, None] * turned.T
+    _, found, vt = np.linalg.svd(root * scale @ basis.T)
+    return found, vt.T
+
+
+def _floor(n: int) -> float:
+    """Singular values below this part of the largest are lost in A'A."""
+    return float(np.sqrt(n * np.finfo(np.float64).eps))
+
+
 def _from_qr(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Singular values without squaring the condition number: R factors merged up a tree, one shuffle a level."""
+    """Singular values without squaring the condition number: R factors merged up a tree of three levels."""
     if n > QR_MAX_COLS:
         raise ValueError(f"tall-skinny QR of {n} columns exceeds {QR_MAX_COLS}; use method='krylov'")
-    tasks = long_tasks(rows.sparkSession)
     level = vectors(rows).mapInArrow(kernels.qr_partials(n), kernels.PARTIAL_SCHEMA)
-    while tasks > 1:
-        grouped = level.withColumn("c", F.expr(f"c div {QR_FAN_IN}")).groupBy("c")
-        level = grouped.applyInArrow(kernels.merge_r(n), kernels.PARTIAL_SCHEMA)
-        tasks = -(-tasks // QR_FAN_IN)
+    for merged in (f"c div {QR_FAN_IN}", f"c div {QR_FAN_IN}", "0L"):
+        level = level.withColumn("c", F.expr(merged)).groupBy("c").applyInArrow(kernels.merge_r(n), kernels.PARTIAL_SCHEMA)
     parts = level.select("part").collect()
     if not parts:
         raise ValueError("an empty matrix has no singular values")
@@ -108,10 +126,11 @@ def _from_krylov(
 
 
 def _signed(basis: np.ndarray) -> np.ndarray:
-    """Flip each column so that its largest component (the first of them on ties) is positive."""
+    """Flip each column so that its largest component (the first of those equal up to rounding) is positive."""
     if basis.size == 0:
         return basis
-    top = np.abs(basis).argmax(axis=0)
+    size = np.abs(basis)
+    top = (size >= size.max(axis=0) * (1 - 1e-9)).argmax(axis=0)
     signs = np.sign(basis[top, np.arange(basis.shape[1])])
     return basis * np.where(signs == 0, 1.0, signs)
 
@@ -122,7 +141,7 @@ def truncated_svd(
     method: str = "auto",
     num_cols: int | None = None,
     rcond: float = 1e-9,
-    tol: float = 1e-4,
+    tol: float = 1e-8,
     max_passes: int = 200,
     seed: int = 1000,
 ) -> SVD:
@@ -130,9 +149,10 @@ def truncated_svd(
 
     ``method``: 'gram' (one pass, up to 4,096 columns), 'krylov' (any width, several passes; cache A if it
     fits), 'tsqr' (one pass, up to 2,048 columns, small values stay accurate), 'auto' (gram when it fits, else
-    krylov). Values at or below ``rcond`` times the largest are dropped, so fewer than k may return. The
-    first two work on A'A, whose rounding hides values below about 1e-8 of the largest; for them ``rcond``
-    is at least sqrt(n * machine epsilon). In every column of V the component of largest magnitude is
+    krylov). Values at or below ``rcond`` times the largest are dropped, so fewer than k may return. 'gram' works
+    on A'A, whose rounding hides values below about 1e-8 of the largest; where the k-th value comes near that, a
+    second pass in the basis found recovers it. 'krylov' cannot: its ``rcond`` is at least sqrt(n * machine epsilon).
+    In every column of V the component of largest magnitude is
     positive, and U follows. A matrix in cells or blocks is assembled into rows on every pass; store rows to
     avoid that.
     """
@@ -144,14 +164,16 @@ def truncated_svd(
         method = "gram" if n <= GRAM_MAX_COLS else "krylov"
     if method == "gram":
         sigma, v = _from_gram(rows, n)
+        if rcond < _floor(n) and sigma[0] > 0 and sigma[k - 1] <= 10 * _floor(n) * sigma[0]:
+            sigma, v = _refined(rows, sigma, v)
     elif method == "tsqr":
         sigma, v = _from_qr(rows, n)
     elif method == "krylov":
         sigma, v = _from_krylov(rows, n, k, tol, max_passes, seed)
     else:
         raise ValueError(f"unknown method {method!r}; known: auto, gram, krylov, tsqr")
-    if method != "tsqr":
-        rcond = max(rcond, float(np.sqrt(n * np.finfo(np.float64).eps)))
+    if method == "krylov":
+        rcond = max(rcond, _floor(n))
     sigma = sigma[:k]
     sigma = sigma[sigma > rcond * sigma[0]]
     v = np.ascontiguousarray(_signed(v[:, : len(sigma)]))

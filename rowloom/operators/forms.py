@@ -1,21 +1,28 @@
 """Conversions between row, cell and block form, zero filling and transposition."""
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom import kernels
-from rowloom.functions.vectors import fill_gaps, zeros
+from rowloom.functions.vectors import fill_gaps, index as valid_index, zeros
 from rowloom.limits import check_row_width
 from rowloom.operators.catalog import BLOCKS, CELLS, dims, form_of, of_width, require_unique, row_width
 from rowloom.operators.selection import row_spine
 
 
 def as_rows(table: DataFrame, index, *values) -> DataFrame:
-    """Row form from an index column and either one array column or several numeric columns."""
+    """Row form from an index column and either one array or MLlib vector column or several numeric columns.
+
+    A negative index fails.
+    """
     index = F.col(index) if isinstance(index, str) else index
     columns = [F.col(v) if isinstance(v, str) else v for v in values]
     vector = columns[0] if len(columns) == 1 else F.array(*[c.cast("double") for c in columns])
-    return table.select(index.cast("bigint").alias("i"), vector.cast("array<double>").alias("v"))
+    if isinstance(table.select(vector).schema[0].dataType, VectorUDT):
+        vector = vector_to_array(vector)
+    return table.select(valid_index(index).alias("i"), vector.cast("array<double>").alias("v"))
 
 
 def rows_to_coo(rows: DataFrame) -> DataFrame:
@@ -85,7 +92,7 @@ def _rows_to_blocks(rows: DataFrame, block_rows: int, block_cols: int, m: int, n
     """Cut each row into column segments, then stack the segments of a tile: one shuffle of the data."""
     cuts = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block_cols)))
     segment = F.slice("v", F.col("bj") * block_cols + 1, F.lit(block_cols))
-    cut = of_width(rows, n).select("i", "v", cuts.alias("bj")).select(
+    cut = of_width(rows, n).select(valid_index("i").alias("i"), "v", cuts.alias("bj")).select(
         _tile("i", block_rows).alias("bi"),
         F.col("bj").cast("bigint").alias("bj"),
         F.struct((F.col("i") % block_rows).cast("int").alias("r"), segment.alias("seg")).alias("s"),
@@ -123,7 +130,8 @@ def cells_to_blocks(
     check_row_width(block_rows * block_cols)
     nr = F.least(F.lit(block_rows), num_rows - F.col("bi") * block_rows).cast("int")
     nc = F.least(F.lit(block_cols), num_cols - F.col("bj") * block_cols).cast("int")
-    placed = _summed(cells, unique).select(
+    checked = cells.select(valid_index("i").alias("i"), valid_index("j").alias("j"), "x")
+    placed = _summed(checked, unique).select(
         _tile("i", block_rows).alias("bi"), _tile("j", block_cols).alias("bj"), "i", "j", "x"
     )
     offset = (F.col("i") % block_rows) * nc + F.col("j") % block_cols

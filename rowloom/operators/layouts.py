@@ -5,18 +5,13 @@ keep copies explode only the free grid coordinate.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowloom.limits import RANK_BUCKET_ROWS
+from rowloom.functions.vectors import index
 from rowloom.operators.catalog import BLOCKS, CELLS, ROWS, form_of
 from rowloom.operators.forms import blocks_to_cells
 from rowloom.operators.grids import LAYOUTS, Grid, column_step, coordinates, row_step
 
-# Fixed value: bytes per transfer message when none are given.
-BUFFER_BYTES = 10_000_000
-
-
 def _known(layout: str) -> str:
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}; known: {sorted(LAYOUTS)}")
@@ -39,7 +34,7 @@ def _every(count: int):
 
 def _place(frame: DataFrame, layout: str, grid: Grid, j) -> DataFrame:
     """Add a, b and owner; one output record per copy."""
-    a, b = coordinates(layout, F.col("i"), j, grid)
+    a, b = coordinates(layout, index("i"), index(j), grid)
     frame = frame.withColumn("a", _every(grid.rows) if a is None else a.cast("int"))
     frame = frame.withColumn("b", _every(grid.cols) if b is None else b.cast("int"))
     return frame.withColumn("owner", grid.owner(F.col("a"), F.col("b")))
@@ -143,64 +138,13 @@ def _owned(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
     return placed.groupBy("owner", "i").agg(F.count("*").alias("count"))
 
 
-def _message_plan(buffer_bytes: int) -> dict:
-    """Messages that move ``elements`` doubles through a buffer, and how many of ``rows`` each one takes."""
-    messages = F.expr(f"(8 * elements - 1) div {buffer_bytes} + 1")
-    per_message = F.greatest(F.lit(1).cast("bigint"), F.expr("rows div messages"))
-    return {"messages": messages, "rows_per_message": per_message}
-
-
-def layout_volume(
-    matrix: DataFrame, layout: str, grid: Grid, buffer_bytes: int = BUFFER_BYTES
-) -> DataFrame:
-    """Rows, elements, bytes and message plan per owner; owners that hold nothing do not appear.
-
-    Messages are what it takes to move the elements through a buffer; a message never has fewer than one row.
-    """
+def layout_volume(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
+    """Rows, elements and bytes per owner; owners that hold nothing do not appear."""
     _known(layout)
     totals = _owned(matrix, layout, grid).groupBy("owner").agg(
         F.count("*").alias("rows"), F.sum(F.col("count").cast("bigint")).alias("elements")
     )
-    planned = totals.withColumn("bytes", 8 * F.col("elements"))
-    for name, value in _message_plan(buffer_bytes).items():
-        planned = planned.withColumn(name, value)
-    return planned
-
-
-def row_chunks(
-    matrix: DataFrame,
-    layout: str,
-    grid: Grid,
-    buffer_bytes: int = BUFFER_BYTES,
-    bucket_rows: int = RANK_BUCKET_ROWS,
-) -> DataFrame:
-    """Number of the message that carries each owned row: (owner, i, chunk), rows in index order.
-
-    A row's rank inside its owner is the count of rows in earlier index buckets plus its rank in its own
-    bucket. Rows are sorted one bucket at a time; only the table of bucket counts, a millionth of the rows,
-    is brought together per owner, and it carries the owner's message plan as well. A repeated row index
-    fails.
-    """
-    _known(layout)
-    owned = _owned(matrix, layout, grid).withColumn("bucket", F.expr(f"i div {bucket_rows}"))
-    counts = owned.groupBy("owner", "bucket").agg(F.count("*").alias("held"), F.sum("count").alias("size"))
-    whole = W.partitionBy("owner")
-    earlier = whole.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        "owner",
-        "bucket",
-        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
-        F.sum("held").over(whole).alias("rows"),
-        F.sum("size").over(whole).alias("elements"),
-    )
-    for name, value in _message_plan(buffer_bytes).items():
-        offsets = offsets.withColumn(name, value)
-    offsets = offsets.select("owner", "bucket", "before", "rows_per_message")
-    in_order = W.partitionBy("owner", "bucket").orderBy("i")
-    repeated = F.raise_error(F.concat(F.lit("repeated row index "), "i")).cast("int")
-    inside = F.when(F.lag("i").over(in_order) == F.col("i"), repeated).otherwise(F.row_number().over(in_order) - 1)
-    ranked = owned.select("owner", "i", "bucket").withColumn("inside", inside).join(offsets, ["owner", "bucket"])
-    return ranked.select("owner", "i", F.expr("(before + inside) div rows_per_message").alias("chunk"))
+    return totals.withColumn("bytes", 8 * F.col("elements"))
 
 
 def route(pieces: DataFrame, grid: Grid, buckets: int = 1) -> DataFrame:

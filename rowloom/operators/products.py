@@ -12,10 +12,10 @@ from rowloom.functions.vectors import zeros
 from rowloom.limits import (
     BROADCAST_BYTES,
     GRAM_MAX_COLS,
+    PARTIALS_PER_SUM,
     PIECE_BYTES,
     SQL_GRAM_COLS,
     check_driver_bytes,
-    long_tasks,
 )
 from rowloom.operators.catalog import CELLS, ROWS, dims, form_of, require_unique, row_width
 from rowloom.operators.forms import blocks_to_rows, to_blocks, to_rows
@@ -25,13 +25,19 @@ TILE = 512
 
 
 def vectors(rows: DataFrame) -> DataFrame:
-    """The vectors alone, in a bounded number of long tasks because each one emits a partial result."""
-    return rows.select("v").coalesce(long_tasks(rows.sparkSession))
+    """The vectors alone, in as many tasks as the scan has splits."""
+    return rows.select("v")
 
 
 def summed(partials: DataFrame, width: int) -> DataFrame:
-    """Rows of the sum of all partial results. Each piece is added up as a stream of Arrow batches."""
-    return partials.groupBy("c").applyInArrow(kernels.sum_pieces(width), kernels.ROW_SCHEMA)
+    """Rows of the sum of all partial results, in two levels: first within groups of tasks, then over the groups.
+
+    Each piece is added up as a stream of Arrow batches, and no task reads more than PARTIALS_PER_SUM partial results
+    of a piece on the first level.
+    """
+    near = partials.withColumn("g", F.expr(f"spark_partition_id() div {PARTIALS_PER_SUM}"))
+    near = near.groupBy("c", "g").applyInArrow(kernels.add_pieces, kernels.PARTIAL_SCHEMA)
+    return near.groupBy("c").applyInArrow(kernels.sum_pieces(width), kernels.ROW_SCHEMA)
 
 
 def _sql_gramian(rows: DataFrame, n: int) -> DataFrame:
@@ -74,10 +80,18 @@ def gramian(rows: DataFrame, num_cols: int | None = None) -> DataFrame:
 
 
 def collect_dense(rows: DataFrame, num_rows: int, num_cols: int, what: str) -> np.ndarray:
-    """A small matrix on the driver; its size is checked first. Absent rows are zero."""
+    """A small matrix on the driver; its size is checked first. Absent rows are zero.
+
+    A row index that repeats or lies outside the matrix fails.
+    """
     check_driver_bytes(num_rows * num_cols * 8, what)
     table = rows.select("i", "v").toArrow()
     out = np.zeros((num_rows, num_cols))
+    every = table["i"].to_numpy()
+    if len(every) and not 0 <= every.min() <= every.max() < num_rows:
+        raise ValueError(f"{what} has row indices outside 0..{num_rows - 1}")
+    if len(np.unique(every)) < len(every):
+        raise ValueError(f"{what} has a repeated i")
     for batch in table.to_batches():
         out[batch.column("i").to_numpy()] = kernels.dense(batch.column("v"), num_cols)
     return out
@@ -101,7 +115,7 @@ def project_rows(rows: DataFrame, b, num_cols: int | None = None) -> DataFrame:
             raise ValueError(f"inner dimensions differ: {inner} columns against {k} rows")
         if inner * n * 8 > BROADCAST_BYTES:
             return _row_block_product(rows, b, inner, n)
-        b = collect_dense(require_unique(b), inner, n, "the right factor")
+        b = collect_dense(b, inner, n, "the right factor")
     b = np.asarray(b, dtype=np.float64)
     if b.nbytes > BROADCAST_BYTES:
         return _row_block_product(rows, local_rows(rows.sparkSession, b), *b.shape)

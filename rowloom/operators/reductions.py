@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.functions.vectors import dot, norm, sqdist
+from rowloom.functions.vectors import dot, norm, paired_or_zero, sqdist
 from rowloom.operators.catalog import BLOCKS, CELLS, form_of, require_unique
 
 
@@ -25,13 +25,15 @@ def frobenius_sq(matrix: DataFrame) -> DataFrame:
 
 
 def _paired(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of A next to the row of B with the same index, of which there must be one."""
-    left, right = a.select("i", F.col("v").alias("va")), require_unique(b).select("i", F.col("v").alias("vb"))
-    return left.join(right, "i")
+    """Equally numbered rows of A and B, which must be unique; a row that one of them lacks reads as zeros."""
+    left, right = (require_unique(m).select("i", F.col("v").alias(name)) for m, name in ((a, "va"), (b, "vb")))
+    both = left.join(right, "i", "full")
+    va, vb = paired_or_zero("va", "vb")
+    return both.select("i", va.alias("va"), vb.alias("vb"))
 
 
 def row_sqdist(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Squared distance between equally numbered rows of two matrices; one equi-join on the index."""
+    """Squared distance between equally numbered rows of two matrices; one equi-join on the index. An absent row is zero."""
     return _paired(a, b).select("i", sqdist("va", "vb").alias("sqdist"))
 
 

@@ -1,7 +1,9 @@
-"""Picking rows, columns and blocks; index sets; partition profile."""
+"""Picking rows, columns and blocks; index sets."""
+
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions.vectors import strided
@@ -52,23 +54,41 @@ def _within(column, bounds):
     return inside if step == 1 else inside & ((column - start) % step == 0)
 
 
-def block_slice(matrix: DataFrame, rows, cols) -> DataFrame:
+def block_slices(matrix: DataFrame, ranges, tile: tuple[int, int] | None = None) -> DataFrame:
+    """Cells of several pairs of ranges in one scan, each cell once however many pairs hold it."""
+    cells, wanted = matrix, [(_bounds(rows), _bounds(cols)) for rows, cols in ranges]
+    if form_of(matrix) == BLOCKS:
+        from rowloom.operators.forms import blocks_to_cells
+
+        cells = blocks_to_cells(matrix.where(reduce(Column.__or__, [_touched(r, c, tile) for r, c in wanted])))
+    elif form_of(matrix) != CELLS:
+        from rowloom.operators.forms import rows_to_coo
+
+        cells = rows_to_coo(matrix.where(reduce(Column.__or__, [_within(F.col("i"), r) for r, _ in wanted])))
+    return cells.where(reduce(Column.__or__, [_within(F.col("i"), r) & _within(F.col("j"), c) for r, c in wanted]))
+
+
+def _touched(rows, cols, tile: tuple[int, int] | None):
+    """Tiles that meet both ranges. With the tiles' largest size the lower bounds reach the scan as well."""
+    met = (F.col("i0") <= rows[1]) & (F.col("j0") <= cols[1])
+    if tile is not None:
+        met = met & (F.col("i0") > rows[0] - tile[0]) & (F.col("j0") > cols[0] - tile[1])
+    return met & (F.col("i0") + F.col("nr") > rows[0]) & (F.col("j0") + F.col("nc") > cols[0])
+
+
+def block_slice(matrix: DataFrame, rows, cols, tile: tuple[int, int] | None = None) -> DataFrame:
     """Sub-matrix of two strided ranges ``(start, end, step)``, both ends inclusive, original indices kept.
 
-    Either range may be one index instead: a single row, a single column or one cell. The range on ``i`` (or on the tile origin) is pushed to the scan. Row form returns ``(i, v)`` where
+    Either range may be one index instead: a single row, a single column or one cell. The
+    range on ``i`` is pushed to the scan, and so are both bounds on tile origins where ``tile`` names the tiles' largest
+    size. Row form returns ``(i, v)`` where
     ``v`` holds the selected columns in order; cells and blocks return cells.
     """
     form, rows, cols = form_of(matrix), _bounds(rows), _bounds(cols)
     if form == BLOCKS:
         from rowloom.operators.forms import blocks_to_cells
 
-        touched = (
-            (F.col("i0") <= rows[1])
-            & (F.col("i0") + F.col("nr") > rows[0])
-            & (F.col("j0") <= cols[1])
-            & (F.col("j0") + F.col("nc") > cols[0])
-        )
-        matrix, form = blocks_to_cells(matrix.where(touched)), CELLS
+        matrix, form = blocks_to_cells(matrix.where(_touched(rows, cols, tile))), CELLS
     if form == CELLS:
         return matrix.where(_within(F.col("i"), rows) & _within(F.col("j"), cols))
     return matrix.where(_within(F.col("i"), rows)).select("i", strided("v", *cols).alias("v"))
@@ -97,10 +117,3 @@ def common_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = spread.select("i", "chunk", here.cast("int").alias("here")).repartition(tasks, "i", "chunk")
     return spread.select(F.explode(F.array_repeat("i", F.col("here"))).alias("i"))
-
-
-def partition_profile(matrix: DataFrame) -> DataFrame:
-    """Records and index range held by each Spark partition."""
-    return matrix.groupBy(F.spark_partition_id().alias("partition")).agg(
-        F.count("*").alias("records"), F.min("i").alias("first_i"), F.max("i").alias("last_i")
-    )

@@ -1,6 +1,6 @@
 """Matrices read from the given tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.forms import as_rows
@@ -78,11 +78,11 @@ def document_count(spark: SparkSession, sf_dir: str) -> int:
 def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User x event-type counts in cells; column j is the rank of the type's name among all types."""
     events = table(spark, sf_dir, "events")
-    names = events.agg(F.array_sort(F.collect_set("event_type"))).scalar()
+    kinds = events.select("event_type").where("event_type IS NOT NULL").distinct()
+    place = F.row_number().over(Window.orderBy("event_type")) - 1
+    ranks = kinds.select("event_type", place.cast("bigint").alias("j"))
     counts = events.groupBy("user_id", "event_type").agg(F.count("*").cast("double").alias("x"))
-    return counts.select(
-        F.col("user_id").alias("i"), (F.array_position(names, F.col("event_type")) - 1).alias("j"), "x"
-    )
+    return counts.join(ranks, "event_type").select(F.col("user_id").alias("i"), "j", "x")
 
 
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:

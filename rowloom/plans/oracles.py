@@ -56,18 +56,10 @@ def assigned(layout: str, source: str, columns: str = "i, j, x") -> str:
        CAST(g.a + g.b * {R} AS INTEGER) AS owner FROM {source} JOIN g ON {match}"""
 
 
-def volume(layout: str, ctes: str, source: str, buffer: int) -> str:
+def volume(layout: str, ctes: str, source: str) -> str:
     return f"""WITH {ctes}, {GRID}, t AS ({assigned(layout, source, "i, j")}),
-       s AS (SELECT owner, CAST(count(DISTINCT i) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS elements FROM t GROUP BY owner),
-       p AS (SELECT *, CAST(8 * elements AS BIGINT) AS bytes, CAST(ceil(8 * elements / {buffer}.0) AS BIGINT) AS messages FROM s)
-       SELECT *, CAST(greatest(1, rows // messages) AS BIGINT) AS rows_per_message FROM p"""
-
-
-def chunked(layout: str, ctes: str, source: str, buffer: int) -> str:
-    return f"""WITH v AS ({volume(layout, ctes, source, buffer)}), {ctes}, {GRID},
-       t AS ({assigned(layout, source, "i, j")}), r AS (SELECT DISTINCT owner, i FROM t)
-       SELECT owner, i, CAST((row_number() OVER (PARTITION BY owner ORDER BY i) - 1) // rows_per_message AS BIGINT) AS chunk
-       FROM r JOIN v USING (owner)"""
+       s AS (SELECT owner, CAST(count(DISTINCT i) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS elements FROM t GROUP BY owner)
+       SELECT *, CAST(8 * elements AS BIGINT) AS bytes FROM s"""
 
 
 def _ranges() -> str:
@@ -103,12 +95,16 @@ def tiles(source: str, rows: int, cols: int, m: str, n: str) -> str:
 
 
 def uniform(i: str, j: str, seed: int) -> tuple[str, str]:
-    """Three rounds of the integer generator as nested subqueries over columns i, j."""
-    p = 2147483647
-    query = f"SELECT i, j, CAST((({i} % {p}) * 100003 + {j} + {seed}) % {p} AS BIGINT) AS s FROM c"
-    for _ in range(3):
-        query = f"SELECT i, j, ((s * s) % {p} + (s * 48271) % {p} + 12345) % {p} AS s FROM ({query})"
-    return query, f"s / CAST({p} AS DOUBLE)"
+    """The two words of the generator as nested subqueries over columns i, j."""
+    mixed = lambda x, p: f"((({x}) * ({x})) % {p} + (({x}) * 48271) % {p} + 12345) % {p}"
+    primes = (2147483647, 2147483629)
+    columns = lambda f: ", ".join(f"CAST({f(k, p)} AS BIGINT) AS w{k}" for k, p in enumerate(primes))
+    query = f"SELECT {i} AS i, {j} AS j, {columns(lambda k, p: f'{i} % {p}')} FROM c"
+    query = f"SELECT i, j, {columns(lambda k, p: f'({mixed(f"w{k}", p)} + i // {p} + {seed}) % {p}')} FROM ({query})"
+    query = f"SELECT i, j, {columns(lambda k, p: f'({mixed(f"w{k}", p)} + j) % {p}')} FROM ({query})"
+    for _ in range(2):
+        query = f"SELECT i, j, {columns(lambda k, p: mixed(f'w{k}', p))} FROM ({query})"
+    return query, f"(w0 + w1 / CAST({primes[1]} AS DOUBLE)) / CAST({primes[0]} AS DOUBLE)"
 
 
 def _random() -> str:
@@ -237,12 +233,8 @@ def all_oracles() -> dict[str, str]:
             UNION ALL SELECT s_suppkey, CAST(1 AS INTEGER), s_acctbal FROM supplier""",
         "common_rows": "SELECT o_custkey AS i FROM orders INTERSECT ALL SELECT user_id FROM events",
         "layout_ranges": _ranges(),
-        "layout_volume_orders": volume("VC_STAR", O, "o", 10_000),
-        "layout_volume_cells": volume("MC_MR", EV, "ev", 1000),
-        "row_chunks": chunked("VC_STAR", O, "o", 10_000),
-        "row_chunks_grid": chunked("MC_MR", LB, "lb", 512),
-        "route": f"""WITH {GRID}, o AS (SELECT o_orderkey AS i, 0 AS j FROM orders), t AS ({assigned("VC_STAR", "o", "i")})
-            SELECT owner, owner AS home, count(*) AS records FROM t GROUP BY owner""",
+        "layout_volume_orders": volume("VC_STAR", O, "o"),
+        "layout_volume_cells": volume("MC_MR", EV, "ev"),
         "grid_table": f"""WITH {GRID}, o AS (SELECT o_orderkey AS i, 0 AS j FROM orders), t AS ({assigned("VR_STAR", "o", "i")})
             SELECT owner AS worker, a, b, count(*) AS records FROM t GROUP BY owner, a, b""",
         "frobenius_sq": ENERGY,
@@ -290,7 +282,7 @@ def all_oracles() -> dict[str, str]:
         found[f"layout_assign_{name.lower()}"] = sql
         found[f"layout_pieces_{name.lower()}"] = sql
     for name in ("MC_MR", "VC_STAR", "MR_STAR", "STAR_STAR"):
-        found[f"layout_volume_{name.lower()}"] = volume(name, E, "e", 4096)
+        found[f"layout_volume_{name.lower()}"] = volume(name, E, "e")
     for name in ("MC_MR", "MR_MC", "VC_STAR", "VR_STAR", "MC_STAR", "STAR_MR", "STAR_VC", "STAR_MD", "STAR_STAR", "CIRC_CIRC"):
         found[f"put_get_{name.lower()}"] = E_ALL
     return found

@@ -23,13 +23,12 @@ from rowloom.operators.forms import (
     zero_fill,
 )
 from rowloom.operators.grids import LAYOUTS, Grid
-from rowloom.operators.layouts import grid_table, layout_assign, layout_ranges, layout_volume, route, row_chunks
+from rowloom.operators.layouts import grid_table, layout_assign, layout_ranges, layout_volume
 from rowloom.operators.products import gramian, matmul, project_rows
 from rowloom.operators.reductions import frobenius_sq, row_dots, row_norms, row_sqdist
 from rowloom.operators.selection import (
     block_slice,
     common_rows,
-    partition_profile,
     row_indices,
     row_spine,
     select_rows,
@@ -245,10 +244,6 @@ def common(spark, sf):
     return common_rows(placed, seen)
 
 
-def profile(spark, sf):
-    return partition_profile(M.orders(spark, sf))
-
-
 # Layouts
 
 
@@ -270,30 +265,15 @@ def ranges(spark, sf):
 
 
 def volume(layout, spark, sf):
-    return layout_volume(M.embeddings(spark, sf), layout, GRID, 4096)
+    return layout_volume(M.embeddings(spark, sf), layout, GRID)
 
 
 def volume_orders(spark, sf):
-    return layout_volume(M.orders(spark, sf), "VC_STAR", GRID, 10_000)
+    return layout_volume(M.orders(spark, sf), "VC_STAR", GRID)
 
 
 def volume_cells(spark, sf):
-    return layout_volume(M.event_counts(spark, sf), "MC_MR", GRID, 1000)
-
-
-def chunks(spark, sf):
-    return row_chunks(M.orders(spark, sf), "VC_STAR", GRID, 10_000, bucket_rows=1024)
-
-
-def chunks_grid(spark, sf):
-    return row_chunks(M.labels(spark, sf), "MC_MR", GRID, 512)
-
-
-def routed(spark, sf):
-    """Every owner's pieces sit in its own partitions: owner and partition agree for each record."""
-    pieces = route(layout_assign(M.orders(spark, sf), "VC_STAR", GRID), GRID, buckets=4)
-    held = pieces.select("owner", F.expr("CAST(spark_partition_id() div 4 AS INT)").alias("home"))
-    return held.groupBy("owner", "home").agg(F.count("*").alias("records"))
+    return layout_volume(M.event_counts(spark, sf), "MC_MR", GRID)
 
 
 def grid_of_workers(spark, sf):
@@ -518,13 +498,9 @@ def all_queries() -> dict[str, Query]:
         "block_slice_blocks": sliced_blocks,
         "union_rows": united,
         "common_rows": common,
-        "partition_profile": profile,
         "layout_ranges": ranges,
         "layout_volume_orders": volume_orders,
         "layout_volume_cells": volume_cells,
-        "row_chunks": chunks,
-        "row_chunks_grid": chunks_grid,
-        "route": routed,
         "grid_table": grid_of_workers,
         "frobenius_sq": partial(squares, M.embeddings, 6),
         "frobenius_sq_lines": partial(squares, M.lines, 4),

@@ -4,6 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom.functions.vectors import index as valid_index
 from rowloom.operators.catalog import require_unique
 from rowloom.operators.forms import coo_to_rows, rows_to_coo
 
@@ -24,7 +25,7 @@ def read_libsvm_matrix(
     if num_features is not None:
         reader = reader.option("numFeatures", num_features)
     lines = reader.load(path)
-    index, vector = F.col("label").cast("bigint").alias("i"), vector_to_array("features").alias("v")
+    index, vector = valid_index("label").alias("i"), vector_to_array("features").alias("v")
     if on_duplicate == "first":
         place = F.struct(
             F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
@@ -32,5 +33,5 @@ def read_libsvm_matrix(
         return lines.select(index, vector, place.alias("place")).groupBy("i").agg(F.min_by("v", "place").alias("v"))
     rows = lines.select(index, vector)
     if on_duplicate == "sum":
-        return coo_to_rows(rows_to_coo(rows), num_features)
+        return coo_to_rows(rows_to_coo(rows).where("x <> 0"), num_features)
     return require_unique(rows) if on_duplicate == "error" else rows

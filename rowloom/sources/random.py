@@ -6,32 +6,45 @@ from pyspark.sql import functions as F
 from rowloom.limits import check_row_width
 from rowloom.operators.selection import row_spine
 
-# Fixed values of the generator: the Mersenne prime 2^31-1, the multiplier of the public minimal-standard
-# generator, a row stride and an increment.
-PRIME = 2147483647
+# Fixed values of the generator: the two largest primes below 2^31, the multiplier of the public minimal-standard
+# generator and an increment.
+PRIMES = (2147483647, 2147483629)
 MULTIPLIER = 48271
-STRIDE = 100003
 INCREMENT = 12345
-ROUNDS = 3
 
 
-def _mixed(x):
-    return ((x * x) % PRIME + (x * MULTIPLIER) % PRIME + INCREMENT) % PRIME
+def _mixed(x, prime: int):
+    return ((x * x) % prime + (x * MULTIPLIER) % prime + INCREMENT) % prime
+
+
+def _row_word(prime: int, seed: int):
+    """A word that all bits of the row index go into: its remainder is mixed before its quotient is added."""
+    return _mixed((_mixed(F.col("i") % prime, prime) + F.expr(f"i div {prime}") + seed) % prime, prime)
 
 
 def random_rows(spine: DataFrame, num_cols: int, seed: int = 1000) -> DataFrame:
     """A row of uniform values in [0, 1) for every index ``i`` of ``spine``. Narrow.
 
-    An element depends on its indices and the seed only, so a lost task recomputes the same matrix. The
-    rounds are separate passes over the row, because a lambda would repeat an operand it uses twice.
+    An element depends on its indices and the seed only, so a lost task recomputes the same matrix. It is made of two
+    words with different moduli, each mixed from the row's word and the column, so rows neither repeat nor are
+    shifted copies of others. The rounds are separate passes over the row, because a lambda would repeat an operand
+    it uses twice.
     """
     check_row_width(num_cols)
-    start = (F.col("i") % PRIME) * STRIDE + seed
-    columns = F.sequence(F.lit(0).cast("bigint"), F.lit(num_cols - 1).cast("bigint"))
-    states = F.transform(columns, lambda j: (start + j) % PRIME)
-    for _ in range(ROUNDS):
-        states = F.transform(states, _mixed)
-    return spine.select("i", F.transform(states, lambda x: x / float(PRIME)).alias("v"))
+    words = []
+    for prime in PRIMES:
+        start = _row_word(prime, seed)
+        word = F.sequence(start, start + (num_cols - 1))
+        for _ in range(2):
+            word = F.transform(word, _mixer(prime))
+        words.append(word)
+    scale = float(PRIMES[0])
+    value = F.zip_with(*words, lambda s, t: (s + t / float(PRIMES[1])) / scale)
+    return spine.select("i", value.alias("v"))
+
+
+def _mixer(prime: int):
+    return lambda x: _mixed(x % prime, prime)
 
 
 def random_matrix(spark: SparkSession, num_rows: int, num_cols: int, seed: int = 1000) -> DataFrame:

@@ -1,19 +1,12 @@
 """Where intermediate tables go."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
-
-    Without that setting a machine-local folder is used, and only when Spark itself runs on one machine.
-    """
+    """A fresh path in the shared folder named by ``spark.checkpoint.dir``, else beside the warehouse's tables."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="rowloom-")
+    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/rowloom-{purpose}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.limits import check_row_width
-from rowloom.operators.catalog import of_width, row_width
+from rowloom.operators.catalog import of_width, require_unique, row_width
 from rowloom.operators.forms import zero_fill
 from rowloom.operators.grids import Grid, column_step, coordinates
 from rowloom.operators.layouts import layout_assign, route
@@ -17,10 +17,6 @@ INFO_SCHEMA = (
     "name string, num_rows bigint, num_cols int, rows_written bigint, layout string, grid_rows int, grid_cols int"
 )
 
-# Owners up to this number: every task writes straight into all owner folders and nothing is shuffled.
-DIRECT_OWNERS = 64
-
-
 def _index_facts(rows: DataFrame) -> tuple[int, int]:
     """(number of rows, highest index plus one), failing on a repeated index. Reads the index column only."""
     copies = rows.groupBy("i").agg(F.count("*").alias("copies"))
@@ -36,11 +32,8 @@ def _write(
     """Write pieces and then their info record; returns how many rows were written."""
     count, height = _index_facts(rows)
     pieces = layout_assign(of_width(rows, n), layout, grid)
-    if buckets is not None:
-        pieces = route(pieces, grid, buckets)
-    elif grid.size > DIRECT_OWNERS:
-        pieces = pieces.hint("rebalance", "owner")
-    pieces.drop("a", "b").write.mode(mode).partitionBy("owner").parquet(f"{path}/pieces")
+    pieces = pieces.hint("rebalance", "owner") if buckets is None else route(pieces, grid, buckets)
+    pieces.drop("a", "b").sortWithinPartitions("owner", "i").write.mode(mode).partitionBy("owner").parquet(f"{path}/pieces")
     record = [(name, height, n, count, layout, grid.rows, grid.cols)]
     info = rows.sparkSession.createDataFrame(record, INFO_SCHEMA)
     info.coalesce(1).write.mode(mode).parquet(f"{path}/info")
@@ -57,9 +50,8 @@ def put_matrix(
 ) -> int:
     """Store a row-form matrix by owner at a new path and return the number of rows written.
 
-    On grids of up to 64 owners each task writes its own rows into the owner folders: no shuffle. On larger
-    grids pieces are first brought together by owner, owners with much data split over several tasks by
-    their measured size. ``buckets`` instead sends each owner to exactly that many tasks (``route``).
+    Pieces are brought together by owner, owners with much data split over several tasks by their measured size,
+    and sorted by row index; so files are as many as owners and data need. ``buckets`` instead sends each owner to exactly that many tasks (``route``).
     Repeated row indices fail before anything is written.
     """
     width = row_width(rows)
@@ -140,8 +132,9 @@ def get_matrix(spark: SparkSession, path: str, fill: bool = True) -> DataFrame:
 
 
 def put_blocks(blocks: DataFrame, path: str) -> None:
-    """Store tiles sorted by their coordinates within each file, so ranges skip row groups."""
-    blocks.sortWithinPartitions("bi", "bj").write.mode("append").parquet(path)
+    """Store distinct tiles at a new path, in ranges of their coordinates, so that a slice skips files and row groups."""
+    tiles = require_unique(blocks, "bi", "bj").repartitionByRange("bi", "bj")
+    tiles.sortWithinPartitions("bi", "bj").write.mode("errorifexists").parquet(path)
 
 
 def get_blocks(spark: SparkSession, path: str) -> DataFrame:

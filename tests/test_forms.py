@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 
 import rowloom as R
 from pyspark.sql import functions as F
@@ -195,11 +196,42 @@ def test_common_rows_is_a_multiset_intersection(spark):
     assert found.distinct().count() == 1
 
 
-def test_partition_profile_covers_every_row(spark):
-    rows = rows_of(spark, np.arange(10).reshape(10, 1)).repartition(4)
-    found = R.partition_profile(rows).collect()
-    assert sum(r["records"] for r in found) == 10
-    assert min(r["first_i"] for r in found) == 0 and max(r["last_i"] for r in found) == 9
+def test_indices_must_not_be_negative(spark):
+    rows = rows_of(spark, [[1, 2], [3, 4]], [-1, 0])
+    cells = spark.createDataFrame([(0, -1, 9.0), (0, 1, 5.0)], "i bigint, j bigint, x double")
+    for broken in (
+        lambda: R.to_blocks(rows, 2, 2, 2, 2),
+        lambda: R.cells_to_blocks(cells, 2, 2, 2, 2),
+        lambda: R.coo_to_rows(cells, 2),
+        lambda: R.layout_assign(rows, "VC_STAR", R.Grid(2, 2)),
+        lambda: R.as_rows(rows, "i", "v"),
+    ):
+        with pytest.raises(Exception, match="negative"):
+            broken().collect()
+
+
+def test_rows_from_vectors(spark):
+    table = spark.createDataFrame([(0, Vectors.dense([1.0, 2.0])), (1, Vectors.sparse(2, [1], [5.0]))], ["k", "f"])
+    found = R.as_rows(table, "k", "f").collect()
+    assert sorted((r["i"], r["v"]) for r in found) == [(0, [1.0, 2.0]), (1, [0.0, 5.0])]
+
+
+def test_several_slices_in_one_scan(spark):
+    a = np.arange(42.0).reshape(7, 6)
+    rows = rows_of(spark, a)
+    ranges = [((0, 2, 2), (1, 5, 2)), ((2, 3, 1), (0, 1, 1)), (6, 5)]
+    wanted = {(i, j) for i in (0, 2) for j in (1, 3, 5)} | {(i, j) for i in (2, 3) for j in (0, 1)} | {(6, 5)}
+    for matrix in (rows, R.rows_to_coo(rows), R.to_blocks(rows, 3, 2)):
+        found = R.block_slices(matrix, ranges, (3, 2) if "bi" in matrix.columns else None).collect()
+        assert sorted((r["i"], r["j"], r["x"]) for r in found) == sorted((i, j, a[i, j]) for i, j in wanted)
+
+
+def test_absent_rows_are_zero_and_widths_must_agree(spark):
+    a, b = rows_of(spark, [[3, 4], [1, 1]], [0, 2]), rows_of(spark, [[1, 0], [2, 2]], [1, 2])
+    assert sorted(map(tuple, R.row_sqdist(a, b).collect())) == [(0, 25.0), (1, 1.0), (2, 2.0)]
+    assert sorted(map(tuple, R.row_dots(a, b).collect())) == [(0, 0.0), (1, 0.0), (2, 4.0)]
+    with pytest.raises(Exception, match="elements"):
+        R.row_sqdist(a, rows_of(spark, [[1, 2, 3]], [0])).collect()
 
 
 def test_matrix_diff(spark):

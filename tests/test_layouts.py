@@ -1,6 +1,5 @@
 """Ownership of every cell, ranges, volumes, message chunks and physical routing."""
 
-from math import ceil
 
 import numpy as np
 import pytest
@@ -77,7 +76,7 @@ def test_blocks_are_dealt_like_cells(spark):
     cells = R.layout_assign(R.rows_to_coo(rows), "MC_MR", R.Grid(2, 2)).collect()
     blocks = R.layout_assign(R.to_blocks(rows, 3, 2), "MC_MR", R.Grid(2, 2)).collect()
     assert sorted(map(tuple, cells)) == sorted(map(tuple, blocks))
-    volumes = [R.layout_volume(m, "MC_MR", R.Grid(2, 2), 100) for m in (rows, R.to_blocks(rows, 3, 2))]
+    volumes = [R.layout_volume(m, "MC_MR", R.Grid(2, 2)) for m in (rows, R.to_blocks(rows, 3, 2))]
     assert sorted(map(tuple, volumes[0].collect())) == sorted(map(tuple, volumes[1].collect()))
 
 
@@ -162,8 +161,7 @@ def test_route_puts_each_owner_in_its_own_partitions(spark):
 
 
 @pytest.mark.parametrize("layout", ["VC_STAR", "MC_MR", "MR_STAR", "STAR_STAR"])
-@pytest.mark.parametrize("buffer", [8, 100, 10_000_000])
-def test_volume_and_chunks(spark, layout, buffer):
+def test_volume(spark, layout):
     index = [0, 1, 2, 5, 9, 14, 15, 16, 17, 40, 41, 90]
     rows = rows_of(spark, np.ones((len(index), 5)), index)
     r, c = 2, 2
@@ -172,27 +170,19 @@ def test_volume_and_chunks(spark, layout, buffer):
         for j in range(5):
             for a, b in owner_coordinates(layout, i, j, r, c):
                 held.setdefault(a + b * r, {}).setdefault(i, []).append(j)
-    volume = {x["owner"]: x for x in R.layout_volume(rows, layout, R.Grid(r, c), buffer).collect()}
+    volume = {x["owner"]: x for x in R.layout_volume(rows, layout, R.Grid(r, c)).collect()}
     assert set(volume) == set(held)
-    chunks = {}
-    for x in R.row_chunks(rows, layout, R.Grid(r, c), buffer, bucket_rows=4).collect():
-        assert chunks.setdefault((x["owner"], x["i"]), x["chunk"]) == x["chunk"]
     for owner, by_row in held.items():
         elements = sum(len(js) for js in by_row.values())
-        messages = ceil(8 * elements / buffer)
-        per_message = max(1, len(by_row) // messages)
         found = volume[owner]
         assert (found["rows"], found["elements"], found["bytes"]) == (len(by_row), elements, 8 * elements)
-        assert (found["messages"], found["rows_per_message"]) == (messages, per_message)
-        for rank, i in enumerate(sorted(by_row)):
-            assert chunks.pop((owner, i)) == rank // per_message
-    assert not chunks
 
 
-def test_chunks_refuse_a_repeated_row(spark):
-    rows = rows_of(spark, np.ones((3, 2)), [1, 4, 4])
-    with pytest.raises(Exception, match="repeated row index 4"):
-        R.row_chunks(rows, "VC_STAR", R.Grid(1, 2)).collect()
+def test_files_are_few_and_sorted(spark, tmp_path):
+    rows = rows_of(spark, np.ones((200, 2))).repartition(8)
+    R.put_matrix(rows, str(tmp_path / "m"), "VC_STAR", R.Grid(4, 4))
+    pieces = spark.read.parquet(str(tmp_path / "m" / "pieces"))
+    assert len(pieces.inputFiles()) == 16
 
 
 def test_grid_table(spark):

@@ -286,3 +286,29 @@ def test_row_batches_are_cut_for_wide_rows():
     batch = pa.RecordBatch.from_pydict({"v": [[1.0]] * 5})
     assert [b.num_rows for b in kernels.row_slices(batch, 2 << 20)] == [2, 2, 1]
     assert [b.num_rows for b in kernels.row_slices(batch, 8 << 20)] == [1] * 5
+
+
+def test_small_singular_values_survive_the_gram_matrix(spark):
+    rng = np.random.default_rng(21)
+    u, v = np.linalg.qr(rng.standard_normal((200, 64)))[0], np.linalg.qr(rng.standard_normal((64, 64)))[0]
+    sigma = np.concatenate([np.linspace(2, 1, 60), [1e-3, 1e-6, 5e-8, 2e-10]])
+    a = (u * sigma) @ v.T
+    rows = rows_of(spark, a)
+    found = R.truncated_svd(rows, 64, rcond=1e-11)
+    values = np.array([r["sigma"] for r in found.S.orderBy("k").collect()])
+    assert len(values) == 64 and np.allclose(values, np.linalg.svd(a, compute_uv=False), rtol=1e-5)
+    assert np.allclose(np.abs(dense_of(found.V, 64, 64).T @ v), np.eye(64), atol=1e-3)
+    assert len(R.truncated_svd(rows, 64).S.collect()) == 63
+
+
+def test_right_factor_with_rows_outside(spark):
+    a = rows_of(spark, np.ones((3, 2)))
+    for index, message in (([-1, 0], "outside"), ([0, 0], "repeated")):
+        with pytest.raises(Exception, match=message):
+            R.project_rows(a, rows_of(spark, [[1.0], [2.0]], index)).collect()
+
+
+def test_thin_by_wide_product(spark):
+    a, b = np.arange(6.0).reshape(3, 2), np.arange(200_000.0).reshape(2, 100_000)
+    found = R.project_rows(rows_of(spark, a), b)
+    assert np.allclose(dense_of(found, 3, 100_000), a @ b)

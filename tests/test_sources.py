@@ -54,7 +54,7 @@ def test_parse_vectors(spark):
 @pytest.mark.parametrize("text", ["1,2", "[1,x]", "(2,[0],[1,2])", "(2,[5],[1])", "[1,2", "", None])
 def test_parse_vectors_refuses_anything_else(spark, text):
     table = spark.createDataFrame([(0, text)], "id int, t string")
-    with pytest.raises(Exception, match="not a vector|differ in number|outside a matrix|CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="not a vector|differ in number|outside a matrix|CAST_INVALID_INPUT|repeat"):
         R.parse_vectors(table, "id", "t").collect()
 
 
@@ -67,6 +67,20 @@ def test_random_matrix_is_uniform_and_reproducible(spark):
     assert np.linalg.svd(a - a.mean(), compute_uv=False)[-1] > 0.5
 
 
+def test_random_rows_neither_repeat_nor_shift(spark):
+    far = spark.createDataFrame([(5,), (6,), (5 + 2147483647,), (5 + 2147483629,), (5 + 2**40,)], "i bigint")
+    found = [r["v"] for r in R.random_rows(far, 100_050).collect()]
+    assert len({tuple(v[:20]) for v in found}) == 5 and len({v[k] for v in found for k in range(200)}) == 1000
+    first, second = found[:2]
+    assert not set(first) & set(second) and len(set(first)) == 100_050
+
+
+@pytest.mark.parametrize("text", ["(2,[1,1],[5,6])", "(4,[1,1],[5,6])", "(3,[-1],[5])"])
+def test_sparse_text_needs_distinct_places(spark, text):
+    with pytest.raises(Exception, match="repeat|outside"):
+        R.parse_vectors(spark.createDataFrame([(0, text)], "id int, t string"), "id", "t").collect()
+
+
 def test_sql_functions(spark):
     names = R.register_functions(spark)
     assert set(names) == {"vec_norm", "vec_dot", "vec_sqdist", "vec_cells"}
@@ -86,6 +100,19 @@ def test_blocks_are_stored_and_read(spark, tmp_path):
     path = str(tmp_path / "blocks")
     R.put_blocks(R.to_blocks(rows_of(spark, a), 3, 2), path)
     assert np.array_equal(dense_of(R.blocks_to_rows(R.get_blocks(spark, path)), 7, 5), a)
+    with pytest.raises(Exception, match="already exists"):
+        R.put_blocks(R.to_blocks(rows_of(spark, a), 3, 2), path)
+
+
+def test_slice_bounds_reach_the_scan(spark, tmp_path, capsys):
+    a = np.arange(400.0).reshape(20, 20)
+    path = str(tmp_path / "blocks")
+    R.put_blocks(R.to_blocks(rows_of(spark, a), 4, 4), path)
+    cut = R.block_slice(R.get_blocks(spark, path), (9, 13, 1), (17, 19, 1), tile=(4, 4))
+    assert sorted(r["x"] for r in cut.collect()) == sorted(a[9:14, 17:20].ravel())
+    cut.explain("formatted")
+    pushed = next(line for line in capsys.readouterr().out.splitlines() if "PushedFilters" in line)
+    assert all(f"{sign}({name}," in pushed for sign in ("GreaterThan", "LessThanOrEqual") for name in ("i0", "j0"))
 
 
 def test_scratch_is_under_the_shared_folder(spark):
