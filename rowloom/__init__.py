@@ -63,7 +63,7 @@ from rowloom.operators.selection import (
 )
 from rowloom.sources.libsvm import read_libsvm_matrix
 from rowloom.sources.random import random_matrix, random_rows
-from rowloom.sources.store import append_rows, get_blocks, get_matrix, put_blocks, put_matrix
+from rowloom.sources.store import append_rows, get_blocks, get_matrix, get_rows, put_blocks, put_matrix
 from rowloom.sources.text import parse_vectors
 
 # Executors receive the task helpers with the task itself, so the library needs no installation there.

@@ -283,6 +283,7 @@ def all_oracles() -> dict[str, str]:
         found[f"layout_pieces_{name.lower()}"] = sql
     for name in ("MC_MR", "VC_STAR", "MR_STAR", "STAR_STAR"):
         found[f"layout_volume_{name.lower()}"] = volume(name, E, "e")
-    for name in ("MC_MR", "MR_MC", "VC_STAR", "VR_STAR", "MC_STAR", "STAR_MR", "STAR_VC", "STAR_MD", "STAR_STAR", "CIRC_CIRC"):
+    for name in LAYOUTS:
         found[f"put_get_{name.lower()}"] = E_ALL
+    found["get_rows_stored"] = found["select_rows"]
     return found

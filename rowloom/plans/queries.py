@@ -38,7 +38,7 @@ from rowloom.plans import matrices as M
 from rowloom.sources.libsvm import read_libsvm_matrix
 from rowloom.sources.random import random_rows
 from rowloom.sources.scratch import scratch_path
-from rowloom.sources.store import append_rows, get_blocks, get_matrix, put_blocks, put_matrix
+from rowloom.sources.store import append_rows, get_blocks, get_matrix, get_rows, put_blocks, put_matrix
 from rowloom.sources.text import parse_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,14 @@ def put_get(matrix, layout, spark, sf):
     return _cells(get_matrix(spark, path))
 
 
+def rows_stored(spark, sf):
+    """The rows of customers with orders, fetched from their owners' folders."""
+    path = scratch_path(spark, "rows")
+    put_matrix(M.customers(spark, sf), path, "MC_MR", GRID)
+    buyers = M.table(spark, sf, "orders").select(F.col("o_custkey").cast("bigint").alias("i"))
+    return _cells(get_rows(spark, path, buyers))
+
+
 def append(spark, sf):
     path = scratch_path(spark, "append")
     rows = M.orders(spark, sf)
@@ -470,6 +478,7 @@ def all_queries() -> dict[str, Query]:
         "row_spine": spine,
         "append_rows": append,
         "put_get_blocks": blocks_stored,
+        "get_rows_stored": rows_stored,
         "parse_vectors": parse_dense,
         "parse_vectors_sparse": parse_sparse,
         "matrix_info": info,
@@ -545,7 +554,7 @@ def all_queries() -> dict[str, Query]:
         found[f"layout_pieces_{name.lower()}"] = partial(owners_of_rows, name)
     for name in ("MC_MR", "VC_STAR", "MR_STAR", "STAR_STAR"):
         found[f"layout_volume_{name.lower()}"] = partial(volume, name)
-    for name in ("MC_MR", "MR_MC", "VC_STAR", "VR_STAR", "MC_STAR", "STAR_MR", "STAR_VC", "STAR_MD", "STAR_STAR", "CIRC_CIRC"):
+    for name in LAYOUTS:
         found[f"put_get_{name.lower()}"] = partial(put_get, M.embeddings, name)
     found["put_get_orders"] = partial(put_get, M.orders, "VC_STAR")
     for name, text in SQL_TEXTS.items():

@@ -1,9 +1,13 @@
 """Matrices stored as Parquet in a distribution layout, read back whole, and extended by rows.
 
-A stored matrix is a folder with ``pieces`` (partitioned by owner) and ``info`` (one record per write,
-committed after its pieces).
+A stored matrix is a folder with ``pieces`` (partitioned by owner and write) and ``info`` (one record per write,
+committed after its pieces). Pieces of a write that ``info`` does not name are never read, so a failed write can simply
+be repeated.
 """
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +16,11 @@ from rowloom.operators.catalog import of_width, require_unique, row_width
 from rowloom.operators.forms import zero_fill
 from rowloom.operators.grids import Grid, column_step, coordinates
 from rowloom.operators.layouts import layout_assign, route
+from rowloom.operators.selection import select_rows
 
 INFO_SCHEMA = (
-    "name string, num_rows bigint, num_cols int, rows_written bigint, layout string, grid_rows int, grid_cols int"
+    "name string, num_rows bigint, num_cols int, rows_written bigint, layout string, grid_rows int, grid_cols int, "
+    "write string"
 )
 
 def _index_facts(rows: DataFrame) -> tuple[int, int]:
@@ -30,11 +36,16 @@ def _write(
     rows: DataFrame, path: str, name: str, n: int, layout: str, grid: Grid, buckets: int | None, mode: str
 ) -> int:
     """Write pieces and then their info record; returns how many rows were written."""
+    if mode == "errorifexists" and _exists(rows.sparkSession, f"{path}/info"):
+        raise ValueError(f"a matrix is stored at {path} already")
     count, height = _index_facts(rows)
+    write = uuid.uuid4().hex
     pieces = layout_assign(of_width(rows, n), layout, grid)
     pieces = pieces.hint("rebalance", "owner") if buckets is None else route(pieces, grid, buckets)
-    pieces.drop("a", "b").sortWithinPartitions("owner", "i").write.mode(mode).partitionBy("owner").parquet(f"{path}/pieces")
-    record = [(name, height, n, count, layout, grid.rows, grid.cols)]
+    pieces.drop("a", "b").sortWithinPartitions("owner", "i").withColumn("write", F.lit(write)).write.mode(
+        "append"
+    ).partitionBy("owner", "write").parquet(f"{path}/pieces")
+    record = [(name, height, n, count, layout, grid.rows, grid.cols, write)]
     info = rows.sparkSession.createDataFrame(record, INFO_SCHEMA)
     info.coalesce(1).write.mode(mode).parquet(f"{path}/info")
     return count
@@ -60,6 +71,19 @@ def put_matrix(
     return _write(rows, path, name, width, layout, grid or Grid(1, 1), buckets, "errorifexists")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.schema(INFO_SCHEMA).parquet(path).columns)
+    except AnalysisException:
+        return False
+
+
+def _pieces_of(spark: SparkSession, path: str) -> DataFrame:
+    """The pieces of committed writes."""
+    writes = [r["write"] for r in spark.read.schema(INFO_SCHEMA).parquet(f"{path}/info").select("write").collect()]
+    return spark.read.parquet(f"{path}/pieces").where(F.col("write").isin(writes))
+
+
 def stored_info(spark: SparkSession, path: str) -> DataFrame:
     """The handle of a stored matrix: dimensions over all writes, layout and grid."""
     return (
@@ -86,7 +110,7 @@ def append_rows(rows: DataFrame, path: str) -> int:
     width = row_width(rows)
     if width != info["num_cols"]:
         raise ValueError(f"rows of {width} elements cannot extend a matrix of {info['num_cols']} columns")
-    stored = spark.read.parquet(f"{path}/pieces").select("i").distinct()
+    stored = _pieces_of(spark, path).select("i").distinct()
     if not rows.join(stored, "i", "left_semi").isEmpty():
         raise ValueError("some row indices are stored already")
     grid = Grid(info["grid_rows"], info["grid_cols"])
@@ -116,7 +140,31 @@ def get_matrix(spark: SparkSession, path: str, fill: bool = True) -> DataFrame:
     """
     info = stored_info(spark, path).first()
     grid, layout, n = Grid(info["grid_rows"], info["grid_cols"]), info["layout"], info["num_cols"]
-    pieces = _one_copy(spark.read.parquet(f"{path}/pieces"), layout, grid)
+    pieces = _one_copy(_pieces_of(spark, path), layout, grid)
+    rows = _whole_rows(pieces, layout, grid, n)
+    gaps = info["stored_rows"] < info["num_rows"]
+    return zero_fill(rows, info["num_rows"], n) if fill and gaps else rows
+
+
+def get_rows(spark: SparkSession, path: str, ids) -> DataFrame:
+    """The stored rows whose index is in ``ids``, a DataFrame with column ``i`` or a Python collection.
+
+    Absent ones do not appear. Only the folders of owners that hold one of them are read; the indices of a short
+    collection are also pushed to the scan, where sorted files skip what lies between.
+    """
+    info = stored_info(spark, path).first()
+    grid, layout, n = Grid(info["grid_rows"], info["grid_cols"]), info["layout"], info["num_cols"]
+    if not isinstance(ids, DataFrame):
+        ids = sorted({int(i) for i in ids})
+    wanted = ids.select("i") if isinstance(ids, DataFrame) else spark.createDataFrame([(i,) for i in ids], "i bigint")
+    wanted = wanted.withColumn("v", F.array_repeat(F.lit(0.0), min(n, column_step(layout, grid))))
+    owners = [r["owner"] for r in layout_assign(wanted, layout, grid).select("owner").distinct().collect()]
+    pieces = _one_copy(_pieces_of(spark, path).where(F.col("owner").isin(owners)), layout, grid)
+    return _whole_rows(select_rows(pieces, ids), layout, grid, n)
+
+
+def _whole_rows(pieces: DataFrame, layout: str, grid: Grid, n: int) -> DataFrame:
+    """Rows from their pieces, one per column class."""
     step = column_step(layout, grid)
     if step == 1:
         rows = pieces.select("i", "v")
@@ -127,8 +175,7 @@ def get_matrix(spark: SparkSession, path: str, fill: bool = True) -> DataFrame:
         classes = [F.get("p", F.lit(q))["v"].alias(f"c{q}") for q in range(min(step, n))]
         dealt = F.transform(F.arrays_zip(*classes), lambda s: F.array(*[s[f"c{q}"] for q in range(len(classes))]))
         rows = held.select("i", F.slice(F.flatten(dealt), 1, n).alias("v"))
-    gaps = info["stored_rows"] < info["num_rows"]
-    return zero_fill(rows, info["num_rows"], n) if fill and gaps else rows
+    return rows
 
 
 def put_blocks(blocks: DataFrame, path: str) -> None:

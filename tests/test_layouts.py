@@ -140,10 +140,34 @@ def test_store_fills_gaps_appends_and_refuses_repeats(spark, tmp_path):
         R.put_matrix(ragged, str(tmp_path / "ragged"))
     with pytest.raises(ValueError, match="empty matrix"):
         R.put_matrix(rows_of(spark, np.zeros((0, 2))), str(tmp_path / "empty"))
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(ValueError, match="already"):
         R.put_matrix(rows_of(spark, [[1]]), path)
 
 
+def test_a_write_without_its_record_is_not_read(spark, tmp_path, monkeypatch):
+    from rowloom.sources import store
+
+    path = str(tmp_path / "broken")
+    R.put_matrix(rows_of(spark, [[1, 2], [3, 4]]), path)
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "INFO_SCHEMA", "nothing int")
+        with pytest.raises(Exception):
+            store._write(rows_of(spark, [[5, 6]], [2]), path, "", 2, "VC_STAR", R.Grid(1, 1), None, "append")
+    assert R.get_matrix(spark, path).count() == 2
+    assert R.append_rows(rows_of(spark, [[5, 6]], [2]), path) == 1
+    assert sorted(tuple(r["v"]) for r in R.get_matrix(spark, path).collect()) == [(1, 2), (3, 4), (5, 6)]
+
+
+@pytest.mark.parametrize("layout", sorted(R.LAYOUTS))
+def test_rows_by_index_read_their_owners_only(spark, tmp_path, layout, capsys):
+    a, path = np.arange(60.0).reshape(20, 3), str(tmp_path / "rows")
+    R.put_matrix(rows_of(spark, a), path, layout, R.Grid(2, 3))
+    found = R.get_rows(spark, path, [3, 9, 77])
+    assert sorted((r["i"], tuple(r["v"])) for r in found.collect()) == [(3, tuple(a[3])), (9, tuple(a[9]))]
+    found.explain("formatted")
+    assert "PartitionFilters: [" in capsys.readouterr().out
+
+
 def test_replicated_layouts_read_one_copy(spark, tmp_path, capsys):
     path = str(tmp_path / "m")
     R.put_matrix(rows_of(spark, np.ones((4, 3))), path, "STAR_STAR", R.Grid(2, 2))
