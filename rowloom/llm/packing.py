@@ -25,7 +25,7 @@ SHARD_ROWS = 512
 #: Remainder bytes that one packing task should read.
 TASK_BYTES = 16 << 20
 #: Distinct pieces of text whose ids a task process remembers.
-CORE_PIECES, RECENT_PIECES = 300_000, 100_000
+CORE_PIECES, RECENT_PIECES = 250_000, 80_000
 #: Bytes of text whose distinct pieces are found together.
 ENCODE_BYTES = 4 << 20
 #: BM25's saturation and length weights.

@@ -11,6 +11,10 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of one Arrow batch, instead of Spark's default.
+BATCH_ROWS = 2000
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -49,6 +53,18 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """df.mapInArrow, for functions of this package."""
-    ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    """df.mapInArrow, for functions of this package.
+
+    Batches of texts are kept short where the session has Spark's own default for their rows, and what Arrow's pool
+    holds for reuse is given back when a task ends, because workers live on.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_CONF) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(lean, schema)
