@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.components import connected_components
 from rowloom.llm.shared import store
 
-#: A SimHash has so many blocks, each of the bits of so many longs. Lines that differ in fewer bits than there are
-#: blocks share a block.
-BLOCKS, LONGS = 4, 5
-#: The votes on seven bits are summed in fields of 9 bits of one long; a part of a line has as many words as eight of
-#: them hold, and the ninth is the carry of a comparison.
-FIELDS, FIELD_BITS, PART_WORDS = 7, 9, 255
-#: Times this number the lowest seven bits of a long lie in seven fields.
-SPREAD = sum(1 << (k * (FIELD_BITS - 1)) for k in range(FIELDS))
-ONES = sum(1 << (k * FIELD_BITS) for k in range(FIELDS))
+#: Code points of a gram, and the successive hashes of a line's grams that make one key.
+GRAM, RUN = 8, 3
+#: The same for lines of at most SHORT_CHARS code points, of which one edit may leave no longer gram.
+SHORT_GRAM, SHORT_RUN, SHORT_CHARS = 4, 2, 27
+#: Lines of at least so many code points have keys of long grams: two lines of which one is shorter are both short.
+LONG_CHARS = 24
+#: A line has at most 2 ** BIN_BITS keys, one for each bin of the hashes' top bits that its grams fall into.
+BIN_BITS = 5
 #: Ids that are broadcast to filter a table: 16 bytes each, 32 MB at most.
 BROADCAST_IDS = 2_000_000
 #: Lines of one chunk when a block is compared pair by pair.
@@ -47,39 +44,40 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return cut.where(blanks >= LEAST_WORDS - 1).select("key", "line", F.xxhash64("norm").alias("id"), "norm")
 
 
-def _long(value: int) -> Column:
-    return F.lit(value).cast("bigint")
+def _runs(norm: Column, gram: int, run: int) -> Column:
+    """A line's keys: for each bin that holds hashes of its grams, the smallest one there and the next run - 1 of all.
 
+    The next of the largest hash is the smallest. A line of fewer than `gram` code points has no keys.
+    """
+    grams = F.regexp_extract_all(norm, F.lit(f"(?=(.{{{gram}}}))"), F.lit(1))
+    hashed = F.sort_array(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))))
 
-def _votes(hashed: Column, n: int) -> Column:
-    """The n-th seven bits of a hash, each 0 or 1 in a field of its own."""
-    bits = F.shiftrightunsigned(hashed, FIELDS * n).bitwiseAND(_long((1 << FIELDS) - 1))
-    return (bits * _long(SPREAD)).bitwiseAND(_long(ONES))
+    def bin_of(x: Column) -> Column:
+        return F.shiftrightunsigned(x, 64 - BIN_BITS)
 
+    def keys(held: Column) -> Column:
+        def key(x: Column, k: Column) -> Column:
+            after = [F.get(held, (k + n) % F.size(held)) for n in range(1, run)]
+            starts = (k == 0) | (bin_of(x) != bin_of(F.get(held, k - 1)))
+            return F.when(starts, F.xxhash64(F.lit(gram), x, *after))
 
-def simhashes(lines: DataFrame) -> DataFrame:
-    """id and blocks (array<bigint>) of each part of each line: hashes of the majorities of its words' hash bits.
+        return F.filter(F.transform(held, key), lambda x: x.isNotNull())
 
-    Each block has FIELDS * LONGS bits, 1 where more than half of the line's distinct words have one. A line of over
-    PART_WORDS of them is hashed in parts of equal length. The votes are summed where the line is read, before they are shuffled, and compared with half
-    the words in all fields of a long at once.
-    """
-    cut = lines.select("id", "key", "line", F.array_distinct(F.split("norm", " ")).alias("cut"))
-    cut = cut.withColumn("parts", F.expr(f"(size(cut) - 1) div {PART_WORDS} + 1"))
-    cut = cut.withColumn("long", F.expr("(size(cut) - 1) div parts + 1"))
-    words = cut.select("id", "key", "line", "long", F.posexplode("cut").alias("at", "word"))
-    hashes = [F.xxhash64(F.lit(b), "word").alias(f"h{b}") for b in range(BLOCKS)]
-    hashed = words.select("id", "key", "line", F.expr("at div long").alias("part"), *hashes)
-    sums = [F.sum(_votes(F.col(f"h{b}"), n)).alias(f"v{b}_{n}") for b in range(BLOCKS) for n in range(LONGS)]
-    voted = hashed.groupBy("id", "key", "line", "part").agg(F.count("*").alias("n"), *sums)
-    short = (_long(PART_WORDS) - F.expr("n div 2")) * _long(ONES)
-    voted = voted.withColumn("short", short)
+    return F.flatten(F.transform(F.array(hashed), keys))  # inside a lambda the hashes are found once a line
 
-    def majority(name: str) -> Column:
-        return (F.col(name) + F.col("short")).bitwiseAND(_long(ONES << (FIELD_BITS - 1)))
 
-    blocks = [F.xxhash64(F.lit(b), *[majority(f"v{b}_{n}") for n in range(LONGS)]) for b in range(BLOCKS)]
-    return voted.select("id", F.array(*blocks).alias("blocks"))
+def simhashes(lines: DataFrame) -> DataFrame:
+    """id, size (code points) and blocks (array<bigint>) of each line: similarity keys of its character grams.
+
+    Lines with equal sets of grams have equal keys; the more of their grams two lines share, the likelier they share
+    a key. Lines of LONG_CHARS to SHORT_CHARS code points have both kinds of keys, so that any two lines that can be
+    alike have one kind in common.
+    """
+    size = F.char_length("norm")
+    none = F.array().cast("array<bigint>")
+    long = F.when(size >= LONG_CHARS, _runs(F.col("norm"), GRAM, RUN)).otherwise(none)
+    short = F.when(size <= SHORT_CHARS, _runs(F.col("norm"), SHORT_GRAM, SHORT_RUN)).otherwise(none)
+    return lines.select("id", size.alias("size"), F.concat(long, short).alias("blocks"))
 
 
 def _alike(left: Column, right: Column, percent: int) -> Column:
@@ -107,12 +105,18 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(named) if named.count() <= BROADCAST_IDS else named
 
 
-def _led(hashed: DataFrame) -> DataFrame:
-    """bucket, a, b: for each block that several lines share, its smallest id a and every id b."""
-    keyed = hashed.select("id", F.explode("blocks").alias("bucket"))
+def _led(hashed: DataFrame, percent: int) -> DataFrame:
+    """bucket, a, b: for each key that several lines share, its smallest id a and every id b.
+
+    Left out are the keys of two lines alone whose sizes differ by more than lines that are alike can.
+    """
+    keyed = store(hashed, "keys").select("id", "size", F.explode("blocks").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z")
     joined = keyed.join(_few(shared.select("bucket", "a")), "bucket")
-    return store(joined.select("bucket", "a", F.col("id").alias("b")).distinct(), "blocks")
+    led = joined.select("bucket", "a", F.col("id").alias("b"), "size").distinct()
+    held = led.groupBy("bucket").agg(F.count("*").alias("n"), F.min("size").alias("low"), F.max("size").alias("high"))
+    near = held.where(f"n > 2 OR high - low <= floor(high * {percent} / 100)").select("bucket")
+    return store(led.join(near, "bucket", "left_semi").select("bucket", "a", "b"), "blocks")
 
 
 def _norms(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -124,12 +128,12 @@ def _norms(lines: DataFrame, ids: DataFrame) -> DataFrame:
 def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
     """id and component of the lines that are alike with others, over any number of steps.
 
-    Two lines are compared where their SimHashes share a block: first each with its block's smallest id, then, where
+    Two lines are compared where they share a similarity key (a block of lines): first each with its block's smallest id, then, where
     a block still holds several components, every two of different components. For that the block is cut into chunks
     of about CHUNK_ROWS lines, and each two chunks meet on a key of their own, so that one block's work is dealt to
     many tasks and only alike lines become pairs.
     """
-    led = _led(simhashes(lines))
+    led = _led(simhashes(lines), percent)
     norms = _norms(lines, led.select(F.explode(F.array("a", "b")).alias("id")))
     left, right = (norms.select(F.col("id").alias(c), F.col("norm").alias(f"norm_{c}")) for c in ("a", "b"))
     stars = led.where("a <> b").select("a", "b").distinct()
