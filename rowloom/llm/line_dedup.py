@@ -20,8 +20,8 @@ BIN_BITS = 5
 BROADCAST_IDS = 2_000_000
 #: Lines of one chunk when a block is compared pair by pair.
 CHUNK_ROWS = 64
-#: Lines of fewer words are never removed.
-LEAST_WORDS = 3
+#: Lines of fewer words are never removed, unless they have so many code points.
+LEAST_WORDS, LEAST_CHARS = 3, 20
 #: Lines are alike whose edit distance is at most this share (percent) of the longer one's code points.
 EDITS_PERCENT = 15
 #: Code points of a line that edit distance is taken over at once; a longer line's pieces are compared one by one.
@@ -29,19 +29,21 @@ PIECE_CHARS = 1024
 
 
 def normalised(line: Column) -> Column:
-    """The line in lower case without blanks at its ends."""
-    return F.trim(F.lower(line))
+    """The line's letters and digits in lower case, anything between them as one space, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """key, line (its number from 0), id (hash of the normalised line) and norm of rows (key, text).
+    """key, line (its number from 0), id (hash of the plain line), plain (normalised) and norm of rows (key, text).
 
-    Lines of fewer than LEAST_WORDS words (that one blank parts) are left out.
+    norm is the line in lower case without blanks at its ends. Lines of fewer than LEAST_WORDS words, in letters and
+    digits, and fewer than LEAST_CHARS code points are left out, and so are those without letters and digits.
     """
     cut = docs.where("key IS NOT NULL").select("key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")))
-    cut = cut.select("key", F.col("pos").alias("line"), normalised(F.col("col")).alias("norm"))
-    blanks = F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" ")))
-    return cut.where(blanks >= LEAST_WORDS - 1).select("key", "line", F.xxhash64("norm").alias("id"), "norm")
+    cut = cut.select("key", F.col("pos").alias("line"), F.trim(F.lower("col")).alias("norm"), normalised(F.col("col")).alias("plain"))
+    blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" ")))
+    large = (blanks >= LEAST_WORDS - 1) | (F.char_length("plain") >= LEAST_CHARS)
+    return cut.where(large).select("key", "line", F.xxhash64("plain").alias("id"), "plain", "norm")
 
 
 def _runs(norm: Column, gram: int, run: int) -> Column:
@@ -73,10 +75,10 @@ def simhashes(lines: DataFrame) -> DataFrame:
     a key. Lines of LONG_CHARS to SHORT_CHARS code points have both kinds of keys, so that any two lines that can be
     alike have one kind in common.
     """
-    size = F.char_length("norm")
+    size = F.char_length("plain")
     none = F.array().cast("array<bigint>")
-    long = F.when(size >= LONG_CHARS, _runs(F.col("norm"), GRAM, RUN)).otherwise(none)
-    short = F.when(size <= SHORT_CHARS, _runs(F.col("norm"), SHORT_GRAM, SHORT_RUN)).otherwise(none)
+    long = F.when(size >= LONG_CHARS, _runs(F.col("plain"), GRAM, RUN)).otherwise(none)
+    short = F.when(size <= SHORT_CHARS, _runs(F.col("plain"), SHORT_GRAM, SHORT_RUN)).otherwise(none)
     return lines.select("id", size.alias("size"), F.concat(long, short).alias("blocks"))
 
 
@@ -120,8 +122,8 @@ def _led(hashed: DataFrame, percent: int) -> DataFrame:
 
 
 def _norms(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and norm of the named lines: a stored table."""
-    named = lines.select("id", "norm").join(_few(ids), "id", "left_semi")
+    """id and norm (the plain line) of the named lines: a stored table."""
+    named = lines.select("id", F.col("plain").alias("norm")).join(_few(ids), "id", "left_semi")
     return store(named.groupBy("id").agg(F.any_value("norm").alias("norm")), "norms")
 
 
@@ -161,12 +163,12 @@ def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = EDITS_PERCENT) -> DataFrame:
     """docs with every repeated line but one removed from its text, and n_lines, n_removed behind its columns.
 
-    Lines are cut at newlines, put in lower case and trimmed. Those of at least LEAST_WORDS words
-    that are equal so, or alike in edit distance over any number of steps, are one group; its occurrence in the
+    Lines are cut at newlines, and their letters and digits in lower case are compared. Those of at least LEAST_WORDS
+    words or LEAST_CHARS code points that are equal so, or alike in edit distance over any number of steps, are one group; its occurrence in the
     smallest key's first line stays. Equal lines are collapsed before anything is compared, and the lists of lines
     to remove are joined to the documents once.
 
-    Null and empty texts stay as they are, with one line and none removed; lines without enough words always stay. A
+    Null and empty texts stay as they are, with one line and none removed; smaller lines always stay. A
     row with a null key takes no part and stays whole. Rows that repeat key and text are one document: each keeps the
     same lines. Other columns, whatever their names, are carried along. An empty table gives an empty result.
     """
