@@ -24,7 +24,7 @@ CHUNK_ROWS = 64
 LEAST_WORDS, LEAST_CHARS = 3, 20
 #: Lines are alike whose edit distance is at most this share (percent) of the longer one's code points.
 EDITS_PERCENT = 15
-#: Code points of a line that edit distance is taken over at once; a longer line's pieces are compared one by one.
+#: Code points that the brute force of test_line_dedup compares at once; lines themselves are compared whole.
 PIECE_CHARS = 1024
 
 
@@ -83,22 +83,10 @@ def simhashes(lines: DataFrame) -> DataFrame:
 
 
 def _alike(left: Column, right: Column, percent: int) -> Column:
-    """Whether two lines' edit distance is at most `percent` of the longer one's code points.
-
-    Beyond PIECE_CHARS the pieces of both lines are compared one by one and their distances summed, which is the
-    distance of one way to edit the whole line and so never too small.
-    """
-    size = F.greatest(F.char_length(left), F.char_length(right))
-    most = F.floor(size * percent / 100).cast("int")
-    near = F.call_function("levenshtein", left, right, most) >= 0
-    cuts = F.sequence(F.lit(0), F.floor((size - 1) / PIECE_CHARS).cast("int"))
-
-    def piece(line: Column, k: Column) -> Column:
-        return F.substring(line, k * PIECE_CHARS + 1, PIECE_CHARS)
-
-    distance = F.aggregate(cuts, F.lit(0), lambda sum, k: sum + F.levenshtein(piece(left, k), piece(right, k)))
+    """Whether two whole lines' edit distance is at most `percent` of the longer one's code points."""
+    most = F.floor(F.greatest(F.char_length(left), F.char_length(right)) * percent / 100).cast("int")
     close = F.abs(F.char_length(left) - F.char_length(right)) <= most
-    return close & F.when(size <= PIECE_CHARS, near).otherwise(distance <= most)
+    return close & (F.call_function("levenshtein", left, right, most) >= 0)
 
 
 def _few(ids: DataFrame) -> DataFrame:
