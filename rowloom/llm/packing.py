@@ -21,7 +21,7 @@ from rowloom.llm.shared import map_arrow, store
 from rowloom.llm.text import polynomial
 
 #: Rows of the index of one shard: so many remainders are searched together inside a task.
-SHARD_ROWS = 512
+SHARD_ROWS = 1024
 #: Remainder bytes that one packing task should read.
 TASK_BYTES = 16 << 20
 #: Distinct pieces of text whose ids a task process remembers.
@@ -137,10 +137,15 @@ def _encoder(path: str) -> _Encoder:
 
 
 def _place(terms: np.ndarray) -> int:
-    """A key under which documents of like vocabulary lie together: the two smallest hashes of their distinct ids."""
-    hashed = np.sort((terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33))
-    low = [int(h) for h in hashed[:2]] + [0, 0]
-    return (low[0] << 31) | low[1]
+    """A key under which like vocabularies lie together: minima of three hashes of distinct ids, the end id left out."""
+    terms, place = terms[terms != 0].astype(np.uint64), 0
+    for seed in (0x9E3779B97F4A7C15, 0x3C6EF372FE94F82A, 0xDAA66D2C7DDF743F):
+        hashed = terms + np.uint64(seed)
+        hashed = (hashed ^ (hashed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        hashed = (hashed ^ (hashed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        hashed = (hashed ^ (hashed >> np.uint64(31))) >> np.uint64(43)
+        place = place << 21 | (int(hashed.min()) if len(hashed) else 0)
+    return place
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -176,7 +181,7 @@ def _cut(docs: DataFrame, path: str, window: int) -> DataFrame:
                     sequence += 1
                 if whole < len(ids):
                     rest = data[4 * whole :]
-                    place = _place(terms)
+                    place = _place(np.unique(ids[whole:]))
                     rows.append((_REST, key, whole, len(rest) // 4, None, len(ids), None, rest, place, None, None))
             yield _batch(rows)
         counted = np.flatnonzero(holders).tolist()
