@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm.fingerprints import fingerprints
+from rowloom.llm.hard_negatives import hard_negatives, hard_negatives_sql
+from rowloom.llm.lexical import search, search_sql
 from rowloom.llm.licenses import scan_licenses, scan_licenses_sql
 from rowloom.llm.line_dedup import dedup_lines
 from rowloom.llm.minhash import near_duplicates
 from rowloom.llm.neighbours import nearest_neighbours
 from rowloom.llm.packing import pack_documents
 from rowloom.llm.quality import fit_quality, rate_quality
+from rowloom.llm.rules import repetition_rules, repetition_rules_sql
 from rowloom.llm.tokenize import round_trip_digests
 from rowloom.llm.toxicity import fit_toxicity, rate_toxicity
 from rowloom.llm.urls import filter_urls, outcomes_of
@@ -85,6 +88,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, outcomes_of(pages, _table(spark, sf_dir, "labels")))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text judged by how much of it stands in duplicated n-grams and lines."""
+    return repetition_rules(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector for each of its five positives; every seventh label is shifted first."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for every benchmark item."""
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -97,8 +117,16 @@ def llm_queries() -> dict[str, Query]:
         "op8_nearest": op8_nearest,
         "op9_fingerprints": op9_fingerprints,
         "op10_url_filter": op10_url_filter,
+        "op11_quality_rules": op11_quality_rules,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_license_scan": scan_licenses_sql()}
+    return {
+        "op7_license_scan": scan_licenses_sql(),
+        "op11_quality_rules": repetition_rules_sql(),
+        "op12_hard_negatives": hard_negatives_sql(),
+        "op13_lexical_search": search_sql(),
+    }

@@ -70,6 +70,38 @@ def blocks(starts: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         row = end
 
 
+def runs(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last (exclusive) positions of the runs of True that texts hold, and each text's first run."""
+    n = len(inside)
+    cut = np.ones(n + 1, dtype=bool)
+    cut[1:] = ~inside
+    cut[starts] = True
+    first = np.flatnonzero(inside & cut[:-1])
+    closed = np.ones(n + 1, dtype=bool)
+    closed[:-1] = ~inside
+    closed[starts] = True
+    return first, np.flatnonzero(inside & closed[1:]) + 1, np.searchsorted(first, starts)
+
+
+def binaries(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The consecutive slices of `flat` as a binary array, without a Python object for any of them."""
+    held = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, held)
+
+
+def coded(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each slice data[first:last], equal for equal slices only, and the distinct slices by number.
+
+    Slices do not overlap and stand in order.
+    """
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[first] += 1
+    edge[last] -= 1
+    flat = data[np.cumsum(edge[:-1], dtype=np.int8) > 0]
+    found = binaries(flat, np.concatenate([[0], np.cumsum(last - first)])).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), found.dictionary
+
+
 def polynomial(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """64-bit hashes of the slices data[first:last], alike for equal slices wherever they stand."""
     n = len(data)
