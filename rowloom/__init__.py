@@ -1,8 +1,9 @@
 """Matrices as Spark tables: conversion, selection, layouts, products and truncated SVD.
 
-A matrix is a DataFrame in one of three forms:
+A matrix is a DataFrame in one of four forms:
 
 * rows:   ``i BIGINT, v ARRAY<DOUBLE>``                       one dense row per record
+* sparse: ``i BIGINT, idx ARRAY<BIGINT>, val ARRAY<DOUBLE>``     the stored elements of a row, absent = 0.0
 * cells:  ``i BIGINT, j BIGINT, x DOUBLE``                    one entry per record, absent = 0.0
 * blocks: ``bi, bj, i0, j0 BIGINT, nr, nc INT, data ARRAY<DOUBLE>``  row-major tiles
 """
@@ -46,13 +47,15 @@ from rowloom.operators.layouts import (
     Grid,
     grid_table,
     layout_assign,
+    layout_moves,
     layout_ranges,
     layout_volume,
     route,
 )
-from rowloom.operators.products import collect_dense, gramian, local_rows, matmul, project_rows
+from rowloom.operators.products import collect_dense, gramian, gramian_panels, local_rows, matmul, project_rows
 from rowloom.operators.reductions import frobenius_sq, row_dots, row_norms, row_sqdist
 from rowloom.operators.selection import (
+    block_ranges,
     block_slice,
     block_slices,
     common_rows,
@@ -61,9 +64,27 @@ from rowloom.operators.selection import (
     select_rows,
     union_rows,
 )
-from rowloom.sources.libsvm import read_libsvm_matrix
+from rowloom.operators.sparse import gramian_sparse, project_rows_sparse, sparse_rows, sparse_to_cells, sparse_to_rows
+from rowloom.sources.libsvm import read_libsvm_matrix, read_libsvm_sparse
 from rowloom.sources.random import random_matrix, random_rows
-from rowloom.sources.store import append_rows, get_blocks, get_matrix, get_rows, put_blocks, put_matrix
+from rowloom.sources.store import (
+    append_rows,
+    compact_matrix,
+    get_blocks,
+    get_cells,
+    get_matrix,
+    get_ranges,
+    get_rows,
+    get_tiles,
+    open_matrix,
+    put_blocks,
+    put_cells,
+    put_matrix,
+    put_tiles,
+    redistribute,
+    remove_replaced,
+    stored_matrices,
+)
 from rowloom.sources.text import parse_vectors
 
 # Executors receive the task helpers with the task itself, so the library needs no installation there.

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 PARTIAL_SCHEMA = "c bigint, part binary"
 ROW_SCHEMA = "i bigint, v array<double>"
 BLOCK_COLUMNS = ["bi", "bj", "i0", "j0", "nr", "nc", "data"]
+PART_SCHEMA = "bi bigint, bj bigint, i0 bigint, j0 bigint, nr int, nc int, part binary"
 BLOCK_SCHEMA = "bi bigint, bj bigint, i0 bigint, j0 bigint, nr int, nc int, data array<double>"
 
 
@@ -89,6 +90,49 @@ def whitened_partials(w: np.ndarray, piece_bytes: int):
     return run
 
 
+def cross_partials(n: int, width: int, piece_bytes: int):
+    """Partial X'U of one partition of pairs of vectors (columns ``v`` and ``u``)."""
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            for cut in row_slices(batch, n):
+                total = np.zeros((n, width)) if total is None else total
+                total += dense(cut.column("v"), n).T @ dense(cut.column("u"), width)
+        if total is not None:
+            yield from pieces(total, piece_bytes)
+
+    return run
+
+
+def panel_partials(n: int, panel: int, pairs: list):
+    """Partial tiles X_p'X_q of one partition of vectors, for pairs of column panels."""
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            for cut in row_slices(batch, n):
+                x = dense(cut.column("v"), n)
+                cuts = {p: x[:, p * panel : (p + 1) * panel] for pair in pairs for p in pair}
+                if total is None:
+                    total = {(p, q): np.zeros((cuts[p].shape[1], cuts[q].shape[1])) for p, q in pairs}
+                for (p, q), tile in total.items():
+                    tile += cuts[p].T @ cuts[q]
+        for (p, q), tile in (total or {}).items():
+            yield part_batch((p, q, p * panel, q * panel, *tile.shape), tile)
+
+    return run
+
+
+def part_batch(head: tuple, tile: np.ndarray) -> pa.RecordBatch:
+    """A partial tile (bi, bj, i0, j0, nr, nc, part)."""
+    columns = [pa.array([x], t) for x, t in zip(head, [pa.int64()] * 4 + [pa.int32()] * 2)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([tile.tobytes()], pa.binary())], PART_COLUMNS)
+
+
+PART_COLUMNS = ["bi", "bj", "i0", "j0", "nr", "nc", "part"]
+
+
 def normal_partials(q: np.ndarray, piece_bytes: int):
     """Partial X'(XQ) of one partition of vectors."""
 
@@ -135,6 +179,73 @@ def sum_pieces(width: int):
     return run
 
 
+def ragged(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each count, one run after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def compressed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row offsets, column indices and values of a batch of sparse rows; nulls and unequal lists are errors."""
+    idx, val = batch.column("idx"), batch.column("val")
+    if idx.null_count or val.null_count or idx.flatten().null_count or val.flatten().null_count:
+        raise ValueError("matrix has a NULL element")
+    counts = idx.value_lengths().to_numpy()
+    if not np.array_equal(counts, val.value_lengths().to_numpy()):
+        raise ValueError("indices and values differ in number")
+    offsets = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    j, x = idx.flatten().to_numpy(), val.flatten().to_numpy()
+    inner = np.ones(len(j), dtype=bool)
+    inner[offsets[:-1][counts > 0]] = False
+    if len(j) and (j.min() < 0 or (np.diff(j, prepend=-1)[inner] <= 0).any()):
+        raise ValueError("column indices are negative, repeat or do not ascend")
+    return offsets, j, x
+
+
+# Products of two elements that a sparse kernel holds at once: 16 bytes each, a few copies of them.
+PAIRS = 1 << 20
+
+
+def sparse_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Upper triangle of X'X of sparse rows as cells, equal ones added up, PAIRS products at a time."""
+    for batch in batches:
+        offsets, j, x = compressed(batch)
+        names, code = np.unique(j, return_inverse=True)
+        after = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(j))
+        done = np.concatenate([[0], np.cumsum(after)])
+        lo = 0
+        while lo < len(j):
+            hi = max(lo + 1, int(np.searchsorted(done, done[lo] + PAIRS, side="right")) - 1)
+            first = np.repeat(np.arange(lo, hi), after[lo:hi])
+            second = first + ragged(after[lo:hi])
+            cell, kind = np.unique(code[first] * np.int64(len(names)) + code[second], return_inverse=True)
+            sums = np.bincount(kind, weights=x[first] * x[second], minlength=len(cell))
+            columns = [names[cell // len(names)], names[cell % len(names)], sums]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["i", "j", "x"])
+            lo = hi
+
+
+def sparse_project(b: np.ndarray):
+    """Sparse row times ``b``, reading only the rows of ``b`` at the stored indices."""
+
+    def run(batches):
+        width = max(b.shape[1], 1)
+        for batch in batches:
+            offsets, j, x = compressed(batch)
+            if len(j) and j.max() >= len(b):
+                raise ValueError(f"column index {j.max()} outside a right factor of {len(b)} rows")
+            out = np.zeros((batch.num_rows, b.shape[1]))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            step = max(1, (4 << 20) // width)
+            for lo in range(0, len(j), step):
+                hi = min(lo + step, len(j))
+                opens = np.flatnonzero(np.diff(row[lo:hi], prepend=-1))
+                out[row[lo:hi][opens]] += np.add.reduceat(x[lo:hi, None] * b[j[lo:hi]], opens, axis=0)
+            yield row_batch(batch.column("i"), out)
+
+    return run
+
+
 def project(b: np.ndarray):
     """Row times ``b`` for every row."""
 
@@ -221,35 +332,55 @@ def transpose_blocks(batches):
         yield pa.RecordBatch.from_arrays(swapped + [pa.array(turned, pa.list_(pa.float64()))], BLOCK_COLUMNS)
 
 
-def block_products(batches):
-    """Dense product of the two blocks in each row (``data`` is row-major, ``nk`` the inner size)."""
-    for batch in batches:
-        keys = [batch.column(name).to_pylist() for name in ("bi", "bj", "i0", "j0", "nr", "nk", "nc")]
-        left, right = batch.column("a_data"), batch.column("b_data")
-        for row, (bi, bj, i0, j0, nr, nk, nc) in enumerate(zip(*keys)):
-            a = left[row].values.to_numpy(zero_copy_only=False).reshape(nr, nk)
-            b = right[row].values.to_numpy(zero_copy_only=False).reshape(nk, nc)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x], pa.int64()) for x in (bi, bj, i0, j0)]
-                + [pa.array([x], pa.int32()) for x in (nr, nc)]
-                + [pa.array([(a @ b).tobytes()], pa.binary())],
-                ["bi", "bj", "i0", "j0", "nr", "nc", "part"],
-            )
+def block_products(held_bytes: int):
+    """Dense products of the two blocks in each row (``data`` is row-major, ``nk`` the inner size), added up by result.
 
+    Up to ``held_bytes`` of result tiles are held; beyond that they are passed on as partial sums.
+    """
 
-def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the partial products of one result block."""
+    def run(batches):
+        total, size = {}, 0
+        for batch in batches:
+            keys = [batch.column(name).to_pylist() for name in ("bi", "bj", "i0", "j0", "nr", "nk", "nc")]
+            left, right = batch.column("a_data"), batch.column("b_data")
+            for row, (bi, bj, i0, j0, nr, nk, nc) in enumerate(zip(*keys)):
+                a = left[row].values.to_numpy(zero_copy_only=False).reshape(nr, nk)
+                b = right[row].values.to_numpy(zero_copy_only=False).reshape(nk, nc)
+                head = (bi, bj, i0, j0, nr, nc)
+                if head in total:
+                    total[head] += a @ b
+                    continue
+                if size + nr * nc * 8 > held_bytes:
+                    yield from (part_batch(*held) for held in total.items())
+                    total, size = {}, 0
+                total[head] = a @ b
+                size += nr * nc * 8
+        yield from (part_batch(*held) for held in total.items())
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> tuple[tuple, np.ndarray]:
+    """Head and sum of the partial tiles of one result, batch by batch."""
     head, total = None, None
     for batch in batches:
-        head = head or [batch.column(name)[0].as_py() for name in ("bi", "bj", "i0", "j0", "nr", "nc")]
+        head = head or tuple(batch.column(name)[0].as_py() for name in PART_COLUMNS[:-1])
         for raw in batch.column("part"):
             part = np.frombuffer(raw.as_buffer(), dtype=np.float64)
             if total is None:
                 total = part.copy()
             else:
                 total += part
-    types = [pa.int64()] * 4 + [pa.int32()] * 2
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([x], t) for x, t in zip(head, types)] + [pa.array([total], pa.list_(pa.float64()))],
-        ["bi", "bj", "i0", "j0", "nr", "nc", "data"],
-    )
+    return head, total
+
+
+def add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the partial tiles of one result from one group of tasks."""
+    yield part_batch(*_added(batches))
+
+
+def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the partial tiles of one result block."""
+    head, total = _added(batches)
+    columns = [pa.array([x], t) for x, t in zip(head, [pa.int64()] * 4 + [pa.int32()] * 2)]
+    yield pa.RecordBatch.from_arrays([*columns, pa.array([total], pa.list_(pa.float64()))], BLOCK_COLUMNS)

@@ -21,6 +21,12 @@ QR_MAX_COLS = 2048
 # Up to this width the Gram matrix is a handful of plain SQL sums.
 SQL_GRAM_COLS = 8
 
+# Bytes of the partial result that a task holds when it multiplies dense rows by a block of vectors.
+DENSE_STEP_BYTES = 64 << 20
+
+# Bytes of the partial result tiles that a task adds up before it passes them on.
+TILE_SUM_BYTES = 128 << 20
+
 # Bytes of one shuffled piece of a partial sum.
 PIECE_BYTES = 64 << 10
 

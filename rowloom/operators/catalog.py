@@ -5,19 +5,21 @@ from pyspark.sql import functions as F
 
 from rowloom.operators.grids import LAYOUTS, Grid
 
-ROWS, CELLS, BLOCKS = "rows", "cells", "blocks"
+ROWS, CELLS, BLOCKS, SPARSE = "rows", "cells", "blocks", "sparse"
 
 
 def form_of(matrix: DataFrame) -> str:
-    """Which of the three forms a DataFrame is in, judged by its column names."""
+    """Which of the four forms a DataFrame is in, judged by its column names."""
     names = set(matrix.columns)
     if {"bi", "bj", "i0", "j0", "nr", "nc", "data"} <= names:
         return BLOCKS
     if {"i", "j", "x"} <= names:
         return CELLS
+    if {"i", "idx", "val"} <= names:
+        return SPARSE
     if {"i", "v"} <= names:
         return ROWS
-    raise TypeError(f"not a matrix: columns {matrix.columns}; expected (i, v), (i, j, x) or blocks")
+    raise TypeError(f"not a matrix: columns {matrix.columns}; expected (i, v), (i, idx, val), (i, j, x) or blocks")
 
 
 def row_width(rows: DataFrame) -> int:
@@ -40,6 +42,8 @@ def dims(matrix: DataFrame, width: int | None = None) -> tuple[int, int]:
         return (0 if m is None else m + 1), (row_width(matrix) if width is None else width)
     if form == CELLS:
         m, n = matrix.agg(F.max("i") + 1, F.max("j") + 1).first()
+    elif form == SPARSE:
+        m, n = matrix.agg(F.max("i") + 1, F.max(F.try_element_at("idx", F.lit(-1))) + 1).first()
     else:
         m, n = matrix.agg(F.max(F.col("i0") + F.col("nr")), F.max(F.col("j0") + F.col("nc"))).first()
     return m or 0, (n or 0) if width is None else width
@@ -57,6 +61,9 @@ def _measures(matrix: DataFrame) -> DataFrame:
         found = matrix.select("i", F.size("v").alias("n"), nonzeros("v").alias("nnz")).agg(
             F.max("i") + 1, F.max("n"), F.min("n"), F.count("*"), F.sum("nnz")
         )
+    elif form == SPARSE:
+        last = F.max(F.try_element_at("idx", F.lit(-1))) + 1
+        found = matrix.agg(F.max("i") + 1, last, last, F.count("*"), F.sum(nonzeros("val")))
     elif form == CELLS:
         found = matrix.agg(
             F.max("i") + 1, F.max("j") + 1, F.max("j") + 1, F.lit(None), F.count_if(F.col("x") != 0.0)

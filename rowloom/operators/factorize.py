@@ -8,19 +8,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom import kernels
 from rowloom.limits import BROADCAST_BYTES, DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes
-from rowloom.operators.catalog import row_width
+from rowloom.operators.bidiagonal import bidiagonal_triplets
+from rowloom.operators.catalog import ROWS, dims, form_of, row_width
 from rowloom.operators.forms import to_rows, transpose
-from rowloom.operators.products import collect_dense, gramian, local_rows, project_rows, summed, vectors
+from rowloom.operators.products import collect_dense, gramian, keyed, local_rows, project_rows, summed, vectors
+from rowloom.operators.qr import r_factor
 from rowloom.operators.reductions import frobenius_sq, row_sqdist
 
-# Partial R factors merged by one task on the two lower levels of the QR tree.
-QR_FAN_IN = 64
-
 # Blocks of basis vectors kept before a Krylov run restarts from its best approximations: at most, and the
 # fewest that still converge usefully.
 KRYLOV_BLOCKS = 24
@@ -66,15 +65,10 @@ def _floor(n: int) -> float:
 def _from_qr(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Singular values without squaring the condition number: R factors merged up a tree of three levels."""
     if n > QR_MAX_COLS:
-        raise ValueError(f"tall-skinny QR of {n} columns exceeds {QR_MAX_COLS}; use method='krylov'")
-    level = vectors(rows).mapInArrow(kernels.qr_partials(n), kernels.PARTIAL_SCHEMA)
-    for merged in (f"c div {QR_FAN_IN}", f"c div {QR_FAN_IN}", "0L"):
-        level = level.withColumn("c", F.expr(merged)).groupBy("c").applyInArrow(kernels.merge_r(n), kernels.PARTIAL_SCHEMA)
-    parts = level.select("part").collect()
-    if not parts:
+        raise ValueError(f"tall-skinny QR of {n} columns exceeds {QR_MAX_COLS}; use method='bidiagonal'")
+    if rows.isEmpty():
         raise ValueError("an empty matrix has no singular values")
-    r = np.frombuffer(parts[0]["part"], dtype=np.float64).reshape(-1, n)
-    _, sigma, vt = np.linalg.svd(r, full_matrices=False)
+    _, sigma, vt = np.linalg.svd(r_factor(rows, n), full_matrices=False)
     return sigma, vt.T
 
 
@@ -147,21 +141,27 @@ def truncated_svd(
 ) -> SVD:
     """The k largest singular values and their vectors.
 
-    ``method``: 'gram' (one pass, up to 4,096 columns), 'krylov' (any width, several passes; cache A if it
-    fits), 'tsqr' (one pass, up to 2,048 columns, small values stay accurate), 'auto' (gram when it fits, else
-    krylov). Values at or below ``rcond`` times the largest are dropped, so fewer than k may return. 'gram' works
+    ``method``: 'gram' (one pass, up to 4,096 columns), 'bidiagonal' (any height and width, two passes a step, small
+    values stay accurate), 'tsqr' (one pass, up to 2,048 columns, small values stay accurate), 'krylov' (several
+    passes, n x b arrays on the driver), 'auto' (gram when it fits, else bidiagonal). Values at or below ``rcond``
+    times the largest are dropped, so fewer than k may return. 'gram' works
     on A'A, whose rounding hides values below about 1e-8 of the largest; where the k-th value comes near that, a
     second pass in the basis found recovers it. 'krylov' cannot: its ``rcond`` is at least sqrt(n * machine epsilon).
     In every column of V the component of largest magnitude is
     positive, and U follows. A matrix in cells or blocks is assembled into rows on every pass; store rows to
     avoid that.
     """
-    rows = to_rows(rows)
-    n = row_width(rows) if num_cols is None else num_cols
+    n = dims(rows, row_width(rows) if form_of(rows) == ROWS else None)[1] if num_cols is None else num_cols
     if not 1 <= k <= n:
         raise ValueError(f"k must lie in 1..{n}, not {k}")
     if method == "auto":
-        method = "gram" if n <= GRAM_MAX_COLS else "krylov"
+        method = "gram" if n <= GRAM_MAX_COLS else "bidiagonal"
+    if method == "bidiagonal":
+        u, sigma, v = bidiagonal_triplets(rows, n, k, tol, max_passes, seed)
+        kept = int((sigma > rcond * sigma[0]).sum())
+        cut = F.slice("v", 1, kept).alias("v")
+        return SVD(u.select("i", cut), _values(rows.sparkSession, sigma[:kept]), v.select("i", cut))
+    rows = to_rows(rows)
     if method == "gram":
         sigma, v = _from_gram(rows, n)
         if rcond < _floor(n) and sigma[0] > 0 and sigma[k - 1] <= 10 * _floor(n) * sigma[0]:
@@ -178,8 +178,12 @@ def truncated_svd(
     sigma = sigma[sigma > rcond * sigma[0]]
     v = np.ascontiguousarray(_signed(v[:, : len(sigma)]))
     spark = rows.sparkSession
+    return SVD(project_rows(rows, v / sigma), _values(spark, sigma), local_rows(spark, v))
+
+
+def _values(spark: SparkSession, sigma: np.ndarray) -> DataFrame:
     table = pa.table({"k": pa.array(range(len(sigma)), pa.int32()), "sigma": pa.array(sigma, pa.float64())})
-    return SVD(project_rows(rows, v / sigma), spark.createDataFrame(table, "k int, sigma double"), local_rows(spark, v))
+    return spark.createDataFrame(table, "k int, sigma double")
 
 
 def _factor(rows: DataFrame, v):
@@ -208,7 +212,8 @@ def relative_error(rows: DataFrame, v) -> DataFrame:
     rows = to_rows(rows)
     v = _factor(rows, v)
     if isinstance(v, DataFrame):
-        apart = row_sqdist(rows, reconstruct(rows, v)).agg(F.sum("sqdist"))
+        records = keyed(rows, "v").select(F.col("key").alias("i"), "v")
+        apart = row_sqdist(records, reconstruct(records, v)).agg(F.sum("sqdist"))
         sums = frobenius_sq(rows).select(apart.scalar().alias("err"), F.col("frobenius_sq").alias("norm"))
     else:
         sums = rows.select("v").mapInArrow(kernels.residual_sums(v), "err double, norm double")

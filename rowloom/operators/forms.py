@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowloom import kernels
 from rowloom.functions.vectors import fill_gaps, index as valid_index, zeros
 from rowloom.limits import check_row_width
-from rowloom.operators.catalog import BLOCKS, CELLS, dims, form_of, of_width, require_unique, row_width
+from rowloom.operators.catalog import BLOCKS, CELLS, SPARSE, dims, form_of, of_width, require_unique, row_width
 from rowloom.operators.selection import row_spine
 
 
@@ -217,4 +217,8 @@ def to_rows(matrix: DataFrame) -> DataFrame:
     form = form_of(matrix)
     if form == CELLS:
         return coo_to_rows(matrix)
+    if form == SPARSE:
+        from rowloom.operators.sparse import sparse_to_rows
+
+        return sparse_to_rows(matrix)
     return blocks_to_rows(matrix) if form == BLOCKS else matrix

@@ -32,8 +32,9 @@ def _every(count: int):
     return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
 
-def _place(frame: DataFrame, layout: str, grid: Grid, j) -> DataFrame:
-    """Add a, b and owner; one output record per copy."""
+def place(frame: DataFrame, layout: str, grid: Grid, j) -> DataFrame:
+    """Add a, b and owner of (i, j); one output record per copy."""
+    _known(layout)
     a, b = coordinates(layout, index("i"), index(j), grid)
     frame = frame.withColumn("a", _every(grid.rows) if a is None else a.cast("int"))
     frame = frame.withColumn("b", _every(grid.cols) if b is None else b.cast("int"))
@@ -56,7 +57,7 @@ def _pieces(rows: DataFrame, layout: str, grid: Grid, values: bool) -> DataFrame
         held = F.transform(F.sequence(F.col("j0"), last, F.lit(step)), lambda j: F.get("row", j))
         cut = dealt.select("i", "j0", (F.floor((last - F.col("j0")) / step).cast("int") + 1).alias("count"), held.alias("v"))
     cut = cut.withColumn("jstep", F.lit(step))
-    return _place(cut if values else cut.drop("v"), layout, grid, F.col("j0"))
+    return place(cut if values else cut.drop("v"), layout, grid, F.col("j0"))
 
 
 def layout_assign(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
@@ -69,7 +70,7 @@ def layout_assign(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
     if form_of(matrix) == BLOCKS:
         matrix = blocks_to_cells(matrix)
     if form_of(matrix) == CELLS:
-        return _place(matrix.select("i", "j", "x"), layout, grid, F.col("j"))
+        return place(matrix.select("i", "j", "x"), layout, grid, F.col("j"))
     return _pieces(matrix, layout, grid, True).select("i", "j0", "jstep", "v", "a", "b", "owner")
 
 
@@ -128,13 +129,88 @@ def layout_ranges(info: DataFrame, layout: str, grid: Grid) -> DataFrame:
     )
 
 
+def _meeting(first: str, step: str, other: str, other_step: int):
+    """Smallest index in both progressions ``first + k*step`` and ``other + k*other_step``; NULL where they never meet.
+
+    By the Chinese remainder theorem one exists among the first ``other_step`` members of the former, or none does.
+    """
+    members = F.transform(F.sequence(F.lit(0), F.lit(other_step - 1)), lambda k: F.col(first) + k * F.col(step))
+    meets = F.filter(members, lambda x: (x >= F.col(other)) & ((x - F.col(other)) % other_step == 0))
+    return F.get(meets, F.lit(0))
+
+
+def _held(first: str, size: str, step):
+    count = (F.expr(f"{size} - 1") - F.col(first)) / step
+    return F.when(F.col(first) < F.col(size), F.floor(count) + 1).otherwise(0)
+
+
+def layout_moves(info: DataFrame, layout: str, grid: Grid, to_layout: str, to_grid: Grid) -> DataFrame:
+    """Who sends what to whom when a matrix changes its layout: one record per pair of workers that share cells.
+
+    (source, target, row_start, row_step, col_start, col_step, cells, moves): the cells are those with row
+    ``row_start + k*row_step`` and column ``col_start + k*col_step``. Where the old layout keeps copies, the first
+    owner of each sends; ``moves`` is false where the target holds the cells already. Only handles and worker numbers
+    are read, so the plan of any matrix has at most one record for each two workers.
+    """
+    old = layout_ranges(info, layout, grid).where("cells > 0")
+    sender, first = F.col("worker"), F.lit(True)
+    if layout == "STAR_STAR":
+        sender, first = F.lit(0), F.col("worker") < 1
+    elif layout in ("MC_STAR", "STAR_MC"):
+        sender, first = F.col("a"), F.col("b") < 1
+    elif layout in ("MR_STAR", "STAR_MR"):
+        sender, first = F.col("b") * grid.rows, F.col("a") < 1
+    new = layout_ranges(info, to_layout, to_grid)
+    wanted = new.select(
+        "worker", F.struct("row_start", "col_start", F.col("cells").alias("c")).alias("n")
+    ).agg(F.collect_list(F.struct("worker", "n")).alias("targets"))
+    # One record with at most a grid's number of workers, beside one record per source worker.
+    senders = old.where(first).select(
+        F.col("worker").alias("source"), "row_start", "row_step", "row_end", "col_start", "col_step", "col_end", F.explode(wanted.scalar()).alias("t")
+    )
+    rows, cols = row_step(to_layout, to_grid), column_step(to_layout, to_grid)
+    pairs = senders.where("t.n.c > 0").select(
+        "source",
+        F.col("t.worker").alias("target"),
+        (F.col("row_end") + 1).alias("m"),
+        (F.col("col_end") + 1).alias("n"),
+        F.col("row_start").alias("r"),
+        F.col("col_start").alias("c"),
+        F.col("row_step").alias("rs"),
+        F.col("col_step").alias("cs"),
+        F.col("t.n.row_start").alias("tr"),
+        F.col("t.n.col_start").alias("tc"),
+    )
+    met = pairs.withColumns({"row_start": _meeting("r", "rs", "tr", rows), "col_start": _meeting("c", "cs", "tc", cols)})
+    row_common, col_common = _lcm("rs", rows), _lcm("cs", cols)
+    cells = _held("row_start", "m", row_common) * _held("col_start", "n", col_common)
+    counted = met.select(
+        "source",
+        "target",
+        "row_start",
+        row_common.cast("bigint").alias("row_step"),
+        "col_start",
+        col_common.cast("bigint").alias("col_step"),
+        cells.cast("bigint").alias("cells"),
+    ).where("cells > 0")
+    copies = old.select(F.col("worker").alias("target"), sender.cast("int").alias("keeper"))
+    found = counted.join(copies, "target", "left")
+    return found.select(*counted.columns, (~F.col("source").eqNullSafe(F.col("keeper"))).alias("moves"))
+
+
+def _lcm(step: str, other: int):
+    """Least common multiple of a step column, which has one value per layout, and a number."""
+    multiples = F.transform(F.sequence(F.lit(1), F.lit(other)), lambda k: k * F.col(step))
+    return F.get(F.filter(multiples, lambda x: x % other == 0), F.lit(0))
+
+
 def _owned(matrix: DataFrame, layout: str, grid: Grid) -> DataFrame:
     """(owner, i, count) per owned row: how many elements of a row an owner holds; vectors are not carried."""
     if form_of(matrix) == ROWS:
         return _pieces(matrix, layout, grid, False).select("owner", "i", "count")
     if form_of(matrix) == BLOCKS:
         matrix = blocks_to_cells(matrix)
-    placed = _place(matrix.select("i", "j"), layout, grid, F.col("j"))
+    placed = place(matrix.select("i", "j"), layout, grid, F.col("j"))
     return placed.groupBy("owner", "i").agg(F.count("*").alias("count"))
 
 

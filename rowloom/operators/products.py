@@ -1,5 +1,6 @@
 """Gram matrix, row projection and matrix product."""
 
+from functools import reduce
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -15,10 +16,12 @@ from rowloom.limits import (
     PARTIALS_PER_SUM,
     PIECE_BYTES,
     SQL_GRAM_COLS,
+    TILE_SUM_BYTES,
     check_driver_bytes,
 )
 from rowloom.operators.catalog import CELLS, ROWS, dims, form_of, require_unique, row_width
-from rowloom.operators.forms import blocks_to_rows, to_blocks, to_rows
+from rowloom.operators.forms import blocks_to_rows, to_blocks, to_rows, transpose
+from rowloom.sources.scratch import stored
 
 # Edge of the square tiles of a blocked product: 2 MiB each.
 TILE = 512
@@ -67,18 +70,39 @@ def gramian(rows: DataFrame, num_cols: int | None = None) -> DataFrame:
     """Row form of A'A (n x n). One pass; what crosses the shuffle is n^2 numbers per task, not the matrix.
 
     Partial products are cut into pieces that are added up on the executors, so neither the driver nor any
-    task holds more than one partial result.
+    task holds more than one partial result. Beyond GRAM_MAX_COLS columns the result is formed by column panels.
     """
     rows = to_rows(rows)
     n = row_width(rows) if num_cols is None else num_cols
     if 0 < n <= SQL_GRAM_COLS:
         return _sql_gramian(rows, n)
     if n > GRAM_MAX_COLS:
-        raise ValueError(f"a Gram matrix of {n} columns exceeds {GRAM_MAX_COLS}; use matmul on blocks")
+        return blocks_to_rows(gramian_panels(rows, n), n, unique=True)
     partials = vectors(rows).mapInArrow(kernels.gram_partials(n, PIECE_BYTES), kernels.PARTIAL_SCHEMA)
     return summed(partials, n)
 
 
+def gramian_panels(matrix: DataFrame, num_cols: int | None = None, panel: int = TILE) -> DataFrame:
+    """Tiles of A'A from panels of ``panel`` columns; no task and no node ever holds the whole result.
+
+    A stays in place and is read once for every TILE_SUM_BYTES of result: each pass forms the tiles of as many pairs of
+    panels as a task may hold. Only tiles on and above the diagonal are computed and shuffled; the others are their
+    transposes.
+    """
+    rows = to_rows(matrix)
+    n = row_width(rows) if num_cols is None else num_cols
+    if n == 0:
+        raise ValueError("an empty matrix has no blocks")
+    pairs = [(p, q) for p in range(-(-n // panel)) for q in range(p, -(-n // panel))]
+    each = max(1, TILE_SUM_BYTES // (panel * panel * 8))
+    passes = [
+        vectors(rows).mapInArrow(kernels.panel_partials(n, panel, pairs[lo : lo + each]), kernels.PART_SCHEMA)
+        for lo in range(0, len(pairs), each)
+    ]
+    upper = _sum_tiles(reduce(DataFrame.unionAll, passes))
+    return upper.unionByName(transpose(upper.where("bi < bj")))
+
+
 def collect_dense(rows: DataFrame, num_rows: int, num_cols: int, what: str) -> np.ndarray:
     """A small matrix on the driver; its size is checked first. Absent rows are zero.
 
@@ -187,23 +211,43 @@ def _block_product(a: DataFrame, b: DataFrame, salts: int | None = None) -> Data
             _salted(right.withColumns(same), "t", "s", "bj"), ["k", "s_at", "t_at"]
         )
     inputs = joined.select("bi", "bj", "i0", "j0", "nr", "nk", "nc", "a_data", "b_data")
-    head = "bi bigint, bj bigint, i0 bigint, j0 bigint, nr int, nc int"
-    products = inputs.mapInArrow(kernels.block_products, f"{head}, part binary")
-    return products.groupBy("bi", "bj").applyInArrow(kernels.sum_blocks, f"{head}, data array<double>")
+    return _sum_tiles(inputs.mapInArrow(kernels.block_products(TILE_SUM_BYTES), kernels.PART_SCHEMA))
+
+
+def _sum_tiles(partials: DataFrame) -> DataFrame:
+    """Tiles added up from partial ones: where there may be more than PARTIALS_PER_SUM of one, in two levels.
+
+    The first level adds those of a group of tasks, so that no task reads thousands of partial tiles of one result.
+    """
+    if _parallelism(partials) > PARTIALS_PER_SUM:
+        near = partials.withColumn("g", F.expr(f"spark_partition_id() div {PARTIALS_PER_SUM}"))
+        partials = near.groupBy("bi", "bj", "g").applyInArrow(kernels.add_blocks, kernels.PART_SCHEMA)
+    return partials.groupBy("bi", "bj").applyInArrow(kernels.sum_blocks, kernels.BLOCK_SCHEMA)
+
+
+def keyed(rows: DataFrame, *values: str) -> DataFrame:
+    """(key, i, values) with a number of its own for every record, as a stored table: repeated indices stay apart."""
+    return stored(rows.select(F.monotonically_increasing_id().alias("key"), "i", *values), "keyed")
 
 
 def _row_block_product(a: DataFrame, b: DataFrame, inner: int, n: int) -> DataFrame:
     """Row-form product through tiles; a row of A that meets only zeros is a zero row.
 
+    Records of A are numbered first, so repeated indices give a row each, as on the narrow path.
     Every inner tile index holds the same number of tiles of A, so all get the same number of salts, enough
     to occupy every shuffle partition.
     """
-    m = dims(a, width=inner)[0]
-    left, right = to_blocks(a, TILE, TILE, m, inner), to_blocks(b, TILE, TILE, inner, n)
+    held = keyed(a, "v")
+    records = held.select(F.col("key").alias("i"), "v")
+    m = dims(records, width=inner)[0]
+    if m == 0:
+        return a.select("i", "v").limit(0)
+    left, right = to_blocks(records, TILE, TILE, m, inner, unique=True), to_blocks(b, TILE, TILE, inner, n)
     salts = max(1, -(-_parallelism(a) // -(-inner // TILE)))
     found = blocks_to_rows(_block_product(left, right, salts), n, unique=True)
     length = F.least(F.lit(n), F.col("i") + n)
-    return a.select("i").join(found, "i", "left").select("i", F.coalesce("v", zeros(length)).alias("v"))
+    found = held.select("key", "i").join(found.select(F.col("i").alias("key"), "v"), "key", "left")
+    return found.select("i", F.coalesce("v", zeros(length)).alias("v"))
 
 
 def matmul(a: DataFrame, b: DataFrame) -> DataFrame:

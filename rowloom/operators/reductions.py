@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.vectors import dot, norm, paired_or_zero, sqdist
-from rowloom.operators.catalog import BLOCKS, CELLS, form_of, require_unique
+from rowloom.operators.catalog import BLOCKS, CELLS, SPARSE, form_of, require_unique
 
 
 def row_norms(rows: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def frobenius_sq(matrix: DataFrame) -> DataFrame:
     """
     form = form_of(matrix)
     if form != CELLS:
-        matrix = matrix.select(F.explode_outer("data" if form == BLOCKS else "v").alias("x"))
+        matrix = matrix.select(F.explode_outer({BLOCKS: "data", SPARSE: "val"}.get(form, "v")).alias("x"))
     return matrix.agg(F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0)).alias("frobenius_sq"))
 
 

@@ -68,6 +68,44 @@ def block_slices(matrix: DataFrame, ranges, tile: tuple[int, int] | None = None)
     return cells.where(reduce(Column.__or__, [_within(F.col("i"), r) & _within(F.col("j"), c) for r, c in wanted]))
 
 
+def block_ranges(blocks: DataFrame, ranges: DataFrame, tile: tuple[int, int]) -> DataFrame:
+    """(request, i, j, x): the cells of very many pairs of ranges, one record for each request that holds a cell.
+
+    ``ranges`` has columns request, row_start, row_end, row_step, col_start, col_end, col_step, both ends included;
+    ``tile`` is the size of the tiles, those at the edges may be smaller. Each request is laid over the tile
+    coordinates it meets and joined with the tiles on them, an equi-join however many requests there are; inside a tile
+    only the requested elements are touched. A range with a negative start or a step below 1 fails.
+    """
+    bad = (F.col("row_start") < 0) | (F.col("col_start") < 0) | (F.col("row_step") < 1) | (F.col("col_step") < 1)
+    message = F.raise_error(F.concat(F.lit("a range needs a start of 0 or more and a positive step, request "), "request"))
+    checked = F.when(bad, message.cast("bigint")).otherwise(F.col("request"))
+    asked = ranges.select(checked.alias("request"), *RANGE_COLUMNS).where("row_end >= row_start AND col_end >= col_start")
+    last = blocks.agg(F.max("bi").alias("bi"), F.max("bj").alias("bj"))
+    for at, start, end, size in (("bi", "row_start", "row_end", tile[0]), ("bj", "col_start", "col_end", tile[1])):
+        asked = asked.withColumns(
+            {"low": F.expr(f"{start} div {size}"), "top": F.least(F.expr(f"{end} div {size}"), last.select(at).scalar())}
+        )
+        asked = asked.where("low <= top").withColumn(at, F.explode(F.sequence("low", "top"))).drop("low", "top")
+    met = blocks.select("bi", "bj", "i0", "j0", "nr", "nc", "data").join(asked, ["bi", "bj"])
+
+    def inside(start: str, end: str, step: str, origin: str, size: str):
+        after = F.greatest(F.lit(0).cast("bigint"), F.col(origin) - F.col(start))
+        first = F.col(start) + F.ceil(after / F.col(step)) * F.col(step)
+        top = F.least(F.col(end), F.col(origin) + F.col(size) - 1)
+        return F.when(first <= top, F.sequence(first, top, F.col(step))).otherwise(F.array().cast("array<bigint>"))
+
+    columns = met.withColumn("j", inside("col_start", "col_end", "col_step", "j0", "nc"))
+    lines = columns.select(
+        "request", "i0", "j0", "nc", "data", "j", F.explode(inside("row_start", "row_end", "row_step", "i0", "nr")).alias("i")
+    )
+    cells = lines.select("request", "i", "i0", "j0", "nc", "data", F.explode("j").alias("j"))
+    place = (F.col("i") - F.col("i0")) * F.col("nc") + F.col("j") - F.col("j0")
+    return cells.select("request", "i", "j", F.get("data", place.cast("int")).alias("x"))
+
+
+RANGE_COLUMNS = ["row_start", "row_end", "row_step", "col_start", "col_end", "col_step"]
+
+
 def _touched(rows, cols, tile: tuple[int, int] | None):
     """Tiles that meet both ranges. With the tiles' largest size the lower bounds reach the scan as well."""
     met = (F.col("i0") <= rows[1]) & (F.col("j0") <= cols[1])

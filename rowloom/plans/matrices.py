@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowloom.operators.forms import as_rows
+from rowloom.operators.forms import as_rows, coo_to_rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,40 @@ def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(ranks, "event_type").select(F.col("user_id").alias("i"), "j", "x")
 
 
+# Columns of the wide matrix of events, whatever the number of events.
+EVENT_COLUMNS = 4800
+
+
+def event_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users x EVENT_COLUMNS counts of events, dealt to columns by their number, in cells."""
+    events = table(spark, sf_dir, "events")
+    counted = events.groupBy("user_id", (F.col("event_id") % EVENT_COLUMNS).alias("j")).agg(F.count("*").cast("double").alias("x"))
+    return counted.select(F.col("user_id").alias("i"), "j", "x")
+
+
+def nation_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation x order prices in cells: a wide matrix whose columns hold one element each, so its rows are orthogonal."""
+    buyers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    priced = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    return priced.select(
+        F.col("c_nationkey").cast("bigint").alias("i"), F.col("o_orderkey").alias("j"), F.col("o_totalprice").alias("x")
+    )
+
+
+def fading_nation_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with each nation's prices a half power of ten smaller than those of the one before."""
+    return nation_orders(spark, sf_dir).withColumn("x", F.col("x") * F.pow(F.lit(10.0), -F.col("i") / 2))
+
+
+def brand_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part x brand attributes: a pair of columns for each of the 25 brands, so that A'A has 2 x 2 blocks."""
+    brand = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("bigint") - 1
+    tens = F.floor(F.col("p_retailprice") / 10).cast("double")
+    marks = F.posexplode(F.array(F.col("p_size").cast("double"), tens)).alias("c", "x")
+    cells = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("i"), brand.alias("brand"), marks)
+    return coo_to_rows(cells.select("i", (2 * F.col("brand") + F.col("c")).alias("j"), "x"), 50, unique=True)
+
+
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column x label means of the embeddings, in cells."""
     vectors = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("j", "x"))

@@ -165,6 +165,27 @@ FILLED = f"""WITH {LB}, s AS (SELECT r.range AS i, c.range AS j FROM range(0, (S
        SELECT s.i, s.j, coalesce(lb.x, CAST(0 AS DOUBLE)) AS x FROM s LEFT JOIN lb ON s.i = lb.i AND s.j = lb.j"""
 
 
+LP_SUMS = f"{LP}, ls AS (SELECT i, j, sum(x) AS x FROM lp GROUP BY i, j)"
+NATIONS = """no AS (SELECT CAST(c_nationkey AS BIGINT) AS i, o_orderkey AS j, o_totalprice AS x FROM orders
+       JOIN customer ON o_custkey = c_custkey),
+       ns AS (SELECT i, sqrt(sum(x * x)) AS sigma, row_number() OVER (ORDER BY sum(x * x) DESC) - 1 AS k FROM no GROUP BY i),
+       nt AS (SELECT * FROM ns WHERE k < 5)"""
+
+# Each brand's pair of columns has one large and one small singular value; the five largest are five brands' large ones.
+BRANDS = """bt AS (SELECT p_partkey AS i, CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIGINT) - 1 AS brand,
+       CAST(p_size AS DOUBLE) AS x, CAST(floor(p_retailprice / 10) AS DOUBLE) AS y FROM part),
+       bg AS (SELECT brand, sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS d FROM bt GROUP BY brand),
+       bl AS (SELECT *, (a + d + sqrt((a - d) * (a - d) + 4 * b * b)) / 2 AS l FROM bg),
+       bk AS (SELECT brand, sqrt(l) AS sigma, l, b / sqrt(b * b + (l - a) * (l - a)) AS vx,
+              (l - a) / sqrt(b * b + (l - a) * (l - a)) AS vy, row_number() OVER (ORDER BY l DESC) - 1 AS k FROM bl),
+       top AS (SELECT * FROM bk WHERE k < 5),
+       be AS (SELECT (SELECT sum(a + d) FROM bg) AS norm, (SELECT sum(l) FROM top) AS held)"""
+SIGMA_BRANDS = f"WITH {BRANDS} SELECT CAST(k AS INTEGER) AS k, round(sigma, 6) AS sigma FROM top"
+V_BRANDS = f"""WITH {BRANDS} SELECT 2 * r.range + c.range AS i, CAST(q.range AS BIGINT) AS j,
+       {rounded("coalesce(CASE WHEN c.range = 0 THEN vx ELSE vy END, CAST(0 AS DOUBLE))")} AS x
+       FROM range(25) r, range(2) c, range(5) q LEFT JOIN top ON brand = r.range AND k = q.range"""
+
+
 def all_oracles() -> dict[str, str]:
     """SQL by query name; queries without an entry have no SQL form (general SVD, run-dependent profile)."""
     found = {
@@ -272,6 +293,70 @@ def all_oracles() -> dict[str, str]:
         "svd_energy_tsqr": ENERGY,
         "svd_energy_krylov": ENERGY,
         "put_get_orders": O_ALL,
+        "put_get_cells_mc_mr": f"WITH {EV} SELECT i, j, x FROM ev",
+        "put_get_cells_star_vr": f"WITH {EV} SELECT i, j, x FROM ev",
+        "put_get_tiles_mc_mr": E_ALL,
+        "put_get_tiles_mr_star": E_ALL,
+        "reopen_matrix": """SELECT c_custkey AS i, CAST(0 AS BIGINT) AS j, CAST(c_nationkey AS DOUBLE) AS x FROM customer
+            UNION ALL SELECT c_custkey, CAST(1 AS BIGINT), c_acctbal FROM customer""",
+        "compact_matrix": O_ALL,
+        "redistribute_mc_mr_to_vr_star": E_ALL,
+        "redistribute_vc_star_to_star_vr": E_ALL,
+        "redistribute_mc_mr_to_mr_mc": E_ALL,
+        "layout_moves": f"""WITH {E}, o AS (SELECT i, j, CAST(i % {R} + j % {C} * {R} AS INTEGER) AS source,
+            CAST((i % 6) // 2 + (i % 6) % 2 * 3 AS INTEGER) AS target FROM e)
+            SELECT source, target, min(i) AS row_start, CAST(6 AS BIGINT) AS row_step, min(j) AS col_start,
+            CAST(3 AS BIGINT) AS col_step, count(*) AS cells, CAST(source <> target AS INTEGER) AS moves FROM o GROUP BY source, target""",
+        "block_ranges_stored": f"""WITH {E}, r AS (SELECT o_orderkey AS request, o_orderkey % 400 AS rs, o_orderkey % 400 + o_custkey % 25 AS re,
+            1 + o_orderkey % 3 AS rt, o_custkey % 50 AS cs, o_custkey % 50 + 9 AS ce, 1 + o_custkey % 4 AS ct FROM orders),
+            a AS (SELECT request, unnest(range(rs, re + 1, rt)) AS i, cs, ce, ct FROM r),
+            b AS (SELECT request, i, unnest(range(cs, ce + 1, ct)) AS j FROM a)
+            SELECT request, i, j, x FROM b JOIN e USING (i, j)""",
+        "matrix_diff_blocks": f"""WITH {LB} SELECT i, j, x AS xa, CAST(0 AS DOUBLE) AS xb FROM lb
+            WHERE x <> 0 AND i NOT IN (SELECT doc_id FROM labels WHERE toxic > 0)""",
+        "read_libsvm_sparse": f"WITH {LP_SUMS} SELECT i, j, x FROM ls",
+        "sparse_rows": f"WITH {EV} SELECT i, j, x FROM ev",
+        "sparse_rows_labels": f"WITH {LB} SELECT i, j, x FROM lb WHERE x <> 0",
+        "gramian_sparse": f"""WITH {LP_SUMS} SELECT a.j AS i, b.j AS j, sum(a.x * b.x) AS x FROM ls a JOIN ls b ON a.i = b.i
+            GROUP BY a.j, b.j""",
+        "gramian_sparse_events": f"""WITH {EV} SELECT a.j AS i, b.j AS j, sum(a.x * b.x) AS x FROM ev a JOIN ev b ON a.i = b.i
+            GROUP BY a.j, b.j""",
+        "frobenius_sq_sparse": f"WITH {LP_SUMS} SELECT sum(x * x) AS frobenius_sq FROM ls",
+        "block_slices": f"""WITH {E} SELECT i, j, x FROM e WHERE (i <= 40 AND i % 4 = 0 AND j <= 30 AND j % 3 = 0)
+            OR (i BETWEEN 20 AND 90 AND i % 5 = 0 AND j BETWEEN 10 AND 63) OR (i = 7 AND j % 2 = 0)""",
+        "route": f"""WITH {O}, {GRID}, t AS ({assigned("VC_STAR", "o")})
+            SELECT owner AS partition, owner, count(*) AS records FROM t WHERE j = 0 GROUP BY owner""",
+        "gramian_panels": GRAM,
+        "gramian_panels_wide": """WITH c AS (SELECT user_id AS i, event_id % 4800 AS j, CAST(count(*) AS DOUBLE) AS x FROM events
+            GROUP BY user_id, event_id % 4800),
+            g AS (SELECT a.j AS i, b.j AS j, sum(a.x * b.x) AS x FROM c a JOIN c b ON a.i = b.i GROUP BY a.j, b.j),
+            s AS (SELECT i, sum(CASE WHEN i = j THEN x ELSE 0 END) AS own, sum(x) AS total, sum(x * x) AS squares FROM g GROUP BY i)
+            SELECT r.range AS i, coalesce(own, 0) AS own, coalesce(total, 0) AS total, coalesce(squares, 0) AS squares
+            FROM range(4800) r LEFT JOIN s ON s.i = r.range""",
+        "svd_s_wide": f"WITH {NATIONS} SELECT CAST(k AS INTEGER) AS k, round(sigma, 2) AS sigma FROM nt",
+        "svd_v_wide": f"""WITH {NATIONS} SELECT r.range AS i, CAST(nt.k AS BIGINT) AS j,
+            {rounded("coalesce(no.x / nt.sigma, CAST(0 AS DOUBLE))")} AS x
+            FROM range(0, (SELECT max(j) + 1 FROM no)) r CROSS JOIN nt LEFT JOIN no ON no.j = r.range AND no.i = nt.i""",
+        "svd_u_wide": f"""WITH {NATIONS} SELECT ns.i AS i, CAST(nt.k AS BIGINT) AS j,
+            CASE WHEN ns.i = nt.i THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS x FROM ns, nt""",
+        "svd_s_small": f"""WITH {NATIONS}, f AS (SELECT ln(sigma) - i / 2.0 * ln(10) AS l FROM ns),
+            s AS (SELECT l, row_number() OVER (ORDER BY l DESC) - 1 AS k FROM f)
+            SELECT CAST(k AS INTEGER) AS k, round(l, 3) AS ln_sigma FROM s WHERE k < 18""",
+        "svd_s_brands": SIGMA_BRANDS,
+        "svd_s_brands_krylov": SIGMA_BRANDS,
+        "svd_s_brands_tsqr": SIGMA_BRANDS,
+        "svd_s_brands_bidiagonal": SIGMA_BRANDS,
+        "svd_u_brands": f"""WITH {BRANDS} SELECT bt.i, CAST(top.k AS BIGINT) AS j,
+            {rounded("CASE WHEN bt.brand = top.brand THEN (x * vx + y * vy) / sigma ELSE CAST(0 AS DOUBLE) END")} AS x FROM bt, top""",
+        "svd_v_brands": V_BRANDS,
+        "svd_spectrum_brands": f"""WITH {BRANDS} SELECT CAST(k AS INTEGER) AS k, round(sigma, 6) AS sigma,
+            round((norm - sum(l) OVER ()) / norm, 9) AS relative_error FROM top, (SELECT sum(a + d) AS norm FROM bg)""",
+        "relative_error_brands": f"""WITH {BRANDS} SELECT round(norm - held, 4) AS squared_error, norm AS frobenius_sq,
+            round((norm - held) / norm, 9) AS relative_error FROM be""",
+        "reconstruction_error_brands": f"WITH {BRANDS} SELECT round(norm - held, 4) AS squared_error FROM be",
+        "reconstruct_brands": f"""WITH {BRANDS}, q AS (SELECT i, brand, (x * vx + y * vy) AS c, vx, vy FROM bt JOIN top USING (brand))
+            SELECT bt.i, CAST(s.range AS BIGINT) AS j, {rounded("coalesce(CASE WHEN s.range = 2 * q.brand THEN c * vx WHEN s.range = 2 * q.brand + 1 THEN c * vy END, CAST(0 AS DOUBLE))")} AS x
+            FROM bt CROSS JOIN range(50) s LEFT JOIN q ON q.i = bt.i""",
         "sql_vec_norm": NORMS,
         "sql_vec_dot": DOT,
         "sql_vec_sqdist": SQDIST,
@@ -286,4 +371,6 @@ def all_oracles() -> dict[str, str]:
     for name in LAYOUTS:
         found[f"put_get_{name.lower()}"] = E_ALL
     found["get_rows_stored"] = found["select_rows"]
+    found["project_rows_sparse"] = found["matmul"]
+    found["matrix_density_sparse"] = found["matrix_density"]
     return found

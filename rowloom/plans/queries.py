@@ -23,22 +23,40 @@ from rowloom.operators.forms import (
     zero_fill,
 )
 from rowloom.operators.grids import LAYOUTS, Grid
-from rowloom.operators.layouts import grid_table, layout_assign, layout_ranges, layout_volume
-from rowloom.operators.products import gramian, matmul, project_rows
+from rowloom.operators.layouts import grid_table, layout_assign, layout_moves, layout_ranges, layout_volume, route
+from rowloom.operators.products import gramian, gramian_panels, matmul, project_rows
 from rowloom.operators.reductions import frobenius_sq, row_dots, row_norms, row_sqdist
 from rowloom.operators.selection import (
     block_slice,
+    block_slices,
     common_rows,
     row_indices,
     row_spine,
     select_rows,
     union_rows,
 )
+from rowloom.operators.sparse import gramian_sparse, project_rows_sparse, sparse_rows, sparse_to_cells
 from rowloom.plans import matrices as M
-from rowloom.sources.libsvm import read_libsvm_matrix
+from rowloom.sources.libsvm import read_libsvm_matrix, read_libsvm_sparse
 from rowloom.sources.random import random_rows
 from rowloom.sources.scratch import scratch_path
-from rowloom.sources.store import append_rows, get_blocks, get_matrix, get_rows, put_blocks, put_matrix
+from rowloom.sources.store import (
+    append_rows,
+    compact_matrix,
+    get_blocks,
+    get_cells,
+    get_matrix,
+    get_ranges,
+    get_rows,
+    get_tiles,
+    open_matrix,
+    put_blocks,
+    put_cells,
+    put_matrix,
+    put_tiles,
+    redistribute,
+    remove_replaced,
+)
 from rowloom.sources.text import parse_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +86,15 @@ def read_libsvm(spark, sf):
     return _cells(read_libsvm_matrix(spark, path))
 
 
+def read_sparse(spark, sf):
+    """Order x part quantities written as libsvm text and read back without zeros."""
+    path = scratch_path(spark, "libsvm")
+    pairs = F.transform(F.arrays_zip("idx", "val"), lambda c: F.concat_ws(":", c["idx"] + 1, c["val"]))
+    lines = sparse_rows(M.order_parts(spark, sf)).select(F.concat_ws(" ", F.col("i"), F.array_join(pairs, " ")))
+    lines.write.text(path)
+    return sparse_to_cells(read_libsvm_sparse(spark, path))
+
+
 def random_from_spine(spark, sf):
     spine = M.table(spark, sf, "customer").select(F.col("c_custkey").alias("i"))
     return _cells(random_rows(spine, 16))
@@ -100,6 +127,62 @@ def append(spark, sf):
     return _cells(get_matrix(spark, path))
 
 
+def put_get_tuples(layout, spark, sf):
+    path = scratch_path(spark, "cells")
+    put_cells(M.event_counts(spark, sf), path, layout, GRID)
+    return get_cells(spark, path)
+
+
+def put_get_tiled(layout, spark, sf):
+    path = scratch_path(spark, "tiles")
+    put_tiles(to_blocks(M.embeddings(spark, sf), 32, 16), path, layout, GRID)
+    return _cells(blocks_to_rows(get_tiles(spark, path)))
+
+
+def reopened(spark, sf):
+    """Two matrices stored in one folder, one of them opened by its name."""
+    root = scratch_path(spark, "folder")
+    put_matrix(M.suppliers(spark, sf), f"{root}/first", "VC_STAR", GRID, name="suppliers")
+    put_matrix(M.customers(spark, sf), f"{root}/second", "MC_MR", GRID, name="customers")
+    return _cells(open_matrix(spark, root, "customers"))
+
+
+def compacted(spark, sf):
+    """Orders stored in two writes, made one, and the files of the earlier ones deleted."""
+    path = scratch_path(spark, "compact")
+    rows = M.orders(spark, sf)
+    half = dims(rows, width=2)[0] // 2
+    put_matrix(rows.where(F.col("i") < half), path, "MR_STAR", GRID)
+    append_rows(rows.where(F.col("i") >= half), path)
+    compact_matrix(spark, path)
+    remove_replaced(spark, path)
+    return _cells(get_matrix(spark, path))
+
+
+def moved(layout, grid, to_layout, to_grid, spark, sf):
+    root = scratch_path(spark, "moved")
+    put_matrix(M.embeddings(spark, sf), f"{root}/old", layout, grid)
+    redistribute(spark, f"{root}/old", f"{root}/new", to_layout, to_grid)
+    return _cells(get_matrix(spark, f"{root}/new"))
+
+
+def ranges_stored(spark, sf):
+    """A pair of ranges for every order, all in one query on stored tiles."""
+    path = scratch_path(spark, "ranged")
+    put_tiles(to_blocks(M.embeddings(spark, sf), 32, 16), path, "MC_MR", GRID)
+    key, buyer = F.col("o_orderkey"), F.col("o_custkey").cast("bigint")
+    asked = M.table(spark, sf, "orders").select(
+        key.alias("request"),
+        (key % 400).alias("row_start"),
+        (key % 400 + buyer % 25).alias("row_end"),
+        (1 + key % 3).alias("row_step"),
+        (buyer % 50).alias("col_start"),
+        (buyer % 50 + 9).alias("col_end"),
+        (1 + buyer % 4).alias("col_step"),
+    )
+    return get_ranges(spark, path, asked)
+
+
 def blocks_stored(spark, sf):
     path = scratch_path(spark, "blocks")
     put_blocks(to_blocks(M.embeddings(spark, sf), 32, 16), path)
@@ -212,6 +295,33 @@ def transpose_rows(spark, sf):
     return _cells(transpose(M.embeddings(spark, sf)))
 
 
+# Sparse rows
+
+
+def sparse_events(spark, sf):
+    return sparse_to_cells(sparse_rows(M.event_counts(spark, sf)))
+
+
+def sparse_labels(spark, sf):
+    return sparse_to_cells(sparse_rows(M.labels(spark, sf)))
+
+
+def gram_sparse(matrix, spark, sf):
+    return gramian_sparse(matrix(spark, sf))
+
+
+def projected_sparse(spark, sf):
+    return _cells(project_rows_sparse(M.order_parts(spark, sf), M.parts(spark, sf)))
+
+
+def squares_sparse(spark, sf):
+    return frobenius_sq(sparse_rows(M.order_parts(spark, sf)))
+
+
+def density_sparse(spark, sf):
+    return matrix_density(sparse_rows(M.event_counts(spark, sf)))
+
+
 # Selection
 
 
@@ -242,6 +352,14 @@ def sliced_blocks(spark, sf):
     return block_slice(blocks, (10, m - 10, 7), (5, 60, 4))
 
 
+SLICES = [((0, 40, 4), (0, 30, 3)), ((20, 90, 5), (10, 63, 1)), (7, (0, 63, 2))]
+
+
+def sliced_many(spark, sf):
+    """Three overlapping pairs of ranges in one scan."""
+    return block_slices(to_blocks(M.embeddings(spark, sf), 32, 16), SLICES, (32, 16))
+
+
 def united(spark, sf):
     return union_rows(M.customers(spark, sf), M.suppliers(spark, sf)).select("i", F.posexplode("v").alias("j", "x"))
 
@@ -272,10 +390,22 @@ def ranges(spark, sf):
     return reduce(DataFrame.unionByName, per_layout)
 
 
+def moves(spark, sf):
+    """What each worker sends to which when the embeddings go from MC_MR to VR_STAR on a 3 x 2 grid."""
+    found = layout_moves(matrix_info(M.embeddings(spark, sf)), "MC_MR", GRID, "VR_STAR", Grid(3, 2))
+    return found.withColumn("moves", F.col("moves").cast("int"))
+
+
 def volume(layout, spark, sf):
     return layout_volume(M.embeddings(spark, sf), layout, GRID)
 
 
+def routed(spark, sf):
+    """Records per Spark partition and owner, each owner in a partition of its own."""
+    pieces = route(layout_assign(M.orders(spark, sf), "VC_STAR", GRID), GRID)
+    return pieces.groupBy(F.spark_partition_id().alias("partition"), "owner").agg(F.count("*").alias("records"))
+
+
 def volume_orders(spark, sf):
     return layout_volume(M.orders(spark, sf), "VC_STAR", GRID)
 
@@ -320,6 +450,18 @@ def gram(matrix, spark, sf):
     return _cells(gramian(matrix(spark, sf)), 6)
 
 
+def gram_panels(spark, sf):
+    return blocks_to_cells(gramian_panels(M.embeddings(spark, sf), 64, 24)).withColumn("x", rounded("x"))
+
+
+def gram_panels_wide(spark, sf):
+    """The Gram matrix of 4,800 columns, summed up by row where its tiles lie: diagonal, sum and sum of squares."""
+    wide = coo_to_rows(M.event_buckets(spark, sf), M.EVENT_COLUMNS, unique=True)
+    cells = blocks_to_cells(gramian_panels(wide, M.EVENT_COLUMNS))
+    own = F.sum(F.when(F.col("i") == F.col("j"), F.col("x")).otherwise(0.0))
+    return cells.groupBy("i").agg(own.alias("own"), F.sum("x").alias("total"), F.sum(F.col("x") * F.col("x")).alias("squares"))
+
+
 def projected(spark, sf):
     right = coo_to_rows(M.centroids(spark, sf), unique=True)
     return _cells(project_rows(M.embeddings(spark, sf), right), 6)
@@ -362,6 +504,12 @@ def differences_cells(spark, sf):
     return matrix_diff(dense, doubled, 0.5)
 
 
+def differences_tiles(spark, sf):
+    rows, m = M.labels(spark, sf), M.document_count(spark, sf)
+    toxic = rows.where(F.col("v")[1] > 0)
+    return matrix_diff(to_blocks(rows, 16, 2, m, 2), to_blocks(toxic, 16, 2, m, 2))
+
+
 def differences_stored(spark, sf):
     path = scratch_path(spark, "diff")
     rows = M.embeddings(spark, sf)
@@ -420,6 +568,58 @@ def energy(method, spark, sf):
     return found.agg(F.round(F.sum(F.col("sigma") * F.col("sigma")), 6).alias("frobenius_sq"))
 
 
+def sigma_wide(spark, sf):
+    """The five largest singular values of a matrix with a column for every order."""
+    found = truncated_svd(M.nation_orders(spark, sf), 5, "bidiagonal").S
+    return found.select("k", F.round("sigma", 2).alias("sigma"))
+
+
+def vectors_wide(side, spark, sf):
+    svd = truncated_svd(M.nation_orders(spark, sf), 5, "bidiagonal")
+    return _cells(svd.U if side == "U" else svd.V, 6)
+
+
+def sigma_small(spark, sf):
+    """Singular values down to 3e-9 of the largest, as logarithms."""
+    found = truncated_svd(M.fading_nation_orders(spark, sf), 18, "bidiagonal", rcond=1e-11).S
+    return found.select("k", F.round(F.ln("sigma"), 3).alias("ln_sigma"))
+
+
+def sigma_brands(method, spark, sf):
+    """Five of fifty singular values."""
+    found = truncated_svd(M.brand_parts(spark, sf), 5, method).S
+    return found.select("k", F.round("sigma", 6).alias("sigma"))
+
+
+def vectors_brands(side, method, spark, sf):
+    svd = truncated_svd(M.brand_parts(spark, sf), 5, method)
+    return _cells(svd.U if side == "U" else svd.V, 6)
+
+
+def spectrum_brands(spark, sf):
+    rows = M.brand_parts(spark, sf)
+    svd = truncated_svd(rows, 5)
+    error = relative_error(rows, svd.V).select("relative_error").scalar()
+    return svd.S.select("k", F.round("sigma", 6).alias("sigma"), F.round(error, 9).alias("relative_error"))
+
+
+def errors_brands(spark, sf):
+    rows = M.brand_parts(spark, sf)
+    found = relative_error(rows, truncated_svd(rows, 5).V)
+    return found.select(F.round("squared_error", 4).alias("squared_error"), "frobenius_sq", F.round("relative_error", 9).alias("relative_error"))
+
+
+def sum_of_errors_brands(spark, sf):
+    rows = M.brand_parts(spark, sf)
+    found = reconstruction_error(rows, truncated_svd(rows, 5).V)
+    return found.select(F.round("squared_error", 4).alias("squared_error"))
+
+
+def reconstruct_brands(spark, sf):
+    rows = M.brand_parts(spark, sf)
+    return _cells(reconstruct(rows, truncated_svd(rows, 5).V), 6)
+
+
 def svd_part(part, method, spark, sf):
     found = truncated_svd(M.embeddings(spark, sf), 5, method)
     return found.S if part == "S" else _cells(found.U if part == "U" else found.V)
@@ -540,6 +740,44 @@ def all_queries() -> dict[str, Query]:
         "svd_energy": partial(energy, "gram"),
         "svd_energy_tsqr": partial(energy, "tsqr"),
         "svd_energy_krylov": partial(energy, "krylov"),
+        "put_get_cells_mc_mr": partial(put_get_tuples, "MC_MR"),
+        "put_get_cells_star_vr": partial(put_get_tuples, "STAR_VR"),
+        "put_get_tiles_mc_mr": partial(put_get_tiled, "MC_MR"),
+        "put_get_tiles_mr_star": partial(put_get_tiled, "MR_STAR"),
+        "reopen_matrix": reopened,
+        "compact_matrix": compacted,
+        "redistribute_mc_mr_to_vr_star": partial(moved, "MC_MR", GRID, "VR_STAR", Grid(3, 2)),
+        "redistribute_vc_star_to_star_vr": partial(moved, "VC_STAR", GRID, "STAR_VR", GRID),
+        "redistribute_mc_mr_to_mr_mc": partial(moved, "MC_MR", GRID, "MR_MC", Grid(2, 2)),
+        "layout_moves": moves,
+        "block_ranges_stored": ranges_stored,
+        "matrix_diff_blocks": differences_tiles,
+        "read_libsvm_sparse": read_sparse,
+        "sparse_rows": sparse_events,
+        "sparse_rows_labels": sparse_labels,
+        "gramian_sparse": partial(gram_sparse, M.order_parts),
+        "gramian_sparse_events": partial(gram_sparse, M.event_counts),
+        "project_rows_sparse": projected_sparse,
+        "frobenius_sq_sparse": squares_sparse,
+        "matrix_density_sparse": density_sparse,
+        "block_slices": sliced_many,
+        "route": routed,
+        "gramian_panels": gram_panels,
+        "gramian_panels_wide": gram_panels_wide,
+        "svd_s_wide": sigma_wide,
+        "svd_v_wide": partial(vectors_wide, "V"),
+        "svd_u_wide": partial(vectors_wide, "U"),
+        "svd_s_small": sigma_small,
+        "svd_s_brands": partial(sigma_brands, "auto"),
+        "svd_s_brands_krylov": partial(sigma_brands, "krylov"),
+        "svd_s_brands_tsqr": partial(sigma_brands, "tsqr"),
+        "svd_s_brands_bidiagonal": partial(sigma_brands, "bidiagonal"),
+        "svd_u_brands": partial(vectors_brands, "U", "auto"),
+        "svd_v_brands": partial(vectors_brands, "V", "auto"),
+        "svd_spectrum_brands": spectrum_brands,
+        "relative_error_brands": errors_brands,
+        "reconstruction_error_brands": sum_of_errors_brands,
+        "reconstruct_brands": reconstruct_brands,
         "svd_s": partial(svd_part, "S", "auto"),
         "svd_u": partial(svd_part, "U", "auto"),
         "svd_v": partial(svd_part, "V", "auto"),
