@@ -17,6 +17,8 @@ from rowloom.llm.text import binaries, blocks, coded, runs, utf8
 
 #: Documents and bytes of text of a shard (one longer text is a shard by itself), postings of a block.
 SHARD_ROWS, SHARD_BYTES, BLOCK = 4096, 16 << 20, 128
+#: Shards that one task searches, about.
+TASK_SHARDS = 4
 #: Pairs of item and term that one pass carries to every task, about.
 ASKED_PAIRS = 1 << 18
 #: Percent of a document's length that counts, and what a term's occurrences and a weight are scaled by.
@@ -359,7 +361,8 @@ def _searched(index: DataFrame, asked: DataFrame, totals: tuple[int, int], count
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=["item", "id", "score"])
 
     together = shards.select(*_NAMES).union(lists).select("shard", "term", "documents", "heads", "data")
-    together = together.repartition("shard").sortWithinPartitions("shard", F.col("term").asc_nulls_first())
+    tasks = max(1, -(-shards.count() // TASK_SHARDS))
+    together = together.repartition(tasks, "shard").sortWithinPartitions("shard", F.col("term").asc_nulls_first())
     found = map_arrow(together, work, "item bigint, id bigint, score bigint")
     order = Window.partitionBy("item").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)

@@ -34,16 +34,22 @@ def normalised(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """key, line (its number from 0), id (hash of the plain line), plain (normalised) and norm of rows (key, text).
+    """key, doc (a hash of key and text), line (its number from 0), id (hash of the plain line) and plain (normalised).
 
-    norm is the line in lower case without blanks at its ends. Lines of fewer than LEAST_WORDS words, in letters and
+    Lines of fewer than LEAST_WORDS words, in letters and
     digits, and fewer than LEAST_CHARS code points are left out, and so are those without letters and digits.
     """
-    cut = docs.where("key IS NOT NULL").select("key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")))
-    cut = cut.select("key", F.col("pos").alias("line"), F.trim(F.lower("col")).alias("norm"), normalised(F.col("col")).alias("plain"))
+    parts = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n"))
+    cut = docs.where("key IS NOT NULL").select("key", _doc().alias("doc"), parts)
+    cut = cut.select("key", "doc", F.col("pos").alias("line"), normalised(F.col("col")).alias("plain"))
     blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" ")))
     large = (blanks >= LEAST_WORDS - 1) | (F.char_length("plain") >= LEAST_CHARS)
-    return cut.where(large).select("key", "line", F.xxhash64("plain").alias("id"), "plain", "norm")
+    return cut.where(large).select("key", "doc", "line", F.xxhash64("plain").alias("id"), "plain")
+
+
+def _doc() -> Column:
+    """Tells rows of one key apart by their texts."""
+    return F.xxhash64("key", "text")
 
 
 def _runs(norm: Column, gram: int, run: int) -> Column:
@@ -123,6 +129,7 @@ def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
     of about CHUNK_ROWS lines, and each two chunks meet on a key of their own, so that one block's work is dealt to
     many tasks and only alike lines become pairs.
     """
+    lines = store(lines.groupBy("id").agg(F.any_value("plain").alias("plain")), "distinct")
     led = _led(simhashes(lines), percent)
     norms = _norms(lines, led.select(F.explode(F.array("a", "b")).alias("id")))
     left, right = (norms.select(F.col("id").alias(c), F.col("norm").alias(f"norm_{c}")) for c in ("a", "b"))
@@ -158,27 +165,31 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
 
     Null and empty texts stay as they are, with one line and none removed; smaller lines always stay. A
     row with a null key takes no part and stays whole. Rows that repeat key and text are one document: each keeps the
-    same lines. Other columns, whatever their names, are carried along. An empty table gives an empty result.
+    same lines; rows of one key with different texts are documents of their own. Other columns are carried along,
+    but for those named n_lines and n_removed, which are replaced. An empty table gives an empty result.
     """
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     given = given.select("row", F.col(f"row.`{key}`").alias("key"), F.col(f"row.`{text}`").alias("text"))
+    given = given.withColumn("doc", _doc())
     groups = line_groups(lines_of(given), percent).withColumnRenamed("node", "id")
-    places = store(lines_of(given).select("key", "line", "id"), "lines").join(groups, "id", "left")
-    places = places.select("key", "line", F.coalesce("component", "id").alias("root"))
-    first = places.groupBy("root").agg(F.min(F.struct("key", "line")).alias("first"), F.count("*").alias("n"))
+    places = store(lines_of(given).select("key", "doc", "line", "id"), "lines").join(groups, "id", "left")
+    places = places.select("key", "doc", "line", F.coalesce("component", "id").alias("root"))
+    place = F.struct("key", "line", "doc")
+    first = places.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     repeated = places.join(first.where("n > 1").select("root", "first"), "root")
-    gone = repeated.where(F.struct("key", "line") != F.col("first")).groupBy("key")
+    gone = repeated.where(place != F.col("first")).groupBy("key", "doc")
     gone = store(gone.agg(F.collect_set("line").alias("gone")), "gone")
     cut = F.split("text", "\n")
     every = F.sequence(F.lit(0), F.size(cut) - 1)
     kept = F.array_except(every, F.coalesce("gone", F.array().cast("array<int>")))
     shorter = F.array_join(F.transform(kept, lambda k: F.get(cut, k)), "\n")
-    joined = given.join(gone, "key", "left")
+    joined = given.join(gone, ["key", "doc"], "left")
     columns = [
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(shorter).alias(text)
         if c == text
         else F.col("row")[c].alias(c)
         for c in docs.columns
+        if c not in ("n_lines", "n_removed")
     ]
     n_lines = F.when(F.col("text").isNull(), 1).otherwise(F.size(cut)).cast("bigint")
     return joined.select(

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.shared import map_arrow
+from rowloom.llm.shared import map_arrow, store
 from rowloom.llm.text import blocks, mix, polynomial, utf8
 
 #: Hashed features, labelled rows that a fit reads at most, documents of those that a feature must occur in.
@@ -220,13 +220,16 @@ def fit_on(
     """A model fitted on at most `sample_rows` labelled documents, those whose keys hash lowest.
 
     `grade` is an expression on labels. A key with several labels counts with its highest grade; labels with a null
-    key or grade, and those without a document, are ignored. What reaches the driver are the sample's features.
+    key or grade, and those without a document, are ignored before the sample is taken. Rows that repeat a key are one
+    document, the one with the smallest text. Documents are counted by feature on the executors; what reaches the
+    driver are the sample's features of those that set grades apart.
     """
     graded = labels.select(F.col(key).alias("key"), grade.cast("int").alias("grade")).where("key IS NOT NULL AND grade >= 0")
     graded = graded.groupBy("key").agg(F.max("grade").alias("grade"))
-    sample = graded.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    labelled = texts.join(F.broadcast(sample), "key").select("key", "grade", "text")
+    present = graded.join(texts.select("key"), "key", "left_semi")
+    sample = present.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
+    labelled = texts.join(F.broadcast(sample), "key").groupBy("key", "grade").agg(F.min("text").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,12 +238,36 @@ def fit_on(
             yield pa.RecordBatch.from_arrays(columns, names=["key", "grade", "features"])
 
     kind = labelled.schema["key"].dataType.simpleString()
-    table = map_arrow(labelled, work, f"key {kind}, grade int, features array<int>").orderBy("key").toArrow()
+    given = store(map_arrow(labelled, work, f"key {kind}, grade int, features array<int>"), "features")
+    telling = _telling(given)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [f[telling[f]] for f in (x.values.to_numpy() for x in batch.column(2))]
+            columns = [batch.column(0), batch.column(1), pa.array(kept, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "grade", "features"])
+
+    table = map_arrow(given, narrow, f"key {kind}, grade int, features array<int>").orderBy("key").toArrow()
     rows = table["features"].combine_chunks()
     flat, cuts = rows.values.to_numpy(), rows.offsets.to_numpy()
     return fit([flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], table["grade"].to_numpy().astype(np.int64))
 
 
+def _telling(given: DataFrame) -> np.ndarray:
+    """Which features fit() would use, by their counts over the sample: a flag for each."""
+    n, mean, spread = given.agg(F.count("*"), F.avg("grade"), F.var_pop("grade")).first()
+    held = given.select("grade", F.explode("features").alias("f")).groupBy("f").agg(
+        F.count("*").alias("held"), F.sum("grade").alias("drawn")
+    )
+    least = min(LEAST_DOCUMENTS, max(n // 4, 1))
+    apart = F.abs(F.col("drawn") - F.col("held") * F.lit(mean or 0.0))
+    # a little less than fit() asks for, which decides by its own sums
+    enough = apart >= F.lit(LEAST_DEVIATION * (1 - 1e-6)) * F.sqrt(F.greatest(F.col("held") * F.lit(spread or 0.0), F.lit(1e-12)))
+    out = np.zeros(DIMENSIONS, dtype=bool)
+    out[[r["f"] for r in held.where((F.col("held") >= least) & enough).select("f").collect()]] = True
+    return out
+
+
 def grade_texts(docs: DataFrame, model: OrdinalModel, features: Features, text: str = "text") -> DataFrame:
     """docs with `expected_grade` and `tails` (P(grade >= k) for k = 1, 2, ...) behind its columns.
 

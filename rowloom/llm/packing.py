@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm import bpe
 from rowloom.llm.shared import map_arrow, store
-from rowloom.llm.text import polynomial
+from rowloom.llm.text import binaries
 
 #: Rows of the index of one shard: so many remainders are searched together inside a task.
 SHARD_ROWS = 1024
@@ -87,17 +87,16 @@ class _Encoder:
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each row and an id 0 after them.
 
-        Pieces of a block are told apart by a 64-bit hash, so that each distinct one is looked up once.
+        Each distinct piece of a block, told apart by its bytes, is looked up once.
         """
         texts = texts.cast(pa.large_string()).fill_null("")
         whole = np.zeros(len(texts), dtype=bool)
         for content in self.special:
             whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         row = 0
-        for raw, cuts, rows, hashes in _gathered(texts):
-            _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-            slices = map(slice, cuts[first].tolist(), cuts[first + 1].tolist())
-            found = self._known(list(map(raw.__getitem__, slices)))
+        for raw, cuts, rows in _gathered(texts):
+            pieces = binaries(np.frombuffer(raw, dtype=np.uint8), cuts).dictionary_encode()
+            kind, found = pieces.indices.to_numpy(), self._known(pieces.dictionary.to_pylist())
             flat = np.frombuffer(b"".join(found), dtype="<u4")
             size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
             each = size[kind]
@@ -115,20 +114,19 @@ class _Encoder:
 _END = np.zeros(1, dtype="<u4")
 
 
-def _gathered(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """What bpe.pieces gives, with the hash of each piece, for several blocks of text as one."""
-    raws, cuts, rows, hashes, size, count = [], [], [], [], 0, 0
+def _gathered(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """What bpe.pieces gives, for several blocks of text as one."""
+    raws, cuts, rows, size, count = [], [], [], 0, 0
     for raw, at, first in bpe.pieces(texts):
         raws.append(raw)
         cuts.append(at[:-1] + size)
         rows.append(first[:-1] + count)
-        hashes.append(polynomial(np.frombuffer(raw, dtype=np.uint8), at[:-1], at[1:]))
         size, count = size + len(raw), count + len(at) - 1
         if size >= ENCODE_BYTES:
-            yield b"".join(raws), np.concatenate([*cuts, [size]]), np.concatenate([*rows, [count]]), np.concatenate(hashes)
-            raws, cuts, rows, hashes, size, count = [], [], [], [], 0, 0
+            yield b"".join(raws), np.concatenate([*cuts, [size]]), np.concatenate([*rows, [count]])
+            raws, cuts, rows, size, count = [], [], [], 0, 0
     if raws:
-        yield b"".join(raws), np.concatenate([*cuts, [size]]), np.concatenate([*rows, [count]]), np.concatenate(hashes)
+        yield b"".join(raws), np.concatenate([*cuts, [size]]), np.concatenate([*rows, [count]])
 
 
 @lru_cache(maxsize=2)

@@ -19,8 +19,13 @@ _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset, one beside the warehouse's tables."""
+    """The folder named by spark.checkpoint.dir.
+
+    Where that is unset, a local session uses one beside the warehouse's tables; on a cluster it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_operators"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -103,7 +104,10 @@ def coded(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.nda
 
 
 def polynomial(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the slices data[first:last], alike for equal slices wherever they stand."""
+    """64-bit hashes of the slices data[first:last], alike for equal slices wherever they stand.
+
+    For features only: unequal slices can be built whose hashes agree.
+    """
     n = len(data)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, dtype=np.uint64)
@@ -112,18 +116,14 @@ def polynomial(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of consecutive texts, ASCII letters lower-cased, and each text's first word."""
-    n = len(data)
-    inside = ~_SEPARATOR[data]
-    cut = np.ones(n + 1, dtype=bool)
-    cut[1:-1] = ~inside[:-1]
-    cut[starts] = True
-    first = np.flatnonzero(inside & cut[:-1])
-    closed = np.ones(n + 1, dtype=bool)
-    closed[:-1] = ~inside
-    closed[starts] = True
-    last = np.flatnonzero(inside & closed[1:]) + 1
-    return polynomial(_LOWER[data], first, last), np.searchsorted(first, starts)
+    """64-bit hashes of the words of consecutive texts, ASCII letters lower-cased, and each text's first word.
+
+    Each distinct word is hashed once, by a cryptographic hash: no two words can be built to agree.
+    """
+    first, last, bounds = runs(~_SEPARATOR[data], starts)
+    words, names = coded(_LOWER[data], first, last)
+    digests = b"".join([blake2b(name, digest_size=8).digest() for name in names.to_pylist()])
+    return np.frombuffer(digests, dtype="<u8").astype(np.uint64)[words], bounds
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = SHINGLE_WORDS) -> list[np.ndarray]:

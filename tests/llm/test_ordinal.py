@@ -79,3 +79,30 @@ def test_words_and_styles_do_not_depend_on_neighbours():
         together = [f.tolist() for f in O._batches(pa.array(texts), features)]
         assert together == [next(O._batches(pa.array([t]), features)).tolist() for t in texts]
         assert together[0] == together[-1]
+
+
+def test_sample_bounds_documents(spark, documents):
+    """One document repeated 3,000 times is one row of the fit; labels without a document do not use up the sample."""
+    rows = [(1, f"text {k % 3} of many words")  for k in range(3000)] + [(k, f"other words {k}") for k in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 500)], "doc_id bigint, toxic int")
+    seen = []
+    fit = O.fit
+    try:
+        O.fit = lambda features, grades: seen.append(len(features)) or fit(features, grades)
+        for bound in (10, 1000):
+            O.fit_on(docs, labels, F.col("toxic"), O.word_features, sample_rows=bound)
+    finally:
+        O.fit = fit
+    assert seen == [10, 29]
+
+
+def test_features_left_out_before_the_fit_do_not_change_it(spark, documents):
+    """Only features that fit() would drop anyway are left on the executors."""
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    model = fit_toxicity(documents, labels)
+    rows = documents.join(labels, "doc_id").orderBy("doc_id").select("text", "toxic").collect()
+    import pyarrow as pa
+
+    whole = O.fit(list(O._batches(pa.array([r["text"] for r in rows]), O.word_features)), np.array([r["toxic"] for r in rows]))
+    assert np.allclose(model.weights, whole.weights) and np.allclose(model.thresholds, whole.thresholds)

@@ -51,8 +51,8 @@ def test_classifiers_reject(spark, kept):
 def test_lines(kept):
     lines = L.lines_of(kept[2].select(F.col("doc_id").alias("key"), "text"))
     blocks = defaultdict(set)
-    for r in L.simhashes(lines).join(lines.select("id", "norm").distinct(), "id").collect():
-        blocks[r["norm"]] |= set(enumerate(r["blocks"]))
+    for r in L.simhashes(lines).join(lines.select("id", "plain").distinct(), "id").collect():
+        blocks[r["plain"]] |= set(r["blocks"])
     rows = [(r["doc_id"], r["text"]) for r in kept[2].collect()]
     expected = {k: t for k, t, gone in expected_texts(rows, blocks) if (t or "").strip(" ") or not gone}
     assert {r["doc_id"]: r["text"] for r in kept[3].collect()} == expected
@@ -70,17 +70,37 @@ def test_packing(kept):
     check_packing(kept[4], 1024, 1)
 
 
+CLASHES = "keep string, expected_quality int, tail_probability int, severity string, expected_severity int, n_lines int, n_removed string, row2 int"
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
-    for docs in (odd_docs, no_docs):
-        for name, stage in P.STAGES:
-            docs = store(stage(spark, docs, DATA), name)
-        assert (docs.count() > 0) == (docs.columns[0] == "doc_id" and docs.count() > 0)
+    """Every column of every row that is kept is what it was, under any name; an empty table stays empty."""
+    names = [c.split()[0] for c in CLASHES.split(", ")]
+    clashing = odd_docs.selectExpr("*", *[f"CAST(7 AS {c.split()[1]}) AS {c.split()[0]}" for c in CLASHES.split(", ")])
+    given = {(r["doc_id"], r["text"]): r for r in clashing.collect()}
+    docs = clashing
+    for name, stage in P.STAGES[:4]:
+        docs = store(stage(spark, docs, DATA), name)
+        assert docs.schema.simpleString() == clashing.schema.simpleString()
+        rows = docs.collect()
+        assert {2, 3, 4} <= {r["doc_id"] for r in rows}
+        for r in rows:
+            assert [str(r[n]) for n in names] == ["7"] * len(names) and r["toxic"] == 9 and r["key"] == "k"
+            if (r["doc_id"], r["text"]) in given:
+                assert r == given[r["doc_id"], r["text"]]
+    assert P.packing(spark, docs, DATA).count() > 0
+    for name, stage in P.STAGES:
+        no_docs = store(stage(spark, no_docs, DATA), name)
+        assert no_docs.count() == 0
 
 
 def test_repeated_rows_leave_one(spark, odd_docs):
     left = P.near_copies(spark, odd_docs, DATA)
     assert left.columns == odd_docs.columns
     counted = Counter(r["doc_id"] for r in left.collect())
+    texts = [(1, "b b b b b b"), (1, "a a a a a a"), (1, None), (None, "c")]
+    two = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert sorted(map(tuple, P.near_copies(spark, two, DATA).collect()), key=str) == [(1, None), (None, "c")]
     assert counted[6] == 1 and counted[None] == 1 and 1 not in counted and counted[2] == counted[3] == 1
 
 
