@@ -18,31 +18,51 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _boxed(docs: DataFrame) -> DataFrame:
+    """Key, text and the whole row in one column, so that no name of docs meets one that an operator adds."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(F.col("doc_id"), F.col("text"), row)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose chance of an acceptable rating is high enough. Without words there is nothing to rate: they stay."""
-    rated = rate_quality(docs, fit_quality(docs, _labels(spark, sf_dir)))
-    return rated.where(F.col("keep") | (F.trim(F.coalesce("text", F.lit(""))) == "")).select(*_columns(docs))
+    """Documents whose chance of an acceptable rating is high enough, all columns as they were.
+
+    Without words there is nothing to rate: null, empty and blank texts stay, and so do null keys. Rows that repeat are
+    judged each. An empty table gives an empty result.
+    """
+    rated = rate_quality(_boxed(docs), fit_quality(docs, _labels(spark, sf_dir)))
+    return rated.where(F.col("keep") | (F.trim(F.coalesce("text", F.lit(""))) == "")).select("row.*")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic."""
-    return rate_toxicity(docs, fit_toxicity(docs, _labels(spark, sf_dir))).where(~F.col("toxic")).select(*_columns(docs))
+    """Documents that are not toxic, all columns as they were; null and empty texts, repeated rows as in quality."""
+    rated = rate_toxicity(_boxed(docs), fit_toxicity(docs, _labels(spark, sf_dir)))
+    return rated.where(~F.col("toxic")).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines, n_chars counted anew; those that lose all their text go."""
-    cut = dedup_lines(docs)
+    """Documents without repeated lines, n_chars counted anew, other columns as they were.
+
+    Those that lose all their text go; null, empty and blank texts and rows with a null key stay.
+    """
+    cut = dedup_lines(_boxed(docs))
     bare = F.trim(F.coalesce("text", F.lit(""))) == ""
     cut = cut.where(~bare | (F.col("n_removed") == 0))
-    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", changed).select(*_columns(docs))
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("row")["n_chars"])
+    new = {"text": F.col("text"), "n_chars": changed}
+    return cut.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id. Of repeated rows one stays."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*_columns(docs))
-    return with_id.union(docs.where("doc_id IS NULL").select(*_columns(docs)))
+    """One document of each group of near copies: the one with the smallest doc_id.
+
+    Of rows that repeat a doc_id the one with the smallest text stays (ties: by the row's JSON). Null, empty and
+    wordless texts are near nothing and stay, and so does every row with a null key.
+    """
+    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    held = _boxed(docs).join(kept, "doc_id", "left_semi")
+    first = held.groupBy("doc_id").agg(F.min_by("row", F.struct("text", F.to_json("row"))).alias("row")).select("row.*")
+    return first.union(docs.where("doc_id IS NULL").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +70,6 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, VOCABULARY)
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
-
-
 STAGES = [
     ("quality", quality),
     ("toxicity", toxicity),
