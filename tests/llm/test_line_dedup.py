@@ -27,9 +27,11 @@ def distance(a, b):
 
 def alike(a, b, percent=L.EDITS_PERCENT):
     most = max(len(a), len(b)) * percent // 100
-    left, right = Counter(a), Counter(b)
-    surplus = max((left - right).total(), (right - left).total())  # no fewer edits can do
-    return surplus <= most and distance(a, b) <= most
+    for gram in (1, 3):  # an edit changes no more grams than they have letters
+        left, right = (Counter(x[k : k + gram] for k in range(len(x) - gram + 1)) for x in (a, b))
+        if max((left - right).total(), (right - left).total()) > gram * most:
+            return False
+    return distance(a, b) <= most
 
 
 def expected_texts(rows, blocks):
