@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.components import connected_components
 from rowloom.llm.shared import store
 
-#: Code points of a gram, and the successive hashes of a line's grams that make one key.
-GRAM, RUN = 8, 3
-#: The same for lines of at most SHORT_CHARS code points, of which one edit may leave no longer gram.
-SHORT_GRAM, SHORT_RUN, SHORT_CHARS = 4, 2, 27
-#: Lines of at least so many code points have keys of long grams: two lines of which one is shorter are both short.
-LONG_CHARS = 24
-#: A line has at most 2 ** BIN_BITS keys, one for each bin of the hashes' top bits that its grams fall into.
-BIN_BITS = 5
+#: 64-bit words of a SimHash. Each is cut into PIECES pieces of 16 bits, and every two pieces of a word make a block.
+WORDS, PIECES = 4, 4
+#: Lines whose SimHashes differ in at most so many bits share a block: to leave no two pieces of a word equal takes
+#: differences in PIECES - 1 pieces of every word.
+RADIUS = WORDS * (PIECES - 1) - 1
+#: Lines that share a block and differ in more bits are not compared by edit distance (of 64 * WORDS bits; unrelated
+#: lines differ in about half, lines within the radius in RADIUS at most).
+MOST_BITS = 80
+#: Words of a line whose votes are counted in one byte a bit.
+VOTERS = 127
+_ONES = 0x0101010101010101
 #: Ids that are broadcast to filter a table: 16 bytes each, 32 MB at most.
 BROADCAST_IDS = 2_000_000
 #: Lines of one chunk when a block is compared pair by pair.
@@ -24,8 +30,6 @@ CHUNK_ROWS = 64
 LEAST_WORDS, LEAST_CHARS = 3, 20
 #: Lines are alike whose edit distance is at most this share (percent) of the longer one's code points.
 EDITS_PERCENT = 15
-#: Code points that the brute force of test_line_dedup compares at once; lines themselves are compared whole.
-PIECE_CHARS = 1024
 
 
 def normalised(line: Column) -> Column:
@@ -52,40 +56,41 @@ def _doc() -> Column:
     return F.xxhash64("key", "text")
 
 
-def _runs(norm: Column, gram: int, run: int) -> Column:
-    """A line's keys: for each bin that holds hashes of its grams, the smallest one there and the next run - 1 of all.
-
-    The next of the largest hash is the smallest. A line of fewer than `gram` code points has no keys.
-    """
-    grams = F.regexp_extract_all(norm, F.lit(f"(?=(.{{{gram}}}))"), F.lit(1))
-    hashed = F.sort_array(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))))
-
-    def bin_of(x: Column) -> Column:
-        return F.shiftrightunsigned(x, 64 - BIN_BITS)
-
-    def keys(held: Column) -> Column:
-        def key(x: Column, k: Column) -> Column:
-            after = [F.get(held, (k + n) % F.size(held)) for n in range(1, run)]
-            starts = (k == 0) | (bin_of(x) != bin_of(F.get(held, k - 1)))
-            return F.when(starts, F.xxhash64(F.lit(gram), x, *after))
-
-        return F.filter(F.transform(held, key), lambda x: x.isNotNull())
-
-    return F.flatten(F.transform(F.array(hashed), keys))  # inside a lambda the hashes are found once a line
-
-
 def simhashes(lines: DataFrame) -> DataFrame:
-    """id, size (code points) and blocks (array<bigint>) of each line: similarity keys of its character grams.
+    """id, h0 to h{WORDS - 1} (bigint): the SimHash of each distinct line, made once however often it stands there.
 
-    Lines with equal sets of grams have equal keys; the more of their grams two lines share, the likelier they share
-    a key. Lines of LONG_CHARS to SHORT_CHARS code points have both kinds of keys, so that any two lines that can be
-    alike have one kind in common.
+    A bit is set where more than half of the line's distinct words have it set in their hashes: were repeats counted,
+    the commonest words would make unrelated lines alike. The bits are
+    counted in bytes, eight to a long, over VOTERS words at a time and then in full, so a line may have any number of
+    words. Once lines are dealt by id, no row moves between tasks.
     """
-    size = F.char_length("plain")
-    none = F.array().cast("array<bigint>")
-    long = F.when(size >= LONG_CHARS, _runs(F.col("plain"), GRAM, RUN)).otherwise(none)
-    short = F.when(size <= SHORT_CHARS, _runs(F.col("plain"), SHORT_GRAM, SHORT_RUN)).otherwise(none)
-    return lines.select("id", size.alias("size"), F.concat(long, short).alias("blocks"))
+    distinct = lines.groupBy("id").agg(F.any_value("plain").alias("plain"))
+    words = distinct.select("id", F.posexplode(F.array_distinct(F.split("plain", " "))).alias("at", "word"))
+    hashed = words.select("id", F.expr(f"at div {VOTERS}").alias("part"), *[F.xxhash64(F.lit(w), "word").alias(f"h{w}") for w in range(WORDS)])
+    planes = [F.sum(F.shiftrightunsigned(f"h{w}", k).bitwiseAND(F.lit(_ONES))).alias(f"s{w}_{k}") for w in range(WORDS) for k in range(8)]
+    parts = hashed.groupBy("id", "part").agg(F.count("*").alias("n"), *planes)
+    counted = parts.select("id", "n", F.posexplode(F.array(*[f"s{w}_{k}" for w in range(WORDS) for k in range(8)])).alias("k", "s"))
+    votes = [F.sum(F.shiftrightunsigned("s", 8 * f).bitwiseAND(F.lit(255))).alias(f"v{f}") for f in range(8)]
+    counted = counted.groupBy("id", "k").agg(F.sum("n").alias("n"), *votes)
+    bits = reduce(Column.__add__, [F.when(F.col(f"v{f}") * 2 > F.col("n"), F.lit(1 << 8 * f)).otherwise(F.lit(0)) for f in range(8)])
+    set_bits = counted.select("id", "k", bits.cast("bigint").alias("bits")).withColumn("bits", F.expr("shiftleft(bits, k % 8)"))
+    return set_bits.groupBy("id").agg(*[F.bit_or(F.when(F.expr(f"k div 8 = {w}"), F.col("bits"))).alias(f"h{w}") for w in range(WORDS)])
+
+
+def blocks() -> Column:
+    """The blocks of a SimHash: for every two pieces of a word, the bits of both and which pieces they are."""
+    found = []
+    for w in range(WORDS):
+        pieces = [F.shiftrightunsigned(f"h{w}", 16 * p).bitwiseAND(F.lit(0xFFFF)) for p in range(PIECES)]
+        for low, high in combinations(pieces, 2):
+            found.append(F.lit(len(found) << 32) + F.shiftleft(high, 16) + low)
+    return F.array(*found)
+
+
+def _near(left: str, right: str) -> Column:
+    """Whether two SimHashes differ in at most MOST_BITS bits: columns h0, ... with these suffixes."""
+    differing = [F.bit_count(F.col(f"h{w}{left}").bitwiseXOR(F.col(f"h{w}{right}"))) for w in range(WORDS)]
+    return reduce(Column.__add__, differing) <= MOST_BITS
 
 
 def _alike(left: Column, right: Column, percent: int) -> Column:
@@ -95,60 +100,58 @@ def _alike(left: Column, right: Column, percent: int) -> Column:
     return close & (F.call_function("levenshtein", left, right, most) >= 0)
 
 
-def _few(ids: DataFrame) -> DataFrame:
+def _few(rows: DataFrame) -> DataFrame:
     """The distinct rows, to be broadcast where there are at most BROADCAST_IDS of them."""
-    named = store(ids.distinct(), "few")
+    named = store(rows.distinct(), "few")
     return F.broadcast(named) if named.count() <= BROADCAST_IDS else named
 
 
-def _led(hashed: DataFrame, percent: int) -> DataFrame:
-    """bucket, a, b: for each key that several lines share, its smallest id a and every id b.
-
-    Left out are the keys of two lines alone whose sizes differ by more than lines that are alike can.
-    """
-    keyed = store(hashed, "keys").select("id", "size", F.explode("blocks").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z")
-    joined = keyed.join(_few(shared.select("bucket", "a")), "bucket")
-    led = joined.select("bucket", "a", F.col("id").alias("b"), "size").distinct()
-    held = led.groupBy("bucket").agg(F.count("*").alias("n"), F.min("size").alias("low"), F.max("size").alias("high"))
-    near = held.where(f"n > 2 OR high - low <= floor(high * {percent} / 100)").select("bucket")
-    return store(led.join(near, "bucket", "left_semi").select("bucket", "a", "b"), "blocks")
+def _led(hashed: DataFrame) -> DataFrame:
+    """bucket, a, b: for each block that several lines share, its smallest id a and every id b."""
+    keyed = hashed.select("id", F.explode(blocks()).alias("bucket"))
+    shared = _few(keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
+    members = store(keyed.join(shared, "bucket"), "members")
+    first = members.groupBy("bucket").agg(F.min("id").alias("a"))
+    return members.join(_few(first), "bucket").select("bucket", "a", F.col("id").alias("b"))
 
 
-def _norms(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and norm (the plain line) of the named lines: a stored table."""
-    named = lines.select("id", F.col("plain").alias("norm")).join(_few(ids), "id", "left_semi")
-    return store(named.groupBy("id").agg(F.any_value("norm").alias("norm")), "norms")
+def _named(lines: DataFrame, hashed: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, norm (the plain line) and SimHash of the lines that share a block: a stored table."""
+    few = _few(ids)
+    norms = lines.select("id", F.col("plain").alias("norm")).join(few, "id", "left_semi")
+    norms = norms.groupBy("id").agg(F.any_value("norm").alias("norm"))
+    return store(norms.join(hashed.join(few, "id", "left_semi"), "id"), "norms")
 
 
 def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
-    """id and component of the lines that are alike with others, over any number of steps.
+    """id and component of the lines that are alike with others, over any number of steps; lines is read twice.
 
-    Two lines are compared where they share a similarity key (a block of lines): first each with its block's smallest id, then, where
+    Two lines are compared where they share a block: first each with the block's smallest id, then, where
     a block still holds several components, every two of different components. For that the block is cut into chunks
     of about CHUNK_ROWS lines, and each two chunks meet on a key of their own, so that one block's work is dealt to
-    many tasks and only alike lines become pairs.
+    many tasks and only alike lines become pairs. Edit distances are taken of those whose SimHashes are near.
     """
-    lines = store(lines.groupBy("id").agg(F.any_value("plain").alias("plain")), "distinct")
-    led = _led(simhashes(lines), percent)
-    norms = _norms(lines, led.select(F.explode(F.array("a", "b")).alias("id")))
-    left, right = (norms.select(F.col("id").alias(c), F.col("norm").alias(f"norm_{c}")) for c in ("a", "b"))
+    hashed = store(simhashes(lines), "simhashes")
+    led = store(_led(hashed), "blocks")
+    named = _named(lines, hashed, led.select(F.col("b").alias("id")))
+
+    def side(end: str) -> DataFrame:
+        return named.select(*[F.col(c).alias(end if c == "id" else f"{c}_{end}") for c in named.columns])
+
+    alike = _near("_a", "_b") & _alike(F.col("norm_a"), F.col("norm_b"), percent)
     stars = led.where("a <> b").select("a", "b").distinct()
-    alike = _alike(F.col("norm_a"), F.col("norm_b"), percent)
-    links = store(stars.join(left, "a").join(right, "b").where(alike).select("a", "b"), "links")
+    links = store(stars.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b"), "links")
     found = connected_components(links).withColumnRenamed("node", "b")
-    named = led.join(found, "b", "left").withColumn("component", F.coalesce("component", "b"))
-    several = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    several = several.where("low < high AND n > 2").select("bucket")
-    mixed = store(named.join(several, "bucket", "left_semi").join(right, "b"), "mixed")
-    held = mixed.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("chunks"))
-    dealt = mixed.join(held, "bucket").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    one = dealt.where("chunk <= k").select(
-        "bucket", F.col("chunk").alias("i"), F.col("k").alias("j"), F.col("b").alias("a"), F.col("component").alias("of_a"), F.col("norm_b").alias("norm_a")
-    )
+    placed = led.select("bucket", "b").join(found, "b", "left").withColumn("component", F.coalesce("component", "b"))
+    placed = store(placed, "placed")
+    held = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    held = held.where("low < high AND n > 2").select("bucket", F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"))
+    dealt = placed.join(_few(held), "bucket").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
+    dealt = dealt.join(side("b"), "b").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    place = {"b": "a", "component": "of_a", "norm_b": "norm_a"} | {f"h{w}_b": f"h{w}_a" for w in range(WORDS)}
+    one = dealt.where("chunk <= k").select("bucket", F.col("chunk").alias("i"), F.col("k").alias("j"), *[F.col(c).alias(n) for c, n in place.items()])
     two = dealt.where("k <= chunk").select(
-        F.col("bucket").alias("bucket_b"), F.col("k").alias("i_b"), F.col("chunk").alias("j_b"), "b", F.col("component").alias("of_b"), "norm_b"
+        F.col("bucket").alias("bucket_b"), F.col("k").alias("i_b"), F.col("chunk").alias("j_b"), F.col("component").alias("of_b"), *[c for c in place if c != "component"]
     )
     met = (F.col("bucket") == F.col("bucket_b")) & (F.col("i") == F.col("i_b")) & (F.col("j") == F.col("j_b"))
     apart = one.join(two, met & (F.col("of_a") != F.col("of_b")) & alike)
@@ -159,9 +162,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     """docs with every repeated line but one removed from its text, and n_lines, n_removed behind its columns.
 
     Lines are cut at newlines, and their letters and digits in lower case are compared. Those of at least LEAST_WORDS
-    words or LEAST_CHARS code points that are equal so, or alike in edit distance over any number of steps, are one group; its occurrence in the
-    smallest key's first line stays. Equal lines are collapsed before anything is compared, and the lists of lines
-    to remove are joined to the documents once.
+    words or LEAST_CHARS code points that are equal so, or share a block of their SimHashes and are alike in edit
+    distance, over any number of steps, are one group; its occurrence in the smallest key's first line stays. Equal
+    lines are collapsed before anything is compared, and the lists of lines to remove are joined to the documents
+    once. A line without blanks is one word, so its SimHash finds equal lines only.
 
     Null and empty texts stay as they are, with one line and none removed; smaller lines always stay. A
     row with a null key takes no part and stays whole. Rows that repeat key and text are one document: each keeps the
@@ -171,8 +175,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     given = given.select("row", F.col(f"row.`{key}`").alias("key"), F.col(f"row.`{text}`").alias("text"))
     given = given.withColumn("doc", _doc())
-    groups = line_groups(lines_of(given), percent).withColumnRenamed("node", "id")
-    places = store(lines_of(given).select("key", "doc", "line", "id"), "lines").join(groups, "id", "left")
+    lines = store(lines_of(given), "lines")
+    groups = line_groups(lines, percent).withColumnRenamed("node", "id")
+    places = lines.select("key", "doc", "line", "id").join(groups, "id", "left")
     places = places.select("key", "doc", "line", F.coalesce("component", "id").alias("root"))
     place = F.struct("key", "line", "doc")
     first = places.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n"))
