@@ -1,10 +1,12 @@
-"""Line groups against comparing every two lines that share a block."""
+"""Line groups against comparing every two lines that share a block, SimHashes made apart from Spark."""
 
+import itertools
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from odd_cases import documents, no_docs, odd_docs  # noqa: F401
 from pyspark.sql import functions as F
 from rowloom.llm import line_dedup as L
@@ -34,13 +36,35 @@ def alike(a, b, percent=L.EDITS_PERCENT):
     return distance(a, b) <= most
 
 
-def expected_texts(rows, blocks):
-    """blocks: the block keys of each normalised line."""
-    holders = defaultdict(set)
-    for line, keys in blocks.items():
-        for k in keys:
-            holders[k].add(line)
-    parent = {line: line for line in blocks}
+def simhash(line):
+    """The words of the line's SimHash, a bit at a time."""
+    words = set(line.split(" "))
+    found = []
+    for w in range(L.WORDS):
+        seed = xxhash.xxh64_intdigest(w.to_bytes(4, "little"), 42)  # each column's hash is the next one's seed
+        hashes = [xxhash.xxh64_intdigest(x.encode(), seed) for x in words]
+        found.append(sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(words)))
+    return found
+
+
+def blocks_of(words):
+    pieces = [[w >> 16 * p & 0xFFFF for p in range(L.PIECES)] for w in words]
+    return {(n, a, b, x[a], x[b]) for n, x in enumerate(pieces) for a, b in itertools.combinations(range(L.PIECES), 2)}
+
+
+def differing(left, right):
+    return sum((a ^ b).bit_count() for a, b in zip(left, right, strict=True))
+
+
+def expected_texts(rows):
+    hashed, holders = {}, defaultdict(set)
+    for _, text in rows:
+        for line in map(norm, (text or "").split("\n")):
+            if line and (line.count(" ") + 1 >= L.LEAST_WORDS or len(line) >= L.LEAST_CHARS) and line not in hashed:
+                hashed[line] = simhash(line)
+                for k in blocks_of(hashed[line]):
+                    holders[k].add(line)
+    parent = {line: line for line in hashed}
 
     def root(x):
         while parent[x] != x:
@@ -48,37 +72,28 @@ def expected_texts(rows, blocks):
         return x
 
     for held in holders.values():
-        several = sorted(held)
-        for n, a in enumerate(several):
-            for b in several[:n]:
-                if root(a) != root(b) and alike(a, b):
-                    parent[root(a)] = root(b)
-    seen, out = {}, []
+        for a, b in itertools.combinations(sorted(held), 2):
+            if root(a) != root(b) and differing(hashed[a], hashed[b]) <= L.MOST_BITS and alike(a, b):
+                parent[root(a)] = root(b)
+    seen, out = set(), []
     for key, text in sorted(set(rows), key=lambda r: r[0]):
         kept, gone = [], 0
         for line in (text or "").split("\n"):
             x = norm(line)
-            if x and (x.count(" ") + 1 >= L.LEAST_WORDS or len(x) >= L.LEAST_CHARS):
-                if seen.setdefault(root(x), True) is not True or root(x) in seen and seen[root(x)] == "held":
-                    gone += 1
-                    continue
-                seen[root(x)] = "held"
+            if x in parent and root(x) in seen:
+                gone += 1
+                continue
+            if x in parent:
+                seen.add(root(x))
             kept.append(line)
         out.append((key, None if text is None else "\n".join(kept), gone))
     return out
 
 
 def check(docs):
-    given = docs.select(F.col("doc_id").alias("key"), "text")
-    lines = L.lines_of(given)
-    hashed = L.simhashes(lines).join(lines.select("id", "plain").distinct(), "id").collect()
-    blocks = defaultdict(set)
-    for r in hashed:
-        blocks[r["plain"]] |= set(r["blocks"])
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect() if r["doc_id"] is not None]
-    expected = expected_texts(rows, blocks)
     found = L.dedup_lines(docs).where("doc_id IS NOT NULL").collect()
-    assert {(r["doc_id"], r["text"], r["n_removed"]) for r in found} == set(expected)
+    assert {(r["doc_id"], r["text"], r["n_removed"]) for r in found} == set(expected_texts(rows))
     assert len(found) == len(rows)
 
 
@@ -106,14 +121,35 @@ def test_near_lines_and_chains(spark):
     assert found[6]["text"] == found[7]["text"] == "short line"
 
 
-def test_keys_do_not_depend_on_other_lines(spark):
-    """Equal lines have equal keys wherever they stand; a line has at most 2 ** BIN_BITS of each kind."""
-    text = "alpha beta gamma delta epsilon " * 70 + " ".join(f"w{k}" for k in range(300))
-    rows = [(1, text + "\none two three"), (2, "one two three\n" + text)]
+def test_simhash_is_the_majority(spark):
+    """Of distinct words, however many a line has; made once a line."""
+    rng = np.random.default_rng(3)
+    several = [" ".join(f"w{k}" for k in rng.integers(0, 5000, n)) for n in (3, 4, 126, 127, 128, 300, 2000)]
+    several += ["one one two three", "longwordwithoutanyblanks" * 3, "été à la plage 日本 語"]
+    rows = [(k, "\n".join(several)) for k in range(3)]
     lines = L.lines_of(spark.createDataFrame(rows, "key bigint, text string"))
-    found = [(r["id"], tuple(r["blocks"])) for r in L.simhashes(lines).collect()]
-    assert len(found) == 4 and len(set(found)) == 2
-    assert all(0 < len(keys) <= 2 << L.BIN_BITS for _, keys in found)
+    hashed = L.simhashes(lines)
+    found = hashed.join(lines.select("id", "plain").distinct(), "id").select("*", L.blocks().alias("blocks")).collect()
+    assert sorted(r["plain"] for r in found) == sorted(map(norm, several))
+    for r in found:
+        assert [r[f"h{w}"] % 2**64 for w in range(L.WORDS)] == simhash(r["plain"])
+        assert len(set(r["blocks"])) == L.WORDS * L.PIECES * (L.PIECES - 1) // 2
+
+
+def test_blocks_hold_the_radius(spark):
+    """Any two SimHashes that differ in at most RADIUS bits share a block, wherever the bits lie."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for _ in range(200):
+        base = rng.integers(-(2**63), 2**63, L.WORDS)
+        places = rng.choice(64 * L.WORDS, L.RADIUS, replace=False)
+        other = base.copy()
+        for p in places:
+            other[p // 64] ^= np.array(1 << int(p) % 64, dtype=np.uint64).astype(np.int64)
+        rows += [[int(x) for x in base], [int(x) for x in other]]
+    named = ", ".join(f"h{w} bigint" for w in range(L.WORDS))
+    found = [set(r[0]) for r in spark.createDataFrame(rows, named).select(L.blocks()).collect()]
+    assert len(found) == 400 and all(a & b for a, b in zip(found[::2], found[1::2], strict=True))
 
 
 def test_one_key_with_two_texts_and_clashing_names(spark):
