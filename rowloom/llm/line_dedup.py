@@ -32,9 +32,9 @@ LEAST_WORDS, LEAST_CHARS = 3, 20
 EDITS_PERCENT = 15
 
 
-def normalised(line: Column) -> Column:
-    """The line's letters and digits in lower case, anything between them as one space, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def normalised(text: Column) -> Column:
+    """The lines of a text: letters and digits in lower case, anything between them as one space, some at the ends."""
+    return F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " "), "\n")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -43,9 +43,9 @@ def lines_of(docs: DataFrame) -> DataFrame:
     Lines of fewer than LEAST_WORDS words, in letters and
     digits, and fewer than LEAST_CHARS code points are left out, and so are those without letters and digits.
     """
-    parts = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n"))
+    parts = F.posexplode(normalised(F.coalesce("text", F.lit(""))))  # once a text, before any line is looked at
     cut = docs.where("key IS NOT NULL").select("key", _doc().alias("doc"), parts)
-    cut = cut.select("key", "doc", F.col("pos").alias("line"), normalised(F.col("col")).alias("plain"))
+    cut = cut.select("key", "doc", F.col("pos").alias("line"), F.trim("col").alias("plain"))
     blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" ")))
     large = (blanks >= LEAST_WORDS - 1) | (F.char_length("plain") >= LEAST_CHARS)
     return cut.where(large).select("key", "doc", "line", F.xxhash64("plain").alias("id"), "plain")
