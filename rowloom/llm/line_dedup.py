@@ -65,10 +65,31 @@ def simhashes(lines: DataFrame) -> DataFrame:
     words. Once lines are dealt by id, no row moves between tasks.
     """
     distinct = lines.groupBy("id").agg(F.any_value("plain").alias("plain"))
-    words = distinct.select("id", F.posexplode(F.array_distinct(F.split("plain", " "))).alias("at", "word"))
-    hashed = words.select("id", F.expr(f"at div {VOTERS}").alias("part"), *[F.xxhash64(F.lit(w), "word").alias(f"h{w}") for w in range(WORDS)])
+    distinct = distinct.select("id", F.array_distinct(F.split("plain", " ")).alias("words")).withColumn("n", F.size("words"))
     planes = [F.sum(F.shiftrightunsigned(f"h{w}", k).bitwiseAND(F.lit(_ONES))).alias(f"s{w}_{k}") for w in range(WORDS) for k in range(8)]
-    parts = hashed.groupBy("id", "part").agg(F.count("*").alias("n"), *planes)
+
+    def hashed(some: DataFrame) -> DataFrame:
+        words = some.select("id", F.posexplode("words").alias("at", "word"))
+        return words.select("id", F.expr(f"at div {VOTERS}").alias("part"), *[F.xxhash64(F.lit(w), "word").alias(f"h{w}") for w in range(WORDS)])
+
+    few = hashed(distinct.where(f"n <= {VOTERS}")).groupBy("id").agg(F.count("*").alias("n"), *planes)
+    many = hashed(distinct.where(f"n > {VOTERS}")).groupBy("id", "part").agg(F.count("*").alias("n"), *planes)
+    return _short_majority(few).union(_long_majority(many))
+
+
+def _short_majority(counted: DataFrame) -> DataFrame:
+    """SimHashes of at most VOTERS votes: with VOTERS - n div 2 added, the top bit of a byte says if most votes are 1."""
+    add = (F.lit(VOTERS) - F.expr("n div 2")) * F.lit(_ONES)
+
+    def word(w: int) -> Column:
+        tops = [F.shiftrightunsigned(F.col(f"s{w}_{k}") + F.col("add"), 7).bitwiseAND(F.lit(_ONES)) for k in range(8)]
+        return reduce(Column.bitwiseOR, [F.shiftleft(top, k) for k, top in enumerate(tops)])
+
+    return counted.select("*", add.alias("add")).select("id", *[word(w).alias(f"h{w}") for w in range(WORDS)])
+
+
+def _long_majority(parts: DataFrame) -> DataFrame:
+    """SimHashes from the votes of parts of lines: each byte's votes are added up in a long."""
     counted = parts.select("id", "n", F.posexplode(F.array(*[f"s{w}_{k}" for w in range(WORDS) for k in range(8)])).alias("k", "s"))
     votes = [F.sum(F.shiftrightunsigned("s", 8 * f).bitwiseAND(F.lit(255))).alias(f"v{f}") for f in range(8)]
     counted = counted.groupBy("id", "k").agg(F.sum("n").alias("n"), *votes)
