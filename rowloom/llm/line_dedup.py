@@ -213,7 +213,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     cut = F.split("text", "\n")
     every = F.sequence(F.lit(0), F.size(cut) - 1)
     kept = F.array_except(every, F.coalesce("gone", F.array().cast("array<int>")))
-    shorter = F.array_join(F.transform(kept, lambda k: F.get(cut, k)), "\n")
+    held = F.transform(F.array(cut), lambda whole: F.transform(kept, lambda k: F.get(whole, k)))  # cuts a text once
+    shorter = F.array_join(F.flatten(held), "\n")
     joined = given.join(gone, ["key", "doc"], "left")
     columns = [
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(shorter).alias(text)
