@@ -78,12 +78,23 @@ def simhashes(lines: DataFrame) -> DataFrame:
 
 
 def _short_majority(counted: DataFrame) -> DataFrame:
-    """SimHashes of at most VOTERS votes: with VOTERS - n div 2 added, the top bit of a byte says if most votes are 1."""
-    add = (F.lit(VOTERS) - F.expr("n div 2")) * F.lit(_ONES)
+    """SimHashes of at most VOTERS votes, eight bytes at a time.
+
+    With VOTERS - n div 2 added, a byte's top bit says if most votes are 1. Every other byte is taken at once, so that
+    sums have room.
+    """
+    ones, bytes_ = F.lit(0x0001000100010001), F.lit(0x00FF00FF00FF00FF)
+    add = (F.lit(VOTERS) - F.expr("n div 2")) * ones
+
+    def top(votes: Column) -> Column:
+        return F.shiftrightunsigned(votes.bitwiseAND(bytes_) + F.col("add"), 7).bitwiseAND(ones)
 
     def word(w: int) -> Column:
-        tops = [F.shiftrightunsigned(F.col(f"s{w}_{k}") + F.col("add"), 7).bitwiseAND(F.lit(_ONES)) for k in range(8)]
-        return reduce(Column.bitwiseOR, [F.shiftleft(top, k) for k, top in enumerate(tops)])
+        found = []
+        for k in range(8):
+            votes = F.col(f"s{w}_{k}")
+            found += [F.shiftleft(top(votes), k), F.shiftleft(top(F.shiftrightunsigned(votes, 8)), 8 + k)]
+        return reduce(Column.bitwiseOR, found)
 
     return counted.select("*", add.alias("add")).select("id", *[word(w).alias(f"h{w}") for w in range(WORDS)])
 
