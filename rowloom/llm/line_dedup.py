@@ -99,7 +99,7 @@ def _alike(left: Column, right: Column, percent: int) -> Column:
     found = None
     close = F.abs(F.char_length(left) - F.char_length(right)) <= most
     # the work grows with the bound, and most lines that are compared are far closer than they need be
-    for bound in (F.floor(most / 16).cast("int"), F.floor(most / 4).cast("int"), most):
+    for bound in (F.floor(most / 64).cast("int"), F.floor(most / 8).cast("int"), most):
         within = F.call_function("levenshtein", left, right, bound) >= 0
         found = within if found is None else F.when(found, True).otherwise(within)
     return close & found
