@@ -1,13 +1,11 @@
 """The pipeline's stages against brute-force versions, each on what its predecessor kept."""
 
-from collections import Counter, defaultdict
+from collections import Counter
 
 import corpus_pipeline as P
 import pytest
 from conftest import DATA
 from odd_cases import documents, no_docs, odd_docs  # noqa: F401
-from pyspark.sql import functions as F
-from rowloom.llm import line_dedup as L
 from rowloom.llm.quality import fit_quality, rate_quality
 from rowloom.llm.shared import store
 from rowloom.llm.toxicity import fit_toxicity, rate_toxicity
@@ -49,12 +47,8 @@ def test_classifiers_reject(spark, kept):
 
 
 def test_lines(kept):
-    lines = L.lines_of(kept[2].select(F.col("doc_id").alias("key"), "text"))
-    blocks = defaultdict(set)
-    for r in L.simhashes(lines).join(lines.select("id", "plain").distinct(), "id").collect():
-        blocks[r["plain"]] |= set(r["blocks"])
     rows = [(r["doc_id"], r["text"]) for r in kept[2].collect()]
-    expected = {k: t for k, t, gone in expected_texts(rows, blocks) if (t or "").strip(" ") or not gone}
+    expected = {k: t for k, t, gone in expected_texts(rows) if (t or "").strip(" ") or not gone}
     assert {r["doc_id"]: r["text"] for r in kept[3].collect()} == expected
     assert all(r["n_chars"] == len(r["text"]) for r in kept[3].where("text IS NOT NULL").collect())
 
