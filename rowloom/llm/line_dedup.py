@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from itertools import combinations
 
@@ -93,16 +94,72 @@ def _near(left: str, right: str) -> Column:
     return reduce(Column.__add__, differing) <= MOST_BITS
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value being made once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _equal_words(left: Column, right: Column) -> Column:
+    """How many words two lists begin with in common."""
+    unlike = F.array_position(F.zip_with(left, right, lambda x, y: x.eqNullSafe(y)), False)
+    return F.least(F.coalesce(F.nullif(unlike, F.lit(0)) - 1, F.size(left)), F.size(left), F.size(right)).cast("int")
+
+
+def _middles(left: Column, right: Column) -> Column:
+    """l and r: the words of two lines without the ones that both begin or end with."""
+
+    def cut(words: Column) -> Column:
+        one, two = words["l"], words["r"]
+        first = _equal_words(one, two)
+        last = F.least(_equal_words(F.reverse(one), F.reverse(two)), F.least(F.size(one), F.size(two)) - first)
+        ends = F.struct(first.alias("first"), (first + last).alias("both"))
+        return _with(ends, lambda e: F.struct(*[F.slice(words[c], e["first"] + 1, F.size(words[c]) - e["both"]).alias(c) for c in "lr"]))
+
+    return _with(F.struct(F.split(left, " ").alias("l"), F.split(right, " ").alias("r")), cut)
+
+
+def _within_by_words(one: Column, two: Column, most: Column) -> Column:
+    """True where edits of whole words already show two lists of words to be within an edit distance; else false.
+
+    Place by place: words at one place cost the longer one at most. By the edit distance of the lists, words being
+    characters numbered in their union: k edits cost at most the k longest of all words, with a blank each.
+    """
+    costs = F.zip_with(one, two, lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.char_length(x), F.char_length(y))))
+    placed = (F.size(one) == F.size(two)) & (F.aggregate(costs, F.lit(0), lambda total, c: total + c) <= most)
+    union = F.array_union(one, two)
+
+    def by_edits(held: Column) -> Column:
+        def spelled(words: Column) -> Column:
+            numbers = F.transform(words, lambda w: F.lpad(F.hex(F.array_position(held["union"], w)), 4, "0"))
+            return F.decode(F.unhex(F.array_join(numbers, "")), "UTF-16BE")
+
+        lengths = F.sort_array(F.transform(F.concat(one, two), lambda w: F.char_length(w) + 1), asc=False)
+        edits = F.call_function("levenshtein", spelled(one), spelled(two), F.floor(most / 2).cast("int"))
+        longest = lambda k: F.aggregate(F.slice(lengths, 1, k), F.lit(0), lambda total, n: total + n)
+        return _with(edits, lambda k: (k >= 0) & (longest(F.greatest(k, F.lit(0))) <= most))
+
+    # numbers stay below the code units that UTF-16 pairs up
+    edited = F.when(F.size(union) < 0xD800, _with(F.struct(union.alias("union")), by_edits)).otherwise(False)
+    return F.when(placed, True).otherwise(edited)
+
+
 def _alike(left: Column, right: Column, percent: int) -> Column:
-    """Whether two whole lines' edit distance is at most `percent` of the longer one's code points."""
+    """Whether two whole lines' edit distance is at most `percent` of the longer one's code points.
+
+    Words that both begin or end with do not change the distance, and most lines that are compared differ in a few
+    words; only where edits of whole words do not decide are the code points between compared.
+    """
     most = F.floor(F.greatest(F.char_length(left), F.char_length(right)) * percent / 100).cast("int")
-    found = None
     close = F.abs(F.char_length(left) - F.char_length(right)) <= most
-    # the work grows with the bound, and most lines that are compared are far closer than they need be
-    for bound in (F.floor(most / 64).cast("int"), F.floor(most / 8).cast("int"), most):
-        within = F.call_function("levenshtein", left, right, bound) >= 0
-        found = within if found is None else F.when(found, True).otherwise(within)
-    return close & found
+
+    def within(cut: Column) -> Column:
+        def text(words: Column) -> Column:
+            return F.array_join(F.transform(words, lambda w: F.concat(w, F.lit(" "))), "")
+
+        whole = F.call_function("levenshtein", text(cut["l"]), text(cut["r"]), most) >= 0
+        return F.when(_within_by_words(cut["l"], cut["r"], most), True).otherwise(whole)
+
+    return F.when(close, _with(_middles(left, right), within)).otherwise(False)
 
 
 def _few(rows: DataFrame) -> DataFrame:
