@@ -70,12 +70,40 @@ def simhashes(lines: DataFrame) -> DataFrame:
     hashed = words.select("id", F.expr(f"at div {VOTERS}").alias("part"), *[F.xxhash64(F.lit(w), "word").alias(f"h{w}") for w in range(WORDS)])
     planes = [F.sum(F.shiftrightunsigned(f"h{w}", k).bitwiseAND(F.lit(_ONES))).alias(f"s{w}_{k}") for w in range(WORDS) for k in range(8)]
     parts = hashed.groupBy("id", "part").agg(F.count("*").alias("n"), *planes)
-    counted = parts.select("id", "n", F.posexplode(F.array(*[f"s{w}_{k}" for w in range(WORDS) for k in range(8)])).alias("k", "s"))
-    votes = [F.sum(F.shiftrightunsigned("s", 8 * f).bitwiseAND(F.lit(255))).alias(f"v{f}") for f in range(8)]
-    counted = counted.groupBy("id", "k").agg(F.sum("n").alias("n"), *votes)
-    bits = reduce(Column.__add__, [F.when(F.col(f"v{f}") * 2 > F.col("n"), F.lit(1 << 8 * f)).otherwise(F.lit(0)) for f in range(8)])
-    set_bits = counted.select("id", "k", bits.cast("bigint").alias("bits")).withColumn("bits", F.expr("shiftleft(bits, k % 8)"))
-    return set_bits.groupBy("id").agg(*[F.bit_or(F.when(F.expr(f"k div 8 = {w}"), F.col("bits"))).alias(f"h{w}") for w in range(WORDS)])
+    part = F.struct("n", F.array(*[f"s{w}_{k}" for w in range(WORDS) for k in range(8)]).alias("s"))
+    held = parts.groupBy("id").agg(F.collect_list(part).alias("parts"))
+    bits = F.when(F.size("parts") == 1, _bits_of_one(F.get("parts", F.lit(0)))).otherwise(_bits_of_many(F.col("parts")))
+    voted = held.select("id", bits.alias("bits"))
+    return voted.select("id", *[reduce(Column.bitwiseOR, [F.shiftleft(F.get("bits", F.lit(8 * w + k)), k) for k in range(8)]).alias(f"h{w}") for w in range(WORDS)])
+
+
+def _bits_of_one(part: Column) -> Column:
+    """For each count of 8 bytes, a 1 in every byte that more than half of n reaches.
+
+    Bytes are taken as two sets of four 16-bit lanes; c > n div 2 where c + 255 - n div 2 carries into a lane's bit 8.
+    """
+    lift = (F.lit(255) - F.expr("parts[0].n div 2")) * F.lit(0x0001000100010001)
+    lane, carry = F.lit(0x00FF00FF00FF00FF), F.lit(0x0100010001000100)
+
+    def voted(s: Column, lift: Column) -> Column:
+        even, odd = [(x.bitwiseAND(lane) + lift).bitwiseAND(carry) for x in (s, F.shiftrightunsigned(s, 8))]
+        return F.shiftrightunsigned(even, 8).bitwiseOR(odd)
+
+    return _with(lift, lambda one: F.transform(part["s"], lambda s: voted(s, one)))
+
+
+def _bits_of_many(parts: Column) -> Column:
+    """The same where a line's words were counted in several parts."""
+    total = F.aggregate(parts, F.lit(0).cast("bigint"), lambda sum_, p: sum_ + p["n"])
+
+    def voted(plane: Column, n: Column) -> Column:
+        def count(f: int) -> Column:
+            byte = lambda p: F.shiftrightunsigned(F.get(p["s"], plane), 8 * f).bitwiseAND(F.lit(255))
+            return F.aggregate(parts, F.lit(0).cast("bigint"), lambda sum_, p: sum_ + byte(p))
+
+        return reduce(Column.bitwiseOR, [F.when(count(f) * 2 > n, F.lit(1 << 8 * f).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for f in range(8)])
+
+    return _with(total, lambda n: F.transform(F.sequence(F.lit(0), F.lit(8 * WORDS - 1)), lambda plane: voted(plane, n)))
 
 
 def blocks() -> Column:
