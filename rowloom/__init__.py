@@ -65,7 +65,9 @@ from rowloom.operators.selection import (
     union_rows,
 )
 from rowloom.operators.sparse import gramian_sparse, project_rows_sparse, sparse_rows, sparse_to_cells, sparse_to_rows
+from rowloom.sources import matrix_source
 from rowloom.sources.libsvm import read_libsvm_matrix, read_libsvm_sparse
+from rowloom.sources.matrix_source import register_source
 from rowloom.sources.random import random_matrix, random_rows
 from rowloom.sources.store import (
     append_rows,
@@ -89,3 +91,4 @@ from rowloom.sources.text import parse_vectors
 
 # Executors receive the task helpers with the task itself, so the library needs no installation there.
 cloudpickle.register_pickle_by_value(kernels)
+cloudpickle.register_pickle_by_value(matrix_source)

@@ -297,6 +297,9 @@ def all_oracles() -> dict[str, str]:
         "put_get_cells_star_vr": f"WITH {EV} SELECT i, j, x FROM ev",
         "put_get_tiles_mc_mr": E_ALL,
         "put_get_tiles_mr_star": E_ALL,
+        "read_matrix_source": E_ALL,
+        "read_matrix_source_orders": O_ALL,
+        "read_matrix_source_pieces": E_ALL,
         "reopen_matrix": """SELECT c_custkey AS i, CAST(0 AS BIGINT) AS j, CAST(c_nationkey AS DOUBLE) AS x FROM customer
             UNION ALL SELECT c_custkey, CAST(1 AS BIGINT), c_acctbal FROM customer""",
         "compact_matrix": O_ALL,

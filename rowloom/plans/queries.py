@@ -38,6 +38,7 @@ from rowloom.operators.selection import (
 from rowloom.operators.sparse import gramian_sparse, project_rows_sparse, sparse_rows, sparse_to_cells
 from rowloom.plans import matrices as M
 from rowloom.sources.libsvm import read_libsvm_matrix, read_libsvm_sparse
+from rowloom.sources.matrix_source import register_source
 from rowloom.sources.random import random_rows
 from rowloom.sources.scratch import scratch_path
 from rowloom.sources.store import (
@@ -110,6 +111,17 @@ def put_get(matrix, layout, spark, sf):
     return _cells(get_matrix(spark, path))
 
 
+def read_source(matrix, layout, spark, sf):
+    """A stored matrix read through Spark's data source interface, its pieces' elements as cells."""
+    path = scratch_path(spark, "source")
+    put_matrix(matrix(spark, sf), path, layout, GRID)
+    found = spark.read.format(register_source(spark)).load(path)
+    if "j0" not in found.columns:
+        return _cells(found)
+    cells = found.select("i", "j0", "jstep", F.posexplode("v").alias("k", "x"))
+    return cells.select("i", F.expr("j0 + k * jstep").alias("j"), "x")
+
+
 def rows_stored(spark, sf):
     """The rows of customers with orders, fetched from their owners' folders."""
     path = scratch_path(spark, "rows")
@@ -744,6 +756,9 @@ def all_queries() -> dict[str, Query]:
         "put_get_cells_star_vr": partial(put_get_tuples, "STAR_VR"),
         "put_get_tiles_mc_mr": partial(put_get_tiled, "MC_MR"),
         "put_get_tiles_mr_star": partial(put_get_tiled, "MR_STAR"),
+        "read_matrix_source": partial(read_source, M.embeddings, "VC_STAR"),
+        "read_matrix_source_orders": partial(read_source, M.orders, "MR_STAR"),
+        "read_matrix_source_pieces": partial(read_source, M.embeddings, "MC_MR"),
         "reopen_matrix": reopened,
         "compact_matrix": compacted,
         "redistribute_mc_mr_to_vr_star": partial(moved, "MC_MR", GRID, "VR_STAR", Grid(3, 2)),
