@@ -288,8 +288,65 @@ def stack_r(r, x: np.ndarray) -> np.ndarray:
     return np.linalg.qr(x if r is None else np.vstack([r, x]), mode="r")
 
 
-def qr_partials(n: int):
-    """R factor of one partition, keyed by the partition number."""
+def opened(batch: pa.RecordBatch, n: int) -> np.ndarray:
+    """Rows of a batch, dense (``v``) or sparse (``idx``, ``val``), as a (rows, n) array."""
+    if "v" in batch.schema.names:
+        return dense(batch.column("v"), n)
+    offsets, j, x = compressed(batch)
+    if len(j) and j.max() >= n:
+        raise ValueError(f"column index {j.max()} outside a matrix of width {n}")
+    out = np.zeros((batch.num_rows, n))
+    out[np.repeat(np.arange(batch.num_rows), np.diff(offsets)), j] = x
+    return out
+
+
+def project_twice(first: np.ndarray, last: np.ndarray):
+    """Row times ``first``, then times ``last``, for every dense or sparse row."""
+
+    def run(batches):
+        for batch in batches:
+            for cut in row_slices(batch, max(first.shape)):
+                yield row_batch(cut.column("i"), (opened(cut, len(first)) @ first) @ last)
+
+    return run
+
+
+def column_tops(count: int):
+    """Largest magnitude in each column of one partition of vectors."""
+
+    def run(batches):
+        top = np.zeros(count)
+        for batch in batches:
+            for cut in row_slices(batch, count):
+                top = np.maximum(top, np.abs(dense(cut.column("v"), count)).max(axis=0, initial=0.0))
+        yield pa.RecordBatch.from_pydict({"j": np.arange(count), "x": top})
+
+    return run
+
+
+def first_tops(least: np.ndarray):
+    """For each column of one partition, the element of smallest index whose magnitude is at least ``least``."""
+
+    def run(batches):
+        count, none = len(least), np.iinfo(np.int64).max
+        at, value = np.full(count, none), np.zeros(count)
+        for batch in batches:
+            for cut in row_slices(batch, count):
+                x = dense(cut.column("v"), count)
+                index = np.where(np.abs(x) >= least, cut.column("i").to_numpy()[:, None], none)
+                if len(x):
+                    low = index.argmin(axis=0)
+                    found = index[low, np.arange(count)]
+                    value = np.where(found < at, x[low, np.arange(count)], value)
+                    at = np.minimum(at, found)
+        hit = np.flatnonzero(at < none)
+        yield pa.RecordBatch.from_pydict({"j": hit, "i": at[hit], "x": value[hit]})
+
+    return run
+
+
+def qr_partials(n: int, factor: np.ndarray | None = None):
+    """R factor of one partition of dense or sparse rows, times ``factor`` if given, keyed by the partition number."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -297,7 +354,8 @@ def qr_partials(n: int):
         r = None
         for batch in batches:
             for cut in row_slices(batch, n):
-                r = stack_r(r, dense(cut.column("v"), n))
+                x = opened(cut, n)
+                r = stack_r(r, x if factor is None else x @ factor)
         if r is not None:
             yield pa.RecordBatch.from_pydict({"c": [TaskContext.get().partitionId()], "part": [r.tobytes()]})
 

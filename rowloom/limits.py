@@ -18,6 +18,9 @@ GRAM_MAX_COLS = 4096
 # Widest matrix handled by tall-skinny QR; one n x n factor travels as a single value (32 MiB).
 QR_MAX_COLS = 2048
 
+# Longest short side of a matrix that bidiagonalisation reduces to its R factor first (2 MiB).
+SHORT_SIDE = 512
+
 # Up to this width the Gram matrix is a handful of plain SQL sums.
 SQL_GRAM_COLS = 8
 

@@ -1,19 +1,21 @@
 """Golub-Kahan bidiagonalisation in blocks, with thick restart. Long vectors are tables; the driver holds small factors.
 
 A is never squared, so small singular values keep their accuracy, and neither its rows nor its columns are bounded by
-one node's memory.
+one node's memory. A matrix with one short side is reduced to its R factor first, as in Chan's R-bidiagonalisation
+(ACM TOMS 8, 1982): no long vector is stored or shuffled then.
 """
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom import kernels
 from rowloom.functions.vectors import zeros
-from rowloom.limits import BROADCAST_BYTES, DENSE_STEP_BYTES, PIECE_BYTES
+from rowloom.limits import BROADCAST_BYTES, DENSE_STEP_BYTES, PIECE_BYTES, SHORT_SIDE
 from rowloom.operators.catalog import CELLS, ROWS, SPARSE, dims, form_of
 from rowloom.operators.forms import rows_to_coo, to_rows
-from rowloom.operators.products import keyed, project_rows, summed
+from rowloom.operators.products import keyed, local_rows, project_rows, summed
 from rowloom.operators.qr import r_factor
 from rowloom.operators.selection import row_spine
 from rowloom.operators.sparse import sparse_to_cells
@@ -24,6 +26,9 @@ from rowloom.sources.scratch import stored
 MOST_WIDE = 32
 BLOCKS = 8
 
+# How many times longer the other side must be for a short one to be worth an R factor.
+ASPECT = 8
+
 
 class _Matrix:
     """A in a form that both products read in place; ``i`` numbers records, so repeated indices are rows of their own."""
@@ -32,12 +37,12 @@ class _Matrix:
         form = form_of(matrix)
         if form not in (ROWS, SPARSE, CELLS):
             matrix, form = to_rows(matrix), ROWS
-        self.n, self.keys, self.dense = n, None, None
+        self.n, self.keys, self.dense, self.held = n, None, None, None
         if form == CELLS:
             self.cells, self.m = matrix, dims(matrix, width=n)[0]
         else:
             values = ["v"] if form == ROWS else ["idx", "val"]
-            held = keyed(matrix, *values)
+            self.held = held = keyed(matrix, *values)
             self.keys, self.m = held.select("key", "i"), held.count()
             records = held.select(F.col("key").alias("i"), *values)
             self.cells = rows_to_coo(records) if form == ROWS else sparse_to_cells(records)
@@ -69,6 +74,30 @@ class _Matrix:
         sums = joined.groupBy(outer).agg(*[F.sum(F.col("x") * F.col("v")[c]).alias(f"s{c}") for c in range(width)])
         return sums.select(F.col(outer).alias("i"), F.array(*[f"s{c}" for c in range(width)]).alias("v"))
 
+    def indexed(self, u: DataFrame, count: int) -> DataFrame:
+        """Left vectors under A's own row indices; records that ``u`` lacks are zero."""
+        if self.keys is None:
+            return u
+        length = F.least(F.lit(count), F.col("key") + count)
+        rows = self.keys.join(u.select(F.col("i").alias("key"), "v"), "key", "left")
+        return rows.select("i", F.coalesce("v", zeros(length)).alias("v"))
+
+    def few_rows(self) -> list | None:
+        """Indices of the rows that hold cells, where they are few against the columns and A is not dense."""
+        if self.dense is not None or self.n < ASPECT:
+            return None
+        found = [r["i"] for r in self.cells.select("i").distinct().limit(SHORT_SIDE + 1).collect()]
+        return found if 0 < len(found) <= min(SHORT_SIDE, self.n // ASPECT) else None
+
+    def columns_of(self, names: list) -> DataFrame:
+        """A' as stored sparse rows, whose indices are places in ``names``."""
+        none = min((x for x in names if x is not None), default=0) - 1
+        known = [none if x is None else x for x in names]
+        table = pa.table({"name": pa.array(known, pa.int64()), "place": pa.array(range(len(names)), pa.int64())})
+        places = F.broadcast(self.cells.sparkSession.createDataFrame(table))
+        placed = self.cells.join(places, F.coalesce("i", F.lit(none)) == F.col("name"))
+        return stored(_gathered(placed.select(F.col("j").alias("i"), F.col("place").alias("j"), "x")), "columns")
+
     def random_start(self, width: int, seed: int) -> DataFrame:
         """A'.G for a random block G: a start inside the row space."""
         rows = self.cells.select("i").distinct() if self.dense is None else self.dense.select("i")
@@ -76,6 +105,55 @@ class _Matrix:
         return self.turned_times(noise, width)
 
 
+def _gathered(cells: DataFrame) -> DataFrame:
+    """Sparse rows of cells whose column indices are few; repeated cells add up, map-side first.
+
+    Sums pass over nulls, as they do where cells are joined with vectors; a row of nulls alone fails.
+    """
+    summed_cells = cells.groupBy("i", "j").agg(F.sum("x").alias("x"))
+    lines = summed_cells.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "x"))).alias("c"))
+    known = F.filter("c", lambda c: c["x"].isNotNull())
+    null = F.raise_error(F.lit("matrix has a NULL element")).cast(lines.schema["c"].dataType)
+    lines = lines.select("i", F.when(F.size(known) > 0, known).otherwise(null).alias("c"))
+    return lines.select("i", F.col("c.j").alias("idx"), F.col("c.x").alias("val"))
+
+
+def _reduced(a: _Matrix, k: int, names: list | None):
+    """(U, sigma, V) from the R factor of A, or of A' where ``names`` lists A's few rows.
+
+    With R = P S Q', the short side's vectors are Q's columns. The long side's are A Q / S, made orthonormal by a
+    second R factor, as small singular values leave rounding of the largest in them.
+    """
+    if names is not None:
+        records, width = a.columns_of(names), len(names)
+    else:
+        records, width = stored(_gathered(a.cells), "rows") if a.held is None else a.held, a.n
+    _, sigma, turn = np.linalg.svd(r_factor(records, width))
+    found = min(k, int((sigma > width * np.finfo(float).eps * sigma[0]).sum()))
+    if not found:
+        raise ValueError("a matrix without non-zero elements has no singular vectors")
+    sigma, short = sigma[:found], turn[:found].T
+    first = short / sigma
+    again = r_factor(records, width, first)
+    last = np.linalg.inv(again * np.sign(np.diag(again))[:, None])
+    values = [c for c in records.columns if c in ("v", "idx", "val")]
+    long = lambda kept, signs: kept.select("i", *values).mapInArrow(
+        kernels.project_twice(first, last * signs), kernels.ROW_SCHEMA
+    )
+    spark = records.sparkSession
+    if names is None:
+        signs = column_signs(short)
+        return long(records, signs), sigma, local_rows(spark, short * signs)
+    inside = records.where(F.col("i") < a.n)
+    signs = _signs(long(inside, 1.0), found)
+    length = F.least(F.lit(found), F.col("i") + found)
+    # The hint keeps the long index from being broadcast, which its few compressed bytes would suggest.
+    present = records.select("i").hint("merge")
+    missing = row_spine(spark, a.n).join(present, "i", "left_anti").select("i", zeros(length).alias("v"))
+    u = pa.Table.from_batches([kernels.row_batch(names, short * signs)])
+    return a.indexed(spark.createDataFrame(u, kernels.ROW_SCHEMA), found), sigma, long(inside, signs).unionByName(missing)
+
+
 def _extended(basis: DataFrame | None, held: int, block: DataFrame, width: int):
     """(basis with the block's new directions appended, C, R) where block = basis C + new R, by QR done twice.
 
@@ -118,9 +196,15 @@ def bidiagonal_triplets(matrix: DataFrame, n: int, k: int, tol: float, max_passe
     A V = U B with a small B whose singular values are A's. The run ends when the residuals of the wanted triplets are
     at most ``tol`` of their singular values (or rounding of the largest), or when the blocks span all A reaches; a
     basis of BLOCKS blocks is replaced by its best approximations and the last block. More than ``max_passes`` passes
-    fail. U has a row for every record of A, V for every column.
+    fail. U has a row for every record of A, V for every column. Cells are read many times: the caller stores them.
+
+    Where one side has at most SHORT_SIDE indices and the other ASPECT times as many, A is reduced to its R factor,
+    which the driver's LAPACK bidiagonalises: exact, so that no passes are counted. Dense rows are so reduced only
+    where the columns are few; few dense rows have no more than MAX_ROW_WIDTH columns.
     """
     a = _Matrix(matrix, n)
+    if n <= SHORT_SIDE and a.m >= ASPECT * n:
+        return _reduced(a, k, None)
     width = min(n, MOST_WIDE, k + 2)
     v, _, grown = _extended(None, 0, a.random_start(width, seed), width)
     u, small = None, np.zeros((0, 0))
@@ -159,11 +243,7 @@ def bidiagonal_triplets(matrix: DataFrame, n: int, k: int, tol: float, max_passe
     turned = np.zeros((wide + new, found))
     turned[:wide] = right[:found].T
     signs = _signs(project_rows(v, turned), found)
-    u = project_rows(u, left[:, :found] * signs)
-    if a.keys is not None:
-        length = F.least(F.lit(found), F.col("key") + found)
-        rows = a.keys.join(u.select(F.col("i").alias("key"), "v"), "key", "left")
-        u = rows.select("i", F.coalesce("v", zeros(length)).alias("v"))
+    u = a.indexed(project_rows(u, left[:, :found] * signs), found)
     # Columns that no cell of A names have no record in the basis.
     length = F.least(F.lit(found), F.col("i") + found)
     v = row_spine(matrix.sparkSession, n).join(project_rows(v, turned * signs), "i", "left")
@@ -172,11 +252,20 @@ def bidiagonal_triplets(matrix: DataFrame, n: int, k: int, tol: float, max_passe
 
 def _signs(vectors: DataFrame, count: int) -> np.ndarray:
     """Signs that make the largest component of each column (the first of those equal up to rounding) positive."""
-    cells = stored(rows_to_coo(vectors), "signs")
-    top = {r["j"]: r["top"] for r in cells.groupBy("j").agg(F.max(F.abs("x")).alias("top")).collect()}
-    least = F.element_at(F.lit([top.get(c, 0.0) * (1 - 1e-9) for c in range(count)]), F.col("j").cast("int") + 1)
-    first = cells.where(F.abs("x") >= least).groupBy("j").agg(F.min_by("x", "i").alias("x")).collect()
+    tops = vectors.select("v").mapInArrow(kernels.column_tops(count), "j bigint, x double")
+    least = np.zeros(count)
+    for r in tops.groupBy("j").agg(F.max("x").alias("x")).collect():
+        least[r["j"]] = r["x"] * (1 - 1e-9)
+    firsts = vectors.select("i", "v").mapInArrow(kernels.first_tops(least), "j bigint, i bigint, x double")
     signs = np.ones(count)
-    for r in first:
+    for r in firsts.groupBy("j").agg(F.min_by("x", "i").alias("x")).collect():
         signs[r["j"]] = -1.0 if r["x"] < 0 else 1.0
     return signs
+
+
+def column_signs(basis: np.ndarray) -> np.ndarray:
+    """The same for an array."""
+    size = np.abs(basis)
+    top = (size >= size.max(axis=0) * (1 - 1e-9)).argmax(axis=0)
+    signs = np.sign(basis[top, np.arange(basis.shape[1])])
+    return np.where(signs == 0, 1.0, signs)

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from rowloom import kernels
 from rowloom.limits import BROADCAST_BYTES, DRIVER_BYTES, GRAM_MAX_COLS, PIECE_BYTES, QR_MAX_COLS, check_driver_bytes
-from rowloom.operators.bidiagonal import bidiagonal_triplets
-from rowloom.operators.catalog import ROWS, dims, form_of, row_width
+from rowloom.operators.bidiagonal import bidiagonal_triplets, column_signs
+from rowloom.operators.catalog import CELLS, ROWS, dims, form_of, row_width
 from rowloom.operators.forms import to_rows, transpose
 from rowloom.operators.products import collect_dense, gramian, keyed, local_rows, project_rows, summed, vectors
 from rowloom.operators.qr import r_factor
 from rowloom.operators.reductions import frobenius_sq, row_sqdist
+from rowloom.sources.scratch import stored
 
 # Blocks of basis vectors kept before a Krylov run restarts from its best approximations: at most, and the
 # fewest that still converge usefully.
@@ -121,12 +122,7 @@ def _from_krylov(
 
 def _signed(basis: np.ndarray) -> np.ndarray:
     """Flip each column so that its largest component (the first of those equal up to rounding) is positive."""
-    if basis.size == 0:
-        return basis
-    size = np.abs(basis)
-    top = (size >= size.max(axis=0) * (1 - 1e-9)).argmax(axis=0)
-    signs = np.sign(basis[top, np.arange(basis.shape[1])])
-    return basis * np.where(signs == 0, 1.0, signs)
+    return basis * column_signs(basis) if basis.size else basis
 
 
 def truncated_svd(
@@ -142,7 +138,7 @@ def truncated_svd(
     """The k largest singular values and their vectors.
 
     ``method``: 'gram' (one pass, up to 4,096 columns), 'bidiagonal' (any height and width, two passes a step, small
-    values stay accurate), 'tsqr' (one pass, up to 2,048 columns, small values stay accurate), 'krylov' (several
+    values stay accurate; one reduction to an R factor first where one side is short), 'tsqr' (one pass, up to 2,048 columns, small values stay accurate), 'krylov' (several
     passes, n x b arrays on the driver), 'auto' (gram when it fits, else bidiagonal). Values at or below ``rcond``
     times the largest are dropped, so fewer than k may return. 'gram' works
     on A'A, whose rounding hides values below about 1e-8 of the largest; where the k-th value comes near that, a
@@ -151,11 +147,14 @@ def truncated_svd(
     positive, and U follows. A matrix in cells or blocks is assembled into rows on every pass; store rows to
     avoid that.
     """
+    if method == "bidiagonal":
+        rows = _held_cells(rows)
     n = dims(rows, row_width(rows) if form_of(rows) == ROWS else None)[1] if num_cols is None else num_cols
     if not 1 <= k <= n:
         raise ValueError(f"k must lie in 1..{n}, not {k}")
     if method == "auto":
         method = "gram" if n <= GRAM_MAX_COLS else "bidiagonal"
+        rows = rows if method == "gram" else _held_cells(rows)
     if method == "bidiagonal":
         u, sigma, v = bidiagonal_triplets(rows, n, k, tol, max_passes, seed)
         kept = int((sigma > rcond * sigma[0]).sum())
@@ -181,6 +180,11 @@ def truncated_svd(
     return SVD(project_rows(rows, v / sigma), _values(spark, sigma), local_rows(spark, v))
 
 
+def _held_cells(matrix: DataFrame) -> DataFrame:
+    """A matrix in cells as a stored table, for methods that read it many times; other forms as they are."""
+    return stored(matrix.select("i", "j", "x"), "cells") if form_of(matrix) == CELLS else matrix
+
+
 def _values(spark: SparkSession, sigma: np.ndarray) -> DataFrame:
     table = pa.table({"k": pa.array(range(len(sigma)), pa.int32()), "sigma": pa.array(sigma, pa.float64())})
     return spark.createDataFrame(table, "k int, sigma double")

@@ -10,9 +10,14 @@ from rowloom import kernels
 QR_FAN_IN = 64
 
 
-def r_factor(rows: DataFrame, n: int) -> np.ndarray:
-    """The n x n upper triangular R of A = QR; rows of zeros where A has fewer rows. A' is never multiplied by A."""
-    level = rows.select("v").mapInArrow(kernels.qr_partials(n), kernels.PARTIAL_SCHEMA)
+def r_factor(rows: DataFrame, n: int, factor: np.ndarray | None = None) -> np.ndarray:
+    """The n x n upper triangular R of A = QR; rows of zeros where A has fewer rows. A' is never multiplied by A.
+
+    A is dense or sparse rows of length n; with ``factor`` (n x b) the result is that of A times it, b x b.
+    """
+    values = [c for c in rows.columns if c in ("v", "idx", "val")]
+    level = rows.select(*values).mapInArrow(kernels.qr_partials(n, factor), kernels.PARTIAL_SCHEMA)
+    n = n if factor is None else factor.shape[1]
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lower = (tasks > QR_FAN_IN) + (tasks > QR_FAN_IN * QR_FAN_IN)
     for merged in [f"c div {QR_FAN_IN}"] * lower + ["0L"]:
