@@ -205,6 +205,8 @@ def bidiagonal_triplets(matrix: DataFrame, n: int, k: int, tol: float, max_passe
     a = _Matrix(matrix, n)
     if n <= SHORT_SIDE and a.m >= ASPECT * n:
         return _reduced(a, k, None)
+    if names := a.few_rows():
+        return _reduced(a, k, names)
     width = min(n, MOST_WIDE, k + 2)
     v, _, grown = _extended(None, 0, a.random_start(width, seed), width)
     u, small = None, np.zeros((0, 0))

@@ -46,6 +46,30 @@ def test_tall_cells_and_sparse_rows(spark):
         check(R.truncated_svd(matrix, 3, "bidiagonal"), a, 3)
 
 
+def test_wide_cells_store_no_vectors(spark, purposes):
+    """Row indices with gaps, repeated cells, and a column without any cell."""
+    a = sparse_case(14).T
+    a[4, 49], a[:, 17] = 1.0, 0.0
+    spread = cells_of(spark, a / 2).selectExpr("i * 10 AS i", "j", "x").where("x <> 0")
+    svd = R.truncated_svd(spread.unionAll(spread), 3, "bidiagonal")
+    check(svd._replace(U=svd.U.selectExpr("i div 10 AS i", "v")), a, 3)
+    assert svd.V.count() == 50 and np.allclose(dense_of(svd.V, 50, 3)[17], 0)
+    assert purposes == ["cells", "columns"]
+
+
+def test_wide_sparse_rows(spark):
+    """A row that comes twice is two rows, and one without elements is a row of zeros."""
+    a = sparse_case(15).T
+    a[4, 49] = 1.0
+    a[2] = 0.0
+    svd = R.truncated_svd(R.sparse_rows(rows_of(spark, a, [0, 1, 2, 3, 3])), 4, "bidiagonal")
+    assert np.allclose(values(svd), np.linalg.svd(a, compute_uv=False)[:4])
+    u = svd.U.collect()
+    assert sorted(r["i"] for r in u) == [0, 1, 2, 3, 3]
+    assert np.allclose(sum(np.outer(r["v"], r["v"]) for r in u), np.eye(4))
+    assert next(r["v"] for r in u if r["i"] == 2) == [0.0] * 4
+
+
 def test_rank_and_zero_matrices(spark):
     assert np.allclose(values(R.truncated_svd(rows_of(spark, np.ones((40, 4))), 3, "bidiagonal")), [np.sqrt(160)])
     with pytest.raises(ValueError, match="without non-zero"):
