@@ -86,16 +86,13 @@ class _Matrix:
         """Indices of the rows that hold cells, where they are few against the columns and A is not dense."""
         if self.dense is not None or self.n < ASPECT:
             return None
-        found = [r["i"] for r in self.cells.select("i").distinct().limit(SHORT_SIDE + 1).collect()]
+        found = _indices(self.cells, "i")
         return found if 0 < len(found) <= min(SHORT_SIDE, self.n // ASPECT) else None
 
     def columns_of(self, names: list) -> DataFrame:
         """A' as stored sparse rows, whose indices are places in ``names``."""
-        none = min((x for x in names if x is not None), default=0) - 1
-        known = [none if x is None else x for x in names]
-        table = pa.table({"name": pa.array(known, pa.int64()), "place": pa.array(range(len(names)), pa.int64())})
-        places = F.broadcast(self.cells.sparkSession.createDataFrame(table))
-        placed = self.cells.join(places, F.coalesce("i", F.lit(none)) == F.col("name"))
+        table = pa.table({"i": pa.array(names, pa.int64()), "place": pa.array(range(len(names)), pa.int64())})
+        placed = self.cells.join(F.broadcast(self.cells.sparkSession.createDataFrame(table)), "i")
         return stored(_gathered(placed.select(F.col("j").alias("i"), F.col("place").alias("j"), "x")), "columns")
 
     def random_start(self, width: int, seed: int) -> DataFrame:
@@ -105,11 +102,22 @@ class _Matrix:
         return self.turned_times(noise, width)
 
 
+def _indices(cells: DataFrame, side: str) -> list:
+    """The row or column indices that hold cells, SHORT_SIDE and one at most; one with nulls alone fails."""
+    counted = cells.where(F.col(side).isNotNull()).groupBy(side).agg(F.count("x").alias("known"))
+    found = counted.limit(SHORT_SIDE + 1).collect()
+    if not all(r["known"] for r in found):
+        raise ValueError("matrix has a NULL element")
+    return [r[side] for r in found]
+
+
 def _gathered(cells: DataFrame) -> DataFrame:
     """Sparse rows of cells whose column indices are few; repeated cells add up, map-side first.
 
-    Sums pass over nulls, as they do where cells are joined with vectors; a row of nulls alone fails.
+    As where cells are joined with vectors, those without an index meet nothing and sums pass over nulls; a row of
+    nulls alone fails.
     """
+    cells = cells.where("i IS NOT NULL AND j IS NOT NULL")
     summed_cells = cells.groupBy("i", "j").agg(F.sum("x").alias("x"))
     lines = summed_cells.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "x"))).alias("c"))
     known = F.filter("c", lambda c: c["x"].isNotNull())
@@ -126,8 +134,11 @@ def _reduced(a: _Matrix, k: int, names: list | None):
     """
     if names is not None:
         records, width = a.columns_of(names), len(names)
+    elif a.held is not None:
+        records, width = a.held, a.n
     else:
-        records, width = stored(_gathered(a.cells), "rows") if a.held is None else a.held, a.n
+        _indices(a.cells, "j")
+        records, width = stored(_gathered(a.cells), "rows"), a.n
     _, sigma, turn = np.linalg.svd(r_factor(records, width))
     found = min(k, int((sigma > width * np.finfo(float).eps * sigma[0]).sum()))
     if not found:

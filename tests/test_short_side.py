@@ -7,6 +7,7 @@ from test_forms import dense_of, rows_of
 from test_products import cells_of
 
 import rowloom as R
+from rowloom.operators import bidiagonal
 from rowloom.sources import scratch
 
 
@@ -70,7 +71,36 @@ def test_wide_sparse_rows(spark):
     assert next(r["v"] for r in u if r["i"] == 2) == [0.0] * 4
 
 
+def test_both_ways_agree(spark, monkeypatch):
+    a = sparse_case(16).T * np.logspace(0, -3, 5)[:, None]
+    a[4, 49] = 1e-3
+    short = R.truncated_svd(cells_of(spark, a), 5, "bidiagonal")
+    monkeypatch.setattr(bidiagonal, "SHORT_SIDE", 0)
+    long = R.truncated_svd(cells_of(spark, a), 5, "bidiagonal")
+    assert np.allclose(values(short), values(long), rtol=1e-9)
+    assert np.allclose(dense_of(short.U, 5, 5), dense_of(long.U, 5, 5), atol=1e-8)
+    assert np.allclose(dense_of(short.V, 50, 5), dense_of(long.V, 50, 5), atol=1e-8)
+
+
 def test_rank_and_zero_matrices(spark):
     assert np.allclose(values(R.truncated_svd(rows_of(spark, np.ones((40, 4))), 3, "bidiagonal")), [np.sqrt(160)])
     with pytest.raises(ValueError, match="without non-zero"):
         R.truncated_svd(rows_of(spark, np.zeros((40, 2))), 1, "bidiagonal")
+
+
+def test_nulls(spark):
+    """Cells without an index and single nulls are passed over, as on the other path; a line of nulls alone fails."""
+    a = np.random.default_rng(18).standard_normal((3, 40))
+    exact = np.linalg.svd(a, compute_uv=False)
+    extra = [(None, 3, 1.0), (2, None, 1.0), (0, 2, None)]
+    for turned in (False, True):
+        held = [(j, i, x) if turned else (i, j, x) for i, j, x in extra + [(1, 50, None)]]
+        cells = cells_of(spark, a.T if turned else a)
+        odd = cells.unionAll(spark.createDataFrame(held[:3], cells.schema))
+        svd = R.truncated_svd(odd, 3, "bidiagonal")
+        assert np.allclose(values(svd), exact)
+        assert svd.U.count() == (40 if turned else 3) and svd.V.count() == (3 if turned else 40)
+        for bad in (held[3], (900, 2, None) if not turned else (2, 2, None)):
+            lone = cells.where("NOT (i = 2 OR j = 2)") if turned and bad == (2, 2, None) else cells
+            with pytest.raises(Exception, match="NULL element"):
+                values(R.truncated_svd(lone.unionAll(spark.createDataFrame([bad], cells.schema)), 3, "bidiagonal", num_cols=3 if turned else 9000))
