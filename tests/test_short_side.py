@@ -82,6 +82,15 @@ def test_both_ways_agree(spark, monkeypatch):
     assert np.allclose(dense_of(short.V, 50, 5), dense_of(long.V, 50, 5), atol=1e-8)
 
 
+def test_left_vectors_of_few_rows(spark, purposes):
+    """Rows that are orthogonal, one element a column: each left vector is one row's."""
+    a = np.zeros((3, 48))
+    a[np.arange(48) % 3, np.arange(48)] = np.array([1.0, 3.0, 2.0])[np.arange(48) % 3]
+    svd = R.truncated_svd(cells_of(spark, a), 2, "bidiagonal")
+    assert np.allclose(dense_of(svd.U, 3, 2), [[0, 0], [1, 0], [0, 1]])
+    assert np.allclose(values(svd), [12, 8]) and purposes == ["cells", "columns"]
+
+
 def test_rank_and_zero_matrices(spark):
     assert np.allclose(values(R.truncated_svd(rows_of(spark, np.ones((40, 4))), 3, "bidiagonal")), [np.sqrt(160)])
     with pytest.raises(ValueError, match="without non-zero"):
