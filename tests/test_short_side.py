@@ -91,6 +91,18 @@ def test_left_vectors_of_few_rows(spark, purposes):
     assert np.allclose(values(svd), [12, 8]) and purposes == ["cells", "columns"]
 
 
+def test_small_values_of_a_wide_matrix(spark, purposes):
+    """Down to 1e-11 of the largest, with vectors that are orthonormal all the same."""
+    rng = np.random.default_rng(17)
+    exact = 10.0 ** -np.arange(12)
+    u, v = np.linalg.qr(rng.standard_normal((120, 12)))[0], np.linalg.qr(rng.standard_normal((12, 12)))[0]
+    svd = R.truncated_svd(cells_of(spark, ((u * exact) @ v.T).T), 12, "bidiagonal", rcond=1e-12)
+    assert np.allclose(values(svd)[:10], exact[:10], rtol=1e-4) and np.allclose(values(svd), exact, rtol=1e-2)
+    w = dense_of(svd.V, 120, 12)
+    assert np.allclose(w.T @ w, np.eye(12), atol=1e-10)
+    assert purposes == ["cells", "columns"]
+
+
 def test_rank_and_zero_matrices(spark):
     assert np.allclose(values(R.truncated_svd(rows_of(spark, np.ones((40, 4))), 3, "bidiagonal")), [np.sqrt(160)])
     with pytest.raises(ValueError, match="without non-zero"):
