@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import os
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,17 +15,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm import bpe
-from rowloom.llm.shared import map_arrow, store
-from rowloom.llm.text import binaries
+from rowloom.llm.shared import BATCH_ROWS, map_arrow, store
+from rowloom.llm.text import binaries, blocks
 
 #: Rows of the index of one shard: so many remainders are searched together inside a task.
 SHARD_ROWS = 1024
+#: Used rows leave an index as soon as less than this share of its rows is left.
+LEFT_ROWS = 7 / 8
 #: Remainder bytes that one packing task should read.
 TASK_BYTES = 16 << 20
-#: Distinct pieces of text whose ids a task process remembers.
-CORE_PIECES, RECENT_PIECES = 250_000, 80_000
-#: Bytes of text whose distinct pieces are found together.
-ENCODE_BYTES = 4 << 20
+#: Distinct pieces of text whose ids a task process remembers, and those that go to the library as one text.
+CORE_PIECES, JOINED_PIECES = 500_000, 50_000
+#: Bytes of text whose distinct pieces are found together, and pieces whose ids are laid out together.
+ENCODE_BYTES, GATHERED_PIECES = 24 << 20, 100_000
+#: The letters that byte-level vocabularies have for bytes; those without a visible one of their own have the
+#: next ones after U+00FF.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = np.zeros(256, dtype="<u2")
+_LETTERS[_VISIBLE] = _VISIBLE
+_LETTERS[[b for b in range(256) if b not in _VISIBLE]] = np.arange(0x100, 0x200 - len(_VISIBLE))
 #: BM25's saturation and length weights.
 K1, B = 1.2, 0.75
 
@@ -42,7 +48,7 @@ _ARROW = pa.schema([(p.strip().split()[0], _TYPES[p.strip().split()[1]]) for p i
 
 
 class _Encoder:
-    """The tokenizers library's ids of a text, as little-endian bytes, asked for once a distinct piece of the text.
+    """The tokenizers library's ids of a text, as little-endian numbers, asked for once a distinct piece of the text.
 
     Pieces come from the scan that byte-level BPE uses here; the library splits and merges each piece like the same
     piece inside its text. A text that holds the string of one of its special tokens goes to the library whole.
@@ -50,39 +56,76 @@ class _Encoder:
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.core, self.recent = {}, {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.path, self.merger = path, Tokenizer.from_file(path)
+        self.special = [t.content for t in self.merger.get_added_tokens_decoder().values()]
+        split = self.merger.pre_tokenizer
+        self.joins = self.merger.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space
+        self.merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocabulary = self.merger.get_vocab()
+        self.letters = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.letters[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self.pieces = pa.array([], pa.large_binary())
+        self.ids, self.size = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+
+    @cached_property
+    def tokenizer(self):
+        return type(self.merger).from_file(self.path)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [array("I", f.ids) for f in found]
-        if sys.byteorder == "big":
-            for each in ids:
-                each.byteswap()
-        return [each.tobytes() for each in ids]
+        return [np.array(f.ids, dtype="<u4") for f in found]
 
-    def _known(self, cut: list[bytes]) -> list[bytes]:
-        """The ids of distinct pieces.
+    def _merged(self, cut: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after the other, and how many each has.
 
-        The first CORE_PIECES of them, among them the frequent ones, are remembered for good, later ones until there
-        are RECENT_PIECES of them.
+        A call for each piece costs more than its merging. So pieces go to the library in its own letters for bytes,
+        among which there is no blank, as texts that it splits at blanks only. Ids have as many letters as their
+        pieces, which tells where one piece's ids end; where that does not hold, pieces are encoded one by one.
+        """
+        ids, size = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)]
+        for at in range(0, len(cut), JOINED_PIECES):
+            part = cut.slice(at, JOINED_PIECES)
+            found = self._joined(part) if self.joins else None
+            if found is None:
+                each = self._encode([piece.decode() for piece in part.to_pylist()])
+                found = np.concatenate(each), np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+            ids.append(found[0])
+            size.append(found[1])
+        return np.concatenate(ids), np.concatenate(size)
+
+    def _joined(self, cut: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        _, offsets, data = cut.buffers()
+        bounds = np.frombuffer(offsets, dtype=np.int64)[cut.offset : cut.offset + len(cut) + 1]
+        flat, ends = np.frombuffer(data, dtype=np.uint8)[bounds[0] : bounds[-1]], bounds[1:] - bounds[0]
+        text = np.full(len(flat) + len(cut), ord(" "), dtype="<u2")
+        text[np.arange(len(flat)) + np.repeat(np.arange(len(cut)), np.diff(bounds))] = _LETTERS[flat]
+        found = self.merger.encode_batch_fast([text[:-1].tobytes().decode("utf-16-le")], add_special_tokens=False)
+        ids = np.array(found[0].ids, dtype="<u4")
+        read = np.cumsum(self.letters[ids])
+        last = np.searchsorted(read, ends)
+        if not len(read) or read[-1] != ends[-1] or (read[last] != ends).any():
+            return None
+        return ids, np.diff(last + 1, prepend=0)
+
+    def _known(self, cut: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of many pieces one after the other, how many each has, and which of them the given ones are.
+
+        The first CORE_PIECES distinct pieces that a process meets, among them the frequent ones, are remembered.
         """
-        found = list(map(self.core.get, cut))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        if missing:
-            new = [cut[k] for k in missing if cut[k] not in self.recent]
-            self.recent.update(zip(new, self._encode([piece.decode() for piece in new]), strict=True))
-            for k in missing:
-                found[k] = self.recent[cut[k]]
-            if len(self.core) < CORE_PIECES:
-                self.core |= self.recent
-                self.recent = {}
-            elif len(self.recent) >= RECENT_PIECES:
-                self.recent = {}
-        return found
+        place = pc.index_in(cut, value_set=self.pieces)
+        missing = place.is_null()
+        new = cut.filter(missing)
+        found, count = self._merged(new)
+        ids, size = np.concatenate([self.ids, found]), np.concatenate([self.size, count])
+        at = place.fill_null(0).to_numpy().astype(np.int64)
+        at[missing.to_numpy(zero_copy_only=False)] = len(self.size) + np.arange(len(new))
+        if len(new) and len(self.pieces) < CORE_PIECES:
+            self.pieces = pa.concat_arrays([self.pieces, new.slice(0, CORE_PIECES - len(self.pieces))])
+            self.size = size[: len(self.pieces)]
+            self.ids = ids[: self.size.sum()]
+        return ids, size, at
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each row and an id 0 after them.
@@ -96,19 +139,20 @@ class _Encoder:
         row = 0
         for raw, cuts, rows in _gathered(texts):
             pieces = binaries(np.frombuffer(raw, dtype=np.uint8), cuts).dictionary_encode()
-            kind, found = pieces.indices.to_numpy(), self._known(pieces.dictionary.to_pylist())
-            flat = np.frombuffer(b"".join(found), dtype="<u4")
-            size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-            each = size[kind]
-            end = np.cumsum(each)
-            ids = flat[np.repeat((np.cumsum(size) - size)[kind] - (end - each), each) + np.arange(each.sum())]
-            bounds = np.concatenate([[0], end])[rows].tolist()
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                if whole[row]:
-                    yield np.frombuffer(self._encode([texts[row].as_py()])[0] + bytes(4), dtype="<u4")
-                else:
-                    yield np.concatenate([ids[a:b], _END])
-                row += 1
+            flat, size, at = self._known(pieces.dictionary)
+            place, begin = pieces.indices.to_numpy(), np.cumsum(size) - size
+            for first, last in blocks(rows, GATHERED_PIECES):
+                kind = at[place[rows[first] : rows[last]]]
+                each = size[kind]
+                end = np.cumsum(each)
+                ids = flat[np.repeat(begin[kind] - (end - each), each) + np.arange(each.sum())]
+                bounds = np.concatenate([[0], end])[rows[first : last + 1] - rows[first]].tolist()
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    if whole[row]:
+                        yield np.concatenate([self._encode([texts[row].as_py()])[0], _END])
+                    else:
+                        yield np.concatenate([ids[a:b], _END])
+                    row += 1
 
 
 _END = np.zeros(1, dtype="<u4")
@@ -134,15 +178,30 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
-def _place(terms: np.ndarray) -> int:
-    """A key under which like vocabularies lie together: minima of three hashes of distinct ids, the end id left out."""
-    terms, place = terms[terms != 0].astype(np.uint64), 0
+#: Above all hashes of 21 bits.
+_NO_HASH = 1 << 21
+
+
+@lru_cache(maxsize=2)
+def _hashes(bits: int) -> np.ndarray:
+    """Three 21-bit hashes of each id of so many bits, _NO_HASH for the end id."""
+    terms, found = np.arange(1 << bits, dtype=np.uint64), []
     for seed in (0x9E3779B97F4A7C15, 0x3C6EF372FE94F82A, 0xDAA66D2C7DDF743F):
         hashed = terms + np.uint64(seed)
         hashed = (hashed ^ (hashed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         hashed = (hashed ^ (hashed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        hashed = (hashed ^ (hashed >> np.uint64(31))) >> np.uint64(43)
-        place = place << 21 | (int(hashed.min()) if len(hashed) else 0)
+        found.append(((hashed ^ (hashed >> np.uint64(31))) >> np.uint64(43)).astype(np.int64))
+    hashes = np.array(found)
+    hashes[:, 0] = _NO_HASH
+    return hashes
+
+
+def _place(terms: np.ndarray) -> int:
+    """A key under which like vocabularies lie together: minima of three hashes of the ids, the end id left out."""
+    place = 0
+    if len(terms):
+        for least in _hashes(max(16, int(terms.max()).bit_length()))[:, terms].min(axis=1).tolist():
+            place = place << 21 | (least if least < _NO_HASH else 0)
     return place
 
 
@@ -153,24 +212,35 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Keys and texts of several batches as one."""
+    held, size = [], 0
+    for batch in batches:
+        held.append((batch.column(0), batch.column(1).cast(pa.large_string())))
+        size += held[-1][1].nbytes
+        if size >= ENCODE_BYTES:
+            yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+
+
 def _cut(docs: DataFrame, path: str, window: int) -> DataFrame:
     """Whole windows of every document, its remainder with its ids, and how many documents hold each id."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, sequence = _encoder(path), TaskContext.get().partitionId() << 32
-        holders = np.zeros(0, dtype=np.int64)
+        holders, latest = np.zeros((2, len(encode.letters)), dtype=np.int64)
         documents = 0
-        for batch in batches:
+        for keys, texts in _together(batches):
             rows = []
-            for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
-                most = int(ids.max())
-                if len(holders) <= most:
-                    holders = np.concatenate([holders, np.zeros(most + 1 - len(holders), dtype=np.int64)])
-                    present = np.zeros(most + 1, dtype=bool)
-                present[ids] = True
-                data, terms = ids.tobytes(), np.flatnonzero(present)
-                present[terms] = False
-                holders[terms] += 1
+            for key, ids in zip(keys.to_pylist(), encode(texts), strict=True):
+                if len(rows) >= BATCH_ROWS:
+                    yield _batch(rows)
+                    rows = []
+                data, at = ids.tobytes(), np.arange(len(ids))
+                latest[ids] = at
+                holders[ids[latest[ids] == at]] += 1  # each distinct id once
                 documents += 1
                 whole = len(ids) // window * window
                 for start in range(0, whole, window):
@@ -179,7 +249,7 @@ def _cut(docs: DataFrame, path: str, window: int) -> DataFrame:
                     sequence += 1
                 if whole < len(ids):
                     rest = data[4 * whole :]
-                    place = _place(np.unique(ids[whole:]))
+                    place = _place(ids[whole:])
                     rows.append((_REST, key, whole, len(rest) // 4, None, len(ids), None, rest, place, None, None))
             yield _batch(rows)
         counted = np.flatnonzero(holders).tolist()
@@ -207,14 +277,25 @@ class Shard:
         self.end = np.append(self.begin[1:], len(order))
         self.rows = len(rests)
 
-    def ranked(self, seed: int) -> np.ndarray:
-        """All rows by descending BM25 of the seed's distinct terms, ties by row."""
+    def keep(self, rows: np.ndarray) -> None:
+        """Leaves out the postings of all rows but those marked; their scores are 0 from now on."""
+        kept = rows[self.row]
+        before = np.concatenate([[0], np.cumsum(kept)])
+        self.begin, self.end = before[self.begin], before[self.end]
+        self.row, self.weight = self.row[kept], self.weight[kept]
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of the seed's distinct terms in every row."""
         at = np.searchsorted(self.vocabulary, self.terms[seed])
         begin, length = self.begin[at], self.end[at] - self.begin[at]
         before = np.cumsum(length) - length
         posting = np.arange(int(length.sum())) + np.repeat(begin - before, length)
-        scores = np.bincount(self.row[posting], weights=self.weight[posting], minlength=self.rows)
-        return np.argsort(-scores, kind="stable")
+        found = np.bincount(self.row[posting], weights=self.weight[posting], minlength=self.rows)
+        return found.astype(np.float64, copy=False)  # integers where no posting is left
+
+    def ranked(self, seed: int) -> np.ndarray:
+        """All rows by descending score, ties by row."""
+        return np.argsort(-self.scores(seed), kind="stable")
 
 
 def _fill(rows: list[dict], idf: np.ndarray, window: int, state: dict) -> Iterator[tuple]:
@@ -226,17 +307,17 @@ def _fill(rows: list[dict], idf: np.ndarray, window: int, state: dict) -> Iterat
     """
     shard = Shard([np.frombuffer(r["ids"], dtype="<u4") for r in rows], idf)
     used = np.zeros(len(rows), dtype=bool)
-    neighbours: Iterator[int] | None = None
-    first = 0
-    while not used.all():
-        if neighbours is None:
+    scores: np.ndarray | None = None
+    first, left, indexed = 0, len(rows), len(rows)
+    for _ in rows:
+        if scores is None:
             while used[first]:
                 first += 1
             k, opens = first, True
         else:
-            k = next(n for n in neighbours if not used[n])
-            opens = False
-        used[k] = True
+            k, opens = int(scores.argmax()), False  # of equal ones the first
+            scores[k] = -np.inf
+        used[k], left = True, left - 1
         r, begin = rows[k], 0
         while begin < r["length"]:
             length = min(r["length"] - begin, window - state["offset"])
@@ -247,10 +328,13 @@ def _fill(rows: list[dict], idf: np.ndarray, window: int, state: dict) -> Iterat
             if state["offset"] == window:
                 state["sequence"], state["offset"], opens = state["sequence"] + 1, 0, True
         if not state["offset"]:
-            neighbours = None
+            scores = None
         elif opens:
-            ranked = shard.ranked(k)
-            neighbours = iter(ranked[~used[ranked]].tolist())
+            if left < LEFT_ROWS * indexed:
+                shard.keep(~used)
+                indexed = left
+            scores = shard.scores(k)
+            scores[used] = -np.inf
 
 
 def pack_documents(
