@@ -7,20 +7,23 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.shared import cut_lineage
 
+#: Edges of one task, at least: with one task a shuffle partition, small tables would be written as very many files.
+TASK_EDGES = 200_000
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest node around it."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m"))
     moved = both.where("v > u").join(low, "u")
-    return moved.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+    return moved.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Every smaller neighbour of a node, and the node, move to the smallest of them."""
     low = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(low.select("u", F.col("m").alias("v"))).distinct()
+    return moved.union(low.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct().coalesce(tasks)
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -40,7 +43,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     stars = cut_lineage(given.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = _state(stars)
     while before[0]:
-        stars = cut_lineage(_small_star(_large_star(stars)))
+        tasks = -(-before[0] // TASK_EDGES)
+        stars = cut_lineage(_small_star(_large_star(stars.coalesce(tasks), tasks), tasks))
         after = _state(stars)
         if after == before:
             break

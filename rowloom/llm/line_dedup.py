@@ -20,8 +20,8 @@ RADIUS = WORDS * (PIECES - 1) - 1
 #: Lines that share a block and differ in more bits are not compared by edit distance (of 64 * WORDS bits; unrelated
 #: lines differ in about half, lines within the radius in RADIUS at most).
 MOST_BITS = 80
-#: Words of a line whose votes are counted in one byte a bit.
-VOTERS = 127
+#: Words of a line whose votes are counted in one byte a bit, and those that one row adds up.
+VOTERS, GROUP = 126, 7
 _ONES = 0x0101010101010101
 #: Ids that are broadcast to filter a table: 16 bytes each, 32 MB at most.
 BROADCAST_IDS = 2_000_000
@@ -29,13 +29,26 @@ BROADCAST_IDS = 2_000_000
 CHUNK_ROWS = 64
 #: Lines of fewer words are never removed, unless they have so many code points.
 LEAST_WORDS, LEAST_CHARS = 3, 20
+#: Edits up to which distances are sought first.
+FEW_EDITS = 16
 #: Lines are alike whose edit distance is at most this share (percent) of the longer one's code points.
 EDITS_PERCENT = 15
 
 
 def normalised(text: Column) -> Column:
     """The lines of a text: letters and digits in lower case, anything between them as one space, some at the ends."""
-    return F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " "), "\n")
+    return F.transform(F.split(F.lower(text), "\n"), _spaced)
+
+
+def _spaced(line: Column) -> Column:
+    """A line in lower case with one space for any characters that are not letters or digits.
+
+    Where it holds ASCII characters only, they are told apart without a regular expression.
+    """
+    kept = F.lit(None).cast("string")
+    masked = F.replace(F.mask(line, kept, kept, kept, F.lit(" ")), F.lit("  "), F.lit(" "))
+    joined = _with(masked, lambda m: F.when(F.contains(m, F.lit("  ")), F.regexp_replace(m, "  +", " ")).otherwise(m))
+    return F.when(F.octet_length(line) == F.char_length(line), joined).otherwise(F.regexp_replace(line, r"[^\p{L}\p{N}]+", " "))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -47,8 +60,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     parts = F.posexplode(normalised(F.coalesce("text", F.lit(""))))  # once a text, before any line is looked at
     cut = docs.where("key IS NOT NULL").select("key", _doc().alias("doc"), parts)
     cut = cut.select("key", "doc", F.col("pos").alias("line"), F.trim("col").alias("plain"))
-    blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" ")))
-    large = (blanks >= LEAST_WORDS - 1) | (F.char_length("plain") >= LEAST_CHARS)
+    large = (_blanks(F.col("plain")) >= LEAST_WORDS - 1) | (F.char_length("plain") >= LEAST_CHARS)
     return cut.where(large).select("key", "doc", "line", F.xxhash64("plain").alias("id"), "plain")
 
 
@@ -57,6 +69,11 @@ def _doc() -> Column:
     return F.xxhash64("key", "text")
 
 
+def _blanks(plain: Column) -> Column:
+    """How many blanks a normalised line holds, one less than its words."""
+    return F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" ")))
+
+
 def simhashes(lines: DataFrame) -> DataFrame:
     """id, h0 to h{WORDS - 1} (bigint): the SimHash of each distinct line, made once however often it stands there.
 
@@ -65,35 +82,76 @@ def simhashes(lines: DataFrame) -> DataFrame:
     counted in bytes, eight to a long, over VOTERS words at a time and then in full, so a line may have any number of
     words. Once lines are dealt by id, no row moves between tasks.
     """
+    long = _blanks(F.col("plain")) >= VOTERS
+    return _simhashes_of_short(lines.where(~long)).unionByName(_simhashes_of_long(lines.where(long)))
+
+
+def _distinct(lines: DataFrame) -> DataFrame:
+    """id and words, the distinct ones, of each line."""
     distinct = lines.groupBy("id").agg(F.any_value("plain").alias("plain"))
-    words = distinct.select("id", F.posexplode(F.array_distinct(F.split("plain", " "))).alias("at", "word"))
+    return distinct.select("id", F.array_distinct(F.split("plain", " ")).alias("words"))
+
+
+def _add(one: Column, two: Column, three: Column) -> tuple[Column, Column]:
+    """The bits of a sum of three bits and the ones carried, for 64 places at once."""
+    odd = one.bitwiseXOR(two)
+    return odd.bitwiseXOR(three), one.bitwiseAND(two).bitwiseOR(odd.bitwiseAND(three))
+
+
+def _simhashes_of_short(lines: DataFrame) -> DataFrame:
+    """simhashes of lines of at most VOTERS words.
+
+    A row is GROUP words and one of the WORDS hashes, whose bits are added up as three-bit numbers before they are
+    spread to bytes: rows stay few and narrow, so that their code is compiled.
+    """
+    rows = F.expr(f"sequence(0, {WORDS} * ((size(words) + {GROUP - 1}) div {GROUP}) - 1)")
+    taken = _distinct(lines).select("id", F.size("words").alias("n"), "words", F.explode(rows).alias("row"))
+    first = F.expr(f"{GROUP} * (row div {WORDS})")
+    taken = taken.select("id", "n", (F.col("row") % WORDS).cast("int").alias("w"), *[F.get("words", first + k).alias(f"x{k}") for k in range(GROUP)])
+    hashes = [F.when(F.col(f"x{k}").isNotNull(), F.xxhash64("w", f"x{k}")).otherwise(F.lit(0)).alias(f"x{k}") for k in range(GROUP)]
+    votes = taken.select("id", "n", "w", *hashes)
+    for kept, added in (
+        ("x6", {("a", "p"): ("x0", "x1", "x2"), ("b", "q"): ("x3", "x4", "x5")}),
+        ("p q", {("ones", "r"): ("a", "b", "x6")}),
+        ("ones", {("twos", "fours"): ("p", "q", "r")}),
+    ):
+        sums = [c.alias(name) for names, of in added.items() for c, name in zip(_add(*map(F.col, of)), names, strict=True)]
+        votes = votes.select("id", "n", "w", *kept.split(), *sums)
+    spread = lambda of, k: F.shiftrightunsigned(of, k).bitwiseAND(F.lit(_ONES))
+    planes = [F.sum(spread("ones", k) + F.shiftleft(spread("twos", k), 1) + F.shiftleft(spread("fours", k), 2)).alias(f"s{k}") for k in range(8)]
+    counted = votes.groupBy("id", "n", "w").agg(*planes)
+    lifted = counted.select("id", "w", _lift(F.col("n")).alias("lift"), *[f"s{k}" for k in range(8)])
+    bits = reduce(Column.bitwiseOR, [F.shiftleft(_voted(F.col(f"s{k}"), F.col("lift")), k) for k in range(8)])
+    named = lifted.select("id", "w", bits.alias("h"))
+    return named.groupBy("id").agg(*[F.max(F.when(F.col("w") == w, F.col("h"))).alias(f"h{w}") for w in range(WORDS)])
+
+
+def _simhashes_of_long(lines: DataFrame) -> DataFrame:
+    """simhashes of lines of any number of words, counted in parts of VOTERS words."""
+    words = _distinct(lines).select("id", F.posexplode("words").alias("at", "word"))
     hashed = words.select("id", F.expr(f"at div {VOTERS}").alias("part"), *[F.xxhash64(F.lit(w), "word").alias(f"h{w}") for w in range(WORDS)])
     planes = [F.sum(F.shiftrightunsigned(f"h{w}", k).bitwiseAND(F.lit(_ONES))).alias(f"s{w}_{k}") for w in range(WORDS) for k in range(8)]
     parts = hashed.groupBy("id", "part").agg(F.count("*").alias("n"), *planes)
     part = F.struct("n", F.array(*[f"s{w}_{k}" for w in range(WORDS) for k in range(8)]).alias("s"))
     held = parts.groupBy("id").agg(F.collect_list(part).alias("parts"))
-    bits = F.when(F.size("parts") == 1, _bits_of_one(F.get("parts", F.lit(0)))).otherwise(_bits_of_many(F.col("parts")))
-    voted = held.select("id", bits.alias("bits"))
+    voted = held.select("id", _bits_of_many(F.col("parts")).alias("bits"))
     return voted.select("id", *[reduce(Column.bitwiseOR, [F.shiftleft(F.get("bits", F.lit(8 * w + k)), k) for k in range(8)]).alias(f"h{w}") for w in range(WORDS)])
 
 
-def _bits_of_one(part: Column) -> Column:
-    """For each count of 8 bytes, a 1 in every byte that more than half of n reaches.
-
-    Bytes are taken as two sets of four 16-bit lanes; c > n div 2 where c + 255 - n div 2 carries into a lane's bit 8.
-    """
-    lift = (F.lit(255) - F.expr("parts[0].n div 2")) * F.lit(0x0001000100010001)
-    lane, carry = F.lit(0x00FF00FF00FF00FF), F.lit(0x0100010001000100)
+def _lift(n: Column) -> Column:
+    """What _voted adds to a count, in four 16-bit lanes: with it, a count above n div 2 carries into its lane's bit 8."""
+    return (F.lit(255) - F.floor(n / 2)) * F.lit(0x0001000100010001)
 
-    def voted(s: Column, lift: Column) -> Column:
-        even, odd = [(x.bitwiseAND(lane) + lift).bitwiseAND(carry) for x in (s, F.shiftrightunsigned(s, 8))]
-        return F.shiftrightunsigned(even, 8).bitwiseOR(odd)
 
-    return _with(lift, lambda one: F.transform(part["s"], lambda s: voted(s, one)))
+def _voted(counts: Column, lift: Column) -> Column:
+    """For a count of 8 bytes, a 1 in every byte that is more than half of the words; bytes are taken as two sets of lanes."""
+    lane, carry = F.lit(0x00FF00FF00FF00FF), F.lit(0x0100010001000100)
+    even, odd = [(x.bitwiseAND(lane) + lift).bitwiseAND(carry) for x in (counts, F.shiftrightunsigned(counts, 8))]
+    return F.shiftrightunsigned(even, 8).bitwiseOR(odd)
 
 
 def _bits_of_many(parts: Column) -> Column:
-    """The same where a line's words were counted in several parts."""
+    """For each count of 8 bytes, added up over a line's parts, a 1 in every byte that is more than half of the words."""
     total = F.aggregate(parts, F.lit(0).cast("bigint"), lambda sum_, p: sum_ + p["n"])
 
     def voted(plane: Column, n: Column) -> Column:
@@ -146,6 +204,12 @@ def _middles(left: Column, right: Column) -> Column:
     return _with(F.struct(F.split(left, " ").alias("l"), F.split(right, " ").alias("r")), cut)
 
 
+def _edits(left: Column, right: Column, most: Column) -> Column:
+    """The edit distance of two texts, or -1 where it is above `most`: work grows with the bound, so a small one comes first."""
+    first = F.call_function("levenshtein", left, right, F.least(most, F.lit(FEW_EDITS)))
+    return _with(first, lambda d: F.when((d >= 0) | (most <= FEW_EDITS), d).otherwise(F.call_function("levenshtein", left, right, most)))
+
+
 def _within_by_words(one: Column, two: Column, most: Column) -> Column:
     """True where edits of whole words already show two lists of words to be within an edit distance; else false.
 
@@ -162,7 +226,8 @@ def _within_by_words(one: Column, two: Column, most: Column) -> Column:
             return F.decode(F.unhex(F.array_join(numbers, "")), "UTF-16BE")
 
         lengths = F.sort_array(F.transform(F.concat(one, two), lambda w: F.char_length(w) + 1), asc=False)
-        edits = F.call_function("levenshtein", spelled(one), spelled(two), F.floor(most / 2).cast("int"))
+        spelt = F.struct(spelled(one).alias("l"), spelled(two).alias("r"))
+        edits = _with(spelt, lambda s: _edits(s["l"], s["r"], F.floor(most / 2).cast("int")))
         longest = lambda k: F.aggregate(F.slice(lengths, 1, k), F.lit(0), lambda total, n: total + n)
         return _with(edits, lambda k: (k >= 0) & (longest(F.greatest(k, F.lit(0))) <= most))
 
@@ -184,7 +249,8 @@ def _alike(left: Column, right: Column, percent: int) -> Column:
         def text(words: Column) -> Column:
             return F.array_join(F.transform(words, lambda w: F.concat(w, F.lit(" "))), "")
 
-        whole = F.call_function("levenshtein", text(cut["l"]), text(cut["r"]), most) >= 0
+        texts = F.struct(text(cut["l"]).alias("l"), text(cut["r"]).alias("r"))
+        whole = _with(texts, lambda t: _edits(t["l"], t["r"], most)) >= 0
         return F.when(_within_by_words(cut["l"], cut["r"], most), True).otherwise(whole)
 
     return F.when(close, _with(_middles(left, right), within)).otherwise(False)
@@ -217,7 +283,7 @@ def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
     """id and component of the lines that are alike with others, over any number of steps; lines is read twice.
 
     Two lines are compared where they share a block: first each with the block's smallest id, then, where
-    a block still holds several components, every two of different components. For that the block is cut into chunks
+    a block still holds several components, every two of different components, which then join those. For that the block is cut into chunks
     of about CHUNK_ROWS lines, and each two chunks meet on a key of their own, so that one block's work is dealt to
     many tasks and only alike lines become pairs. Edit distances are taken of those whose SimHashes are near.
     """
@@ -245,7 +311,10 @@ def line_groups(lines: DataFrame, percent: int = EDITS_PERCENT) -> DataFrame:
     )
     met = (F.col("bucket") == F.col("bucket_b")) & (F.col("i") == F.col("i_b")) & (F.col("j") == F.col("j_b"))
     apart = one.join(two, met & (F.col("of_a") != F.col("of_b")) & alike)
-    return connected_components(links.union(apart.select("a", "b")))
+    joined = connected_components(store(apart.select("of_a", "of_b").distinct(), "apart"), "of_a", "of_b")
+    nodes = found.select(F.col("b").alias("node"), "component").union(joined.select("node", F.col("node").alias("component"))).distinct()
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("low"))
+    return nodes.join(joined, "component", "left").select("node", F.coalesce("low", "component").alias("component"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = EDITS_PERCENT) -> DataFrame:
